@@ -11,6 +11,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+SPREAD = 64
+
 
 class DuplicateKeys(ValueError):
     """A source of keyed changes holds the same key twice."""
@@ -41,7 +43,8 @@ def upsert(
     """Insert new keys whole; on a known key change only the columns named in ``update``.
 
     Expressions in ``update`` see the stored row as ``old.*`` and the change as ``new.*``.
-    Rows whose key is not among the changes stay as they are.
+    Rows whose key is not among the changes stay as they are. Keys are unique on both
+    sides, so no key can crowd the join.
     """
     matched = F.col("old.__stored") & F.col("new.__changed")
     old = target.withColumn("__stored", F.lit(True)).alias("old")
@@ -85,6 +88,22 @@ def delete_matching(target: DataFrame, matched: DataFrame, keys: list[str]) -> D
     return target.join(matched.select(*keys).distinct(), keys, "left_anti")
 
 
+def keep_listed(
+    rows: DataFrame, listed: DataFrame, keys: list[str], spread_by: list[str]
+) -> DataFrame:
+    """Rows whose key is listed, for a key that very many rows share.
+
+    The rows of one key are spread over ``SPREAD`` sub-keys by a hash of other columns, and
+    each listed key (distinct first) is repeated for every sub-key. Exact, and no task gets
+    all rows of a key.
+    """
+    spread = rows.withColumn("__sub", F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)))
+    wanted = listed.select(*keys).distinct().withColumn(
+        "__sub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")))
+    )
+    return spread.join(wanted, [*keys, "__sub"], "left_semi").drop("__sub")
+
+
 def update_matching(
     target: DataFrame,
     matched: DataFrame,

@@ -138,14 +138,18 @@ def point_in_time(bars: DataFrame, window: int = WINDOW) -> DataFrame:
     steps = bars.withColumn("prev_close", F.lag("close").over(by_date())).withColumn(
         "__return", day_return(F.col("close"), F.col("prev_close"))
     )
+    measured = steps.select(
+        *bars.columns,
+        "prev_close",
+        F.count("__return").over(before).alias("__returns"),
+        F.stddev_samp("__return").over(before).alias("__sd"),
+        F.avg(F.col("volume").cast("double")).over(before).alias("__volume"),
+    )
     # both baselines hang on the returns: 20 bars have 20 volumes but only 19 returns
-    full = F.count("__return").over(before) == window
-    sd = F.stddev_samp("__return").over(before)
-    return steps.select(
+    usable = (F.col("__returns") == window) & ~missing(F.col("__sd"))
+    return measured.select(
         *bars.columns,
         "prev_close",
-        F.when(full & ~missing(sd), sd).alias("rolling_sd"),
-        F.when(full & ~missing(sd), F.avg(F.col("volume").cast("double")).over(before)).alias(
-            "rolling_avg_volume"
-        ),
+        F.when(usable, F.col("__sd")).alias("rolling_sd"),
+        F.when(usable, F.col("__volume")).alias("rolling_avg_volume"),
     )

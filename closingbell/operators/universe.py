@@ -41,10 +41,11 @@ def active_by_universe(
     universe_membership: DataFrame, membership: DataFrame, imported: DataFrame
 ) -> DataFrame:
     """Active ``(universe, symbol)`` of the imported universes, in one join for all."""
-    universes = imported.select(F.col("universe").alias("universe_id")).distinct()
+    universes = imported.select(F.col("universe").alias("universe_id"))
     return (
-        active_memberships(universe_membership)
-        .join(universes, "universe_id", "left_semi")
+        keyed.keep_listed(
+            active_memberships(universe_membership), universes, ["universe_id"], ["membership_id"]
+        )
         .join(membership.select(F.col("id").alias("membership_id"), "symbol"), "membership_id")
         .select(F.col("universe_id").alias("universe"), "symbol")
     )
@@ -142,17 +143,19 @@ def delisting_report(imported: DataFrame, diff: DataFrame, page_size: int = 1000
     A universe without delistings has one row with a zero and an empty list.
     """
     gone = dropped(diff)
-    counts = gone.groupBy("universe").agg(F.count("*").alias("delisted"))
-    pages = paged_lists(gone, ["universe"], "symbol", page_size)
-    return (
-        imported.select("universe").distinct()
-        .join(counts, "universe", "left")
-        .join(pages, "universe", "left")
-        .select(
+    pages = paged_lists(gone, ["universe"], "symbol", page_size).select(
+        "universe", F.col("group_size").alias("delisted"), "page", "members"
+    )
+    # the totals ride on the pages: a join on the universe would crowd a large one's pages
+    quiet = imported.select("universe").distinct().join(
+        gone.select("universe").distinct(), "universe", "left_anti"
+    )
+    return pages.unionByName(
+        quiet.select(
             "universe",
-            F.coalesce("delisted", F.lit(0)).alias("delisted"),
-            F.coalesce("page", F.lit(0)).alias("page"),
-            F.coalesce("members", F.array().cast("array<string>")).alias("members"),
+            F.lit(0).cast("bigint").alias("delisted"),
+            F.lit(0).cast("bigint").alias("page"),
+            F.array().cast("array<string>").alias("members"),
         )
     )
 

@@ -101,19 +101,28 @@ def upsert_prices(spark: SparkSession, root: str, batch: DataFrame, run_id: str)
 
     A daily batch seldom meets a stored bar: then it is appended and nothing is rewritten.
     Years that do hold a matching bar are rewritten through the stage, the others are not
-    read beyond the key check. Running the same batch again changes nothing.
+    read beyond the key check. Running the same batch again changes nothing. The batch is
+    read three times, so a batch that is costly to derive should be a stored one.
     """
     incoming = with_year(batch)
-    keyed.require_unique(incoming, KEY)
     # one row per year of the batch here and below: bounded by the calendar
     spans = {
         row.year: row
-        for row in incoming.groupBy("year")
-        .agg(F.count("*").alias("bars"), F.min("date").alias("first"), F.max("date").alias("last"))
+        for row in incoming.groupBy("year", *KEY)
+        .agg(F.count("*").alias("copies"))
+        .groupBy("year")
+        .agg(
+            F.sum("copies").alias("bars"),
+            F.max("copies").alias("copies"),
+            F.min("date").alias("first"),
+            F.max("date").alias("last"),
+        )
         .collect()
     }
     if not spans:
         return 0
+    if any(span.copies > 1 for span in spans.values()):
+        raise keyed.DuplicateKeys(f"batch is not unique on {KEY}")
     total = sum(span.bars for span in spans.values())
     if not exists(spark, root):
         _save(_balanced(incoming), live_path(root), "append")

@@ -308,9 +308,10 @@ def _gate(name: str) -> str:
 def _pages(source: str, member: str) -> str:
     return f"""
         SELECT universe, CAST(position // 25 AS BIGINT) AS page,
-               count(*) AS members_on_page, string_agg({member}, ',' ORDER BY {member}) AS members
-        FROM (SELECT universe, {member}, row_number() OVER (
-                  PARTITION BY universe ORDER BY md5({member}), {member}) - 1 AS position
+               max(size) AS group_size, string_agg({member}, ',' ORDER BY {member}) AS members
+        FROM (SELECT universe, {member}, count(*) OVER (PARTITION BY universe) AS size,
+                  row_number() OVER (
+                      PARTITION BY universe ORDER BY md5({member}), {member}) - 1 AS position
               FROM (SELECT DISTINCT universe, {member} FROM {source}))
         GROUP BY universe, page"""
 

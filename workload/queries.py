@@ -74,11 +74,17 @@ def price_upsert(v: Views) -> DataFrame:
     return prices.merge_bars(v.bars(), v.corrections())
 
 
+def _stored(v: Views, df: DataFrame, name: str) -> DataFrame:
+    path = work_folder(v.spark, name)
+    df.write.parquet(path)
+    return v.spark.read.schema(df.schema).parquet(path)
+
+
 def price_store(v: Views) -> DataFrame:
     """Bootstrap, merge twice (the second time changes nothing), read back."""
     root = work_folder(v.spark, "price-store")
-    prices.upsert_prices(v.spark, root, v.bars(), "first")
-    batch = v.corrections()
+    prices.upsert_prices(v.spark, root, _stored(v, v.bars(), "bars"), "first")
+    batch = _stored(v, v.corrections(), "corrections")
     prices.upsert_prices(v.spark, root, batch, "second")
     prices.upsert_prices(v.spark, root, batch, "second-again")
     return prices.read_prices(v.spark, root)
@@ -87,7 +93,7 @@ def price_store(v: Views) -> DataFrame:
 def compact_prices(v: Views) -> DataFrame:
     """Two appended feeds leave small files; the repacked table reads the same."""
     root = work_folder(v.spark, "compaction")
-    prices.upsert_prices(v.spark, root, v.bars(), "first")
+    prices.upsert_prices(v.spark, root, _stored(v, v.bars(), "bars"), "first")
     prices.with_year(v.event_bars()).write.mode("append").partitionBy("year").parquet(
         prices.live_path(root)
     )
@@ -98,8 +104,8 @@ def compact_prices(v: Views) -> DataFrame:
 def orphan_files(v: Views) -> DataFrame:
     """Staged files that a merge leaves behind, as their year folders."""
     root = work_folder(v.spark, "orphans")
-    prices.upsert_prices(v.spark, root, v.bars(), "first")
-    prices.upsert_prices(v.spark, root, v.corrections(), "second")
+    prices.upsert_prices(v.spark, root, _stored(v, v.bars(), "bars"), "first")
+    prices.upsert_prices(v.spark, root, _stored(v, v.corrections(), "corrections"), "second")
     later = maintenance.dt.datetime(2999, 1, 1)
     found = maintenance.orphan_files(v.spark, root, [prices.live_path(root)], later)
     return found.select(
