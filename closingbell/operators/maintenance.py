@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from closingbell.functions.dates import as_date
@@ -15,18 +16,24 @@ RETENTION_HOURS = 168
 PURGE_DAYS = 30
 
 
+FILES = "path string, bytes bigint, modified timestamp"
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """``(path, bytes, modified)`` of the data files under a folder, without reading them."""
-    return (
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select(
-            "path",
-            F.col("length").alias("bytes"),
-            F.col("modificationTime").alias("modified"),
-        )
+    )
+    try:
+        found = reader.load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], FILES)
+        raise
+    return found.select(
+        "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
     )
 
 
@@ -101,6 +108,21 @@ def orphan_files(
     )
 
 
+def remove_files(spark: SparkSession, files: DataFrame) -> int:
+    """Delete listed files through the cluster's file system; returns how many went.
+
+    The list is a stored table (a listing planned anew would change while files go), and it
+    reaches the driver one partition at a time.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for row in files.select("path").toLocalIterator():
+        path = hadoop.Path(row.path)
+        removed += bool(path.getFileSystem(settings).delete(path, False))
+    return removed
+
+
 def retention_purge(df: DataFrame, column: str, as_of, days: int = PURGE_DAYS) -> DataFrame:
     """Rows that stay: not older than ``days`` before midnight of the run's own date."""
     boundary = F.date_sub(as_date(as_of), days).cast("timestamp_ntz")

@@ -36,3 +36,75 @@ def write_version(df: DataFrame, root: str, table: str, version: int, now=None)
     # errorifexists would block the retry of a run that died half-way through this write
     schemas.conform(df, table, now).write.mode("overwrite").parquet(path)
     return path
+
+
+def replace_partitions(
+    spark: SparkSession, rows: DataFrame, path: str, stage: str, partition: str, values: list
+) -> None:
+    """Make ``rows`` the whole content of the given partitions of a table.
+
+    The rows are written to ``stage`` first, so they may be derived from the table itself
+    and a replacement that died half-way can be repeated. A dynamic overwrite only touches
+    partitions it has rows for; one that ends up empty is overwritten on its own.
+    """
+    rows.write.mode("overwrite").partitionBy(partition).parquet(stage)
+    staged = spark.read.schema(rows.schema).parquet(stage)
+    (
+        staged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+    # one value per replaced partition
+    filled = {row[0] for row in staged.select(partition).distinct().collect()}
+    for value in values:
+        if value not in filled:
+            empty = spark.createDataFrame([], rows.drop(partition).schema)
+            empty.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
+
+
+class Store:
+    """The stored tables of one installation and the version of each that counts.
+
+    A run writes new versions and hands the changed ``versions`` back to its caller, who
+    keeps them; a run that fails leaves the old ones valid.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, versions: dict[str, int] | None = None):
+        self.spark = spark
+        self.root = root
+        self.versions = dict.fromkeys(schemas.TABLES, 0) | (versions or {})
+
+    def read(self, table: str) -> DataFrame:
+        return read_version(self.spark, self.root, table, self.versions[table])
+
+    def write(self, table: str, df: DataFrame, now=None) -> DataFrame:
+        version = self.versions[table] + 1
+        write_version(df, self.root, table, version, now)
+        self.versions[table] = version
+        return self.read(table)
+
+    def keep(self, df: DataFrame, run_id: str, name: str) -> DataFrame:
+        """A run's intermediate result as a table: read several times, computed once."""
+        path = f"{self.root}/work/{run_id}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @property
+    def prices(self) -> str:
+        return f"{self.root}/prices"
+
+    @property
+    def flags(self) -> str:
+        return f"{self.root}/flags"
+
+    def read_flags(self) -> DataFrame:
+        return read_or_empty(self.spark, self.flags, schemas.TABLES["ohlcv_flag"])
+
+    def live_paths(self) -> list[str]:
+        """Folders that hold current data; everything else under the root is left over."""
+        return [f"{self.prices}/live", self.flags] + [
+            version_path(self.root, table, version)
+            for table, version in self.versions.items()
+            if version > 0
+        ]
