@@ -1,5 +1,5 @@
 from closingbell.functions.dates import candle_date, recent_years, session_year
-from closingbell.functions.text import normalise_symbol, shown, stable_id
+from closingbell.functions.text import normalise_symbol, shown, shown_number, stable_id
 from closingbell.functions.values import missing, not_positive, whole_volume
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "recent_years",
     "session_year",
     "shown",
+    "shown_number",
     "stable_id",
     "whole_volume",
 ]

@@ -20,3 +20,13 @@ def stable_id(kind: str, *keys: Column) -> Column:
 def shown(value: Column) -> Column:
     """A value inside a message; a null part must not turn the whole message into null."""
     return F.coalesce(value.cast("string"), F.lit("None"))
+
+
+def shown_number(value: Column) -> Column:
+    """A double in a message: digits in full where a plain reading is usual, so ten million
+    is ``10000000.0`` and not in powers of ten."""
+    plain = F.regexp_replace(
+        value.cast("string").cast("decimal(38,21)").cast("string"), r"(\.\d+?)0*$", "$1"
+    )
+    usual = (F.abs(value) >= 1e-4) & (F.abs(value) < 1e16)
+    return F.when(usual, plain).otherwise(shown(value))

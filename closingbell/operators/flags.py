@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -76,7 +77,11 @@ def flag_bars(
     backfill) belongs to ``flag_history``, where each bar gets its own baseline.
     """
     sessions = batch.groupBy("symbol").agg(F.min("date").alias("session"))
-    known = stats.prior_baseline(history, sessions)
+    # one row: between which dates the sessions lie
+    first, last = sessions.agg(F.min("session"), F.max("session")).first()
+    if first is None:
+        first = last = dt.date.max
+    known = stats.prior_baseline(history, sessions, first, last)
     if baseline is not None:
         stored = baseline.select("symbol", "rolling_sd", "rolling_avg_volume")
         known = known.select("symbol", "prev_close").join(stored, "symbol", "full_outer")

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from closingbell.functions import missing, not_positive, shown, whole_volume
+from closingbell.functions import not_positive, shown, shown_number, whole_volume
 from closingbell.operators.calendar import with_previous_session
 from closingbell.sources.payloads import FIELDS, parse_candles
 
@@ -87,10 +87,10 @@ def ohlc_gate() -> Column:
     dominated = reduce(lambda a, b: a & b, [high >= other for other in (open_, close, low)])
     return F.when(
         ~dominated,
-        _reject("ohlc", "VALIDATION", "high", symbol, *map(shown, (high, open_, close, low))),
+        _reject("ohlc", "VALIDATION", "high", symbol, *map(shown_number, (high, open_, close, low))),
     ).when(
         ~((low <= open_) & (low <= close)),
-        _reject("ohlc", "VALIDATION", "low", symbol, *map(shown, (low, open_, close))),
+        _reject("ohlc", "VALIDATION", "low", symbol, *map(shown_number, (low, open_, close))),
     )
 
 
@@ -139,8 +139,3 @@ def keep_last(df: DataFrame, keys: list[str], arrival: list[str]) -> DataFrame:
 def union_chunks(chunks: list[DataFrame]) -> DataFrame:
     """Results of separately gated chunks as one frame; columns are matched by name."""
     return reduce(lambda a, b: a.unionByName(b), chunks)
-
-
-__all__ = [
-    "accepted_bars", "gate_payloads", "keep_last", "missing", "rejections", "union_chunks",
-]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from concurrent.futures import ThreadPoolExecutor
+from itertools import batched
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -108,18 +110,23 @@ def orphan_files(
     )
 
 
-def remove_files(spark: SparkSession, files: DataFrame) -> int:
+def remove_files(spark: SparkSession, files: DataFrame, at_once: int = 32) -> int:
     """Delete listed files through the cluster's file system; returns how many went.
 
-    The list is a stored table (a listing planned anew would change while files go), and it
-    reaches the driver one partition at a time.
+    The list is a stored table (a listing planned anew would change while files go). It
+    reaches the driver a partition at a time; only file system calls are made there.
     """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     settings = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    for row in files.select("path").toLocalIterator():
+
+    def remove(row) -> bool:
         path = hadoop.Path(row.path)
-        removed += bool(path.getFileSystem(settings).delete(path, False))
+        return path.getFileSystem(settings).delete(path, False)
+
+    removed = 0
+    with ThreadPoolExecutor(at_once) as pool:
+        for some in batched(files.select("path").toLocalIterator(), 1000):
+            removed += sum(pool.map(remove, some))
     return removed
 
 

@@ -55,14 +55,17 @@ def recent_closes(
 ) -> DataFrame:
     """Newest ``(symbol, date, close, volume)`` rows within the current and previous year.
 
-    The year list reaches the scan as a partition filter; ``date`` alone would not.
+    The year list reaches the scan as a partition filter; ``date`` alone would not. A list
+    of symbols is applied to the few rows that are left, on the partitioning they have: a
+    long list joined before the limit would shuffle the whole two years.
     """
     rows = prices.filter(F.col("year").isin(recent_years(as_of)))
     if before is not None:
         rows = rows.filter(F.col("date") < as_date(before))
-    if symbols is not None:
-        rows = rows.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
-    return newest_bars(rows.select("symbol", "date", "close", "volume"), lookback)
+    newest = newest_bars(rows.select("symbol", "date", "close", "volume"), lookback)
+    if symbols is None:
+        return newest
+    return newest.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
 
 
 def rolling_stats(closes: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -104,14 +107,25 @@ def _baseline(newest: DataFrame, window: int, *also: Column) -> DataFrame:
     )
 
 
-def prior_baseline(history: DataFrame, sessions: DataFrame, window: int = WINDOW) -> DataFrame:
+def prior_baseline(
+    history: DataFrame, sessions: DataFrame, first, last, window: int = WINDOW
+) -> DataFrame:
     """What was known before each symbol's session: baselines and the previous close.
 
-    ``sessions`` has one ``(symbol, session)`` row per symbol. Baselines are null until the
-    symbol has enough closes; the previous close is the newest bar before the session.
+    ``sessions`` has one ``(symbol, session)`` row per symbol, all within ``first``..``last``.
+    Baselines are null until the symbol has enough closes; the previous close is the newest
+    bar before the session.
+
+    Of the bars before the last session, those not before the symbol's own are at most one
+    per day between first and last. So that many rows more than a baseline needs, taken
+    before the shuffle, are enough for every symbol, and the history is never shuffled whole.
     """
+    spare = (last - first).days
+    known = history.filter(F.col("date") < as_date(last)).select(
+        "symbol", "date", "close", "volume"
+    )
     prior = (
-        history.select("symbol", "date", "close", "volume")
+        newest_bars(known, window + 1 + spare)
         .join(sessions, "symbol")
         .filter(F.col("date") < F.col("session"))
         .drop("session")

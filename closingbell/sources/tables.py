@@ -47,7 +47,7 @@ def replace_partitions(
     and a replacement that died half-way can be repeated. A dynamic overwrite only touches
     partitions it has rows for; one that ends up empty is overwritten on its own.
     """
-    rows.write.mode("overwrite").partitionBy(partition).parquet(stage)
+    rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(stage)
     staged = spark.read.schema(rows.schema).parquet(stage)
     (
         staged.write.mode("overwrite")

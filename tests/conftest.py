@@ -17,6 +17,7 @@ def spark():
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -38,6 +38,8 @@ CASES = {
     "openThenLow": (200, data.body(data.candle(open=-2, low=0)), ("VALIDATION", "field 'open' missing or non-positive (got -2)")),
     "highLow": (200, data.body(data.candle(high=104)),
                 ("VALIDATION", "high 104.0 does not dominate open=100.0 close=105.0 low=99.0")),
+    "bigHigh": (200, data.body(data.candle(high=2, open=12345678.25, close=1e7)),
+                ("VALIDATION", "high 2.0 does not dominate open=12345678.25 close=10000000.0 low=99.0")),
     "lowHigh": (200, data.body(data.candle(low=101)),
                 ("VALIDATION", "low 101.0 does not undercut open=100.0 close=105.0")),
 }

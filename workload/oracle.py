@@ -460,14 +460,11 @@ SQL = {
         SELECT user_id AS value, count(*) AS rows FROM events
         WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY user_id""",
     "audit_required": """
-        SELECT o_orderkey, violation, count(*) AS rows FROM (
-            SELECT o_orderkey, 'l_suppkey is null' AS violation
-            FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey WHERE l_suppkey IS NULL
-            UNION ALL
-            SELECT o_orderkey, 'o_orderpriority is longer than 8'
-            FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
-            WHERE length(o_orderpriority) > 8)
-        GROUP BY o_orderkey, violation""",
+        SELECT o_orderkey, 'l_orderkey is null' AS violation FROM orders
+        WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+        UNION ALL
+        SELECT o_orderkey, 'o_orderpriority is longer than 8' FROM orders
+        WHERE length(o_orderpriority) > 8""",
     "retention_purge": """
         SELECT event_id, ts FROM events WHERE ts >= DATE '2024-02-15' - INTERVAL 30 DAY""",
     "compact_prices": f"""
