@@ -15,13 +15,12 @@ BATCH_SIZE = 100
 
 
 def imported_symbols(tickers: DataFrame) -> DataFrame:
-    """Distinct ``(universe, symbol)`` of a snapshot, tickers normalised.
+    """``(universe, symbol)`` of a snapshot, tickers normalised.
 
-    Two spellings of a ticker become one symbol; copies collapse before the shuffle.
+    Two spellings of a ticker become one symbol; the diff folds the copies in its own
+    grouping, so they cost no shuffle here.
     """
-    return tickers.select(
-        "universe", normalise_symbol(F.col("ticker")).alias("symbol")
-    ).distinct()
+    return tickers.select("universe", normalise_symbol(F.col("ticker")).alias("symbol"))
 
 
 def active_memberships(universe_membership: DataFrame) -> DataFrame:

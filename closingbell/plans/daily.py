@@ -92,7 +92,7 @@ def write_flags(store: Store, bars, members, run_id, as_of, now, limits=flags.Li
     sessions = [row.date for row in bars.select("date").distinct().collect()]
     if not sessions:
         return
-    stored = store.read_flags().filter(F.col("session_date").isin(sessions))
+    stored = store.read("ohlcv_flag").filter(F.col("session_date").isin(sessions))
     evaluated = universe.symbol_lookup(bars.select("symbol", "date"), members).select(
         "symbol_id", F.col("date").alias("session_date")
     )

@@ -7,7 +7,7 @@ on, and the folders it no longer names are found by ``operators.maintenance.orph
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from closingbell import schemas
@@ -49,35 +49,54 @@ def replace_partitions(
     """
     rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(stage)
     staged = spark.read.schema(rows.schema).parquet(stage)
+    stored = read_or_empty(spark, path, rows.schema).filter(F.col(partition).isin(values))
+    # values of the partition column: the caller's list bounds them
+    emptied = [
+        row[0]
+        for row in stored.select(partition)
+        .distinct()
+        .join(staged.select(partition).distinct(), partition, "left_anti")
+        .collect()
+    ]
     (
         staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
-    # one value per replaced partition
-    filled = {row[0] for row in staged.select(partition).distinct().collect()}
-    for value in values:
-        if value not in filled:
-            empty = spark.createDataFrame([], rows.drop(partition).schema)
-            empty.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
+    for value in emptied:
+        nothing = spark.createDataFrame([], rows.drop(partition).schema)
+        nothing.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
 
 
 class Store:
     """The stored tables of one installation and the version of each that counts.
 
     A run writes new versions and hands the changed ``versions`` back to its caller, who
-    keeps them; a run that fails leaves the old ones valid.
+    keeps them; a run that fails leaves the old ones valid. Prices and flags grow by session
+    and are replaced by slice instead; they have no version.
     """
 
+    VERSIONED = [name for name in schemas.TABLES if name != "ohlcv_flag"]
+
     def __init__(self, spark: SparkSession, root: str, versions: dict[str, int] | None = None):
         self.spark = spark
         self.root = root
-        self.versions = dict.fromkeys(schemas.TABLES, 0) | (versions or {})
+        self.versions = dict.fromkeys(self.VERSIONED, 0) | (versions or {})
 
     def read(self, table: str) -> DataFrame:
+        if table == "ohlcv_flag":
+            return read_or_empty(self.spark, self.flags, schemas.TABLES[table])
         return read_version(self.spark, self.root, table, self.versions[table])
 
+    def sql(self, query: str, **args) -> DataFrame:
+        """A query over the stored tables by name, its ``:name`` parameters bound."""
+        for table in schemas.TABLES:
+            self.read(table).createOrReplaceTempView(table)
+        prices = read_or_empty(self.spark, f"{self.prices}/live", schemas.PRICES)
+        prices.createOrReplaceTempView("prices")
+        return self.spark.sql(query, args=args)
+
     def write(self, table: str, df: DataFrame, now=None) -> DataFrame:
         version = self.versions[table] + 1
         write_version(df, self.root, table, version, now)
@@ -98,9 +117,6 @@ class Store:
     def flags(self) -> str:
         return f"{self.root}/flags"
 
-    def read_flags(self) -> DataFrame:
-        return read_or_empty(self.spark, self.flags, schemas.TABLES["ohlcv_flag"])
-
     def live_paths(self) -> list[str]:
         """Folders that hold current data; everything else under the root is left over."""
         return [f"{self.prices}/live", self.flags] + [

@@ -52,7 +52,7 @@ def run(store, i, close, broken=(), run_id=None):
 
 
 def flags(store):
-    return {(r.symbol_id, r.session_date): r.rules for r in store.read_flags().collect()}
+    return {(r.symbol_id, r.session_date): r.rules for r in store.read("ohlcv_flag").collect()}
 
 
 def test_sessions_end_to_end(store):
@@ -83,6 +83,15 @@ def test_sessions_end_to_end(store):
     assert log == {"w1": "SUCCESS", "w2": "SUCCESS", "d22": "PARTIAL", "d23": "SUCCESS", "d23-again": "SUCCESS"}
 
 
+def test_monitoring_queries(store):
+    newest = store.sql("SELECT id FROM pipeline_run ORDER BY started_at DESC, id DESC LIMIT 2")
+    assert [r.id for r in newest.collect()] == ["d23-again", "d23"]
+    one = store.sql("SELECT close FROM prices WHERE symbol = :symbol AND date = :day", symbol="A", day=session(22))
+    assert [r.close for r in one.collect()] == [100.0]
+    assert store.sql("SELECT * FROM failed_ingestion").count() == 0
+    assert store.sql("SELECT * FROM ohlcv_flag").count() == 0
+
+
 def test_failed_run_is_logged(store, monkeypatch):
     monkeypatch.setattr(daily.prices, "upsert_prices", lambda *a: (_ for _ in ()).throw(OSError("disk gone")))
     with pytest.raises(OSError):

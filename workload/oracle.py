@@ -217,6 +217,20 @@ VIEWS = {
         SELECT * FROM membership UNION ALL
         SELECT {_id('membership', 'symbol')}, symbol, {NOW}, {NOW}
         FROM (SELECT DISTINCT symbol FROM added WHERE symbol NOT IN (SELECT symbol FROM membership))""",
+    "relisted": f"""
+        SELECT {_id('universe_membership', 'm.id', 'universe', "'2001-12-31'")} AS id,
+               m.id AS membership_id, universe AS universe_id, {AS_OF} AS enter_date,
+               CAST(NULL AS DATE) AS exit_date, {NOW} AS created_at, {NOW} AS updated_at,
+               CAST(NULL AS VARCHAR) AS delisted_reason
+        FROM added a JOIN membership_after m ON a.symbol = m.symbol""",
+    "closed": f"""
+        SELECT um.id, um.membership_id, um.universe_id, um.enter_date,
+               CASE WHEN hit THEN {AS_OF} ELSE um.exit_date END AS exit_date, um.created_at,
+               CASE WHEN hit THEN {NOW} ELSE um.updated_at END AS updated_at, um.delisted_reason
+        FROM (SELECT u.*, u.exit_date IS NULL AND EXISTS (
+                  SELECT 1 FROM dropped d JOIN membership m ON d.symbol = m.symbol
+                  WHERE m.id = u.membership_id AND d.universe = u.universe_id) AS hit
+              FROM universe_membership u) um""",
     "dlq": f"""
         SELECT {_id('failed_ingestion', 'symbol_id')} AS id, symbol_id, raw_symbol, created_at,
                'HTTP_ERROR' AS failure, 'earlier' AS failure_error,
@@ -368,19 +382,13 @@ SQL = {
         SELECT universe, symbol, 'new' AS change FROM added
         UNION ALL SELECT universe, symbol, 'delisted' FROM dropped""",
     "membership_insert": "SELECT * FROM membership_after",
-    "relist_insert": f"""
-        SELECT * FROM universe_membership UNION ALL
-        SELECT {_id('universe_membership', 'm.id', 'universe', "'2001-12-31'")}, m.id, universe,
-               {AS_OF}, NULL, {NOW}, {NOW}, NULL
-        FROM added a JOIN membership_after m ON a.symbol = m.symbol""",
-    "close_membership": f"""
-        SELECT um.id, um.membership_id, um.universe_id, um.enter_date,
-               CASE WHEN hit THEN {AS_OF} ELSE um.exit_date END AS exit_date, um.created_at,
-               CASE WHEN hit THEN {NOW} ELSE um.updated_at END AS updated_at, um.delisted_reason
-        FROM (SELECT u.*, u.exit_date IS NULL AND EXISTS (
-                  SELECT 1 FROM dropped d JOIN membership m ON d.symbol = m.symbol
-                  WHERE m.id = u.membership_id AND d.universe = u.universe_id) AS hit
-              FROM universe_membership u) um""",
+    "relist_insert": "SELECT * FROM universe_membership UNION ALL SELECT * FROM relisted",
+    "close_membership": "SELECT * FROM closed",
+    "weekly_run": "SELECT * FROM closed UNION ALL SELECT * FROM relisted",
+    "daily_run": """
+        SELECT symbol, date, open, high, low, close, CAST(trunc(volume) AS BIGINT) AS volume,
+               CAST(year(date) AS INTEGER) AS year
+        FROM verdicts WHERE gate IS NULL""",
     "tickers_by_universe": _pages("tickers", "ticker"),
     "delisting_report": f"""
         SELECT i.universe, coalesce(c.n, 0) AS delisted, coalesce(p.page, 0) AS page,

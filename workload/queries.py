@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from closingbell.operators import audit, calendar, failures, flags, gates, keyed, maintenance
 from closingbell.operators import runs as run_log
 from closingbell.operators import stats, universe
+from closingbell.plans import daily, weekly
 from closingbell.session import work_folder
 from closingbell.sources import prices, tickers
 from closingbell.sources.payloads import FIELDS, parse_candles
+from closingbell.sources.tables import Store
 from workload.views import AS_OF, NOW, RUN_ID, Views
 
 # The default volume multiple never trips on the given tables, so the flag queries pass a
@@ -291,6 +293,30 @@ def latest_runs(v: Views) -> DataFrame:
     return run_log.latest_runs(v.runs())
 
 
+def daily_run(v: Views) -> DataFrame:
+    """A whole run over the landed payloads; the price store as it leaves it."""
+    store = _listed_store(v, "daily")
+    daily.run_daily(store, _stored(v, v.landing(), "landing"), v.calendar(), RUN_ID, AS_OF, NOW)
+    return prices.read_prices(v.spark, store.prices)
+
+
+def weekly_run(v: Views) -> DataFrame:
+    """A snapshot applied to the stored universes; the membership history it leaves."""
+    store = _listed_store(v, "weekly")
+    snapshot = work_folder(v.spark, "snapshot")
+    v.tickers().write.option("header", True).csv(snapshot)
+    weekly.run_weekly(store, snapshot, RUN_ID, AS_OF, NOW)
+    return store.read("universe_membership")
+
+
+def _listed_store(v: Views, name: str) -> Store:
+    store = Store(v.spark, work_folder(v.spark, name))
+    store.write("universe", v.universe())
+    store.write("membership", v.membership())
+    store.write("universe_membership", v.universe_membership())
+    return store
+
+
 # -- audits and upkeep -----------------------------------------------------------------
 
 
@@ -368,6 +394,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "run_status": run_status,
     "run_failed": run_failed,
     "latest_runs": latest_runs,
+    "daily_run": daily_run,
+    "weekly_run": weekly_run,
     "audit_unique": audit_unique,
     "audit_active_unique": audit_active_unique,
     "audit_values": audit_values,
