@@ -85,24 +85,32 @@ def _ingest(store, landing, calendar, run_id, as_of, now, limits) -> DataFrame:
 
 
 def write_flags(store: Store, bars, members, run_id, as_of, now, limits=flags.Limits()) -> None:
-    """Replace the flags of the batch's sessions and symbols with the current evaluation."""
+    """Replace the flags of the batch's sessions and symbols with the current evaluation.
+
+    A batch is one session as a rule. One that spans several rewrites the sessions between
+    its first and last; those it has no bar for come out as they were.
+    """
+    first, last = bars.agg(F.min("date"), F.max("date")).first()
+    if first is None:
+        return
     history = prices.read_prices(store.spark, store.prices, recent_years(as_of))
     rows = flags.flag_rows(flags.flag_bars(bars, history, limits), members, run_id, now)
-    # one date per session of the batch
-    sessions = [row.date for row in bars.select("date").distinct().collect()]
-    if not sessions:
-        return
-    stored = store.read("ohlcv_flag").filter(F.col("session_date").isin(sessions))
+    spanned = F.col("session_date").between(first, last)
     evaluated = universe.symbol_lookup(bars.select("symbol", "date"), members).select(
         "symbol_id", F.col("date").alias("session_date")
     )
     replace_partitions(
         store.spark,
-        keyed.replace_slice(stored, evaluated, rows, schemas.UNIQUE_KEYS["ohlcv_flag"]),
+        keyed.replace_slice(
+            store.read("ohlcv_flag").filter(spanned),
+            evaluated,
+            rows,
+            schemas.UNIQUE_KEYS["ohlcv_flag"],
+        ),
         store.flags,
         f"{store.root}/work/{run_id}/flags",
         "session_date",
-        sessions,
+        spanned,
     )
 
 

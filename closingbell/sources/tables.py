@@ -7,7 +7,7 @@ on, and the folders it no longer names are found by ``operators.maintenance.orph
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from closingbell import schemas
@@ -39,9 +39,9 @@ def write_version(df: DataFrame, root: str, table: str, version: int, now=None)
 
 
 def replace_partitions(
-    spark: SparkSession, rows: DataFrame, path: str, stage: str, partition: str, values: list
+    spark: SparkSession, rows: DataFrame, path: str, stage: str, partition: str, replaced: Column
 ) -> None:
-    """Make ``rows`` the whole content of the given partitions of a table.
+    """Make ``rows`` the whole content of the partitions that meet ``replaced``.
 
     The rows are written to ``stage`` first, so they may be derived from the table itself
     and a replacement that died half-way can be repeated. A dynamic overwrite only touches
@@ -49,8 +49,8 @@ def replace_partitions(
     """
     rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(stage)
     staged = spark.read.schema(rows.schema).parquet(stage)
-    stored = read_or_empty(spark, path, rows.schema).filter(F.col(partition).isin(values))
-    # values of the partition column: the caller's list bounds them
+    stored = read_or_empty(spark, path, rows.schema).filter(replaced)
+    # at most one row per replaced partition
     emptied = [
         row[0]
         for row in stored.select(partition)
