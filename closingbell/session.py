@@ -37,7 +37,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
     Only a session that names no such folder (a local test) gets a temporary one.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         root = tempfile.mkdtemp(prefix="closingbell-")
         spark.sparkContext.setCheckpointDir(root)

@@ -44,9 +44,8 @@ def _bag(columns, rows) -> tuple[list[str], Counter]:
     )
 
 
-def mismatch(spark, con, sf_dir: str, query, sql: str) -> str | None:
+def mismatch(con, result, sql: str) -> str | None:
     """None when both sides agree; else what differs."""
-    result = query(spark, sf_dir)
     spark_columns, spark_rows = _bag(result.columns, [tuple(r) for r in result.collect()])
     cursor = con.execute(sql)
     sql_columns, sql_rows = _bag([d[0] for d in cursor.description], cursor.fetchall())
@@ -83,7 +82,7 @@ def main() -> None:
             continue
         began = time.time()
         try:
-            found = mismatch(spark, con, sf_dir, query, statements[name])
+            found = mismatch(con, query(spark, sf_dir), statements[name])
         except Exception as error:  # report and go on with the next query
             found = f"{type(error).__name__}: {str(error)[:700]}"
         print(f"{name:22s} {time.time() - began:6.2f}s {'ok' if found is None else found}", flush=True)

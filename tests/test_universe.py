@@ -84,7 +84,7 @@ def test_known_member_is_not_inserted_again(spark):
 pairs = st.lists(st.tuples(st.sampled_from(["A", "B.", "B-", "C", "D"]), st.sampled_from(["u1", "u2"])), max_size=6)
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(first=pairs, second=pairs)
 def test_applying_a_diff_makes_active_equal_import(spark, first, second):
     history, members = data.empty(spark, "universe_membership"), data.empty(spark, "membership")
