@@ -88,6 +88,14 @@ def flag_bars(
     return annotate(batch.join(known, "symbol", "left"), limits)
 
 
+def stored_baselines(volatility: DataFrame, membership: DataFrame) -> DataFrame:
+    """Stored baselines by symbol, as ``flag_bars`` takes them."""
+    ids = membership.select(F.col("id").alias("symbol_id"), "symbol")
+    return volatility.join(ids, "symbol_id").select(
+        "symbol", "rolling_sd", "rolling_avg_volume"
+    )
+
+
 def flag_history(bars: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Every bar of a whole history against the sessions before it."""
     return annotate(stats.point_in_time(bars), limits)

@@ -16,6 +16,7 @@ def run_upkeep(
     as_of: dt.datetime,
     retention_hours: int = maintenance.RETENTION_HOURS,
     dry_run: bool = True,
+    allow_short: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Compaction figures per year, and the left-over files past the retention.
 
@@ -25,7 +26,7 @@ def run_upkeep(
     packed = maintenance.compact_prices(store.spark, store.prices, run_id)
     found = store.keep(
         maintenance.orphan_files(
-            store.spark, store.root, store.live_paths(), as_of, retention_hours
+            store.spark, store.root, store.live_paths(), as_of, retention_hours, allow_short
         ),
         run_id,
         "orphans",

@@ -174,6 +174,15 @@ VIEWS = {
     "newest": """
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS nth
                        FROM measured) WHERE nth = 1""",
+    "newest_events": """
+        SELECT e.symbol, date, open, close, volume, prev_close,
+               CASE WHEN m.id IS NOT NULL THEN 0.5 END AS rolling_sd,
+               CASE WHEN m.id IS NOT NULL THEN CAST(length(e.symbol) AS DOUBLE) END
+                   AS rolling_avg_volume
+        FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS prev_close,
+                     row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS nth
+              FROM event_bars) e
+        LEFT JOIN membership m ON m.symbol = e.symbol WHERE nth = 1""",
     "places": """
         SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "tickers": """
@@ -348,6 +357,7 @@ SQL = {
     "price_upsert": f"SELECT {_BAR} FROM merged",
     "price_store": f"SELECT {_BAR}, CAST(year(date) AS INTEGER) AS year FROM merged",
     "flag_bars": f"SELECT {_FLAGGED} FROM ({_annotated('newest', 2.0, 1.5, 2.0)})",
+    "flag_bars_stored": f"SELECT {_FLAGGED} FROM ({_annotated('newest_events', 2.0, 1.5, 2.0)})",
     "flag_history": f"SELECT {_FLAGGED} FROM ({_annotated('measured', 5.0, 3.0, 3.0)})",
     "flag_summary": f"""
         SELECT date, count(*) AS bars, count(*) FILTER (rules <> '') AS flagged,

@@ -125,6 +125,13 @@ def flag_bars(v: Views) -> DataFrame:
     return _shown_flags(flags.flag_bars(stats.newest_bars(bars, 1), bars, TIGHT))
 
 
+def flag_bars_stored(v: Views) -> DataFrame:
+    """Every user's newest bar against the stored baselines of the listed symbols."""
+    bars = v.event_bars()
+    baseline = flags.stored_baselines(v.volatility(), v.membership())
+    return _shown_flags(flags.flag_bars(stats.newest_bars(bars, 1), bars, TIGHT, baseline))
+
+
 def flag_history(v: Views) -> DataFrame:
     return _shown_flags(flags.flag_history(v.bars(), LIMITS))
 
@@ -365,6 +372,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "price_upsert": price_upsert,
     "price_store": price_store,
     "flag_bars": flag_bars,
+    "flag_bars_stored": flag_bars_stored,
     "flag_history": flag_history,
     "flag_summary": flag_summary,
     "flag_replace": flag_replace,
