@@ -17,6 +17,7 @@ from closingbell.session import setting
 from closingbell.sources.tables import read_or_empty
 
 KEY = ["symbol", "date"]
+VALUES = ["open", "high", "low", "close", "volume"]
 
 # Fixed value: size of a compacted file.
 TARGET_BYTES = 256 * 1024 * 1024
@@ -100,9 +101,10 @@ def upsert_prices(spark: SparkSession, root: str, batch: DataFrame, run_id: str)
     """Merge a batch into the table; returns the number of bars in it.
 
     A daily batch seldom meets a stored bar: then it is appended and nothing is rewritten.
-    Years that do hold a matching bar are rewritten through the stage, the others are not
-    read beyond the key check. Running the same batch again changes nothing. The batch is
-    read three times, so a batch that is costly to derive should be a stored one.
+    A batch that comes again as it was (a retried run) finds its bars stored and only adds
+    those that are missing. Years in which a stored bar changes are rewritten through the
+    stage. The batch is read three times, so one that is costly to derive should be a
+    stored one.
     """
     incoming = with_year(batch)
     # one row per year of the batch here and below: bounded by the calendar
@@ -133,23 +135,34 @@ def upsert_prices(spark: SparkSession, root: str, batch: DataFrame, run_id: str)
             min(span.first for span in spans.values()), max(span.last for span in spans.values())
         )
     )
-    matched = {
-        row.year: row.bars
-        for row in reached.select("year", *KEY)
-        .join(incoming.select(*KEY), KEY, "left_semi")
-        .groupBy("year")
-        .agg(F.count("*").alias("bars"))
-        .collect()
-    }
-    if matched:
-        target = read_prices(spark, root, list(matched))
-        changes = incoming.filter(F.col("year").isin(list(matched)))
-        expected = target.count() + sum(spans[y].bars - n for y, n in matched.items())
+    found = {row.year: row for row in _meeting(incoming, reached).collect()}
+    changed = [year for year, row in found.items() if row.changed]
+    if changed:
+        target = read_prices(spark, root, changed)
+        changes = incoming.filter(F.col("year").isin(changed))
+        expected = target.count() + sum(found[year].absent for year in changed)
         stage(spark, root, run_id, _balanced(merge_bars(target, changes)), expected)
         publish(spark, root, run_id)
-    fresh = [year for year in spans if year not in matched]
-    if fresh:
-        _save(
-            _balanced(incoming.filter(F.col("year").isin(fresh))), live_path(root), "append"
-        )
+    grown = [year for year, row in found.items() if row.absent and not row.changed]
+    if grown:
+        fresh = incoming.filter(F.col("year").isin(grown))
+        if any(found[year].absent < spans[year].bars for year in grown):
+            fresh = keyed.delete_matching(fresh, reached, KEY)
+        _save(_balanced(fresh), live_path(root), "append")
     return total
+
+
+def _meeting(incoming: DataFrame, reached: DataFrame) -> DataFrame:
+    """Per year, how many bars of a batch are not stored yet and how many differ."""
+    stored = reached.select(
+        F.col("year").alias("__year"), *KEY, F.struct(*VALUES).alias("__stored")
+    )
+    same = F.struct(*VALUES).eqNullSafe(F.col("__stored"))
+    return (
+        incoming.join(stored, KEY, "left")
+        .groupBy("year")
+        .agg(
+            F.count_if(F.col("__year").isNull()).alias("absent"),
+            F.count_if(F.col("__year").isNotNull() & ~same).alias("changed"),
+        )
+    )

@@ -67,6 +67,20 @@ def test_new_session_is_appended(spark, tmp_path):
     assert set(before) < set(files(root)) and not files(root, "stage")
 
 
+def test_retried_batch_rewrites_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 2.0)), "r1")
+    before = files(root)
+    # the first attempt died before B was stored
+    batch = frame(spark, bar("A", D24, 2.0), bar("B", D24, 3.0))
+    assert prices.upsert_prices(spark, root, batch, "r2") == 2
+    after = files(root)
+    assert set(before) < set(after) and not files(root, "stage")
+    assert table(spark, root) == [("A", D24, 2.0), ("B", D24, 3.0)]
+    assert prices.upsert_prices(spark, root, batch, "r3") == 2
+    assert files(root) == after
+
+
 def test_duplicate_batch_is_refused(spark, tmp_path):
     batch = frame(spark, bar("A", D24, 2.0), bar("A", D24, 3.0))
     with pytest.raises(keyed.DuplicateKeys):
