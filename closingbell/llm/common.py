@@ -215,6 +215,60 @@ def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
     return np.cumsum((opened - closed)[:-1]) > 0
 
 
+# -- pairs of 64-bit values, such as a gram's hash and that of a context around it --------
+
+
+def least(key: np.ndarray, sub: np.ndarray, doc: np.ndarray):
+    """The distinct (key, sub), sorted, each with its smallest doc."""
+    order = np.lexsort((doc, sub, key))
+    key, sub, doc = key[order], sub[order], doc[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])
+    return key[new], sub[new], doc[new]
+
+
+def merged(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    return [np.concatenate(column) for column in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 3
+
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]):
+    for batch in batches:
+        if batch.num_rows:
+            yield [batch[name].to_numpy() for name in names]
+
+
+def _pair(key: np.ndarray, sub: np.ndarray) -> np.ndarray:
+    """One value for a pair, to look it up; the pair itself is compared afterwards."""
+    return mix(key.view(np.uint64) * np.uint64(3) + sub.view(np.uint64))
+
+
+class Lookup:
+    """The smallest doc known for each (key, sub)."""
+
+    def __init__(self, key: np.ndarray, sub: np.ndarray, doc: np.ndarray):
+        key, sub, doc = least(key.astype(np.int64), sub.astype(np.int64), doc.astype(np.int64))
+        pair = _pair(key, sub)
+        order = np.argsort(pair)
+        self.pair, self.key, self.sub, self.doc = pair[order], key[order], sub[order], doc[order]
+
+    def __call__(self, key: np.ndarray, sub: np.ndarray) -> np.ndarray:
+        if not len(self.pair):
+            return np.full(len(key), NO_ID)
+        pair = _pair(key, sub)
+        at = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
+        same = (self.key[at] == key) & (self.sub[at] == sub)
+        return np.where(same, self.doc[at], NO_ID)
+
+
+
+def known(lookup: Lookup, key: np.ndarray, sub: np.ndarray) -> np.ndarray:
+    if not len(lookup.pair):
+        return np.zeros(len(key), bool)
+    pair = _pair(key, sub)
+    at = np.minimum(np.searchsorted(lookup.pair, pair), len(lookup.pair) - 1)
+    return (lookup.key[at] == key) & (lookup.sub[at] == sub)
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the session's Python workers, once per application."""
     context = spark.sparkContext

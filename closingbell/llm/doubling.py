@@ -55,39 +55,20 @@ def _slices(table: pa.Table, gram: int, window: int) -> Iterator[_Slice]:
         yield _Slice(table["text"], ids, lo, hi, data, offsets, gram, window)
 
 
-def _least(key: np.ndarray, sub: np.ndarray, doc: np.ndarray):
-    """The distinct (key, sub), sorted, each with its smallest doc."""
-    order = np.lexsort((doc, sub, key))
-    key, sub, doc = key[order], sub[order], doc[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])
-    return key[new], sub[new], doc[new]
-
-
-def _merged(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
-    return [np.concatenate(column) for column in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 3
-
-
 def _ctx_rows(gram: int, window: int):
     def found(table: pa.Table) -> pa.Table:
-        parts = [_least(s.key, s.ctx, s.doc) for s in _slices(table, gram, window)]
-        return pa.table(dict(zip(("key", "ctx", "doc_id"), _least(*_merged(parts)))))
+        parts = [common.least(s.key, s.ctx, s.doc) for s in _slices(table, gram, window)]
+        return pa.table(dict(zip(("key", "ctx", "doc_id"), common.least(*common.merged(parts)))))
 
     return found
 
 
-def _sorted_runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]):
-    for batch in batches:
-        if batch.num_rows:
-            yield [batch[name].to_numpy() for name in names]
-
-
 def _judge_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key, ctx, doc. A later row of a context is certified by the first; the first
     itself, where its key has other contexts, is asked for its single windows. One row is kept
     between batches, however long a run is."""
     held = None  # the last context's first row, and whether it may be the only one of its key
-    for key, ctx, doc in _sorted_runs(batches, ("key", "ctx", "doc_id")):
+    for key, ctx, doc in common.sorted_runs(batches, ("key", "ctx", "doc_id")):
         if held is not None:
             key, ctx, doc = (np.concatenate([[h], x]) for h, x in zip(held[0], (key, ctx, doc)))
         new_key, head = np.ones(len(key), bool), np.ones(len(key), bool)
@@ -119,38 +100,6 @@ def _requested(table: pa.Table, kind: int) -> tuple[np.ndarray, ...]:
     return tuple(table[name].to_numpy()[mine] for name in ("key", "sub", "first"))
 
 
-def _pair(key: np.ndarray, sub: np.ndarray) -> np.ndarray:
-    """One value for a pair, to look it up; the pair itself is compared afterwards."""
-    return common.mix(key.view(np.uint64) * np.uint64(3) + sub.view(np.uint64))
-
-
-class _Lookup:
-    """The smallest doc known for each (key, sub)."""
-
-    def __init__(self, key: np.ndarray, sub: np.ndarray, doc: np.ndarray):
-        key, sub, doc = _least(key.astype(np.int64), sub.astype(np.int64), doc.astype(np.int64))
-        pair = _pair(key, sub)
-        order = np.argsort(pair)
-        self.pair, self.key, self.sub, self.doc = pair[order], key[order], sub[order], doc[order]
-
-    def __call__(self, key: np.ndarray, sub: np.ndarray) -> np.ndarray:
-        if not len(self.pair):
-            return np.full(len(key), common.NO_ID)
-        pair = _pair(key, sub)
-        at = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
-        same = (self.key[at] == key) & (self.sub[at] == sub)
-        return np.where(same, self.doc[at], common.NO_ID)
-
-
-
-def _known(lookup: _Lookup, key: np.ndarray, sub: np.ndarray) -> np.ndarray:
-    if not len(lookup.pair):
-        return np.zeros(len(key), bool)
-    pair = _pair(key, sub)
-    at = np.minimum(np.searchsorted(lookup.pair, pair), len(lookup.pair) - 1)
-    return (lookup.key[at] == key) & (lookup.sub[at] == sub)
-
-
 def _single_windows(s: _Slice, pick: np.ndarray):
     """Key, hash and doc of each window of the picked contexts, with the window's start."""
     start, owner = common.ranges(s.first[pick], s.last[pick])
@@ -160,14 +109,14 @@ def _single_windows(s: _Slice, pick: np.ndarray):
 
 def _window_rows(gram: int, window: int):
     def found(table: pa.Table, answers: pa.Table) -> pa.Table:
-        asked = _Lookup(*_requested(answers, REQUEST))
+        asked = common.Lookup(*_requested(answers, REQUEST))
         parts = []
         if table.num_rows and len(asked.pair):
             for s in _slices(table, gram, window):
                 pick = np.flatnonzero(asked(s.key, s.ctx) == s.doc) if len(s.key) else np.zeros(0, int)
-                pick = pick[_known(asked, s.key[pick], s.ctx[pick])]
-                parts.append(_least(*_single_windows(s, pick)[:3]))
-        return pa.table(dict(zip(("key", "ctx", "doc_id"), _least(*_merged(parts)))))
+                pick = pick[common.known(asked, s.key[pick], s.ctx[pick])]
+                parts.append(common.least(*_single_windows(s, pick)[:3]))
+        return pa.table(dict(zip(("key", "ctx", "doc_id"), common.least(*common.merged(parts)))))
 
     return found
 
@@ -175,7 +124,7 @@ def _window_rows(gram: int, window: int):
 def _judge_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key, ctx, doc: each later row of a window hears of the first."""
     held = None
-    for key, ctx, doc in _sorted_runs(batches, ("key", "ctx", "doc_id")):
+    for key, ctx, doc in common.sorted_runs(batches, ("key", "ctx", "doc_id")):
         if held is not None:
             key, ctx, doc = (np.concatenate([[h], x]) for h, x in zip(held, (key, ctx, doc)))
         head = np.ones(len(key), bool)
@@ -197,21 +146,21 @@ def _removed(gram: int, window: int):
         if not table.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()),
                              "n_removed": pa.array([], pa.int64()), "kept_sha256": pa.array([], pa.string())})
-        parts = [_least(s.key, s.ctx, s.doc) for s in _slices(table, gram, window)]
+        parts = [common.least(s.key, s.ctx, s.doc) for s in _slices(table, gram, window)]
         certified = _requested(answers, CERTIFIED)
-        contexts = _Lookup(*_merged([*parts, certified]))
-        asked = _Lookup(*_requested(answers, REQUEST))
+        contexts = common.Lookup(*common.merged([*parts, certified]))
+        asked = common.Lookup(*_requested(answers, REQUEST))
         parts = [_requested(answers, SINGLE)]
         if len(asked.pair):
             for s in _slices(table, gram, window):
-                pick = np.flatnonzero(_known(asked, s.key, s.ctx) & (contexts(s.key, s.ctx) >= s.doc))
-                parts.append(_least(*_single_windows(s, pick)[:3]))
-        singles = _Lookup(*_merged(parts))
+                pick = np.flatnonzero(common.known(asked, s.key, s.ctx) & (contexts(s.key, s.ctx) >= s.doc))
+                parts.append(common.least(*_single_windows(s, pick)[:3]))
+        singles = common.Lookup(*common.merged(parts))
         for s in _slices(table, gram, window):
             later = contexts(s.key, s.ctx) < s.doc
             hit = [common.ranges(s.first[later], s.last[later])[0]]
             if len(asked.pair):
-                pick = np.flatnonzero(~later & _known(asked, s.key, s.ctx))
+                pick = np.flatnonzero(~later & common.known(asked, s.key, s.ctx))
                 key, sub, doc, start = _single_windows(s, pick)
                 hit.append(start[singles(key, sub) < doc])
             gone = common.covered(len(s.row), np.concatenate(hit), window)

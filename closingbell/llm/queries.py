@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from closingbell.llm import doubling
+from closingbell.llm import doubling, rlbwt
 from closingbell.llm.common import read, ship
 
 
+def op5_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlbwt.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op7_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.remove_repeats(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     query.__name__: query
-    for query in (op7_level_doubling,)
+    for query in (op5_run_length_index, op7_level_doubling)
 }
 
 
