@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from closingbell.llm import doubling, rlbwt
+from closingbell.llm import bktree, doubling, rlbwt
 from closingbell.llm.common import read, ship
 
 
@@ -18,9 +18,13 @@ def op7_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bktree.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op5_run_length_index, op7_level_doubling)
+    for query in (op5_run_length_index, op7_level_doubling, op10_simhash_bktree)
 }
 
 
