@@ -22,7 +22,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
 FROM kept
 """
 
-SQL = {"op7_level_doubling": OP7}
+TEXT_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+SHINGLES = """list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 3, 2)) IF len(w) > 0])"""
+
+OP8 = rf"""
+WITH d AS (SELECT doc_id, unnest({SHINGLES}) AS s FROM (SELECT doc_id, {TEXT_WORDS} AS w FROM documents)),
+b AS (SELECT item_id, {SHINGLES} AS all_s FROM (SELECT item_id, {TEXT_WORDS} AS w FROM benchmark)),
+q AS (SELECT item_id, len(all_s) AS shingles, unnest(all_s) AS s FROM b)
+SELECT doc_id, item_id, count(*) AS shared, shingles
+FROM d JOIN q USING (s) GROUP BY doc_id, item_id, shingles HAVING count(*) >= 0.8 * shingles
+"""
+
+SQL = {"op7_level_doubling": OP7, "op8_minhash_containment": OP8}
 
 
 def statements() -> dict[str, str]:

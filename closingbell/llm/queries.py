@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closingbell.llm import bktree, doubling, rlbwt
+from closingbell.llm import bktree, containment, doubling, line_chunks, rlbwt
 from closingbell.llm.common import read, ship
 
 
+def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = line_chunks.mark_lines(read(spark, sf_dir, "documents"))
+    return marked.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlbwt.remove_repeats(read(spark, sf_dir, "documents"))
 
@@ -18,13 +23,24 @@ def op7_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that contains a benchmark item, with the item."""
+    return containment.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bktree.near_duplicates(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     query.__name__: query
-    for query in (op5_run_length_index, op7_level_doubling, op10_simhash_bktree)
+    for query in (
+        op3_line_chunks,
+        op5_run_length_index,
+        op7_level_doubling,
+        op8_minhash_containment,
+        op10_simhash_bktree,
+    )
 }
 
 
