@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closingbell.llm import bktree, containment, doubling, line_chunks, rlbwt
+from closingbell.llm import bktree, containment, doubling, line_chunks, rlbwt, toxicity
 from closingbell.llm.common import read, ship
 
 
@@ -19,6 +19,10 @@ def op5_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlbwt.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op6_levenshtein_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.remove_repeats(read(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES = {
     for query in (
         op3_line_chunks,
         op5_run_length_index,
+        op6_levenshtein_lexicon,
         op7_level_doubling,
         op8_minhash_containment,
         op10_simhash_bktree,
