@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closingbell.llm import bktree, containment, doubling, line_chunks, rlbwt, toxicity
+from closingbell.llm import bktree, containment, doubling, line_chunks, repair, rlbwt, shared_viterbi, toxicity
 from closingbell.llm.common import read, ship
 
 
+def op2_repair_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.written_digests(read(spark, sf_dir, "documents"))
+
+
 def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = line_chunks.mark_lines(read(spark, sf_dir, "documents"))
     return marked.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -32,6 +36,17 @@ def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op9_shared_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = shared_viterbi.decode(shared_viterbi.encode(read(spark, sf_dir, "documents").select("doc_id", "text")))
+    return decoded.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids_crc32",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bktree.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -39,11 +54,13 @@ def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
+        op2_repair_grammar,
         op3_line_chunks,
         op5_run_length_index,
         op6_levenshtein_lexicon,
         op7_level_doubling,
         op8_minhash_containment,
+        op9_shared_prefix_viterbi,
         op10_simhash_bktree,
     )
 }
