@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closingbell.llm import bktree, containment, doubling, line_chunks, repair, rlbwt, shared_viterbi, toxicity
+from closingbell.llm import bktree, containment, digest, doubling, line_chunks, repair, rlbwt, shared_viterbi, toxicity
 from closingbell.llm.common import read, ship
 
 
+def op1_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.compare_edited(read(spark, sf_dir, "documents"))
+
+
 def op2_repair_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.written_digests(read(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_improbable_features,
         op2_repair_grammar,
         op3_line_chunks,
         op5_run_length_index,
