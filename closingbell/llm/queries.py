@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closingbell.llm import bktree, containment, digest, doubling, line_chunks, repair, rlbwt, shared_viterbi, toxicity
+from closingbell.llm import bktree, containment, digest, doubling, entropy_difference, line_chunks, repair, rlbwt, shared_viterbi, toxicity
 from closingbell.llm.common import read, ship
 
 
@@ -23,6 +23,12 @@ def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = entropy_difference.score(docs, read(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", "n_tokens", "target_loss", "background_loss", "difference")
+
+
 def op5_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlbwt.remove_repeats(read(spark, sf_dir, "documents"))
 
@@ -61,6 +67,7 @@ QUERIES = {
         op1_improbable_features,
         op2_repair_grammar,
         op3_line_chunks,
+        op4_entropy_difference,
         op5_run_length_index,
         op6_levenshtein_lexicon,
         op7_level_doubling,
