@@ -60,13 +60,25 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def _prints(batch: pa.RecordBatch, shingle: int) -> np.ndarray:
+    data, offsets = common.text_bytes(batch["text"])
+    raw, at = memoryview(data), offsets.tolist()
+    return np.array([simhash(bytes(raw[a:b]), shingle) for a, b in zip(at, at[1:])], np.uint64).view(np.int64)
+
+
 def _fingerprints(shingle: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = common.text_bytes(batch["text"])
-            raw, at = data.tobytes(), offsets.tolist()
-            prints = np.array([simhash(raw[a:b], shingle) for a, b in zip(at, at[1:])], np.uint64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "print": prints.view(np.int64)})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "print": _prints(batch, shingle)})
+
+    return found
+
+
+def _printed_rows(shingle: int):
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {"doc_id": batch["doc_id"], "print": _prints(batch, shingle), "row": batch["row"]}
+            yield pa.RecordBatch.from_pydict(columns)
 
     return found
 
@@ -235,6 +247,16 @@ def near_links(prints: DataFrame, radius: int, shard_size: int = SHARD_SIZE) ->
     return block.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_links(radius), "a long, b long")
 
 
+def _grouped(docs: DataFrame, shingle: int, radius: int, shard_size: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, print) of every row, and the distinct prints with first (doc_id) and root."""
+    printed = common.texts(docs).mapInArrow(_fingerprints(shingle), "doc_id long, print long")
+    printed = common.stored(printed, "simhash-prints")
+    prints = printed.groupBy("print").agg(F.min("doc_id").alias("first"))
+    linked = components(near_links(prints.select("print"), radius, shard_size), "simhash-links")
+    rooted = prints.join(linked, prints["print"] == linked["node"], "left")
+    return printed, rooted.select("print", "first", F.coalesce("root", "print").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_size: int = SHARD_SIZE) -> DataFrame:
     """SimHash and near-duplicate component of every document.
 
@@ -244,15 +266,32 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     or empty one has fingerprint zero and is linked like any other. A null doc_id stays null and
     counts for a component only if it has no other. Columns other than doc_id and text are ignored.
     """
-    printed = common.texts(docs).mapInArrow(_fingerprints(shingle), "doc_id long, print long")
-    printed = common.stored(printed, "simhash-prints")
-    prints = printed.groupBy("print").agg(F.min("doc_id").alias("first"))
-    linked = components(near_links(prints.select("print"), radius, shard_size), "simhash-links")
-    rooted = prints.join(linked, prints["print"] == linked["node"], "left").select(
-        "print", "first", F.coalesce("root", "print").alias("root")
-    )
+    printed, rooted = _grouped(docs, shingle, radius, shard_size)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("print", "component_id")
     return printed.join(named, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_size: int = SHARD_SIZE) -> DataFrame:
+    """One row of each near-duplicate component, with all columns of ``docs``.
+
+    The row with the smallest doc_id stays; of rows that share it the one with the smallest
+    fingerprint, and of equal ones any. Null ids stand behind all others.
+    """
+    printed, rooted = _grouped(docs, shingle, radius, shard_size)
+    own = F.coalesce("doc_id", F.lit(int(common.NO_ID)))
+    counted = printed.groupBy(own.alias("id"), "print").agg(F.count("*").alias("n"))
+    best = counted.join(rooted, "print").groupBy("root").agg(F.min(F.struct("id", "print", "n")).alias("best"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+    )
+    kind = rows.schema["row"].dataType.simpleString()
+    rows = rows.mapInArrow(_printed_rows(shingle), f"doc_id long, print long, row {kind}").select(own.alias("id"), "print", "row")
+    kept = rows.join(best.select("best.*"), ["id", "print"])
+    lone = kept.filter("n = 1").select("row")
+    repeated = kept.filter("n > 1").dropDuplicates(["id", "print"]).select("row")
+    return lone.union(repeated).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
