@@ -193,7 +193,12 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, le
         rank[maybe[same] + 1] = order[by_value[place[same]]]
         mine = rank[maybe + 1]
         after = np.where(maybe + 2 < len(rank), rank[np.minimum(maybe + 2, len(rank) - 1)], 0)
-        take = maybe[(mine > rank[maybe]) & (mine >= after)]
+        # a run of one id holds its pair at every position: each second one of the run is taken
+        goes_on = np.zeros(len(maybe), bool)
+        goes_on[1:] = (maybe[1:] == maybe[:-1] + 1) & (mine[1:] == mine[:-1])
+        begin = np.maximum.accumulate(np.where(goes_on, 0, np.arange(len(maybe))))
+        wins = (mine > 0) & (mine[begin] > rank[maybe[begin]]) & (mine >= after)
+        take = maybe[wins & ((np.arange(len(maybe)) - begin) % 2 == 0)]
         used = np.bincount(rank[take + 1], minlength=len(good) + 1)[order]
         kept = np.flatnonzero(used > 1)
         if not len(kept):
