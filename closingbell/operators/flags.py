@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from closingbell import schemas
 from closingbell.functions import stable_id
-from closingbell.operators import stats
+from closingbell.operators import keyed, stats
 
 
 @dataclass(frozen=True)
@@ -68,24 +67,29 @@ def flag_bars(
     history: DataFrame,
     limits: Limits = Limits(),
     baseline: DataFrame | None = None,
+    session=None,
 ) -> DataFrame:
-    """A batch against what was stored before it; every bar is kept.
+    """A batch against what was stored before it; every bar is kept, and judged by its own date.
 
-    Each symbol is judged from the bars before its first session in the batch, so running
-    the same session again gives the same answer. ``baseline`` replaces the computed
-    deviations and volumes with stored ones. A batch of many sessions per symbol (a
-    backfill) belongs to ``flag_history``, where each bar gets its own baseline.
+    Running the same session again gives the same answer: a stored bar that the batch brings
+    again does not count, nor does a later one. ``session`` says that all bars of the batch are
+    of that date; then only the newest rows of each symbol are shuffled. Without it the batch
+    may hold any sessions, and the history is shuffled once. ``baseline`` replaces the computed
+    deviations and volumes with stored ones.
     """
-    sessions = batch.groupBy("symbol").agg(F.min("date").alias("session"))
-    # one row: between which dates the sessions lie
-    first, last = sessions.agg(F.min("session"), F.max("session")).first()
-    if first is None:
-        first = last = dt.date.max
-    known = stats.prior_baseline(history, sessions, first, last)
+    columns = batch.columns
+    if session is not None:
+        judged = batch.join(stats.prior_baseline(history, session), "symbol", "left")
+    else:
+        stored = keyed.delete_matching(history.select(*columns), batch, ["symbol", "date"])
+        every = stored.withColumn("__new", F.lit(False)).unionByName(
+            batch.withColumn("__new", F.lit(True))
+        )
+        judged = stats.point_in_time(every).filter("__new").drop("__new")
     if baseline is not None:
-        stored = baseline.select("symbol", "rolling_sd", "rolling_avg_volume")
-        known = known.select("symbol", "prev_close").join(stored, "symbol", "full_outer")
-    return annotate(batch.join(known, "symbol", "left"), limits)
+        known = baseline.select("symbol", "rolling_sd", "rolling_avg_volume")
+        judged = judged.drop("rolling_sd", "rolling_avg_volume").join(known, "symbol", "left")
+    return annotate(judged, limits)
 
 
 def stored_baselines(volatility: DataFrame, membership: DataFrame) -> DataFrame:

@@ -25,12 +25,8 @@ MESSAGES = {
 RAW_CANDLES = "candles array<struct<" + ",".join(f"{name}:string" for name in FIELDS) + ">>"
 
 
-def _reject(gate: str, failure: str, message: str, *parts: Column) -> Column:
-    return F.struct(
-        F.lit(gate).alias("gate"),
-        F.lit(failure).alias("failure"),
-        F.format_string(MESSAGES[message], *parts).alias("failure_error"),
-    )
+def _message(message: str, *parts: Column) -> Column:
+    return F.format_string(MESSAGES[message], F.col("symbol"), *parts)
 
 
 def _as_sent(field: str) -> Column:
@@ -40,85 +36,91 @@ def _as_sent(field: str) -> Column:
     return shown(last[field])
 
 
-def http_gate() -> Column:
-    symbol = F.col("symbol")
-    return (
-        F.when(
-            ~F.col("status_code").eqNullSafe(200),
-            _reject(
-                "http", "HTTP_ERROR", "status", symbol, shown(F.col("status_code")),
-                F.substring(F.coalesce("body", F.lit("")), 1, ERROR_BODY_CHARS),
-            ),
-        )
-        .when(F.col("unreadable"), _reject("http", "HTTP_ERROR", "unreadable", symbol))
-        .when(F.col("no_candles"), _reject("http", "HTTP_ERROR", "empty", symbol))
-    )
+def _other_status() -> Column:
+    return ~F.col("status_code").eqNullSafe(200)
+
+
+def _bad_field(name: str) -> Column:
+    bad = not_positive(F.col(name))
+    return bad | whole_volume(F.col(name)).isNull() if name == "volume" else bad
+
 
+def _not_dominated() -> Column:
+    return ~reduce(lambda a, b: a & b, [F.col("high") >= F.col(name) for name in ("open", "close", "low")])
 
-def session_date_gate() -> Column:
+
+def _not_undercut() -> Column:
+    return ~((F.col("low") <= F.col("open")) & (F.col("low") <= F.col("close")))
+
+
+def gate() -> Column:
+    """The first gate that a payload fails, by name; comparisons only."""
     expected = F.col("prev_session")
-    return F.when(
-        expected.isNull() | ~F.col("date").eqNullSafe(expected),
-        _reject(
-            "session_date", "VALIDATION", "date", F.col("symbol"),
-            shown(F.col("date")), shown(expected),
-        ),
+    return (
+        F.when(_other_status() | F.col("unreadable") | F.col("no_candles"), "http")
+        .when(expected.isNull() | ~F.col("date").eqNullSafe(expected), "session_date")
+        .when(reduce(lambda a, b: a | b, map(_bad_field, FIELDS)), "positive")
+        .when(_not_dominated() | _not_undercut(), "ohlc")
     )
 
 
-def positive_gate() -> Column:
-    """Fields in order; the first missing or non-positive one names the rejection."""
-    cases = [
+def failure_error() -> Column:
+    """The message of a payload whose ``gate`` is known."""
+    http = (
         F.when(
-            not_positive(F.col(name))
-            | (whole_volume(F.col(name)).isNull() if name == "volume" else F.lit(False)),
-            _reject(
-                "positive", "VALIDATION", "field", F.col("symbol"), F.lit(name), _as_sent(name)
-            ),
+            _other_status(),
+            _message("status", shown(F.col("status_code")),
+                     F.substring(F.coalesce("body", F.lit("")), 1, ERROR_BODY_CHARS)),
         )
-        for name in FIELDS
-    ]
-    return F.coalesce(*cases)
-
-
-def ohlc_gate() -> Column:
-    symbol = F.col("symbol")
-    open_, high, low, close = (F.col(name) for name in ("open", "high", "low", "close"))
-    dominated = reduce(lambda a, b: a & b, [high >= other for other in (open_, close, low)])
-    return F.when(
-        ~dominated,
-        _reject("ohlc", "VALIDATION", "high", symbol, *map(shown_number, (high, open_, close, low))),
-    ).when(
-        ~((low <= open_) & (low <= close)),
-        _reject("ohlc", "VALIDATION", "low", symbol, *map(shown_number, (low, open_, close))),
+        .when(F.col("unreadable"), _message("unreadable"))
+        .otherwise(_message("empty"))
+    )
+    # fields in order; the first missing or non-positive one names the rejection
+    positive = F.coalesce(
+        *(F.when(_bad_field(name), _message("field", F.lit(name), _as_sent(name))) for name in FIELDS)
+    )
+    prices = {name: shown_number(F.col(name)) for name in ("open", "high", "low", "close")}
+    ohlc = F.when(
+        _not_dominated(), _message("high", prices["high"], prices["open"], prices["close"], prices["low"])
+    ).otherwise(_message("low", prices["low"], prices["open"], prices["close"]))
+    date = _message("date", shown(F.col("date")), shown(F.col("prev_session")))
+    failed = F.col("gate")
+    return (
+        F.when(failed == "http", http)
+        .when(failed == "session_date", date)
+        .when(failed == "positive", positive)
+        .when(failed == "ohlc", ohlc)
     )
 
 
 def gate_payloads(landing: DataFrame, calendar: DataFrame) -> DataFrame:
-    """One row per payload: the candle's fields and ``reject`` (null for a good bar).
+    """One row per payload: ``symbol``, ``seq``, the candle's fields, and for a rejected one
+    ``gate``, ``failure`` and ``failure_error`` (null for a good bar). Bodies stay behind.
 
     The first failing gate decides. Gates are expressions over the row, so one bad payload
-    never stops another and a symbol with most of the payloads spreads over all tasks.
+    never stops another and a symbol with most of the payloads spreads over all tasks. A filter
+    on ``gate`` runs before the messages are formatted.
     """
     parsed = parse_candles(landing).withColumn("fetched_on", F.to_date("fetched_at"))
-    gated = with_previous_session(parsed, "fetched_on", calendar)
-    return gated.withColumn(
-        "reject",
-        F.coalesce(http_gate(), session_date_gate(), positive_gate(), ohlc_gate()),
-    ).select(*landing.columns, "date", *FIELDS, "reject")
+    gated = with_previous_session(parsed, "fetched_on", calendar).withColumn("gate", gate())
+    failure = F.when(F.col("gate") == "http", "HTTP_ERROR").when(F.col("gate").isNotNull(), "VALIDATION")
+    return gated.select(
+        "symbol", "seq", "date", *FIELDS, "gate",
+        failure.alias("failure"), failure_error().alias("failure_error"),
+    )
 
 
 def accepted_bars(gated: DataFrame) -> DataFrame:
     """Bars that passed, still with their arrival order ``seq``."""
-    return gated.filter(F.col("reject").isNull()).select(
+    return gated.filter(F.col("gate").isNull()).select(
         "symbol", "date", "open", "high", "low", "close",
         whole_volume(F.col("volume")).alias("volume"), "seq",
     )
 
 
 def rejections(gated: DataFrame) -> DataFrame:
-    return gated.filter(F.col("reject").isNotNull()).select(
-        "symbol", "seq", "reject.gate", "reject.failure", "reject.failure_error"
+    return gated.filter(F.col("gate").isNotNull()).select(
+        "symbol", "seq", "gate", "failure", "failure_error"
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 from concurrent.futures import ThreadPoolExecutor
-from itertools import batched
+from itertools import accumulate, batched
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -54,9 +54,11 @@ def compact_prices(
 ) -> DataFrame:
     """Repack the years that hold more files than their bytes need; bars are unchanged.
 
-    The repacked years are counted on the stage before they replace the live ones. Returns
-    files and bytes before and after.
+    The repacked years are counted on the stage before they replace the live ones. A year gets
+    as many files as its bytes need, each with the bars of some symbols, so a second compaction
+    finds nothing to pack. Returns files and bytes before and after.
     """
+    prices.settle(spark, root)
     before = year_files(spark, root)
     # one row per year
     stats = before.collect()
@@ -64,10 +66,14 @@ def compact_prices(
     packed = [s.year for s in stats if s.files > wanted[s.year]]
     if packed:
         live = prices.read_prices(spark, root, packed)
-        # an even cut of the key range: a year of any size gives files of one size, each
-        # with a narrow range of symbols
+        # a partition for each file; one row per year in the lists
+        begins = dict(zip(packed, accumulate((wanted[year] for year in packed), initial=0)))
+        own = F.lit(0)
+        for year in packed:
+            place = F.pmod(F.xxhash64("symbol"), F.lit(wanted[year])) + begins[year]
+            own = F.when(F.col("year") == year, place).otherwise(own)
         files = sum(wanted[year] for year in packed)
-        evenly = live.repartitionByRange(files, "year", "symbol", "date")
+        evenly = live.repartitionById(files, own.cast("int"))
         prices.stage(spark, root, run_id, evenly, live.count())
         prices.publish(spark, root, run_id, target_bytes)
     after = year_files(spark, root)

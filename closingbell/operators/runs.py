@@ -3,21 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from closingbell import schemas
 from closingbell.operators import keyed
 
 
-def start_run(
-    spark: SparkSession, runs: DataFrame, run_id: str, dag_id: str, run_date, now
-) -> DataFrame:
+# The stored log: a row for each state a run went through, numbered per run.
+ENTRIES = StructType([*schemas.TABLES["pipeline_run"].fields, StructField("entry", LongType())])
+
+
+def numbered(rows: DataFrame, entries: DataFrame) -> DataFrame:
+    """New states of some runs as log entries, numbered after those that the log has."""
+    known = entries.groupBy("id").agg(F.max("entry").alias("__last"))
+    return rows.join(known, "id", "left").select(
+        *schemas.TABLES["pipeline_run"].names, (F.coalesce("__last", F.lit(0)) + 1).alias("entry")
+    )
+
+
+def current(entries: DataFrame) -> DataFrame:
+    """The run log: each run as its last entry says."""
+    newest = entries.groupBy("id").agg(F.max("entry").alias("entry"))
+    return entries.join(newest, ["id", "entry"], "left_semi").select(*schemas.TABLES["pipeline_run"].names)
+
+
+def new_run(spark: SparkSession, run_id: str, dag_id: str, run_date, now) -> DataFrame:
+    """The first state of a run."""
     row = spark.range(1).select(
         F.lit(run_id).alias("id"),
         F.lit(dag_id).alias("dag_id"),
         F.lit(str(run_date)).cast("date").alias("run_date"),
         F.lit("RUNNING").alias("status"),
     )
-    return keyed.insert_absent(runs, schemas.conform(row, "pipeline_run", now), ["id"])
+    return schemas.conform(row, "pipeline_run", now)
+
+
+def start_run(
+    spark: SparkSession, runs: DataFrame, run_id: str, dag_id: str, run_date, now
+) -> DataFrame:
+    return keyed.insert_absent(runs, new_run(spark, run_id, dag_id, run_date, now), ["id"])
 
 
 def derive_status(outcomes: DataFrame) -> DataFrame:

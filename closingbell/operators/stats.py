@@ -107,35 +107,28 @@ def _baseline(newest: DataFrame, window: int, *also: Column) -> DataFrame:
     )
 
 
-def prior_baseline(
-    history: DataFrame, sessions: DataFrame, first, last, window: int = WINDOW
-) -> DataFrame:
-    """What was known before each symbol's session: baselines and the previous close.
-
-    ``sessions`` has one ``(symbol, session)`` row per symbol, all within ``first``..``last``.
-    Baselines are null until the symbol has enough closes; the previous close is the newest
-    bar before the session.
+def prior_baseline(history: DataFrame, session, window: int = WINDOW) -> DataFrame:
+    """What was known before one session: baselines and the previous close of each symbol.
 
-    Of the bars before the last session, those not before the symbol's own are at most one
-    per day between first and last. So that many rows more than a baseline needs, taken
-    before the shuffle, are enough for every symbol, and the history is never shuffled whole.
+    Only bars of the session's own year and the year before count. Baselines are null until the
+    symbol has enough closes. A map task sends at most ``window + 1`` rows of a symbol, so the
+    history is never shuffled whole.
     """
-    spare = (last - first).days
-    known = history.filter(F.col("date") < as_date(last)).select(
-        "symbol", "date", "close", "volume"
-    )
-    prior = (
-        newest_bars(known, window + 1 + spare)
-        .join(sessions, "symbol")
-        .filter(F.col("date") < F.col("session"))
-        .drop("session")
+    known = history.filter(within_reach(F.col("date"), as_date(session))).filter(
+        F.col("date") < as_date(session)
     )
+    prior = newest_bars(known.select("symbol", "date", "close", "volume"), window + 1)
     previous = F.max_by("close", "date").alias("prev_close")
-    return _baseline(newest_bars(prior, window + 1), window, previous).select(
+    return _baseline(prior, window, previous).select(
         "symbol", "rolling_sd", "rolling_avg_volume", "prev_close"
     )
 
 
+def within_reach(date: Column, session: Column) -> Column:
+    """The look-back rule of all baselines: a session's own year and the year before."""
+    return F.year(date) >= F.year(session) - 1
+
+
 def prev_close(prices: DataFrame, session) -> DataFrame:
     """Newest stored close strictly before the session, within its and the previous year."""
     return (
@@ -147,20 +140,29 @@ def prev_close(prices: DataFrame, session) -> DataFrame:
 
 
 def point_in_time(bars: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Every bar with the baselines of the sessions before it; one shuffle, on symbol."""
+    """Every bar with the baselines of the sessions before it; one shuffle, on symbol.
+
+    Bars out of reach (``within_reach``) give neither a previous close nor a baseline.
+    """
     before = by_date().rowsBetween(-window, -1)
-    steps = bars.withColumn("prev_close", F.lag("close").over(by_date())).withColumn(
-        "__return", day_return(F.col("close"), F.col("prev_close"))
+    steps = bars.withColumn("__previous", F.lag("close").over(by_date())).withColumn(
+        "__return", day_return(F.col("close"), F.col("__previous"))
     )
+    own = F.col("date")
     measured = steps.select(
         *bars.columns,
-        "prev_close",
+        F.when(within_reach(F.lag("date").over(by_date()), own), F.col("__previous")).alias("prev_close"),
+        F.lag("date", window + 1).over(by_date()).alias("__oldest"),
         F.count("__return").over(before).alias("__returns"),
         F.stddev_samp("__return").over(before).alias("__sd"),
         F.avg(F.col("volume").cast("double")).over(before).alias("__volume"),
     )
     # both baselines hang on the returns: 20 bars have 20 volumes but only 19 returns
-    usable = (F.col("__returns") == window) & ~missing(F.col("__sd"))
+    usable = (
+        (F.col("__returns") == window)
+        & ~missing(F.col("__sd"))
+        & within_reach(F.col("__oldest"), own)
+    )
     return measured.select(
         *bars.columns,
         "prev_close",

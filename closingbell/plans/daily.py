@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from closingbell import schemas
-from closingbell.functions import recent_years
 from closingbell.operators import failures, flags, gates, keyed, runs, stats, universe
 from closingbell.sources import prices
 from closingbell.sources.tables import Store, replace_partitions
@@ -18,6 +17,9 @@ from closingbell.sources.tables import Store, replace_partitions
 DAG_ID = "prices_daily"
 
 
+COUNTS = ("flagged", "unvalidated", "unknown_bars", "duplicate_bars", "dlq_mismatch")
+
+
 def run_daily(
     store: Store,
     landing: DataFrame,
@@ -27,19 +29,29 @@ def run_daily(
     now,
     limits: flags.Limits = flags.Limits(),
 ) -> DataFrame:
-    """Process one session's payloads; returns the run's log row."""
+    """Process one session's payloads; returns the run's log row and what it counted.
+
+    ``COUNTS``: flagged bars, bars that no check could judge, bars of unknown symbols, bars that
+    arrived more than once, and whether the queue disagrees with the missing writes. The tables'
+    new versions count from the moment the run is closed.
+    """
     spark = store.spark
-    log = store.write(
-        "pipeline_run",
-        runs.start_run(spark, store.read("pipeline_run"), run_id, DAG_ID, as_of, now),
-    )
+    store.settle()
+    started = runs.new_run(spark, run_id, DAG_ID, as_of, now)
+    log = store.log_run(keyed.absent_rows(store.read("pipeline_run"), started, ["id"]))
+    mine = F.col("id") == run_id
+    work = store.begin()
     try:
-        outcome = _ingest(store, landing, calendar, run_id, as_of, now, limits)
+        outcome = _ingest(work, landing, calendar, run_id, as_of, now, limits)
+        outcome = work.keep(outcome, run_id, "outcome")
+        log = store.log_run(runs.close_runs(log.filter(mine), outcome, now))
     except Exception as error:
-        store.write("pipeline_run", runs.fail_runs(log, _failure(spark, run_id, as_of, error), now))
+        failed = _failure(spark, run_id, as_of, error)
+        store.log_run(runs.fail_runs(log.filter(mine), failed, now))
         raise
-    log = store.write("pipeline_run", runs.close_runs(log, outcome, now))
-    return log.filter(F.col("id") == run_id)
+    store.take_over(work)
+    mismatch = runs.derive_status(outcome).select("id", "dlq_mismatch")
+    return log.filter(mine).join(outcome.join(mismatch, "id").select("id", *COUNTS), "id")
 
 
 def _failure(spark, run_id: str, as_of, error: Exception) -> DataFrame:
@@ -55,10 +67,9 @@ def _ingest(store, landing, calendar, run_id, as_of, now, limits) -> DataFrame:
 
     # payloads are parsed once; every step below reads the outcome
     gated = store.keep(gates.gate_payloads(landing, calendar), run_id, "gated")
+    accepted = gates.accepted_bars(gated)
     bars = store.keep(
-        gates.keep_last(gates.accepted_bars(gated), ["symbol", "date"], ["seq"]).drop("seq"),
-        run_id,
-        "bars",
+        gates.keep_last(accepted, ["symbol", "date"], ["seq"]).drop("seq"), run_id, "bars"
     )
     dlq = store.write(
         "failed_ingestion",
@@ -67,7 +78,7 @@ def _ingest(store, landing, calendar, run_id, as_of, now, limits) -> DataFrame:
         ),
     )
 
-    write_flags(store, bars, members, run_id, as_of, now, limits)
+    judged = write_flags(store, bars, members, run_id, now, limits)
     written = prices.upsert_prices(store.spark, store.prices, bars, run_id)
     dlq = store.write("failed_ingestion", failures.clear_resolved(dlq, bars, members))
     if written:
@@ -76,42 +87,60 @@ def _ingest(store, landing, calendar, run_id, as_of, now, limits) -> DataFrame:
     # an empty list gives no honest count of what the run set out to fetch
     attempted = universe.active_symbols(listed, members).count() or None
     queued = failures.count_since(dlq, now).first().failures
+    unknown = universe.unknown_symbols(bars, members).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    counts = {
+        "written": written,
+        "attempted": attempted,
+        "dlq_failures": queued,
+        "flagged": judged["flagged"],
+        "unvalidated": judged["unvalidated"],
+        "unknown_bars": unknown,
+        "duplicate_bars": accepted.count() - written,
+    }
     return store.spark.range(1).select(
         F.lit(run_id).alias("id"),
-        F.lit(written).cast("bigint").alias("written"),
-        F.lit(attempted).cast("bigint").alias("attempted"),
-        F.lit(queued).cast("bigint").alias("dlq_failures"),
+        *(F.lit(value).cast("bigint").alias(name) for name, value in counts.items()),
     )
 
 
-def write_flags(store: Store, bars, members, run_id, as_of, now, limits=flags.Limits()) -> None:
+def write_flags(store: Store, bars, members, run_id, now, limits=flags.Limits()) -> dict[str, int]:
     """Replace the flags of the batch's sessions and symbols with the current evaluation.
 
-    A batch is one session as a rule. One that spans several rewrites the sessions between
-    its first and last; those it has no bar for come out as they were.
+    Every bar is judged by its own date, whenever the run is: the history is that of the batch's
+    own years and the year before. A batch is one session as a rule. One that spans several
+    rewrites the sessions between its first and last; those it has no bar for come out as they
+    were. Returns how many bars were flagged and how many no check could judge.
     """
     first, last = bars.agg(F.min("date"), F.max("date")).first()
     if first is None:
-        return
-    history = prices.read_prices(store.spark, store.prices, recent_years(as_of))
-    rows = flags.flag_rows(flags.flag_bars(bars, history, limits), members, run_id, now)
+        return {"flagged": 0, "unvalidated": 0}
+    years = list(range(first.year - 1, last.year + 1))
+    history = prices.read_prices(store.spark, store.prices, years)
+    session = first if first == last else None
+    judged = store.keep(
+        flags.flag_bars(bars, history, limits, session=session), run_id, "judged"
+    )
     spanned = F.col("session_date").between(first, last)
     evaluated = universe.symbol_lookup(bars.select("symbol", "date"), members).select(
         "symbol_id", F.col("date").alias("session_date")
     )
+    rows = flags.flag_rows(judged, members, run_id, now)
     replace_partitions(
         store.spark,
-        keyed.replace_slice(
-            store.read("ohlcv_flag").filter(spanned),
-            evaluated,
-            rows,
-            schemas.UNIQUE_KEYS["ohlcv_flag"],
-        ),
         store.flags,
         f"{store.root}/work/{run_id}/flags",
+        schemas.TABLES["ohlcv_flag"],
         "session_date",
         spanned,
+        lambda stored: keyed.replace_slice(
+            stored, evaluated, rows, schemas.UNIQUE_KEYS["ohlcv_flag"]
+        ),
+        lambda staged: store.check("ohlcv_flag", staged),
+    )
+    total = flags.flag_summary(judged).agg(
+        F.sum("flagged").alias("flagged"), F.sum("unvalidated").alias("unvalidated")
     )
+    return total.first().asDict()
 
 
 def refresh_baselines(store: Store, members, listed, as_of, now) -> None:

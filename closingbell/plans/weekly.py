@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from closingbell.operators import runs, universe
+from closingbell.operators import keyed, runs, universe
 from closingbell.sources.tables import Store
 from closingbell.sources.tickers import scan_tickers
 
@@ -18,25 +18,26 @@ def run_weekly(store: Store, snapshot: str, run_id: str, as_of, now) -> DataFram
     snapshot covers are closed, universes it does not cover stay as they are.
     """
     spark = store.spark
-    log = store.write(
-        "pipeline_run",
-        runs.start_run(spark, store.read("pipeline_run"), run_id, DAG_ID, as_of, now),
-    )
+    started = runs.new_run(spark, run_id, DAG_ID, as_of, now)
+    log = store.log_run(keyed.absent_rows(store.read("pipeline_run"), started, ["id"]))
+    mine = F.col("id") == run_id
+    work = store.begin()
     try:
-        imported = store.keep(
+        imported = work.keep(
             universe.imported_symbols(scan_tickers(spark, snapshot)), run_id, "imported"
         )
-        members = store.read("membership")
-        history = store.read("universe_membership")
+        members = work.read("membership")
+        history = work.read("universe_membership")
         active = universe.active_by_universe(history, members, imported)
-        diff = store.keep(universe.universe_diff(imported, active), run_id, "diff")
+        diff = work.keep(universe.universe_diff(imported, active), run_id, "diff")
 
-        members = store.write("membership", universe.insert_memberships(members, diff, now))
+        members = work.write("membership", universe.insert_memberships(members, diff, now))
         opened = universe.relist(history, members, diff, as_of, now)
-        store.write(
+        work.write(
             "universe_membership",
             universe.close_memberships(opened, members, diff, as_of, now),
         )
+        store.log_run(runs.succeed_run(log.filter(mine), run_id, now))
     except Exception as error:
         failed = spark.range(1).select(
             F.lit(run_id).alias("id"),
@@ -44,7 +45,7 @@ def run_weekly(store: Store, snapshot: str, run_id: str, as_of, now) -> DataFram
             F.lit(str(as_of)).cast("date").alias("run_date"),
             F.lit(str(error)).alias("error"),
         )
-        store.write("pipeline_run", runs.fail_runs(log, failed, now))
+        store.log_run(runs.fail_runs(log.filter(mine), failed, now))
         raise
-    store.write("pipeline_run", runs.succeed_run(log, run_id, now))
+    store.take_over(work)
     return universe.delisting_report(imported, diff)

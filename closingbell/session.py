@@ -35,10 +35,13 @@ def build(app: str, master: str | None = None, **settings) -> SparkSession:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for one job under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a session that names no such folder (a local test) gets a temporary one.
+    Only a local session that names no such folder gets a temporary one: on a cluster every
+    executor would write to a disk of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not spark.conf.get("spark.master", "local").startswith("local") or "cluster" in spark.conf.get("spark.master", ""):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="closingbell-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/closingbell/{name}-{uuid.uuid4().hex}"

@@ -2,7 +2,8 @@
 
 ``<root>/live`` is the table. A change that touches stored bars is first written whole to
 ``<root>/stage/<run>`` and checked there; only then are the touched years replaced from it.
-If the replacement dies half-way, ``publish`` repeats it from the stage.
+If the replacement dies half-way, the next change finishes it from the stage before it reads
+the table.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from closingbell import schemas
 from closingbell.functions import session_year
 from closingbell.operators import keyed
-from closingbell.session import setting
+from closingbell.sources import tables
 from closingbell.sources.tables import read_or_empty
 
 KEY = ["symbol", "date"]
@@ -56,12 +57,12 @@ def merge_bars(target: DataFrame, batch: DataFrame) -> DataFrame:
     return keyed.replace_rows(target, batch, KEY)
 
 
-def _save(prices: DataFrame, path: str, mode: str) -> None:
+def _save(prices: DataFrame, path: str, mode: str, replaced: str = "dynamic") -> None:
     """Sorted files give a symbol or date filter row groups to skip."""
     (
         prices.sortWithinPartitions("year", "symbol", "date")
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", replaced)
         .partitionBy("year")
         .parquet(path)
     )
@@ -72,22 +73,25 @@ def _balanced(prices: DataFrame) -> DataFrame:
     return prices.hint("rebalance", "year")
 
 
+def settle(spark: SparkSession, root: str) -> bool:
+    """Finish a replacement that died half-way."""
+    return tables.settle(spark, live_path(root), schemas.PRICES)
+
+
 def publish(
     spark: SparkSession, root: str, run_id: str, target_bytes: int = TARGET_BYTES
 ) -> None:
-    """Replace the staged years of the table, file by file and without a shuffle.
-
-    Safe to repeat, which is how a replacement that died half-way is finished.
-    """
-    with setting(spark, "spark.sql.files.maxPartitionBytes", target_bytes):
-        _save(read_stage(spark, root, run_id), live_path(root), "overwrite")
+    """Replace the staged years of the table, file by file and without a shuffle."""
+    tables.publish_staged(
+        spark, live_path(root), stage_path(root, run_id), "year", schemas.PRICES, target_bytes
+    )
 
 
 def stage(
     spark: SparkSession, root: str, run_id: str, prices: DataFrame, expected: int
 ) -> None:
     """Write whole years beside the table and check their row count there."""
-    _save(prices, stage_path(root, run_id), "overwrite")
+    _save(prices, stage_path(root, run_id), "overwrite", "static")
     staged = read_stage(spark, root, run_id).count()
     if staged != expected:
         raise RuntimeError(f"staged {staged} bars, expected {expected}; table unchanged")
@@ -106,6 +110,7 @@ def upsert_prices(spark: SparkSession, root: str, batch: DataFrame, run_id: str)
     stage. The batch is read three times, so one that is costly to derive should be a
     stored one.
     """
+    settle(spark, root)
     incoming = with_year(batch)
     # one row per year of the batch here and below: bounded by the calendar
     spans = {

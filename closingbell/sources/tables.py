@@ -6,11 +6,19 @@ on, and the folders it no longer names are found by ``operators.maintenance.orph
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from closingbell import schemas
+from closingbell.operators import audit
+from closingbell.operators import runs as run_log
+from closingbell.session import setting
+
+# Fixed value: most bytes of a staged file that are not from a compaction.
+STAGED_BYTES = 256 * 1024 * 1024
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -38,55 +46,144 @@ def write_version(df: DataFrame, root: str, table: str, version: int, now=None)
     return path
 
 
+PENDING = "stage string, partition string"
+
+
+def note_pending(spark: SparkSession, path: str, stage: str, partition: str) -> None:
+    """Say that the partitions in ``stage`` are about to replace those of ``path``."""
+    _note(spark, path, [(stage, partition)])
+
+
+def _note(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    spark.createDataFrame(rows, PENDING).coalesce(1).write.mode("overwrite").parquet(f"{path}-pending")
+
+
+def publish_staged(
+    spark: SparkSession, path: str, stage: str, partition: str, schema: StructType, file_bytes: int | None = None
+) -> None:
+    """Replace the partitions of ``path`` that ``stage`` holds, and note meanwhile that it is
+    being done. A replacement that dies half-way is finished by ``settle``."""
+    note_pending(spark, path, stage, partition)
+    _replace(spark, path, stage, partition, schema, file_bytes)
+    _note(spark, path, [])
+
+
+def _replace(spark, path, stage, partition, schema, file_bytes=None) -> None:
+    # a task for each staged file, however many cores there are: files keep their sizes
+    whole = 2 * (file_bytes or STAGED_BYTES)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", whole), setting(
+        spark, "spark.sql.files.openCostInBytes", whole
+    ), setting(spark, "spark.sql.files.minPartitionNum", 1):
+        (
+            spark.read.schema(schema).parquet(stage)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
+
+
+def settle(spark: SparkSession, path: str, schema: StructType) -> bool:
+    """Finish a replacement that died half-way; returns whether there was one.
+
+    Everything that reads a table in order to change it calls this first.
+    """
+    noted = read_or_empty(spark, f"{path}-pending", StructType.fromDDL(PENDING)).collect()
+    for row in noted:  # one at most
+        _replace(spark, path, row["stage"], row["partition"], schema)
+        _note(spark, path, [])
+    return bool(noted)
+
+
 def replace_partitions(
-    spark: SparkSession, rows: DataFrame, path: str, stage: str, partition: str, replaced: Column
+    spark: SparkSession,
+    path: str,
+    stage: str,
+    schema: StructType,
+    partition: str,
+    replaced: Column,
+    change: Callable[[DataFrame], DataFrame],
+    check: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Make ``rows`` the whole content of the partitions that meet ``replaced``.
+    """Make ``change(stored rows)`` the whole content of the partitions that meet ``replaced``.
 
-    The rows are written to ``stage`` first, so they may be derived from the table itself
-    and a replacement that died half-way can be repeated. A dynamic overwrite only touches
-    partitions it has rows for; one that ends up empty is overwritten on its own.
+    A replacement left half-done is finished before the stored rows are read. The new rows are
+    written to ``stage`` and given to ``check`` there. A dynamic overwrite only touches
+    partitions it has rows for, so a partition that ends up empty keeps one row of nulls, which
+    ``read_partitions`` leaves out (the first column is never null).
     """
-    rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(stage)
-    staged = spark.read.schema(rows.schema).parquet(stage)
-    stored = read_or_empty(spark, path, rows.schema).filter(replaced)
-    # at most one row per replaced partition
-    emptied = [
-        row[0]
-        for row in stored.select(partition)
-        .distinct()
-        .join(staged.select(partition).distinct(), partition, "left_anti")
-        .collect()
-    ]
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
+    settle(spark, path, schema)
+    stored = read_partitions(spark, path, schema, partition).filter(replaced)
+    rows = change(stored).select(*schema.names)
+    rows.hint("rebalance", partition).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy(partition).parquet(stage)
+    staged = spark.read.schema(schema).parquet(stage)
+    if check is not None:
+        check(staged)
+    emptied = stored.select(partition).distinct().join(staged.select(partition).distinct(), partition, "left_anti")
+    nothing = emptied.select(
+        *[F.col(f.name) if f.name == partition else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
     )
-    for value in emptied:
-        nothing = spark.createDataFrame([], rows.drop(partition).schema)
-        nothing.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
+    nothing.write.mode("append").partitionBy(partition).parquet(stage)
+    publish_staged(spark, path, stage, partition, schema)
+
+
+def read_partitions(spark: SparkSession, path: str, schema: StructType, partition: str) -> DataFrame:
+    """The rows of a table that ``replace_partitions`` writes."""
+    key = next(name for name in schema.names if name != partition)
+    return read_or_empty(spark, path, schema).filter(F.col(key).isNotNull())
+
+
+class IntegrityError(ValueError):
+    """Rows about to be stored break a rule of their table."""
 
 
 class Store:
     """The stored tables of one installation and the version of each that counts.
 
-    A run writes new versions and hands the changed ``versions`` back to its caller, who
-    keeps them; a run that fails leaves the old ones valid. Prices and flags grow by session
-    and are replaced by slice instead; they have no version.
+    A run works on a copy (``begin``) and its versions are taken over when it closes; until then,
+    and if it fails, the old ones stay valid. Prices and flags grow by session and are replaced by
+    slice instead; the run log is appended to. They have no version.
     """
 
-    VERSIONED = [name for name in schemas.TABLES if name != "ohlcv_flag"]
+    VERSIONED = [name for name in schemas.TABLES if name not in ("ohlcv_flag", "pipeline_run")]
 
     def __init__(self, spark: SparkSession, root: str, versions: dict[str, int] | None = None):
         self.spark = spark
         self.root = root
+        if not versions and self._has_versions():
+            raise ValueError(f"{root} holds versioned tables; open it with the versions that count")
         self.versions = dict.fromkeys(self.VERSIONED, 0) | (versions or {})
 
+    def _has_versions(self) -> bool:
+        try:
+            self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{self.root}/*/v=*")
+            return True
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+
+    def begin(self) -> Store:
+        """A copy for one run; ``take_over`` makes its versions count."""
+        work = Store.__new__(Store)
+        work.spark, work.root, work.versions = self.spark, self.root, dict(self.versions)
+        return work
+
+    def take_over(self, work: Store) -> None:
+        self.versions = dict(work.versions)
+
+    def settle(self) -> None:
+        """Finish what a run that died left half-published."""
+        settle(self.spark, self.flags, schemas.TABLES["ohlcv_flag"])
+        settle(self.spark, f"{self.prices}/live", schemas.PRICES)
+
     def read(self, table: str) -> DataFrame:
         if table == "ohlcv_flag":
-            return read_or_empty(self.spark, self.flags, schemas.TABLES[table])
+            return read_partitions(self.spark, self.flags, schemas.TABLES[table], "session_date")
+        if table == "pipeline_run":
+            return run_log.current(read_or_empty(self.spark, self.log, run_log.ENTRIES))
         return read_version(self.spark, self.root, table, self.versions[table])
 
     def sql(self, query: str, **args) -> DataFrame:
@@ -98,11 +195,28 @@ class Store:
         return self.spark.sql(query, args=args)
 
     def write(self, table: str, df: DataFrame, now=None) -> DataFrame:
+        """Store the next version of a table, unless its rows break a rule."""
         version = self.versions[table] + 1
         write_version(df, self.root, table, version, now)
+        self.check(table, read_version(self.spark, self.root, table, version))
         self.versions[table] = version
         return self.read(table)
 
+    def check(self, table: str, rows: DataFrame) -> None:
+        """Raise where rows about to be stored break a rule that the schemas state."""
+        tables = {parent: self.read(parent) for _, parent, _ in schemas.FOREIGN_KEYS.get(table, [])}
+        broken = audit.violations(tables | {table: rows}, table).filter("violations > 0").collect()
+        if broken:
+            raise IntegrityError("; ".join(f"{r.table}: {r.violations} x {r.rule}" for r in broken))
+
+    def log_run(self, entries: DataFrame) -> DataFrame:
+        """Append the new state of some runs; returns the log as it is then."""
+        self.check("pipeline_run", entries)
+        run_log.numbered(entries, read_or_empty(self.spark, self.log, run_log.ENTRIES)).write.mode(
+            "append"
+        ).parquet(self.log)
+        return self.read("pipeline_run")
+
     def keep(self, df: DataFrame, run_id: str, name: str) -> DataFrame:
         """A run's intermediate result as a table: read several times, computed once."""
         path = f"{self.root}/work/{run_id}/{name}"
@@ -113,13 +227,17 @@ class Store:
     def prices(self) -> str:
         return f"{self.root}/prices"
 
+    @property
+    def log(self) -> str:
+        return f"{self.root}/pipeline_run"
+
     @property
     def flags(self) -> str:
         return f"{self.root}/flags"
 
     def live_paths(self) -> list[str]:
         """Folders that hold current data; everything else under the root is left over."""
-        return [f"{self.prices}/live", self.flags] + [
+        return [f"{self.prices}/live", self.flags, f"{self.flags}-pending", f"{self.prices}/live-pending", self.log] + [
             version_path(self.root, table, version)
             for table, version in self.versions.items()
             if version > 0

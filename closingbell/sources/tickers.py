@@ -13,11 +13,18 @@ class TickersMissing(FileNotFoundError):
 
 
 def scan_tickers(spark: SparkSession, path: str) -> DataFrame:
-    """Snapshot rows ``(ticker, universe)``, all strings, columns found by header name."""
+    """Snapshot rows ``(ticker, universe)``, all strings, columns found by header name.
+
+    Every file's own header is held against the first one's, so a file with other columns or
+    another order fails instead of being read by position. Quoted values may hold line breaks;
+    a snapshot is small, so its files need not be split.
+    """
     reader = (
         spark.read.option("header", True)
         .option("mode", "FAILFAST")
         .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("multiLine", True)
     )
     try:
         rows = reader.csv(path)

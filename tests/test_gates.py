@@ -55,9 +55,9 @@ def gated(spark):
 @pytest.mark.parametrize("name", CASES)
 def test_first_failure_decides(gated, name):
     expected = CASES[name][2]
-    reject = gated[name].reject
+    reject = gated[name]
     if expected is None:
-        assert reject is None
+        assert reject.gate is None and reject.failure is None and reject.failure_error is None
     else:
         assert reject.failure == expected[0]
         assert expected[1] in reject.failure_error
@@ -75,7 +75,7 @@ def test_accepted_bars_are_typed(spark):
 def test_no_session_in_reach_rejects(spark):
     far = data.calendar(spark).filter("session_date < '2023-12-01'")
     row = gates.gate_payloads(data.landing(spark, [("A", 200, data.body(data.candle()))]), far).first()
-    assert row.reject.failure_error == "A: candle date 2024-01-02 != expected None"
+    assert row.failure_error == "A: candle date 2024-01-02 != expected None"
 
 
 def test_previous_session_skips_gaps(spark):
@@ -104,3 +104,19 @@ def test_a_payload_is_parsed_once(spark):
     gated = gates.gate_payloads(data.landing(spark, [("A", 200, "")]), data.calendar(spark))
     columns = gates.accepted_bars(gated)
     assert plan_of(columns).count("from_json(StructField(empty") == 1
+
+
+def test_messages_are_formatted_for_what_a_filter_leaves(spark):
+    """Formatting and the second reading of a body stand once in the plan, above the filter."""
+    gated = gates.gate_payloads(data.landing(spark, [("A", 200, "")]), data.calendar(spark))
+    plan = plan_of(gates.rejections(gated).filter("gate = 'positive'"))
+    assert plan.count("does not dominate") == 1 and plan.count("unparseable") == 1
+    lines = plan.splitlines()
+    message = next(i for i, line in enumerate(lines) if "does not dominate" in line)
+    kept = next(i for i, line in enumerate(lines) if "Filter (CASE WHEN" in line)
+    assert message < kept and "format_string" not in lines[kept] and "from_json" not in lines[kept]
+
+
+def test_bodies_stay_behind(spark):
+    gated = gates.gate_payloads(data.landing(spark, [("A", 200, "")]), data.calendar(spark))
+    assert "body" not in gated.columns

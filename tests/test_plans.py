@@ -29,6 +29,7 @@ def store(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("store")
     (root / "tickers.csv").write_text("ticker,universe\nA,u1\nB,u1\nC,u1\nGONE,u1\n")
     made = tables.Store(spark, str(root / "db"))
+    made.write("universe", spark.createDataFrame([("u1", "u1", None, None)], schemas.UNIVERSE))
     weekly.run_weekly(made, str(root / "tickers.csv"), "w1", "2023-12-31", "2023-12-31 00:00:00")
     (root / "tickers.csv").write_text("ticker,universe\nA,u1\nB,u1\nC,u1\n")
     report = weekly.run_weekly(made, str(root / "tickers.csv"), "w2", "2023-12-31", "2023-12-31 01:00:00")
@@ -118,3 +119,45 @@ def test_missing_snapshot_fails_the_run(store):
     with pytest.raises(FileNotFoundError):
         weekly.run_weekly(store, "/nowhere/tickers.csv", "w9", "2024-02-01", "2024-02-01 00:00:00")
     assert {r.id: r.status for r in store.read("pipeline_run").collect()}["w9"] == "FAILED"
+
+
+def test_a_run_that_failed_twice_counts_its_failures_once(store, monkeypatch):
+    """Versions are taken over only when a run closes."""
+    versions = dict(store.versions)
+    ids = {r.symbol: r.id for r in store.read("membership").collect()}
+    whole = daily.prices.upsert_prices
+    for _ in range(2):
+        monkeypatch.setattr(daily.prices, "upsert_prices", lambda *a: (_ for _ in ()).throw(OSError("disk gone")))
+        with pytest.raises(OSError):
+            run(store, 30, 100, broken={"C"}, run_id="retried")
+        assert store.versions == versions
+    monkeypatch.setattr(daily.prices, "upsert_prices", whole)
+    row = run(store, 30, 100, broken={"C"}, run_id="retried")
+    assert row.status == "PARTIAL"
+    failed = store.read("failed_ingestion").filter(f"symbol_id = '{ids['C']}'").collect()
+    assert [r.attempts for r in failed] == [1]
+    assert {r.id: r.status for r in store.read("pipeline_run").collect()}["retried"] == "PARTIAL"
+
+
+def test_a_late_run_leaves_the_same_flags(store):
+    """A bar is judged by its own date, not by the run's."""
+    row = run(store, 31, 170)
+    assert row.flagged == 1 and row.unvalidated == 0 and row.unknown_bars == 0
+    first = flags(store)
+    assert any(day == session(31) for _, day in first)
+    calendar = store.spark.createDataFrame([(session(k),) for k in range(60)], schemas.CALENDAR)
+    daily.run_daily(store, payloads(store.spark, 31, 170), calendar, "late", "2027-05-01", "2027-05-01 06:30:00")
+    assert flags(store) == first
+
+
+def test_a_run_reports_what_it_counted(store):
+    spark = store.spark
+    twice = payloads(spark, 32, 100)
+    extra = spark.createDataFrame([("X", 200, r.body, 9, r.fetched_at) for r in twice.limit(1).collect()], schemas.LANDING)
+    calendar = spark.createDataFrame([(session(k),) for k in range(60)], schemas.CALENDAR)
+    again = twice.selectExpr("symbol", "status_code", "body", "seq + 10 AS seq", "fetched_at")
+    row = daily.run_daily(
+        store, twice.union(again).union(extra), calendar, "counted", session(33), f"{session(33)} 06:30:00"
+    ).first()
+    assert (row.duplicate_bars, row.unknown_bars, row.records_processed) == (3, 1, 4)
+    assert row.dlq_mismatch is False

@@ -100,6 +100,82 @@ def test_lost_year_comes_back_from_the_stage(spark, tmp_path):
     assert table(spark, root) == whole
 
 
+class Died(Exception):
+    pass
+
+
+def die_while_replacing(monkeypatch, spark, path):
+    """The next replacement removes the partitions it is to replace, and dies."""
+    whole = tables._replace
+
+    def removed(spark_, path_, stage, partition, schema, *rest):
+        whole(spark_, path_, stage, partition, schema, *rest)
+        staged = {p.split("/")[-1] for p in glob.glob(f"{stage}/{partition}=*")}
+        for folder in staged:
+            for file in glob.glob(f"{path_}/{folder}/*.parquet"):
+                os.remove(file)
+        raise Died
+
+    monkeypatch.setattr(tables, "_replace", removed)
+    return whole
+
+
+def test_retry_of_a_merge_that_died_keeps_every_bar(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    prices.upsert_prices(spark, root, frame(spark, *[bar(s, D24, 2.0) for s in "ABCD"]), "r1")
+    whole = die_while_replacing(monkeypatch, spark, root)
+    batch = frame(spark, bar("A", D24, 9.0))
+    with pytest.raises(Died):
+        prices.upsert_prices(spark, root, batch, "r2")
+    assert table(spark, root) == []
+    monkeypatch.setattr(tables, "_replace", whole)
+    prices.upsert_prices(spark, root, batch, "r2")
+    assert table(spark, root) == [("A", D24, 9.0)] + [(s, D24, 2.0) for s in "BCD"]
+    assert not prices.settle(spark, root)
+
+
+def test_compaction_that_died_is_finished_by_the_next_change(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    small_files(spark, root, 3)
+    before = table(spark, root)
+    whole = die_while_replacing(monkeypatch, spark, root)
+    with pytest.raises(Died):
+        maintenance.compact_prices(spark, root, "pack")
+    monkeypatch.setattr(tables, "_replace", whole)
+    maintenance.compact_prices(spark, root, "pack-2")
+    assert table(spark, root) == before
+
+
+def test_a_run_id_used_again_stages_only_its_own_years(spark, tmp_path):
+    root = str(tmp_path)
+    prices.upsert_prices(spark, root, frame(spark, bar("A", D23, 1.0), bar("A", D24, 2.0)), "r1")
+    prices.upsert_prices(spark, root, frame(spark, bar("A", D23, 5.0)), "again")
+    prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 6.0)), "again")
+    assert table(spark, root) == [("A", D23, 5.0), ("A", D24, 6.0)]
+
+
+def test_compaction_reaches_its_size_and_stops(spark, tmp_path):
+    """More threads than files, several files a year: the second compaction packs nothing."""
+    root = str(tmp_path)
+    bars = spark.range(40_000).selectExpr(
+        "concat('S', id % 80) AS symbol", "date_add(date'2023-01-02', cast(id div 80 AS int)) AS date",
+        "rand(1) AS open", "rand(2) AS high", "rand(3) AS low", "rand(4) AS close", "id AS volume",
+    )
+    prices.upsert_prices(spark, root, bars, "r1")
+    for d in range(3):
+        day = dt.date(2024, 12, 3) + dt.timedelta(days=d)
+        prices.upsert_prices(spark, root, frame(spark, *[bar(f"S{i}", day, 1.0) for i in range(40)]), f"d{d}")
+    before, target = table(spark, root), sum(os.path.getsize(f) for f in files(root)) // 9
+    first = maintenance.compact_prices(spark, root, "pack", target).collect()
+    assert table(spark, root) == before
+    for row in first:
+        assert row.files_after <= -(-row.bytes_before // target)
+    assert max(row.files_after for row in first) > 1
+    kept = files(root)
+    maintenance.compact_prices(spark, root, "pack-2", target)
+    assert files(root) == kept and not files(root, "stage/pack-2")
+
+
 def test_wrong_count_leaves_the_table_alone(spark, tmp_path):
     root = str(tmp_path)
     prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 2.0)), "r1")
@@ -154,12 +230,58 @@ def test_orphans_respect_live_files_and_retention(spark, tmp_path):
 
 def test_replacing_a_partition_with_nothing_empties_it(spark, tmp_path):
     path, stage = f"{tmp_path}/t", f"{tmp_path}/s"
-    rows = spark.createDataFrame([("a", 1), ("b", 2)], "v string, day int")
-    tables.replace_partitions(spark, rows, path, stage, "day", F.col("day") <= 2)
-    only = spark.read.schema(rows.schema).parquet(path).filter("day = 1 AND v = 'z'")
-    tables.replace_partitions(spark, only, path, f"{stage}2", "day", F.col("day") == 1)
-    left = spark.read.schema(rows.schema).parquet(path).collect()
-    assert [tuple(r) for r in left] == [("b", 2)]
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "v string, day int")
+    change = lambda where, new: tables.replace_partitions(
+        spark, path, stage, rows.schema, "day", where, new
+    )
+    change(F.col("day") <= 3, lambda stored: rows)
+    change(F.col("day") <= 2, lambda stored: stored.filter("v = 'z'"))
+    left = lambda: sorted(tuple(r) for r in tables.read_partitions(spark, path, rows.schema, "day").collect())
+    assert left() == [("c", 3)]
+    change(F.col("day") == 1, lambda stored: rows.filter("day = 1"))
+    assert left() == [("a", 1), ("c", 3)]
+
+
+def test_retry_of_a_slice_that_died_keeps_the_other_rows(spark, tmp_path, monkeypatch):
+    path, stage = f"{tmp_path}/t", f"{tmp_path}/s"
+    rows = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "v string, day int")
+    renamed = lambda stored: stored.withColumn("v", F.when(F.col("v") == "a", "A").otherwise(F.col("v")))
+    change = lambda new: tables.replace_partitions(
+        spark, path, stage, rows.schema, "day", F.col("day") == 1, new
+    )
+    change(lambda stored: rows)
+    whole = die_while_replacing(monkeypatch, spark, path)
+    with pytest.raises(Died):
+        change(renamed)
+    monkeypatch.setattr(tables, "_replace", whole)
+    change(renamed)
+    left = tables.read_partitions(spark, path, rows.schema, "day").collect()
+    assert sorted(r.v for r in left) == ["A", "b", "c"]
+
+
+def test_a_store_with_versions_is_not_opened_without_them(spark, tmp_path):
+    store = tables.Store(spark, str(tmp_path))
+    store.write("membership", data.membership(spark, "A"))
+    for versions in (None, {}):
+        with pytest.raises(ValueError, match="versions"):
+            tables.Store(spark, str(tmp_path), versions)
+
+
+def test_rows_that_break_a_rule_are_refused(spark, tmp_path):
+    store = tables.Store(spark, str(tmp_path))
+    store.write("universe", spark.createDataFrame([("u1", "u1", None, None)], schemas.UNIVERSE))
+    store.write("membership", data.membership(spark, "A", "B"))
+    good = dict(store.versions)
+    with pytest.raises(tables.IntegrityError, match="unique"):
+        store.write("membership", data.membership(spark, "A", "A"))
+    with pytest.raises(tables.IntegrityError, match="required"):
+        store.write("membership", data.membership(spark, "A", "MUCH-TOO-LONG"))
+    with pytest.raises(tables.IntegrityError, match="fk:universe_id"):
+        store.write("universe_membership", data.stints(spark, [("A", "u2", D23, None)]))
+    with pytest.raises(tables.IntegrityError, match="active_unique"):
+        store.write("universe_membership", data.stints(spark, [("A", "u1", D23, None), ("A", "u1", D24, None)]))
+    assert store.versions == good and store.read("membership").count() == 2
+    store.write("universe_membership", data.stints(spark, [("A", "u1", D23, D24), ("A", "u1", D24, None)]))
 
 
 def test_versions_leave_the_old_one_readable(spark, tmp_path):

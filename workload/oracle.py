@@ -68,6 +68,48 @@ _CANDLE = " || ',' || ".join(
 
 FIELDS = ("open", "high", "low", "close", "volume")
 
+def _failed(verdicts: str) -> str:
+    return f"""
+        SELECT symbol, CAST(count(*) AS INTEGER) AS attempts, last(failure ORDER BY seq) AS failure,
+               last(failure_error ORDER BY seq) AS failure_error
+        FROM {verdicts} WHERE gate IS NOT NULL GROUP BY symbol"""
+
+
+def _dlq_after(failed: str) -> str:
+    return f"""
+        SELECT CASE WHEN d.id IS NULL THEN {_id('failed_ingestion', 'm.id', "'2002-01-01 06:30:00'")}
+               ELSE d.id END AS id,
+               coalesce(d.symbol_id, m.id) AS symbol_id, coalesce(d.raw_symbol, f.symbol) AS raw_symbol,
+               CASE WHEN f.symbol IS NULL THEN d.created_at ELSE {NOW} END AS created_at,
+               coalesce(f.failure, d.failure) AS failure,
+               coalesce(f.failure_error, d.failure_error) AS failure_error,
+               CASE WHEN f.symbol IS NULL THEN d.retry_after ELSE {NOW} + INTERVAL 1 HOUR END
+                   AS retry_after,
+               CAST(coalesce(d.attempts, 0) + coalesce(f.attempts, 0) AS INTEGER) AS attempts,
+               coalesce(d.attempts, 0) + coalesce(f.attempts, 0) >= 3 AS review_required
+        FROM ({failed} f JOIN membership m ON m.symbol = f.symbol)
+        FULL JOIN dlq d ON d.symbol_id = m.id"""
+
+
+def _returns(bars: str) -> str:
+    return f"""
+        SELECT *, CASE WHEN year(lag(date) OVER w) >= year(date) - 1 THEN lag(close) OVER w END
+                   AS prev_close,
+               ln(close) - ln(lag(close) OVER w) AS r, lag(date, 21) OVER w AS oldest
+        FROM {bars} WINDOW w AS (PARTITION BY symbol ORDER BY date)"""
+
+
+def _measured(returns: str) -> str:
+    return f"""
+        SELECT symbol, date, open, high, low, close, volume, prev_close,
+               CASE WHEN count(r) OVER w = 20 AND year(oldest) >= year(date) - 1
+                   THEN stddev_samp(r) OVER w END AS rolling_sd,
+               CASE WHEN count(r) OVER w = 20 AND year(oldest) >= year(date) - 1
+                   THEN avg(CAST(volume AS DOUBLE)) OVER w END AS rolling_avg_volume
+        FROM {returns}
+        WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"""
+
+
 VIEWS = {
     "ticks": """
         SELECT l_suppkey AS key, CAST(l_shipdate AS DATE) AS date,
@@ -79,7 +121,7 @@ VIEWS = {
     "returned_bars": _bars("returned_ticks", "CAST(sum(qty) AS BIGINT)"),
     "event_ticks": """
         SELECT user_id AS key, CAST(ts AS DATE) AS date, value AS price, row(ts, event_id) AS ord
-        FROM events WHERE value > 0""",
+        FROM events""",
     "event_bars": _bars("event_ticks", "CAST(round(sum(price) * 100) AS BIGINT)"),
     "corrections": "SELECT * FROM returned_bars UNION ALL SELECT * FROM event_bars",
     "merged": """
@@ -156,16 +198,33 @@ VIEWS = {
                 ELSE 'low ' || low || ' does not undercut open=' || open || ' close=' || close END
             END AS failure_error
         FROM judged""",
-    "returns": """
-        SELECT *, lag(close) OVER w AS prev_close, ln(close) - ln(lag(close) OVER w) AS r
-        FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date)""",
-    "measured": """
-        SELECT symbol, date, open, high, low, close, volume, prev_close,
-               CASE WHEN count(r) OVER w = 20 THEN stddev_samp(r) OVER w END AS rolling_sd,
-               CASE WHEN count(r) OVER w = 20 THEN avg(CAST(volume AS DOUBLE)) OVER w END
-                   AS rolling_avg_volume
-        FROM returns
-        WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)""",
+    "returns": _returns("bars"),
+    "measured": _measured("returns"),
+    "late": """
+        SELECT * FROM verdicts
+        WHERE seq >= date_diff('day', DATE '1970-01-01', DATE '2001-06-01')""",
+    "late_bars": """
+        SELECT symbol, date, open, high, low, close, CAST(trunc(volume) AS BIGINT) AS volume
+        FROM late WHERE gate IS NULL""",
+    "after_bars": """
+        SELECT * FROM late_bars UNION ALL
+        SELECT symbol, date, round(open * 100), round(high * 100), round(low * 100), round(close * 100),
+               volume
+        FROM bars WHERE date < DATE '2001-06-01'""",
+    "after_returns": _returns("after_bars"),
+    "after_measured": _measured("after_returns"),
+    "late_measured": "SELECT * FROM after_measured WHERE date >= DATE '2001-06-01'",
+    "listed": """
+        SELECT DISTINCT symbol FROM universe_membership um JOIN membership m ON um.membership_id = m.id
+        WHERE exit_date IS NULL""",
+    "late_failed": _failed("late"),
+    "after_dlq": f"""
+        SELECT * FROM ({_dlq_after('late_failed')})
+        WHERE symbol_id NOT IN (SELECT m.id FROM late_bars b JOIN membership m ON m.symbol = b.symbol)""",
+    "after_counts": f"""
+        SELECT (SELECT count(*) FROM late_bars) AS written,
+               (SELECT nullif(count(*), 0) FROM listed) AS attempted,
+               (SELECT count(*) FROM after_dlq WHERE created_at >= {NOW}) AS queued""",
     "last21": """
         SELECT symbol, date, close, volume, r FROM (
             SELECT *, ln(close) - ln(lag(close) OVER (PARTITION BY symbol ORDER BY date)) AS r,
@@ -179,7 +238,8 @@ VIEWS = {
                CASE WHEN m.id IS NOT NULL THEN 0.5 END AS rolling_sd,
                CASE WHEN m.id IS NOT NULL THEN CAST(length(e.symbol) AS DOUBLE) END
                    AS rolling_avg_volume
-        FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS prev_close,
+        FROM (SELECT *, CASE WHEN year(lag(date) OVER (PARTITION BY symbol ORDER BY date)) >= year(date) - 1
+                         THEN lag(close) OVER (PARTITION BY symbol ORDER BY date) END AS prev_close,
                      row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS nth
               FROM event_bars) e
         LEFT JOIN membership m ON m.symbol = e.symbol WHERE nth = 1""",
@@ -249,10 +309,7 @@ VIEWS = {
                      {LISTED} + to_days(CAST(c_nationkey AS INTEGER)) AS created_at,
                      c_nationkey AS attempts
               FROM customer WHERE c_acctbal < 0)""",
-    "failed": """
-        SELECT symbol, CAST(count(*) AS INTEGER) AS attempts, last(failure ORDER BY seq) AS failure,
-               last(failure_error ORDER BY seq) AS failure_error
-        FROM verdicts WHERE gate IS NOT NULL GROUP BY symbol""",
+    "failed": _failed("verdicts"),
     "runs": f"""
         SELECT 'run-' || o_orderkey AS id,
                CASE WHEN o_orderpriority = '1-URGENT' THEN 'prices' ELSE 'universes' END AS dag_id,
@@ -430,19 +487,7 @@ SQL = {
         FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS orders FROM orders GROUP BY 1)""",
     "union_chunks": f"""
         SELECT {_BAR} FROM (SELECT * FROM bars UNION ALL SELECT * FROM event_bars)""",
-    "dlq_upsert": f"""
-        SELECT CASE WHEN d.id IS NULL THEN {_id('failed_ingestion', 'm.id', "'2002-01-01 06:30:00'")}
-               ELSE d.id END AS id,
-               coalesce(d.symbol_id, m.id) AS symbol_id, coalesce(d.raw_symbol, f.symbol) AS raw_symbol,
-               CASE WHEN f.symbol IS NULL THEN d.created_at ELSE {NOW} END AS created_at,
-               coalesce(f.failure, d.failure) AS failure,
-               coalesce(f.failure_error, d.failure_error) AS failure_error,
-               CASE WHEN f.symbol IS NULL THEN d.retry_after ELSE {NOW} + INTERVAL 1 HOUR END
-                   AS retry_after,
-               CAST(coalesce(d.attempts, 0) + coalesce(f.attempts, 0) AS INTEGER) AS attempts,
-               coalesce(d.attempts, 0) + coalesce(f.attempts, 0) >= 3 AS review_required
-        FROM (failed f JOIN membership m ON m.symbol = f.symbol)
-        FULL JOIN dlq d ON d.symbol_id = m.id""",
+    "dlq_upsert": _dlq_after("failed"),
     "dlq_clear": """
         SELECT * FROM dlq WHERE symbol_id NOT IN (
             SELECT m.id FROM membership m JOIN bars b ON b.symbol = m.symbol)""",
@@ -464,6 +509,63 @@ SQL = {
                records_processed, records_failed, coalesce(n.error, notes) AS notes
         FROM runs r LEFT JOIN notes n ON n.id = r.id""",
     "latest_runs": "SELECT * FROM runs ORDER BY started_at DESC, id DESC LIMIT 5",
+    "weekly_membership": "SELECT * FROM membership_after",
+    "daily_flags": f"""
+        SELECT * FROM ({_flag_row('(' + _annotated('late_measured', 2.0, 1.5, 2.0) + ')', 'run-2002-01-01')})""",
+    "daily_dlq": "SELECT * FROM after_dlq",
+    "daily_baselines": f"""
+        SELECT {_id('volatility_rolling', 'm.id')} AS id, m.id AS symbol_id,
+               m.created_at, CASE WHEN n.symbol IS NULL THEN m.updated_at ELSE {NOW} END AS updated_at,
+               round(coalesce(n.sd, 0.5), 6) AS rolling_sd,
+               round(coalesce(n.av, CAST(length(m.symbol) AS DOUBLE)), 6) AS rolling_avg_volume
+        FROM membership m LEFT JOIN (
+            SELECT symbol, stddev_samp(r) FILTER (nth <= 20) AS sd,
+                   avg(CAST(volume AS DOUBLE)) FILTER (nth <= 20) AS av
+            FROM (SELECT *, ln(close) - ln(lag(close) OVER (PARTITION BY symbol ORDER BY date)) AS r,
+                         row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS nth
+                  FROM after_bars WHERE year(date) IN (2000, 2001))
+            WHERE nth <= 21 AND symbol IN (SELECT symbol FROM listed)
+            GROUP BY symbol HAVING count(*) >= 21) n ON n.symbol = m.symbol""",
+    "daily_log": f"""
+        SELECT 'run-2002-01-01' AS id, 'prices_daily' AS dag_id, {AS_OF} AS run_date,
+               CASE WHEN written = 0 THEN 'FAILED'
+                    WHEN attempted IS NULL THEN CASE WHEN queued = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END
+                    WHEN written < attempted OR queued > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status,
+               {NOW} AS started_at, {NOW} AS completed_at,
+               CAST(written AS INTEGER) AS records_processed,
+               CAST(CASE WHEN attempted IS NULL THEN queued
+                    ELSE greatest(attempted - written, 0) END AS INTEGER) AS records_failed,
+               CAST(NULL AS VARCHAR) AS notes
+        FROM after_counts""",
+    "daily_report": f"""
+        SELECT 'run-2002-01-01' AS id,
+               (SELECT count(*) FROM ({_annotated('late_measured', 2.0, 1.5, 2.0)}) WHERE rules <> '')
+                   AS flagged,
+               (SELECT count(*) FROM ({_annotated('late_measured', 2.0, 1.5, 2.0)}) WHERE checks_run = 0)
+                   AS unvalidated,
+               (SELECT count(*) FROM late_bars WHERE symbol NOT IN (SELECT symbol FROM membership))
+                   AS unknown_bars,
+               CAST(0 AS BIGINT) AS duplicate_bars,
+               attempted IS NOT NULL AND greatest(attempted - written, 0) <> queued AS dlq_mismatch
+        FROM after_counts""",
+    "failure_list": """
+        SELECT raw_symbol, failure, attempts FROM after_dlq
+        WHERE review_required AND attempts >= 3 ORDER BY attempts DESC, raw_symbol""",
+    "sql_prices": """
+        SELECT symbol, count(*) AS bars, max(close) AS top FROM after_bars
+        WHERE date >= DATE '2001-01-01' GROUP BY symbol""",
+    "run_start": f"""
+        SELECT * FROM runs UNION ALL
+        SELECT 'run-2002-01-01', 'prices_daily', {AS_OF}, 'RUNNING', {NOW}, NULL, 0, 0, NULL""",
+    "keyed_upsert": """
+        SELECT coalesce(b.symbol, c.symbol) AS symbol, coalesce(b.date, c.date) AS date,
+               coalesce(b.open, c.open) AS open, coalesce(b.high, c.high) AS high,
+               coalesce(b.low, c.low) AS low, coalesce(c.close, b.close) AS close,
+               CAST(coalesce(b.volume, 0) + coalesce(c.volume, 0) AS BIGINT) AS volume
+        FROM bars b FULL JOIN corrections c ON b.symbol = c.symbol AND b.date = c.date""",
+    "merge_refused": """
+        SELECT key, date, count(*) AS copies FROM ticks GROUP BY key, date HAVING count(*) > 1""",
+    "price_store_retry": f"SELECT {_BAR}, CAST(year(date) AS INTEGER) AS year FROM merged",
     "audit_unique": """
         SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",

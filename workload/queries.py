@@ -11,7 +11,7 @@ from closingbell.operators import runs as run_log
 from closingbell.operators import stats, universe
 from closingbell.plans import daily, weekly
 from closingbell.session import work_folder
-from closingbell.sources import prices, tickers
+from closingbell.sources import prices, tables, tickers
 from closingbell.sources.payloads import FIELDS, parse_candles
 from closingbell.sources.tables import Store
 from workload.views import AS_OF, NOW, RUN_ID, Views
@@ -254,7 +254,7 @@ def _gate(name: str) -> Callable[[Views], DataFrame]:
 def ingest_gate(v: Views) -> DataFrame:
     gated = gates.gate_payloads(v.landing(), v.calendar())
     return gated.select(
-        "symbol", "seq", "date", *FIELDS, "reject.gate", "reject.failure", "reject.failure_error"
+        "symbol", "seq", "date", *FIELDS, "gate", "failure", "failure_error"
     )
 
 
@@ -309,11 +309,109 @@ def daily_run(v: Views) -> DataFrame:
 
 def weekly_run(v: Views) -> DataFrame:
     """A snapshot applied to the stored universes; the membership history it leaves."""
+    return _weekly(v).read("universe_membership")
+
+
+def weekly_membership(v: Views) -> DataFrame:
+    return _weekly(v).read("membership")
+
+
+def _weekly(v: Views) -> Store:
     store = _listed_store(v, "weekly")
     snapshot = work_folder(v.spark, "snapshot")
     v.tickers().write.option("header", True).csv(snapshot)
     weekly.run_weekly(store, snapshot, RUN_ID, AS_OF, NOW)
-    return store.read("universe_membership")
+    return store
+
+
+# What a run leaves, per application and folder: several queries look at the same run.
+_AFTER: dict[tuple[str, str], tuple[Store, DataFrame]] = {}
+
+
+def _after_run(v: Views) -> tuple[Store, DataFrame]:
+    """A store that holds history, failures and baselines, after a run over the late sessions."""
+    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    if key not in _AFTER:
+        store = _listed_store(v, "after-run")
+        store.write("volatility_rolling", v.volatility())
+        store.write("failed_ingestion", v.dlq())
+        prices.upsert_prices(v.spark, store.prices, _stored(v, v.history(), "history"), "history")
+        landing = _stored(v, v.late_landing(), "late-landing")
+        report = daily.run_daily(store, landing, v.calendar(), RUN_ID, AS_OF, NOW, TIGHT)
+        _AFTER[key] = store, _stored(v, report, "report")
+    return _AFTER[key]
+
+
+def daily_flags(v: Views) -> DataFrame:
+    stored = _after_run(v)[0].read("ohlcv_flag")
+    return _rounded(stored.withColumn("rules", _joined("rules")), *DOUBLES)
+
+
+def daily_dlq(v: Views) -> DataFrame:
+    return _after_run(v)[0].read("failed_ingestion")
+
+
+def daily_baselines(v: Views) -> DataFrame:
+    return _rounded(
+        _after_run(v)[0].read("volatility_rolling"), "rolling_sd", "rolling_avg_volume"
+    )
+
+
+def daily_log(v: Views) -> DataFrame:
+    return _after_run(v)[0].read("pipeline_run")
+
+
+def daily_report(v: Views) -> DataFrame:
+    return _after_run(v)[1].select("id", *daily.COUNTS)
+
+
+def failure_list(v: Views) -> DataFrame:
+    """Failures that somebody has to look at, the most tried first."""
+    return _after_run(v)[0].sql(
+        "SELECT raw_symbol, failure, attempts FROM failed_ingestion"
+        " WHERE review_required AND attempts >= :least ORDER BY attempts DESC, raw_symbol",
+        least=3,
+    )
+
+
+def sql_prices(v: Views) -> DataFrame:
+    """A query by name over the stored prices, with a bound parameter."""
+    return _after_run(v)[0].sql(
+        "SELECT symbol, count(*) AS bars, max(close) AS top FROM prices"
+        " WHERE date >= :since GROUP BY symbol",
+        since="2001-01-01",
+    )
+
+
+def run_start(v: Views) -> DataFrame:
+    return run_log.start_run(v.spark, v.runs(), RUN_ID, daily.DAG_ID, AS_OF, NOW)
+
+
+def keyed_upsert(v: Views) -> DataFrame:
+    """On a stored bar only the close changes, and volumes add up."""
+    update = {"close": F.col("new.close"), "volume": F.col("old.volume") + F.col("new.volume")}
+    return keyed.upsert(v.bars(), v.corrections(), ["symbol", "date"], update)
+
+
+def merge_refused(v: Views) -> DataFrame:
+    """Keys for which ticks are no source of a merge into bars."""
+    return keyed.duplicate_keys(v.ticks(), ["key", "date"])
+
+
+def price_store_retry(v: Views) -> DataFrame:
+    """A merge that died after removing the years it replaces, and the same merge again."""
+    root = work_folder(v.spark, "price-retry")
+    prices.upsert_prices(v.spark, root, _stored(v, v.bars(), "bars"), "first")
+    batch = _stored(v, v.corrections(), "corrections")
+    prices.upsert_prices(v.spark, root, batch, "second")
+    live = prices.live_path(root)
+    tables.note_pending(v.spark, live, prices.stage_path(root, "second"), "year")
+    lost = prices.read_stage(v.spark, root, "second").select("year").distinct()
+    for row in lost.collect():  # one per year
+        nothing = v.spark.createDataFrame([], v.bars().schema)
+        nothing.write.mode("overwrite").parquet(f"{live}/year={row.year}")
+    prices.upsert_prices(v.spark, root, batch, "second")
+    return prices.read_prices(v.spark, root)
 
 
 def _listed_store(v: Views, name: str) -> Store:
@@ -404,6 +502,18 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "latest_runs": latest_runs,
     "daily_run": daily_run,
     "weekly_run": weekly_run,
+    "weekly_membership": weekly_membership,
+    "daily_flags": daily_flags,
+    "daily_dlq": daily_dlq,
+    "daily_baselines": daily_baselines,
+    "daily_log": daily_log,
+    "daily_report": daily_report,
+    "failure_list": failure_list,
+    "sql_prices": sql_prices,
+    "run_start": run_start,
+    "keyed_upsert": keyed_upsert,
+    "merge_refused": merge_refused,
+    "price_store_retry": price_store_retry,
     "audit_unique": audit_unique,
     "audit_active_unique": audit_active_unique,
     "audit_values": audit_values,

@@ -19,6 +19,7 @@ NOW = "2002-01-01 06:30:00"
 LISTED = "1995-01-02 00:00:00"
 AS_OF = "2001-12-31"
 RUN_ID = "run-2002-01-01"
+RUN_FROM = "2001-06-01"
 
 
 class Views:
@@ -39,7 +40,9 @@ class Views:
             F.to_date("l_shipdate").alias("date"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
             F.col("l_quantity").alias("qty"),
-            F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("ord"),
+            # order, line, part and price in one number: a bar folds in a hash table, no sort
+            _packed((F.col("l_orderkey"), 12), (F.col("l_linenumber"), 2), (F.col("l_partkey"), 10),
+                    (F.round(F.col("l_extendedprice") * 100), 12)).alias("ord"),
             "l_returnflag",
         )
 
@@ -48,11 +51,11 @@ class Views:
         return _to_bars(ticks, F.sum("qty").cast("bigint"))
 
     def event_bars(self) -> DataFrame:
-        ticks = self.table("events").filter("value > 0").select(
+        ticks = self.table("events").select(
             F.col("user_id").alias("key"),
             F.to_date("ts").alias("date"),
             F.col("value").alias("price"),
-            F.struct("ts", "event_id").alias("ord"),
+            _packed((F.unix_micros(F.col("ts").cast("timestamp")), 18), (F.col("event_id"), 18)).alias("ord"),
         )
         return _to_bars(ticks, F.round(F.sum("price") * 100).cast("bigint"))
 
@@ -61,6 +64,17 @@ class Views:
         returned = self.bars(self.ticks().filter("l_returnflag = 'R'"))
         return returned.unionByName(self.event_bars())
 
+    def history(self) -> DataFrame:
+        """Bars stored before the sessions that a run is given, in the vendor's cents."""
+        cents = [F.round(F.col(c) * 100).alias(c) for c in ("open", "high", "low", "close")]
+        early = self.bars().filter(F.col("date") < F.lit(RUN_FROM).cast("date"))
+        return early.select("symbol", "date", *cents, "volume")
+
+    def late_landing(self) -> DataFrame:
+        """Payloads of the sessions from ``RUN_FROM`` on."""
+        first = F.datediff(F.lit(RUN_FROM).cast("date"), F.lit("1970-01-01").cast("date"))
+        return self.landing().filter(F.col("seq") >= first)
+
     def prices(self) -> DataFrame:
         return self.bars().withColumn("year", F.year("date"))
 
@@ -265,6 +279,15 @@ class Views:
         )
 
 
+def _packed(*parts: tuple[Column, int]) -> Column:
+    """Whole numbers of at most so many digits as one decimal that sorts as they do in turn."""
+    number = F.lit(0).cast("decimal(1,0)")
+    for value, digits in parts:
+        shift = F.lit("1" + "0" * digits).cast(f"decimal({digits + 1},0)")
+        number = (number * shift + value.cast(f"decimal({digits},0)")).cast("decimal(38,0)")
+    return number
+
+
 def _symbol(key: str) -> Column:
     return F.concat(F.lit("T/"), F.col(key).cast("string")).alias("symbol")
 
