@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -28,6 +28,10 @@ NO_ID = np.int64(2**63 - 1)
 # The separators of words: space and the ASCII controls tab to carriage return.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Stops that end a word, and the letters they end it behind.
+STOPS, LETTERS = np.zeros(256, bool), np.zeros(256, bool)
+STOPS[[ord(c) for c in ".,;:!?"]] = True
+LETTERS[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -269,6 +273,65 @@ def known(lookup: Lookup, key: np.ndarray, sub: np.ndarray) -> np.ndarray:
     return (lookup.key[at] == key) & (lookup.sub[at] == sub)
 
 
+# -- ids of words ----------------------------------------------------------------------
+
+
+class WordIds:
+    """Ids of the distinct words seen so far, as arrays: hashes, sorted, and where the ids stand.
+
+    ``learn`` gives the ids of new words. Past ``most`` words all are forgotten.
+    """
+
+    def __init__(self, learn: Callable[[list[bytes]], list], most: int = 2_000_000):
+        self.learn, self.most = learn, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.start = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint16)
+
+    def _add(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        found = self.learn(words)
+        length = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter((i for f in found for i in f), np.uint16, int(length.sum()))
+        start = np.cumsum(length) - length + len(self.ids)
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.start = np.insert(self.start, at, start)
+        self.length = np.insert(self.length, at, length)
+        self.ids = np.concatenate([self.ids, ids])
+
+    def encode(
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, end: int | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows' words, and the number of ids of each row.
+
+        ``bounds``: words up to the end of each row. ``end``: an id to put behind each row.
+        """
+        distinct, first, inverse = np.unique(
+            word_hashes(data, starts, ends), return_index=True, return_inverse=True
+        )
+        if len(self.hashes) > self.most:
+            self._forget()
+        at = np.searchsorted(self.hashes, distinct)
+        known = at < len(self.hashes)
+        known[known] = self.hashes[at[known]] == distinct[known]
+        new = np.flatnonzero(~known)
+        raw = data.tobytes()
+        spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+        self._add(distinct[new], [raw[a:b] for a, b in spans])
+        word = np.searchsorted(self.hashes, distinct)[inverse]
+        length, start = self.length[word], self.start[word]
+        ids, last = self.ids, np.asarray(bounds)
+        if end is not None:  # the end id stands behind all others
+            length, start = np.insert(length, bounds, 1), np.insert(start, bounds, len(ids))
+            ids = np.append(ids, np.uint16(end))
+            last = last + np.arange(1, len(last) + 1)
+        picked = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+        total = np.concatenate([[0], np.cumsum(length)])[last]
+        return ids[picked], np.diff(total, prepend=0)
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the session's Python workers, once per application."""
     context = spark.sparkContext

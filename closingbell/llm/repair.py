@@ -43,10 +43,6 @@ LAYOUT = (
     "part int, shard int, n_ids long, doc_ids binary, ends binary, sizes binary, rules binary, spans binary, "
     "symbols binary"
 )
-_STOPS = np.zeros(256, bool)
-_STOPS[[ord(c) for c in ".,;:!?"]] = True
-_LETTERS = np.zeros(256, bool)
-_LETTERS[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1)]] = True
 _BINARIES = ("doc_ids", "ends", "sizes", "rules", "spans", "symbols")
 
 
@@ -59,7 +55,6 @@ class WordTokenizer:
     The tokenizer's pattern never matches across white space and normalising doesn't reach across
     it either, so the ids of a text are those of its runs between ASCII white space; nor across
     the border of an ASCII letter and the stops that end a word, so those are words of their own.
-    What is known is kept as arrays: hashes of words, sorted, and their ids one after the other.
     """
 
     def __init__(self, path: str):
@@ -70,11 +65,7 @@ class WordTokenizer:
         self.ends_word = np.zeros(1 << 16, bool)
         for token, i in self.library.get_vocab().items():
             self.ends_word[i] = token.endswith("</w>")
-        self._forget()
-
-    def _forget(self) -> None:
-        self.hashes, self.start = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint16)
+        self.known = common.WordIds(self._encoded, KEPT_WORDS)
 
     @staticmethod
     def _spans(data: np.ndarray, offsets: np.ndarray):
@@ -83,19 +74,20 @@ class WordTokenizer:
         stops = np.zeros(len(starts), np.int64)
         more = np.arange(len(starts))
         for _ in range(9):
-            more = more[_STOPS[data[ends[more] - 1 - stops[more]]]]
+            more = more[common.STOPS[data[ends[more] - 1 - stops[more]]]]
             stops[more] += 1
             more = more[ends[more] - stops[more] > starts[more]]
         split = (stops > 0) & (stops < 9) & (ends - stops > starts)
-        split[split] = _LETTERS[data[(ends - stops)[split] - 1]]
+        split[split] = common.LETTERS[data[(ends - stops)[split] - 1]]
         at = np.flatnonzero(split)
         cut = (ends - stops)[at]
         ends[at], last = cut, ends[at]
         return np.insert(starts, at + 1, cut), np.insert(ends, at + 1, last), np.insert(row, at + 1, row[at])
 
-    def _encoded(self, words: list[str]) -> list[list[int]]:
+    def _encoded(self, found_words: list[bytes]) -> list[list[int]]:
         """Ids of distinct words. Letters alone are one match of the pattern, so they go to the
         library in lines and are told apart by the tokens that end a word."""
+        words = [word.decode("utf-8", "replace") for word in found_words]
         found: list[list[int]] = [[]] * len(words)
         plain = [i for i, w in enumerate(words) if w.isascii() and w.isalpha()]
         lines = [plain[i : i + 1000] for i in range(0, len(plain), 1000)]
@@ -114,40 +106,11 @@ class WordTokenizer:
             found[i] = encoding.ids
         return found
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = self._encoded(words)
-        length = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for f in found for i in f), np.uint16, int(length.sum()))
-        start = np.cumsum(length) - length + len(self.ids)
-        at = np.searchsorted(self.hashes, hashes)
-        self.hashes = np.insert(self.hashes, at, hashes)
-        self.start = np.insert(self.start, at, start)
-        self.length = np.insert(self.length, at, length)
-        self.ids = np.concatenate([self.ids, ids])
-
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of ids of each."""
         starts, ends, row = self._spans(data, offsets)
-        hashes = common.word_hashes(data, starts, ends)
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) > KEPT_WORDS:
-            self._forget()
-        at = np.searchsorted(self.hashes, distinct)
-        known = at < len(self.hashes)
-        known[known] = self.hashes[at[known]] == distinct[known]
-        new = np.flatnonzero(~known)
-        raw = data.tobytes()
-        spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-        self._learn(distinct[new], [raw[a:b].decode("utf-8", "replace") for a, b in spans])
-        word = np.searchsorted(self.hashes, distinct)[inverse]
-        rows = len(offsets) - 1
-        bounds = np.searchsorted(row, np.arange(1, rows + 1))
-        length = np.insert(self.length[word], bounds, 1)
-        start = np.insert(self.start[word], bounds, len(self.ids))  # the end id stands behind all others
-        at = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-        ids = np.append(self.ids, np.uint16(end))[at]
-        total = np.concatenate([[0], np.cumsum(length)])[bounds + np.arange(1, rows + 1)]
-        return ids, np.diff(total, prepend=0)
+        bounds = np.searchsorted(row, np.arange(1, len(offsets)))
+        return self.known.encode(data, starts, ends, bounds, end)
 
 
 _LOADED: dict[str, WordTokenizer] = {}

@@ -14,9 +14,9 @@ itself encodes. Characters without a piece become byte pieces.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +30,7 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 BATCH_BYTES = 4 << 20
 #: Words whose ids a worker keeps between batches.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_500_000
 
 
 class Viterbi:
@@ -44,14 +44,16 @@ class Viterbi:
         self.id = {model.id_to_piece(i): i for i in normal}
         self.score = {model.id_to_piece(i): model.get_score(i) for i in normal}
         self.byte_ids = {int(model.id_to_piece(i)[3:-1], 16): i for i in ids if model.is_byte(i)}
-        self.plain = [self._bytes_of(i) for i in ids]
         joined = {a + b for piece in self.id for a, b in zip(piece, piece[1:])}
-        split = "" if any("\n" in pair for pair in joined) else "\n"
-        # no piece holds a mark behind another character, so words part there; nor a line feed
-        self.parted = re.compile(f"{MARK}*[^{MARK}{split}]+|{MARK}+|{split or '(?!)'}")
+        # texts part where no piece reaches across: before a mark, around a line feed, and between
+        # an ASCII letter and a stop
+        self.parts_lines = not any("\n" in pair for pair in joined)
+        self.parts_stops = not any(common.LETTERS[ord(a)] and common.STOPS[ord(b)] for a, b in joined if (a + b).isascii())
+        if any(b == MARK and a != MARK for a, b in joined):
+            raise ValueError("a piece of the model holds a space inside")
         self.splits: dict[str, tuple[str, str] | None] = {}
         self.stands: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.known = common.WordIds(self._learn, KEPT_WORDS)
         # the pieces that merges reach, as a trie from their last character on
         self.backwards: dict = {}
         for piece in self.id:
@@ -61,13 +63,6 @@ class Viterbi:
                     node = node.setdefault(c, {})
                 node[""] = piece
 
-    def _bytes_of(self, i: int) -> bytes:
-        if self.model.is_byte(i):
-            return bytes([int(self.model.id_to_piece(i)[3:-1], 16)])
-        if self.model.is_control(i) or self.model.is_unknown(i):
-            return b""
-        return self.model.id_to_piece(i).replace(MARK, " ").encode()
-
     def _last_merge(self, piece: str) -> tuple[str, str] | None:
         """The two pieces that the last merge of a piece joins; None for one character.
 
@@ -153,62 +148,98 @@ class Viterbi:
             yield word, pieces[::-1], forward[-1]
             before = word
 
-    def _ids(self, pieces: list[str]) -> bytes:
+    def _ids(self, pieces: list[str]) -> list[int]:
         ids: list[int] = []
         for piece in pieces:
             if piece in self.id:
                 ids.append(self.id[piece])
             else:
                 ids.extend(self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass"))
-        return np.array(ids, np.int32).tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        """Encode the words not known yet. Runs of marks hold pieces of equal score, which the
-        library's own order decides; it encodes the few words that begin with one."""
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        new = sorted(words - self.known.keys())
-        for word, pieces, _ in self.walk([w for w in new if not w.startswith(MARK * 2)]):
-            self.known[word] = self._ids(pieces)
-        for word in new:
-            if word.startswith(MARK * 2):  # the library puts the first mark itself
-                self.known[word] = np.array(self.model.encode(word[1:].replace(MARK, " "), num_threads=1), np.int32).tobytes()
-
-    def words(self, text: str) -> list[str]:
-        return self.parted.findall(MARK + text.replace(" ", MARK)) if text else []
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts."""
-        split = [self.words(text) for text in texts]
-        self.learn(set().union(*split))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32) for words in split]
-
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids: pieces one after the other, without the mark before the first word."""
-        raw = b"".join(map(self.plain.__getitem__, ids))
-        return raw.removeprefix(b" ").decode("utf-8", "replace")
+        return ids
+
+    def _learn(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of distinct words. Runs of marks hold pieces of equal score, which the library's own
+        order decides; it encodes the few words that have one."""
+        marked = [word.decode("utf-8", "replace").replace(" ", MARK) for word in words]
+        found = {w: self._ids(pieces) for w, pieces, _ in self.walk(sorted({w for w in marked if MARK * 2 not in w}))}
+        for word in marked:
+            if word not in found:
+                # the library puts a mark first: in front of the line feed it stands alone
+                found[word] = self.model.encode("\n" + word.replace(MARK, " "), num_threads=1)[2:]
+        return [found[w] for w in marked]
+
+    def _spans(self, data: np.ndarray, offsets: np.ndarray):
+        """The texts with a space in front of each, and the words that they part into."""
+        mark = MARK.encode()
+        raw = data.tobytes()
+        if mark in raw:  # a text's own mark reads as a space
+            at = offsets.tolist()
+            rows = [raw[a:b].replace(mark, b" ") for a, b in zip(at, at[1:])]
+            data = np.frombuffer(b"".join(rows), np.uint8)
+            offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])])
+        filled = np.flatnonzero(np.diff(offsets))
+        data = np.insert(data, offsets[:-1][filled], 0x20)
+        offsets = offsets.copy()
+        offsets[1:] += np.cumsum(np.bincount(filled, minlength=len(offsets) - 1))
+        begins = np.zeros(len(data), bool)
+        space = data == 0x20
+        begins[1:] = space[1:] & ~space[:-1]
+        if self.parts_lines:
+            line = data == 0x0A
+            begins |= line
+            begins[1:] |= line[:-1]
+        if self.parts_stops:
+            begins[1:] |= common.STOPS[data[1:]] & common.LETTERS[data[:-1]]
+        begins[offsets[:-1][filled]] = True
+        starts = np.flatnonzero(begins)
+        return data, starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets[1:])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, given as bytes, and the number of ids of each."""
+        return self.known.encode(*self._spans(data, offsets))
+
+
+class Decoder:
+    """Texts of ids: pieces one after the other, without the mark before the first word."""
 
+    def __init__(self, path: str):
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = []
+        for i in range(model.get_piece_size()):
+            piece = model.id_to_piece(i)
+            if model.is_byte(i):
+                pieces.append(bytes([int(piece[3:-1], 16)]))
+            else:
+                drop = model.is_control(i) or model.is_unknown(i)
+                pieces.append(b"" if drop else piece.replace(MARK, " ").encode())
+        self.length = np.array([len(p) for p in pieces], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.all = np.frombuffer(b"".join(pieces), np.uint8)
 
-_LOADED: dict[str, Viterbi] = {}
+    def __call__(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """``bounds``: ids up to the end of each text."""
+        length = self.length[ids]
+        reach = np.cumsum(length)
+        raw = self.all[np.repeat(self.start[ids] - (reach - length), length) + np.arange(int(length.sum()))].tobytes()
+        ends = np.concatenate([[0], reach])[bounds].tolist()
+        return [raw[a:b].removeprefix(b" ").decode("utf-8", "replace") for a, b in zip([0, *ends], ends)]
 
 
-def loaded(path: str) -> Viterbi:
-    """The model, once per worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Viterbi(path)
-    return _LOADED[path]
+@cache
+def loaded(kind: type, path: str | None):
+    """The model for one use, once per worker."""
+    return kind(path or public_tokenizers.path(MODEL))
 
 
 def _encoded(path: str | None):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        viterbi = loaded(path or public_tokenizers.path(MODEL))
+        viterbi = loaded(Viterbi, path)
         for batch in batches:
-            _, offsets = common.text_bytes(batch["text"])
+            data, offsets = common.text_bytes(batch["text"])
             for lo, hi in common.slices(offsets, BATCH_BYTES):
-                ids = viterbi.encode(batch["text"].slice(lo, hi - lo).to_pylist())
-                at = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                values = np.concatenate([np.zeros(0, np.int32), *ids])
-                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(values))
+                ids, size = viterbi.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch["row"].slice(lo, hi - lo), lists], ["row", "ids"])
 
     return found
@@ -216,17 +247,18 @@ def _encoded(path: str | None):
 
 def _decoded(path: str | None):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        viterbi = loaded(path or public_tokenizers.path(MODEL))
+        decoder = loaded(Decoder, path)
         for batch in batches:
-            ids = batch["ids"]
-            flat, at = ids.values.to_pylist(), ids.offsets.to_pylist()
-            text = [viterbi.decode(flat[a:b]) for a, b in zip(at, at[1:])]
-            raw = ids.values.to_numpy()
-            digest = [zlib.crc32(raw[a:b].astype("<u4").tobytes()) for a, b in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch["row"], ids, pa.array(text, pa.string()), pa.array(digest, pa.int64())],
-                ["row", "ids", "decoded", "ids_crc32"],
-            )
+            lists, at = batch["ids"], batch["ids"].offsets.to_numpy().astype(np.int64)
+            values = lists.values.to_numpy()
+            for lo, hi in common.slices(at, BATCH_BYTES):
+                ids, bounds = values[at[lo] : at[hi]], at[lo + 1 : hi + 1] - at[lo]
+                begins = [0, *bounds.tolist()]
+                raw = ids.astype("<u4").tobytes()
+                digest = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begins, begins[1:])]
+                kept = [batch["row"].slice(lo, hi - lo), lists.slice(lo, hi - lo)]
+                made = [pa.array(decoder(ids, bounds), pa.string()), pa.array(digest, pa.int64())]
+                yield pa.RecordBatch.from_arrays(kept + made, ["row", "ids", "decoded", "ids_crc32"])
 
     return found
 
