@@ -176,8 +176,8 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-_AT_BITS = np.uint64(27)
-_AT_MASK = np.uint64((1 << 27) - 1)
+#: Positions take 31 bits, as many as the longest string has bytes; the others order the hashes.
+_AT_MASK = np.uint64((1 << 31) - 1)
 
 
 def anchored(grams: np.ndarray, row: np.ndarray, gram: int, window: int):
@@ -191,8 +191,6 @@ def anchored(grams: np.ndarray, row: np.ndarray, gram: int, window: int):
     if items < window:
         none = np.zeros(0, np.int64)
         return none, none, none
-    if items > int(_AT_MASK):
-        raise ValueError(f"a single text of {items} items; the limit is {int(_AT_MASK)}")
     at = np.arange(len(grams), dtype=np.uint64)
     least = sliding_min((grams & ~_AT_MASK) | at, window - gram + 1)[: items - window + 1]
     anchor = (least & _AT_MASK).astype(np.int64)

@@ -63,14 +63,14 @@ class RunLengthIndex:
         self.data = data
         depth = 7
         order, rank = self._ranked(key)
-        self.levels.append((depth, rank))
+        self.levels.append((depth, rank.astype(np.int32)))
         while depth < longest:
             ahead = np.zeros(n, np.int64)
             ahead[: n - depth] = rank[depth:]
             ahead[self.left <= depth] = 0
             order, rank = self._ranked((rank << 32) | ahead)
             depth *= 2
-            self.levels.append((depth, rank))
+            self.levels.append((depth, rank.astype(np.int32)))
         # equal suffixes of different strings: the sentinels decide, by position
         self.order = np.argsort((rank << 32) | np.arange(n), kind="stable")
         before = np.where(np.concatenate([[True], self.left[:-1] == 1]), -1, np.roll(data, 1).astype(np.int64))
