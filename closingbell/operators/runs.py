@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from closingbell import schemas
-from closingbell.operators import keyed
 
 
 # The stored log: a row for each state a run went through, numbered per run.
@@ -38,10 +37,21 @@ def new_run(spark: SparkSession, run_id: str, dag_id: str, run_date, now) -> Dat
     return schemas.conform(row, "pipeline_run", now)
 
 
+def first_state(
+    spark: SparkSession, runs: DataFrame, run_id: str, dag_id: str, run_date, now
+) -> DataFrame:
+    """``new_run`` for a run that the log doesn't know, else no row."""
+    known = runs.filter(F.col("id") == run_id).withColumn("__known", F.lit(True))
+    new = new_run(spark, run_id, dag_id, run_date, now).withColumn("__known", F.lit(False))
+    either = known.unionByName(new).orderBy(F.desc("__known")).limit(1)
+    return either.filter(~F.col("__known")).drop("__known")
+
+
 def start_run(
     spark: SparkSession, runs: DataFrame, run_id: str, dag_id: str, run_date, now
 ) -> DataFrame:
-    return keyed.insert_absent(runs, new_run(spark, run_id, dag_id, run_date, now), ["id"])
+    """The log with a run that it may know already: a known one stays as it is."""
+    return runs.unionByName(first_state(spark, runs, run_id, dag_id, run_date, now))
 
 
 def derive_status(outcomes: DataFrame) -> DataFrame:

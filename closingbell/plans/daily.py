@@ -37,8 +37,9 @@ def run_daily(
     """
     spark = store.spark
     store.settle()
-    started = runs.new_run(spark, run_id, DAG_ID, as_of, now)
-    log = store.log_run(keyed.absent_rows(store.read("pipeline_run"), started, ["id"]))
+    log = store.log_run(
+        runs.first_state(spark, store.read("pipeline_run"), run_id, DAG_ID, as_of, now)
+    )
     mine = F.col("id") == run_id
     work = store.begin()
     try:

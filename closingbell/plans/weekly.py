@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from closingbell.operators import keyed, runs, universe
+from closingbell.operators import runs, universe
 from closingbell.sources.tables import Store
 from closingbell.sources.tickers import scan_tickers
 
@@ -18,8 +18,9 @@ def run_weekly(store: Store, snapshot: str, run_id: str, as_of, now) -> DataFram
     snapshot covers are closed, universes it does not cover stay as they are.
     """
     spark = store.spark
-    started = runs.new_run(spark, run_id, DAG_ID, as_of, now)
-    log = store.log_run(keyed.absent_rows(store.read("pipeline_run"), started, ["id"]))
+    log = store.log_run(
+        runs.first_state(spark, store.read("pipeline_run"), run_id, DAG_ID, as_of, now)
+    )
     mine = F.col("id") == run_id
     work = store.begin()
     try:

@@ -28,6 +28,11 @@ def live_path(root: str) -> str:
     return f"{root}/live"
 
 
+def live_paths(root: str) -> list[str]:
+    """The table and the note of a replacement under way."""
+    return [live_path(root), f"{live_path(root)}-pending"]
+
+
 def stage_path(root: str, run_id: str) -> str:
     return f"{root}/stage/{run_id}"
 

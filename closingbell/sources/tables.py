@@ -237,7 +237,8 @@ class Store:
 
     def live_paths(self) -> list[str]:
         """Folders that hold current data; everything else under the root is left over."""
-        return [f"{self.prices}/live", self.flags, f"{self.flags}-pending", f"{self.prices}/live-pending", self.log] + [
+        noted = [path for table in (f"{self.prices}/live", self.flags) for path in (table, f"{table}-pending")]
+        return [*noted, self.log] + [
             version_path(self.root, table, version)
             for table, version in self.versions.items()
             if version > 0

@@ -213,7 +213,7 @@ def test_orphans_respect_live_files_and_retention(spark, tmp_path):
     root = str(tmp_path)
     small_files(spark, root, 3)
     maintenance.compact_prices(spark, root, "pack")
-    live = [prices.live_path(root)]
+    live = prices.live_paths(root)
     now = dt.datetime.now(dt.timezone.utc)
     assert maintenance.orphan_files(spark, root, live, now).count() == 0
     later = now + dt.timedelta(hours=169)

@@ -109,7 +109,7 @@ def orphan_files(v: Views) -> DataFrame:
     prices.upsert_prices(v.spark, root, _stored(v, v.bars(), "bars"), "first")
     prices.upsert_prices(v.spark, root, _stored(v, v.corrections(), "corrections"), "second")
     later = maintenance.dt.datetime(2999, 1, 1)
-    found = maintenance.orphan_files(v.spark, root, [prices.live_path(root)], later)
+    found = maintenance.orphan_files(v.spark, root, prices.live_paths(root), later)
     return found.select(
         F.regexp_extract("path", r"/(stage|live)/", 1).alias("part"),
         F.regexp_extract("path", r"/year=(\d+)/", 1).cast("int").alias("year"),
