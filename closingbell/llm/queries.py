@@ -47,7 +47,7 @@ def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_shared_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = shared_viterbi.decode(shared_viterbi.encode(read(spark, sf_dir, "documents").select("doc_id", "text")))
+    decoded = shared_viterbi.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return decoded.select(
         "row.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
