@@ -243,44 +243,65 @@ def _terms_of(text: str) -> set[tuple[str, int, str]]:
     return {(w, 0, w) for w in words if len(w) > 2} | {(w[:n], 1, w) for w in words for n in STEM_LETTERS if len(w) > n}
 
 
-def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each label that hold a term, and its completions seen in toxic ones."""
+_TERM = "term string, stem int"
+
+
+def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Toxic documents that hold a term, and some words that complete it."""
     for batch in batches:
-        clean, toxic, words = Counter(), Counter(), {}
-        for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
-            terms = _terms_of(text)
-            (toxic if label else clean).update({(t, stem) for t, stem, _ in terms})
-            if label:
-                for t, stem, w in terms:
-                    if stem:
-                        words.setdefault((t, 1), set()).add(w)
-        # a term that is seen in clean texts alone can't enter the lexicon, but its batch can't know
-        # that of others; rows of terms seen once in clean texts only are kept for the sums
-        rows = [(t, s, toxic[t, s], clean[t, s], sorted(words.get((t, s), ()))[:STEM_WORDS]) for t, s in toxic | clean]
-        columns = list(zip(*rows)) or [(), (), (), (), ()]
-        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["term", "stem", "toxic", "clean", "words"]
-        )
+        count: Counter = Counter()
+        words: dict[tuple[str, int], set[str]] = {}
+        for text in batch["text"].to_pylist():
+            for term, stem, word in _terms_of(text):
+                mine = words.setdefault((term, stem), set())
+                if len(mine) < STEM_WORDS:
+                    mine.add(word)
+            count.update({(term, stem) for term, stem, _ in _terms_of(text)})
+        rows = [(t, s, n, sorted(words[t, s])) for (t, s), n in count.items()]
+        columns = list(zip(*rows)) or [(), (), (), ()]
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["term", "stem", "toxic", "words"])
+
+
+def _clean_terms(known: set[tuple[str, int]]):
+    """Clean documents that hold a term in question."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter = Counter()
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                count.update(known & {(term, stem) for term, stem, _ in _terms_of(text)})
+        rows = [(t, s, n) for (t, s), n in count.items()]
+        columns = list(zip(*rows)) or [(), (), ()]
+        kinds = (pa.string(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["term", "stem", "clean"])
+
+    return counted
 
 
 def _learn_terms(sample: DataFrame, most: int) -> tuple[list[tuple[str, bool]], np.ndarray]:
-    """Terms whose documents are nearly all toxic, best first, at most ``most``; their log odds."""
-    counted = sample.select("text", "toxic").mapInArrow(
-        _term_rows, "term string, stem int, toxic long, clean long, words array<string>"
+    """Terms whose documents are nearly all toxic, best first, at most ``most``; their log odds.
+
+    Only terms of several toxic documents come into question; they are what the sample's toxic
+    part holds, so the set that the tasks get is bounded by ``SAMPLE_ROWS``.
+    """
+    toxic = sample.filter("toxic = 1").select("text").mapInArrow(
+        _toxic_terms, f"{_TERM}, toxic long, words array<string>"
     )
-    counted = counted.groupBy("term", "stem").agg(
+    asked = toxic.groupBy("term", "stem").agg(
         F.sum("toxic").alias("toxic"),
-        F.sum("clean").alias("clean"),
         F.size(F.array_distinct(F.flatten(F.collect_list("words")))).alias("words"),
+    ).filter(
+        (F.col("toxic") >= LEAST_DOCUMENTS) & ((F.col("stem") == 0) | (F.col("words") >= STEM_WORDS))
     )
+    asked = common.stored(asked, "toxicity-terms")
+    known = {(r["term"], r["stem"]) for r in asked.select("term", "stem").collect()}
+    clean = sample.filter("toxic = 0").select("text").mapInArrow(_clean_terms(known), f"{_TERM}, clean long")
+    clean = clean.groupBy("term", "stem").agg(F.sum("clean").alias("clean"))
+    counted = asked.join(clean, ["term", "stem"], "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
     totals = sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     odds = F.log((F.col("toxic") + 0.5) / (totals[0] + 1)) - F.log((F.col("clean") + 0.5) / (totals[1] + 1))
-    good = counted.filter(
-        (F.col("toxic") >= LEAST_DOCUMENTS)
-        & (F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean")))
-        & ((F.col("stem") == 0) | (F.col("words") >= STEM_WORDS))
-    ).select("term", "stem", odds.alias("odds"))
+    good = counted.filter(F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean"))).select("term", "stem", odds.alias("odds"))
     best = good.orderBy(F.desc("stem"), F.desc("odds"), "term").limit(4 * most).collect()
     stems = sorted({r["term"] for r in best if r["stem"]}, key=lambda t: (len(t), t))
     kept: list[str] = []
