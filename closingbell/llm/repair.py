@@ -31,7 +31,7 @@ END = 2
 VOCABULARY = 49_408
 SHARD_TOKENS = 1 << 20
 LEAST_COUNT = 128
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: A round that replaces a smaller share of the symbols is the last.
 LEAST_GAIN = 0.002
 KEPT_WORDS = 2_000_000
