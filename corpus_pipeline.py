@@ -38,7 +38,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, their number and digest, and whether they decode to the text itself."""
     ship(spark)
-    decoded = shared_viterbi.decode(shared_viterbi.encode(docs.select("doc_id", "text")))
+    decoded = shared_viterbi.round_trip(docs.select("doc_id", "text"))
     return decoded.select(
         "row.doc_id",
         "ids",
