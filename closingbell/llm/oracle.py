@@ -34,7 +34,80 @@ SELECT doc_id, item_id, count(*) AS shared, shingles
 FROM d JOIN q USING (s) GROUP BY doc_id, item_id, shingles HAVING count(*) >= 0.8 * shingles
 """
 
-SQL = {"op7_level_doubling": OP7, "op8_minhash_containment": OP8}
+OP4 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), '') AS cs, length(coalesce(text, '')) AS n
+  FROM documents
+),
+chars AS (SELECT r, unnest(cs) AS ch, unnest(range(1, len(cs) + 1)) AS i FROM d WHERE n > 0),
+vocabulary AS (
+  SELECT ch, row_number() OVER (ORDER BY count(*) DESC, unicode(ch)) AS num FROM chars GROUP BY ch
+),
+symbols AS (
+  SELECT r, i, CASE WHEN num <= 126 THEN num ELSE 127 END AS c FROM chars JOIN vocabulary USING (ch)
+  UNION ALL SELECT r, n + 1, 0 FROM d
+),
+tri AS (
+  SELECT r, coalesce(lag(c, 2) OVER w, 0) AS a, coalesce(lag(c) OVER w, 0) AS b, c
+  FROM symbols WINDOW w AS (PARTITION BY r ORDER BY i)
+),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+counted AS (
+  SELECT a, b, c, count(*) FILTER (g.doc_id IS NOT NULL)::DOUBLE AS t, count(*)::DOUBLE AS k
+  FROM tri JOIN d USING (r) LEFT JOIN good g ON g.doc_id = d.doc_id GROUP BY a, b, c
+),
+matched AS (
+  SELECT a, b, c, t, CASE WHEN sum(t) OVER () > 0 THEN k * (sum(t) OVER () / sum(k) OVER ()) ELSE k END AS k
+  FROM counted
+),
+losses AS (
+  SELECT a, b, c, -log2(
+    (t + 5 * (sum(t) OVER bc + 5 * (sum(t) OVER one + 5.0 / 128) / (sum(t) OVER () + 5)) / (sum(t) OVER ctx + 5))
+    / (sum(t) OVER ab + 5)) AS target,
+  -log2(
+    (k + 5 * (sum(k) OVER bc + 5 * (sum(k) OVER one + 5.0 / 128) / (sum(k) OVER () + 5)) / (sum(k) OVER ctx + 5))
+    / (sum(k) OVER ab + 5)) AS background
+  FROM matched
+  WINDOW one AS (PARTITION BY c), bc AS (PARTITION BY b, c), ctx AS (PARTITION BY b), ab AS (PARTITION BY a, b)
+)
+SELECT doc_id, count(*) AS n_tokens, round(avg(target), 6) AS target_loss,
+  round(avg(background), 6) AS background_loss, round(avg(target) - avg(background), 6) AS difference
+FROM tri JOIN losses USING (a, b, c) JOIN d USING (r) GROUP BY r, doc_id
+"""
+
+OP5 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+starts AS (SELECT r, b, unnest(range(1, octet_length(b) - 198)) AS s FROM d),
+windows AS (SELECT r, s, md5(b[s:s + 199]) AS h FROM starts),
+hit AS (SELECT r, s FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+cut AS (
+  SELECT r, s, CASE WHEN s > coalesce(lag(s) OVER w, -1000) + 200 THEN 1 ELSE 0 END AS opens
+  FROM hit WINDOW w AS (PARTITION BY r ORDER BY s)
+),
+runs AS (
+  SELECT r, min(s) AS first, max(s) + 200 AS past
+  FROM (SELECT r, s, sum(opens) OVER (PARTITION BY r ORDER BY s) AS run FROM cut) GROUP BY r, run
+),
+kept AS (
+  SELECT r, coalesce(lag(past) OVER w, 1) AS a, first - 1 AS z FROM runs WINDOW w AS (PARTITION BY r ORDER BY first)
+  UNION ALL SELECT d.r, coalesce(max(past), 1), octet_length(any_value(b)) FROM d LEFT JOIN runs ON runs.r = d.r GROUP BY d.r
+),
+bytes AS (
+  SELECT kept.r, string_agg(CASE WHEN z >= a THEN hex(b[a:z]) ELSE '' END, '' ORDER BY a) AS x
+  FROM kept JOIN d ON d.r = kept.r GROUP BY kept.r
+),
+gone AS (SELECT r, sum(past - first) AS n, count(*) AS spans FROM runs GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed,
+  coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(x)) AS kept_sha256
+FROM d JOIN bytes ON bytes.r = d.r LEFT JOIN gone ON gone.r = d.r
+"""
+
+SQL = {
+    "op4_entropy_difference": OP4,
+    "op5_run_length_index": OP5,
+    "op7_level_doubling": OP7,
+    "op8_minhash_containment": OP8,
+}
 
 
 def statements() -> dict[str, str]:

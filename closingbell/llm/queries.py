@@ -26,7 +26,8 @@ def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = entropy_difference.score(docs, read(spark, sf_dir, "labels"))
-    return scored.select("row.doc_id", "n_tokens", "target_loss", "background_loss", "difference")
+    bits = [F.round(name, 6).alias(name) for name in ("target_loss", "background_loss", "difference")]
+    return scored.select("row.doc_id", "n_tokens", *bits)
 
 
 def op5_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
