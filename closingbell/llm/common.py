@@ -330,8 +330,14 @@ class WordIds:
         return ids[picked], np.diff(total, prepend=0)
 
 
+#: Text that a task passes to Python at a time.
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this package to the session's Python workers, once per application."""
+    """Give this package to the session's Python workers, once per application, and keep the Arrow
+    batches small: both ends of the pipe hold some of them for every running task."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_closingbell_shipped", False):
         return
