@@ -1,55 +1,48 @@
 """Line dedup by content-defined chunks.
 
-A rolling hash over the hashes of the last lines ends a chunk where its low bits are zero, so the
-same lines are cut at the same places whatever stands before them. A chunk of several lines that
-stands in the corpus more than once is kept where it comes first, by doc_id and position, and
-removed elsewhere, after its bytes were compared with those of the first.
+One bit of a line's own hash says whether it may open or close a pair. Chunks end before and behind
+every pair of an opening and a closing line, so the same lines are cut at the same places whatever
+stands around them, and a passage shows its pairs from its first line on. A chunk of several lines
+that stands in the corpus more than once is kept where it comes first, by doc_id and position, and
+removed elsewhere, after its bytes were compared with those of the first. With ``extend`` the lines
+on both sides go too, as far as they equal those around the first place.
 
 Only hashes of chunks are shuffled, folded per chunk of documents, then the bytes of each repeated
-chunk, once per group of documents that holds it. Texts move once.
+chunk (and of what stands around it), once per other group of documents that holds it. Texts move
+once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from closingbell.llm import common
 
-ROLL = 3
-MASK_BITS = 2
 LEAST_LINES = 2
 FOUND = "hi long, lo long, doc_id long, at int"
 SIGNED = 1 << 63
 
 
-def chunk_bounds(lines: list[bytes], roll: int = ROLL, bits: int = MASK_BITS) -> list[int]:
-    """Ends of the chunks: after a line where the hash of the last ``roll`` lines ends in zeros."""
-    hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
-    mask, ends = (1 << bits) - 1, []
-    for i in range(roll - 1, len(lines)):
-        rolled = 0
-        for h in hashes[i - roll + 1 : i + 1]:
-            rolled = (rolled * 0x9E3779B97F4A7C15 + h) & 0xFFFFFFFFFFFFFFFF
-        if (rolled ^ (rolled >> 32)) & mask == 0:
-            ends.append(i + 1)
-    if not ends or ends[-1] != len(lines):
-        ends.append(len(lines))
-    return ends
+def chunk_bounds(lines: list[bytes]) -> list[int]:
+    """Ends of the chunks: before and behind each line whose hash is odd with an even one after it."""
+    odd = [xxhash.xxh3_64_intdigest(line) & 1 for line in lines]
+    ends = {len(lines)}
+    for i in range(len(lines) - 1):
+        if odd[i] and not odd[i + 1]:
+            ends |= {i, i + 2}
+    return sorted(ends - {0})
 
 
-def _chunks(text: bytes, settings: tuple[int, int, int]) -> Iterator[tuple[int, int, bytes, tuple[int, int]]]:
+def _chunks(lines: list[bytes], least: int) -> Iterator[tuple[int, int, bytes, tuple[int, int]]]:
     """(first line, end line, bytes, digest) of each chunk of enough lines that are not all blank."""
-    roll, bits, least = settings
-    lines = text.split(b"\n")
     if len(lines) < least:
         return
     begin = 0
-    for end in chunk_bounds(lines, roll, bits):
+    for end in chunk_bounds(lines):
         if end - begin >= least:
             body = b"\n".join(lines[begin:end])
             if not body.isspace() and body:
@@ -58,6 +51,31 @@ def _chunks(text: bytes, settings: tuple[int, int, int]) -> Iterator[tuple[int,
         begin = end
 
 
+def _surrounded(lines: list[bytes], least: int, extend: bool):
+    """Begin, digest and (bytes, lines before, lines behind) of each chunk.
+
+    The lines reach to the far end of the next chunk that counts on each side, or of the text; each
+    ends with a line feed. Without ``extend`` there are none.
+    """
+    chunks = list(_chunks(lines, least))
+    for i, (begin, end, body, digest) in enumerate(chunks):
+        before = behind = b""
+        if extend:
+            before = b"".join(line + b"\n" for line in lines[chunks[i - 1][0] if i else 0 : begin])
+            behind = b"".join(line + b"\n" for line in lines[end : chunks[i + 1][1] if i + 1 < len(chunks) else None])
+        yield begin, digest, (body, before, behind)
+
+
+def _equal_lines(mine: Iterator[bytes], others: Iterator[bytes]) -> int:
+    """How many lines are equal from the first on."""
+    n = 0
+    for a, b in zip(mine, others):
+        if a != b:
+            break
+        n += 1
+    return n
+
+
 def _bodies(table: pa.Table) -> Iterator[tuple[int, bytes]]:
     data, offsets = common.text_bytes(table["text"])
     raw, at = memoryview(data), offsets.tolist()
@@ -65,19 +83,19 @@ def _bodies(table: pa.Table) -> Iterator[tuple[int, bytes]]:
         yield doc, bytes(raw[a:b])
 
 
-def _first_places(table: pa.Table, settings: tuple[int, int, int]) -> dict[tuple[int, int], tuple[int, int]]:
+def _first_places(table: pa.Table, least: int) -> dict[tuple[int, int], tuple[int, int]]:
     first: dict[tuple[int, int], tuple[int, int]] = {}
     for doc, text in _bodies(table):
-        for begin, _, _, digest in _chunks(text, settings):
+        for begin, _, _, digest in _chunks(text.split(b"\n"), least):
             place = (doc, begin)
             if first.setdefault(digest, place) > place:
                 first[digest] = place
     return first
 
 
-def _chunk_rows(settings: tuple[int, int, int]):
+def _chunk_rows(least: int):
     def found(table: pa.Table) -> pa.Table:
-        first = _first_places(table.select(["doc_id", "text"]), settings)
+        first = _first_places(table.select(["doc_id", "text"]), least)
         rows = [(*digest, *place) for digest, place in first.items()]
         columns = list(zip(*rows)) or [(), (), (), ()]
         return pa.table({
@@ -88,49 +106,52 @@ def _chunk_rows(settings: tuple[int, int, int]):
     return found
 
 
-def _first_bytes(settings: tuple[int, int, int]):
-    """Bytes of the repeated chunks whose first place is in this group of documents."""
+def _first_bytes(least: int, extend: bool):
+    """Bytes of, and around, the repeated chunks whose first place is in this group of documents."""
 
     def found(table: pa.Table, asked: pa.Table) -> pa.Table:
         wanted = dict(zip(zip(asked["hi"].to_pylist(), asked["lo"].to_pylist()),
                           zip(asked["doc_id"].to_pylist(), asked["at"].to_pylist())))
-        out: list[tuple] = []
+        told: dict[tuple[int, int], tuple[bytes, bytes, bytes]] = {}
         for doc, text in _bodies(table) if wanted and table.num_rows else ():
-            for begin, _, body, digest in _chunks(text, settings):
+            for begin, digest, parts in _surrounded(text.split(b"\n"), least, extend):
                 if wanted.get(digest) == (doc, begin):
-                    out.append((*digest, body))
-                    del wanted[digest]  # rows that share the place have it once
-        columns = list(zip(*out)) or [(), (), ()]
-        return pa.table({"hi": pa.array(columns[0], pa.int64()), "lo": pa.array(columns[1], pa.int64()),
-                         "body": pa.array(columns[2], pa.binary())})
+                    told[digest] = min(told.get(digest, parts), parts)  # rows can share the place
+        columns = list(zip(*((*digest, *parts) for digest, parts in told.items()))) or [()] * 5
+        names, kinds = ("hi", "lo", "body", "before", "behind"), [pa.int64()] * 2 + [pa.binary()] * 3
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
 
     return found
 
 
-def _removed(settings: tuple[int, int, int], schema: pa.Schema | None = None):
+def _removed(least: int, extend: bool):
     def removed(table: pa.Table, answers: pa.Table) -> pa.Table:
-        mine = _first_places(table.select(["doc_id", "text"]), settings) if table.num_rows else {}
-        first, other = dict(mine), {}
-        for hi, lo, doc, at, body in zip(*(answers[name].to_pylist() for name in ("hi", "lo", "doc_id", "at", "body"))):
+        first = _first_places(table.select(["doc_id", "text"]), least) if table.num_rows else {}
+        other = {}
+        names = ("hi", "lo", "doc_id", "at", "body", "before", "behind")
+        for hi, lo, doc, at, *parts in zip(*(answers[name].to_pylist() for name in names)):
             first[hi, lo] = (doc, at)
-            other[hi, lo] = body
-        bodies: dict[tuple[int, int], bytes] = {}
+            other[hi, lo] = tuple(parts)
+        known: dict[tuple[int, int], tuple[bytes, bytes, bytes]] = {}
         kept, n_lines, n_removed = [], [], []
         rows = list(_bodies(table)) if table.num_rows else []
-        for doc, text in rows:  # the first bodies that this group holds itself
-            for begin, _, body, digest in _chunks(text, settings):
+        for doc, text in rows:  # the first places that this group holds itself
+            for begin, digest, parts in _surrounded(text.split(b"\n"), least, extend):
                 if first[digest] == (doc, begin):
-                    bodies[digest] = body
-        bodies |= other
+                    known[digest] = min(known.get(digest, parts), parts)
+        known |= other
         for doc, text in rows:
-            gone = [(a, b) for a, b, body, digest in _chunks(text, settings)
-                    if first[digest] < (doc, a) and bodies[digest] == body]
             lines = text.split(b"\n")
+            gone = bytearray(len(lines))
+            for a, b, body, digest in _chunks(lines, least):
+                if first[digest] < (doc, a) and known[digest][0] == body:
+                    _, before, behind = known[digest]
+                    a -= _equal_lines(reversed(lines[:a]), reversed(before.split(b"\n")[:-1])) if before else 0
+                    b += _equal_lines(iter(lines[b:]), iter(behind.split(b"\n")[:-1])) if behind else 0
+                    gone[a:b] = b"\1" * (b - a)
             n_lines.append(len(lines))
-            n_removed.append(sum(b - a for a, b in gone))
-            for a, b in reversed(gone):
-                del lines[a:b]
-            kept.append(b"\n".join(lines).decode() if gone else text.decode())
+            n_removed.append(sum(gone))
+            kept.append(b"\n".join(x for x, g in zip(lines, gone) if not g).decode() if any(gone) else text.decode())
         result = {"row": table["row"], "text": pa.array(kept, pa.string()),
                   "n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
         return pa.table(result)
@@ -140,8 +161,7 @@ def _removed(settings: tuple[int, int, int], schema: pa.Schema | None = None):
 
 def mark_lines(
     docs: DataFrame,
-    roll: int = ROLL,
-    mask_bits: int = MASK_BITS,
+    extend: bool = False,
     least_lines: int = LEAST_LINES,
     chunk_bytes: int = common.CHUNK_BYTES,
 ) -> DataFrame:
@@ -153,8 +173,12 @@ def mark_lines(
     a doc_id count as one document there, so equal chunks at the same line stay in both. A null
     doc_id counts as the largest. A null or empty text is one empty line and comes back empty. A
     document that only repeats others comes back empty, it isn't dropped.
+
+    With ``extend``, lines next to a removed chunk are removed as long as they equal those next to
+    its first place, line by line, at most to the far end of the next chunk on each side (which is
+    judged by its own first place). Of rows that share the first place the least bytes count. Every
+    removed line still stands at an earlier place.
     """
-    settings = (roll, mask_bits, least_lines)
     parted = common.texts(docs).select("doc_id", "text")
     chunks = common.chunk_count(parted, chunk_bytes)
     every = docs.select(
@@ -164,7 +188,7 @@ def mark_lines(
         F.struct(*(F.lit(None).cast("string").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns)).alias("row"),
     )
     by_chunk = every.groupBy("chunk")
-    found = by_chunk.applyInArrow(_chunk_rows(settings), FOUND)
+    found = by_chunk.applyInArrow(_chunk_rows(least_lines), FOUND)
     keys = ["hi", "lo"]
     first = found.groupBy(*keys).agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
     first = first.filter(F.col("n") > 1).select(*keys, "first.doc_id", "first.at")
@@ -174,11 +198,13 @@ def mark_lines(
         return common.chunk_of(own, chunks).alias("chunk")
 
     asked = first.select(home("doc_id"), "*")
-    bodies = by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(_first_bytes(settings), "hi long, lo long, body binary")
+    told = "hi long, lo long, body binary, before binary, behind binary"
+    bodies = by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(_first_bytes(least_lines, extend), told)
     holders = found.select(home("doc_id"), *keys)
-    answers = holders.join(first, keys).join(bodies, keys).select("chunk", *keys, "doc_id", "at", "body")
+    others = holders.join(first, keys).filter(F.col("chunk") != home("doc_id"))  # the first's own group has its bytes
+    answers = others.join(bodies, keys).select("chunk", *keys, "doc_id", "at", "body", "before", "behind")
     schema = f"row {every.schema['row'].dataType.simpleString()}, text string, n_lines long, n_removed long"
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_removed(settings), schema)
+    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_removed(least_lines, extend), schema)
 
 
 def dedup_lines(docs: DataFrame, **settings) -> DataFrame:

@@ -19,7 +19,7 @@ def op2_repair_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = line_chunks.mark_lines(read(spark, sf_dir, "documents"))
+    marked = line_chunks.mark_lines(read(spark, sf_dir, "documents"), extend=True)
     return marked.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -98,3 +98,46 @@ def test_line_cuts_survive_shifts():
 @pytest.mark.parametrize("operator", [rlbwt.remove_repeats, doubling.remove_repeats, line_chunks.mark_lines])
 def test_empty_table(nothing, operator):
     assert operator(nothing).collect() == []
+
+
+def blocks_of_lines():
+    """Texts of which every second holds 4 to 8 lines of an earlier one, elsewhere, and which those are."""
+    rng = random.Random(8)
+    new = lambda n: [f"line {rng.random()}" for _ in range(n)]
+    texts, passages = [], []
+    for i in range(400):
+        lines = new(rng.randint(5, 12))
+        if i % 2:
+            source = texts[rng.randrange(0, i, 2)]
+            n = rng.randint(4, min(8, len(source))) if len(source) > 4 else 4
+            at = rng.randint(0, len(source) - n)
+            passage, own = source[at : at + n], rng.randint(0, len(lines))
+            lines[own:own] = passage
+            passages.append((i, passage))
+        texts.append(lines)
+    return texts, passages
+
+
+@pytest.mark.parametrize("extend, least", [(False, 0.5), (True, 0.8)])
+def test_lines_recall_of_repeated_blocks(session, extend, least):
+    texts, passages = blocks_of_lines()
+    docs = session.createDataFrame([(i, "\n".join(lines)) for i, lines in enumerate(texts)], "doc_id long, text string").repartition(3)
+    found = line_chunks.mark_lines(docs, extend=extend, chunk_bytes=20_000).select("row.doc_id", "text", "n_removed").collect()
+    kept = {r["doc_id"]: r["text"].split("\n") for r in found}
+    gone = {i: [x for x in lines if x not in set(kept[i])] for i, lines in enumerate(texts)}
+    assert all(len(gone[r["doc_id"]]) == r["n_removed"] for r in found)
+    assert sum(map(len, gone.values())) >= least * sum(len(p) for _, p in passages)
+    repeated = dict(passages)
+    assert all(set(lines) <= set(repeated.get(i, [])) for i, lines in gone.items())
+    assert {x for lines in kept.values() for x in lines} == {x for lines in texts for x in lines}
+
+
+@pytest.mark.parametrize("chunk_bytes", [20_000, common.CHUNK_BYTES])
+def test_extended_lines_awkward(awkward, chunk_bytes):
+    """Whole chunks go as before, more lines beside them, and no line goes from the corpus."""
+    plain = line_chunks.mark_lines(awkward).select("row.doc_id", "text", "n_removed").collect()
+    found = line_chunks.mark_lines(awkward, extend=True, chunk_bytes=chunk_bytes).select("row.doc_id", "text", "n_removed").collect()
+    total = lambda rows: Counter((r["doc_id"] is None, r["doc_id"] or 0) for r in rows for _ in range(r["n_removed"]))
+    assert total(plain) < total(found)
+    lines = lambda rows: {x for _, t in rows for x in (t or "").split("\n")}
+    assert lines(cases.pairs(found)) >= lines(collected(awkward)) - {""}
