@@ -55,30 +55,36 @@ def _errors_allowed(term: str) -> int:
 class Lexicon:
     """Levenshtein automata of all terms, walked together over their trie, made as needed.
 
-    A state is a set of (trie node, errors left). ``step`` holds the transitions found so far, -1
+    A state is a set of (trie node, errors). ``step`` holds the transitions found so far, -1
     where none was tried; state 0 is dead. ``result`` is what a word that ends in the state
-    matches: the term with the fewest errors, as 2 * term + (1 if it has errors), or -1. A state in
-    which a stem is complete matches whatever follows.
+    matches: the term with the fewest errors, as 2 * term + (1 if it has errors), or -1. A stem
+    that is complete matches whatever follows: without errors the word needn't be read on, with
+    errors the state keeps it as the complement of its node.
+
+    ``code`` numbers the letters of the terms, the most frequent ones first; transitions by the
+    letters from ``WIDTH`` on are in ``far``, since few states meet them.
     """
 
+    WIDTH = 256
+
     def __init__(self, terms: list[tuple[str, bool]]):
         """``terms``: (text, is a stem)."""
         self.terms = terms
-        letters = sorted({c for text, _ in terms for c in text})
-        self.code = np.zeros(0x10000, np.uint8)
-        self.letters = {c: i + 1 for i, c in enumerate(letters[:254])}
+        count = Counter(c for text, _ in terms for c in text)
+        self.letters = {c: i + 1 for i, c in enumerate(sorted(count, key=lambda c: (-count[c], c)))}
+        self.code = np.zeros(0x110000, np.int32)
         for c, i in self.letters.items():
-            if ord(c) < 0x10000:
-                self.code[ord(c)] = i
+            self.code[ord(c)] = i
+        self.far: dict[tuple[int, int], int] = {}
         self.children: list[dict[int, int]] = [{}]
         self.word_at: dict[int, int] = {}
         self.stem_at: dict[int, int] = {}
         self.budget = [0]  # most errors that a term below the node allows
         for number, (text, stem) in enumerate(terms):
-            node, allowed = 0, 0 if stem else _errors_allowed(text)
+            node, allowed = 0, _errors_allowed(text)
             self.budget[0] = max(self.budget[0], allowed)
             for c in text:
-                node = self.children[node].setdefault(self.letters.get(c, 0), len(self.children))
+                node = self.children[node].setdefault(self.letters[c], len(self.children))
                 if node == len(self.children):
                     self.children.append({})
                     self.budget.append(0)
@@ -88,25 +94,37 @@ class Lexicon:
         self.sets = [frozenset()]
         self.result = np.full(1, -1, np.int64)
         self.sure = np.zeros(1, bool)  # a stem is complete
-        self.step = np.full((1, 256), -1, np.int32)
+        self.step = np.full((1, self.WIDTH), -1, np.int32)
         self.step[0] = 0
         self.start = self._number(self._closed({(0, 0)}))
 
     def _closed(self, pairs: set[tuple[int, int]]) -> frozenset:
-        """With the letters of a term left out; of a node only the fewest errors are kept."""
+        """With the letters of a term left out; of a node only the fewest errors are kept, of the
+        complete stems the best, and nothing that has more errors than it."""
         least: dict[int, int] = {}
-        todo = list(pairs)
+        todo = [(node, errors) for node, errors in pairs if node >= 0]
         while todo:
             node, errors = todo.pop()
             if errors > self.budget[node] or least.get(node, 9) <= errors:
                 continue
             least[node] = errors
             todo.extend((child, errors + 1) for child in self.children[node].values())
+        stems = [(errors, self.stem_at[~node], node) for node, errors in pairs if node < 0]
+        stems += [(e, self.stem_at[n], ~n) for n, e in least.items() if n in self.stem_at and e <= self._allowed(self.stem_at[n])]
+        if stems:
+            errors, _, node = min(stems)
+            least = {n: e for n, e in least.items() if e <= errors} | {node: errors}
         return frozenset(least.items())
 
+    def _allowed(self, term: int) -> int:
+        return _errors_allowed(self.terms[term][0])
+
     def _next(self, state: int, letter: int) -> frozenset:
         pairs = set()
         for node, errors in self.sets[state]:
+            if node < 0:
+                pairs.add((node, errors))
+                continue
             for c, child in self.children[node].items():
                 same = c == letter and letter > 0
                 pairs.add((child, errors if same else errors + 1))
@@ -118,22 +136,24 @@ class Lexicon:
             return self.numbers[pairs]
         number = self.numbers[pairs] = len(self.sets)
         self.sets.append(pairs)
-        best, sure = -1, False
-        stems = [self.stem_at[n] for n, e in pairs if e == 0 and n in self.stem_at]
-        words = [(e, self.word_at[n]) for n, e in pairs if n in self.word_at and e <= _errors_allowed(self.terms[self.word_at[n]][0])]
-        if stems:
-            best, sure = 2 * min(stems), True
-        elif words:
-            errors, term = min(words)
-            best = 2 * term + (errors > 0)
+        stems = [(e, self.stem_at[~n]) for n, e in pairs if n < 0]
+        words = [(e, self.word_at[n]) for n, e in pairs if n in self.word_at and e <= self._allowed(self.word_at[n])]
+        sure = any(e == 0 for e, _ in stems)
+        errors, term = min(stems if sure else stems + words, default=(0, None))
+        best = -1 if term is None else 2 * term + (errors > 0)
         if number >= len(self.step):
             grow = len(self.step)
-            self.step = np.concatenate([self.step, np.full((grow, 256), -1, np.int32)])
+            self.step = np.concatenate([self.step, np.full((grow, self.WIDTH), -1, np.int32)])
             self.result = np.concatenate([self.result, np.full(grow, -1, np.int64)])
             self.sure = np.concatenate([self.sure, np.zeros(grow, bool)])
         self.result[number], self.sure[number] = best, sure
         return number
 
+    def _far(self, state: int, letter: int) -> int:
+        if (state, letter) not in self.far:
+            self.far[state, letter] = self._number(self._next(state, letter)) if state else 0
+        return self.far[state, letter]
+
     def match(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words codes[start:end] that match, and their results."""
         word = np.arange(len(starts))
@@ -147,13 +167,18 @@ class Lexicon:
             results.append(self.result[state[done]])
             word, state, at = word[~over], state[~over], at[~over]
             letter = codes[at]
-            after = self.step[state, letter]
-            new = np.flatnonzero(after < 0)
+            far = letter >= self.WIDTH
+            column = np.where(far, 0, letter)
+            after = self.step[state, column]
+            new = np.flatnonzero((after < 0) & ~far)
             if len(new):
-                for key in np.unique(state[new] * 256 + letter[new]).tolist():
-                    target = self._number(self._next(key >> 8, key & 255))
-                    self.step[key >> 8, key & 255] = target
-                after = self.step[state, letter]
+                for key in np.unique(state[new] * self.WIDTH + letter[new]).tolist():
+                    source, by = divmod(key, self.WIDTH)
+                    target = self._number(self._next(source, by))
+                    self.step[source, by] = target
+                after = self.step[state, column]
+            if far.any():
+                after[far] = [self._far(*key) for key in zip(state[far].tolist(), letter[far].tolist())]
             alive = after > 0
             word, state, at = word[alive], after[alive].astype(np.int64), at[alive] + 1
         if not found:
@@ -208,7 +233,7 @@ def features(texts: list[str], lexicon: Lexicon, weights: np.ndarray) -> np.ndar
     first[edges], last[edges - 1] = inside[edges], inside[edges - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     row = np.searchsorted(offsets, starts, side="right") - 1
-    word, result = lexicon.match(lexicon.code[bmp], starts, ends)
+    word, result = lexicon.match(lexicon.code[points], starts, ends)
     bounds = np.searchsorted(row, np.arange(len(texts) + 1))
     hits = np.searchsorted(row[word], np.arange(len(texts) + 1))
     for r in np.flatnonzero(np.diff(hits)).tolist():
@@ -302,17 +327,27 @@ def _learn_terms(sample: DataFrame, most: int) -> tuple[list[tuple[str, bool]],
     totals = sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     odds = F.log((F.col("toxic") + 0.5) / (totals[0] + 1)) - F.log((F.col("clean") + 0.5) / (totals[1] + 1))
     good = counted.filter(F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean"))).select("term", "stem", odds.alias("odds"))
-    best = good.orderBy(F.desc("stem"), F.desc("odds"), "term").limit(4 * most).collect()
-    stems = sorted({r["term"] for r in best if r["stem"]}, key=lambda t: (len(t), t))
-    kept: list[str] = []
-    for stem in stems:
-        if not stem.startswith(tuple(kept)):
-            kept.append(stem)
-    rows = [r for r in best if (r["term"] in kept if r["stem"] else not r["term"].startswith(tuple(kept)))]
-    rows = rows[:most]
+    rows = _best(good.collect(), most)  # part of ``known``
     return [(r["term"], bool(r["stem"])) for r in rows], np.array([max(0.1, r["odds"]) for r in rows])
 
 
+def _best(good: list, most: int) -> list:
+    """The ``most`` rows (term, stem, odds) of highest odds, without those that match nothing more
+    than a stem of at least their odds: one that begins them and allows as many errors."""
+    stems: dict[str, int] = {}
+    rows = []
+    for row in sorted(good, key=lambda r: (-r["odds"], -r["stem"], len(r["term"]), r["term"])):
+        if len(rows) == most:
+            break
+        term, allowed = row["term"], _errors_allowed(row["term"])
+        if any(stems.get(term[:n], -1) >= allowed for n in STEM_LETTERS):
+            continue
+        rows.append(row)
+        if row["stem"]:
+            stems[term] = allowed
+    return rows
+
+
 def _fit(found: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton steps, drawn towards a prior that counts matches as toxic."""
     prior = np.array([-3.0, 1.0, 0.3, 0.3, 0.1, 3.0, 0.0])

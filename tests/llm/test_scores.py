@@ -279,3 +279,72 @@ def test_awkward_rows_and_labels(session, awkward, nothing):
         found = toxicity.toxicity(awkward, known).collect()
         assert sorted(str(r["doc_id"]) for r in found) == sorted(str(d) for d, _ in collected(awkward))
     assert toxicity.toxicity(nothing, labels).collect() == []
+
+
+def matches(lexicon, words):
+    codes = np.concatenate([lexicon.code[[ord(c) for c in w]] for w in words])
+    ends = np.cumsum([len(w) for w in words])
+    found, results = lexicon.match(codes, ends - [len(w) for w in words], ends)
+    return dict(zip(found.tolist(), results.tolist()))
+
+
+def test_stems_have_errors_beside_words():
+    rng = random.Random(5)
+    terms = [("abcabc", True), ("abcabcabca", False), ("bcab", True), ("cacacb", False), ("ccbba", True)]
+    words = ["".join(rng.choices("abcd", k=rng.randint(1, 13))) for _ in range(6000)]
+    words += ["abcabcab", "acabcxyz", "abccabc", "xabcabc", "abxabcabca", "baacabcabca", "bcabq", "ccbb", "cbbaddd"]
+    wanted = {}
+    for i, word in enumerate(words):
+        near, sure = [], []
+        for k, (term, stem) in enumerate(terms):
+            errors = min(distance(word[:n], term) for n in range(len(word) + 1)) if stem else distance(word, term)
+            if errors <= toxicity._errors_allowed(term):
+                near.append((errors, k))
+            if stem and errors == 0:
+                sure.append((word.index(term) + len(term), k))
+        if sure:
+            wanted[i] = 2 * min(sure)[1]
+        elif near:
+            wanted[i] = 2 * min(near)[1] + (min(near)[0] > 0)
+    assert matches(toxicity.Lexicon(terms), words) == wanted
+
+
+def test_letters_of_many_scripts_match():
+    """More distinct letters than the dense part of the table has, some beyond 16 bits."""
+    letters = [chr(0xAC00 + i) for i in range(900)] + [chr(0x10400 + i) for i in range(40)] + [chr(0x61 + i) for i in range(26)]
+    terms = [("".join(letters[i : i + 6]), False) for i in range(0, len(letters), 6)]
+    words = [t for t, _ in terms]
+    wrong = [w[:2] + "￿" + w[3:] for w in words if len(w) > 4]
+    other = [w[:2] + "ÿÿÿ" for w in words]
+    found = matches(toxicity.Lexicon(terms), words + wrong + other)
+    assert {i: r for i, r in found.items() if i < len(words)} == {i: 2 * i for i in range(len(words))}
+    assert {i - len(words): r for i, r in found.items() if len(words) <= i < len(words) + len(wrong)} == {i: 2 * i + 1 for i in range(len(wrong))}
+    assert not any(i >= len(words) + len(wrong) for i in found)
+    texts = [f"some text {words[0]} and {words[152]} here"]
+    assert toxicity.features(texts, toxicity.Lexicon(terms), np.ones(len(terms)))[0, 0] > 0
+
+
+def test_best_terms_go_by_odds():
+    row = lambda term, stem, odds: {"term": term, "stem": stem, "odds": odds}
+    good = [row("low", 1, 1.0), row("lowest", 0, 1.0), row("grob", 1, 5.0), row("grobu", 1, 4.0), row("grobul", 1, 4.0),
+            row("grobulant", 0, 4.5), row("grobu", 0, 4.0), row("flimzy", 0, 6.0)]
+    kept = [(r["term"], r["stem"]) for r in toxicity._best(good, 4)]
+    assert kept == [("flimzy", 0), ("grob", 1), ("grobulant", 0), ("grobu", 1)]
+    assert [r["term"] for r in toxicity._best(good, 9)][4:] == ["low", "lowest"]
+
+
+def test_misspelled_beginnings_of_stems_are_found(session):
+    rng = random.Random(6)
+    ends = ["ant", "ous", "ify", "ern", "ish", "ette", "oid", "ling", "arian", "esque"]
+    rows, labels = [], []
+    for i in range(600):
+        words = cases._prose(3000 + i, rng.randint(20, 60)).split(" ")
+        if i % 5 == 0:
+            for _ in range(4):
+                words.insert(rng.randint(0, len(words)), "grobul" + rng.choice(ends))
+        rows.append((i, " ".join(words), *[None] * 11))
+        labels.append((i, int(i % 5 == 0), 1, ""))
+    model = toxicity.learn(cases.docs_of(session, rows), labels_of(session, labels))
+    texts = ["plain words and gorbulish here", "plain words and grxbulquux here", "plain words and nothing else here"]
+    found = toxicity.features(texts, toxicity.Lexicon(model.terms), model.weights)
+    assert found[0, 2] > 0 and found[1, 2] > 0 and not found[2].any()
