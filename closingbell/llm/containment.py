@@ -8,8 +8,9 @@ with which a contained item shares a minimum with its window in ``recall`` of th
 window and an item that share a minimum are a candidate; candidates are verified by the exact
 containment of the item's shingles in the whole document, compared as words.
 
-Documents are read once and never shuffled. The items are the query set: they are read in blocks of
-at most ``item_block`` rows and ``item_bytes`` bytes, and only one block is held by a task.
+Documents are read once and never shuffled. The items are the query set: equal rows are folded with
+their count, then read in blocks of about ``item_block`` rows and ``item_bytes`` bytes, and only one
+block is held by a task.
 """
 
 from __future__ import annotations
@@ -155,9 +156,11 @@ class Index:
                 yield row, item, shared
 
 
-def _search(items: list[tuple[int | None, str | None]], n: int, threshold: float, recall: float):
+def _search(items: list[tuple[int | None, str | None, int]], n: int, threshold: float, recall: float):
+    """``items``: (item_id, text, copies)."""
+
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(items, n, threshold, recall)
+        index = Index([((i, copies), text) for i, text, copies in items], n, threshold, recall)
         for batch in batches:
             data, offsets = common.text_bytes(batch["text"])
             ids = batch["doc_id"].to_pylist()
@@ -165,17 +168,19 @@ def _search(items: list[tuple[int | None, str | None]], n: int, threshold: float
             for lo, hi in common.slices(offsets):
                 part = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 for row, item, shared in index.contained(*part):
-                    item_id, shingles = index.items[item]
-                    rows.append((ids[lo + row], item_id, shared, len(shingles)))
+                    (item_id, copies), shingles = index.items[item]
+                    rows.append((ids[lo + row], item_id, shared, len(shingles), copies))
             if rows:
-                names = ("doc_id", "item_id", "shared", "shingles")
+                names = ("doc_id", "item_id", "shared", "shingles", "copies")
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names)
 
     return found
 
 
 def _blocks(items: DataFrame, rows: int, size: int) -> Iterator[list[Row]]:
-    """The query set in blocks of at most ``rows`` rows and about ``size`` bytes."""
+    """The distinct rows of the query set, with their ``copies``, in blocks of about ``rows`` rows and
+    ``size`` bytes."""
+    items = items.groupBy("item_id", "text").agg(F.count("*").alias("copies"))
     total = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, -(-total[0] // rows), -(-total[1] // size))
     for i in range(blocks):
@@ -205,7 +210,8 @@ def contained_items(
     result = None
     for block in _blocks(items, item_block, item_bytes):
         search = _search([tuple(row) for row in block], shingle, threshold, recall)
-        found = docs.mapInArrow(search, "doc_id long, item_id long, shared long, shingles long")
+        found = docs.mapInArrow(search, "doc_id long, item_id long, shared long, shingles long, copies long")
+        found = found.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
         result = found if result is None else result.union(found)
     return result
 

@@ -105,3 +105,14 @@ def test_empty_tables(session, nothing, small):
     assert containment.contained_items(nothing, items_of(session, [(1, "a b c d e f", 1)])).collect() == []
     assert containment.contained_items(small, items_of(session, [])).collect() == []
     assert containment.decontaminate(small, items_of(session, [])).count() == small.count()
+
+
+def test_equal_items_are_folded_before_they_are_cut(session, small):
+    text = "one text of several words that a document holds as a whole here"
+    items = items_of(session, [(1, text, 0)] * 50 + [(2, text, 0), (1, "another", 0), (None, None, 0), (None, None, 0)])
+    blocks = list(containment._blocks(items.select("item_id", "text"), 7, 1 << 20))
+    assert sorted((r["item_id"] or 0, r["copies"]) for b in blocks for r in b) == [(0, 2), (1, 1), (1, 50), (2, 1)]
+    docs = session.createDataFrame([(5, f"Before it. {text}, and after it.")], "doc_id long, text string")
+    for settings in ({}, {"item_block": 2}):
+        found = containment.contained_items(docs, items, **settings).collect()
+        assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(5, 1)] * 50 + [(5, 2)]
