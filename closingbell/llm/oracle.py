@@ -102,11 +102,44 @@ SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_r
 FROM d JOIN bytes ON bytes.r = d.r LEFT JOIN gone ON gone.r = d.r
 """
 
+OP12 = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS c, row_number() OVER () AS r
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, o.vec_id, o.label = a.label AS same,
+    CAST(list_inner_product(a.c, o.c) AS BIGINT) AS score
+  FROM v a JOIN v o ON o.r <> a.r WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT r, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS p
+  FROM scored WHERE same QUALIFY p <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id,
+  positive_score, score AS negative_score
+FROM positives JOIN scored USING (r)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW best AS (PARTITION BY r, p ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
+
 SQL = {
     "op4_entropy_difference": OP4,
     "op5_run_length_index": OP5,
     "op7_level_doubling": OP7,
     "op8_minhash_containment": OP8,
+    "op12_stateful_stream": OP12,
+    "op13_shared_lists": OP13,
 }
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closingbell.llm import bktree, containment, digest, doubling, entropy_difference, line_chunks, repair, rlbwt, shared_viterbi, toxicity
+from closingbell.llm import bktree, containment, digest, doubling, entropy_difference, exact_stream, line_chunks, repair, rlbwt, shared_lists, shared_viterbi, toxicity
 from closingbell.llm.common import read, ship
 
 
@@ -62,6 +62,16 @@ def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bktree.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op12_stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_stream.exact_groups(spark, f"{sf_dir}/documents.parquet")
+
+
+def op13_shared_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the ids divisible by 100; every seventh id has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return shared_lists.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -75,6 +85,8 @@ QUERIES = {
         op8_minhash_containment,
         op9_shared_prefix_viterbi,
         op10_simhash_bktree,
+        op12_stateful_stream,
+        op13_shared_lists,
     )
 }
 
