@@ -102,6 +102,56 @@ SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_r
 FROM d JOIN bytes ON bytes.r = d.r LEFT JOIN gone ON gone.r = d.r
 """
 
+OP11 = """
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (  -- crc32 of the decimal id, bit by bit
+  SELECT conv_id, list_reduce([4294967295::BIGINT] || flatten([[((b >> i) & 1)::BIGINT FOR i IN range(0, 8)]
+      FOR b IN [unicode(ch) FOR ch IN string_split(conv_id::VARCHAR, '')]]),
+    lambda acc, bit: CASE WHEN (acc & 1) <> bit THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END) AS reg
+  FROM ids
+),
+h AS (SELECT conv_id, xor(reg, 4294967295) % 6 AS h, conv_id - conv_id % 100 AS base FROM bits),
+t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+rebuilt AS (
+  SELECT h.conv_id, i AS d, role, text FROM h JOIN t ON t.conv_id = h.base AND i <= h
+  UNION ALL
+  SELECT h.conv_id, least(h, coalesce(n, 0)) + i - h AS d, role, text
+  FROM h JOIN t ON t.conv_id = h.conv_id AND i > h LEFT JOIN n ON n.conv_id = h.base
+),
+whole AS (
+  SELECT conv_id, max(d) AS len, list(md5(length(role)::VARCHAR || ':' || role || text) ORDER BY d) AS seq,
+    list(length(text) ORDER BY d) AS sizes
+  FROM rebuilt GROUP BY conv_id
+),
+every AS (SELECT ids.conv_id, coalesce(len, 0) AS len, coalesce(seq, []) AS seq, coalesce(sizes, []) AS sizes
+  FROM ids LEFT JOIN whole USING (conv_id)),
+p AS (
+  SELECT conv_id, len, d, md5(array_to_string(seq[1:d], ',')) AS k, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size,
+    CASE WHEN d > 0 THEN md5(array_to_string(seq[1:d - 1], ',')) END AS above
+  FROM (SELECT *, unnest(range(0, len + 1)) AS d FROM every)
+),
+node AS (
+  SELECT d, k, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(size) AS own,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = d), '')) AS ends_sha256
+  FROM p GROUP BY d, k
+),
+kids AS (SELECT d - 1 AS d, above AS k, count(*) AS c FROM node WHERE d > 0 GROUP BY ALL),
+full_node AS (SELECT node.*, coalesce(c, 0) AS c FROM node LEFT JOIN kids USING (d, k)),
+sums AS (
+  SELECT p.d, p.k, count(*) FILTER (c = 0) AS leaves, sum(own) AS saved
+  FROM full_node x JOIN p ON p.conv_id = x.conv_id AND p.d <= x.d GROUP BY p.d, p.k
+)
+SELECT x.conv_id, x.d AS depth, up.conv_id AS parent_conv_id, x.n_convs, x.c AS n_children,
+  leaves AS n_leaves, saved::BIGINT AS saved_tokens, x.ends_sha256
+FROM full_node x JOIN sums USING (d, k) LEFT JOIN node up ON up.d = x.d - 1 AND up.k = x.above
+"""
+
 OP12 = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -138,6 +188,7 @@ SQL = {
     "op5_run_length_index": OP5,
     "op7_level_doubling": OP7,
     "op8_minhash_containment": OP8,
+    "op11_euler_tour": OP11,
     "op12_stateful_stream": OP12,
     "op13_shared_lists": OP13,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from closingbell.llm import bktree, containment, digest, doubling, entropy_difference, exact_stream, line_chunks, repair, rlbwt, shared_lists, shared_viterbi, toxicity
+from closingbell.llm import bktree, containment, digest, doubling, entropy_difference, exact_stream, line_chunks, prefix_tour, repair, rlbwt, shared_lists, shared_viterbi, toxicity
 from closingbell.llm.common import read, ship
 
 
@@ -62,6 +62,13 @@ def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bktree.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_euler_tour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation begins with up to five turns of the first one of its hundred."""
+    shared = F.crc32(F.col("conv_id").cast("string")) % prefix_tour.MOST_SHARED
+    base = F.col("conv_id") - F.col("conv_id") % prefix_tour.FAMILY
+    return prefix_tour.prefix_tree(read(spark, sf_dir, "conversations"), shared, base)
+
+
 def op12_stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_stream.exact_groups(spark, f"{sf_dir}/documents.parquet")
 
@@ -85,6 +92,7 @@ QUERIES = {
         op8_minhash_containment,
         op9_shared_prefix_viterbi,
         op10_simhash_bktree,
+        op11_euler_tour,
         op12_stateful_stream,
         op13_shared_lists,
     )

@@ -21,7 +21,7 @@ def duck():
 
 def test_all_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(oracle.SQL) <= set(entry.oracle_sql())
 
