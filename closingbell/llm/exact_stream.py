@@ -28,10 +28,12 @@ from closingbell.llm.common import stored
 from closingbell.session import setting, work_folder
 
 _STATE = "spark.sql.streaming.stateStore."
-#: State on each executor's disk, with one memory limit for all stores of an executor.
+#: State on each executor's disk, with one memory limit for all stores of an executor, and no space
+#: set aside for stores that stay small.
 STATE = {
     f"{_STATE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{_STATE}rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STATE}rocksdb.allowFAllocate": "false",
     f"{_STATE}rocksdb.boundedMemoryUsage": "true",
     f"{_STATE}rocksdb.maxMemoryUsageMB": "256",
 }
