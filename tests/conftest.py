@@ -26,6 +26,3 @@ def spark():
     yield session
     session.stop()
 
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

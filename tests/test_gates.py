@@ -4,7 +4,7 @@ import pytest
 
 import data
 from closingbell.operators import calendar, gates
-from conftest import plan_of
+from plan_text import plan_of
 
 STALE = dt.date(2023, 12, 29)
 

@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 import compare
 from workload import oracle
 from workload.queries import callables
-from conftest import plan_of
+from plan_text import plan_of
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = callables(), oracle.statements()

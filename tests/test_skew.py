@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import data
 from closingbell.operators import audit, failures, gates, universe
-from conftest import plan_of
+from plan_text import plan_of
 
 ROWS = 30_000
 HOT = ROWS // 3

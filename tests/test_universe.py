@@ -9,7 +9,7 @@ from closingbell import schemas
 from closingbell.functions import normalise_symbol
 from closingbell.operators import audit, positions, universe
 from closingbell.sources import tickers
-from conftest import plan_of
+from plan_text import plan_of
 
 OPEN, LEFT = dt.date(2020, 1, 1), dt.date(2021, 1, 1)
 
