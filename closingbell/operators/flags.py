@@ -119,9 +119,14 @@ def flag_rows(
 ) -> DataFrame:
     """Rows for the flag table. A symbol without a membership has no row to hang on; the
     caller lists those with ``universe.unknown_symbols``."""
-    tripped = annotated.filter(F.size("rules") > 0)
     ids = membership.select(F.col("id").alias("symbol_id"), "symbol")
-    rows = tripped.join(ids, "symbol").select(
+    return known_flag_rows(annotated.filter(F.size("rules") > 0).join(ids, "symbol"), run_id, now)
+
+
+def known_flag_rows(annotated: DataFrame, run_id: str, now) -> DataFrame:
+    """``flag_rows`` of bars that carry their ``symbol_id``."""
+    tripped = annotated.filter((F.size("rules") > 0) & F.col("symbol_id").isNotNull())
+    rows = tripped.select(
         stable_id("ohlcv_flag", F.col("symbol_id"), F.col("date")).alias("id"),
         "symbol_id",
         F.col("date").alias("session_date"),

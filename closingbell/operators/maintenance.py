@@ -5,13 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import math
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import accumulate, batched
+from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from closingbell.functions.dates import as_date
 from closingbell.sources import prices
+from closingbell.sources.years import YearTable
 
 # Retention of unreferenced files, retention of dated rows.
 RETENTION_HOURS = 168
@@ -21,17 +24,17 @@ PURGE_DAYS = 30
 FILES = "path string, bytes bigint, modified timestamp"
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, bytes, modified)`` of the data files under a folder, without reading them."""
+def list_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """``(path, bytes, modified)`` of the data files under some folders, without reading them."""
     reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
     )
     try:
-        found = reader.load(path)
+        found = reader.load(list(paths))
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() == "PATH_NOT_FOUND" and len(paths) == 1:
             return spark.createDataFrame([], FILES)
         raise
     return found.select(
@@ -39,33 +42,31 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def year_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files and bytes per year folder of the price store."""
+def year_files(table: YearTable) -> DataFrame:
+    """Files and bytes per year of a table."""
+    if not table.versions:
+        return table.spark.createDataFrame([], "year int, files bigint, bytes bigint")
     year = F.regexp_extract("path", r"/year=(\d+)/", 1).cast("int")
     return (
-        list_files(spark, prices.live_path(root))
+        list_files(table.spark, *table.paths())
         .groupBy(year.alias("year"))
         .agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
     )
 
 
-def compact_prices(
-    spark: SparkSession, root: str, run_id: str, target_bytes: int = prices.TARGET_BYTES
-) -> DataFrame:
+def compact_prices(table: YearTable, target_bytes: int = prices.TARGET_BYTES) -> DataFrame:
     """Repack the years that hold more files than their bytes need; bars are unchanged.
 
-    The repacked years are counted on the stage before they replace the live ones. A year gets
-    as many files as its bytes need, each with the bars of some symbols, so a second compaction
-    finds nothing to pack. Returns files and bytes before and after.
+    A repacked year is the next version of it, and counts if it has as many bars. A year gets as
+    many files as its bytes need, each with the bars of some symbols, so a second compaction finds
+    nothing to pack. Returns files and bytes before and after.
     """
-    prices.settle(spark, root)
-    before = year_files(spark, root)
     # one row per year
-    stats = before.collect()
+    stats = year_files(table).collect()
     wanted = {s.year: max(1, math.ceil(s.bytes / target_bytes)) for s in stats}
     packed = [s.year for s in stats if s.files > wanted[s.year]]
     if packed:
-        live = prices.read_prices(spark, root, packed)
+        live = table.read(packed)
         # a partition for each file; one row per year in the lists
         begins = dict(zip(packed, accumulate((wanted[year] for year in packed), initial=0)))
         own = F.lit(0)
@@ -73,15 +74,12 @@ def compact_prices(
             place = F.pmod(F.xxhash64("symbol"), F.lit(wanted[year])) + begins[year]
             own = F.when(F.col("year") == year, place).otherwise(own)
         files = sum(wanted[year] for year in packed)
-        evenly = live.repartitionById(files, own.cast("int"))
-        prices.stage(spark, root, run_id, evenly, live.count())
-        prices.publish(spark, root, run_id, target_bytes)
-    after = year_files(spark, root)
-    was = spark.createDataFrame(
+        table.replace(live.repartitionById(files, own.cast("int")), packed, live.count(), dealt=True)
+    was = table.spark.createDataFrame(
         [(s.year, s.files, s.bytes) for s in stats],
         "year int, files_before bigint, bytes_before bigint",
     )
-    return was.join(after, "year", "left").select(
+    return was.join(year_files(table), "year", "left").select(
         "year",
         "files_before",
         F.col("files").alias("files_after"),
@@ -106,14 +104,9 @@ def orphan_files(
     if retention_hours < RETENTION_HOURS and not allow_short:
         raise ValueError(f"retention below {RETENTION_HOURS} h needs allow_short=True")
     limit = F.lit(as_of - dt.timedelta(hours=retention_hours)).cast("timestamp")
-    referenced = list_files(spark, live[0])
-    for path in live[1:]:
-        referenced = referenced.unionByName(list_files(spark, path))
-    return (
-        list_files(spark, root)
-        .join(referenced.select("path"), "path", "left_anti")
-        .filter(F.col("modified") < limit)
-    )
+    folders = [F.col("path").contains(f"{urlsplit(path).path}/") for path in live]
+    held = reduce(lambda a, b: a | b, folders, F.lit(False))
+    return list_files(spark, root).filter(~held & (F.col("modified") < limit))
 
 
 def remove_files(spark: SparkSession, files: DataFrame, at_once: int = 32) -> int:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from closingbell.functions import missing, recent_years
 from closingbell.functions.dates import as_date
+from closingbell.operators import keyed
 
 # Fixed value: returns (and volumes) in a baseline. It takes one close more.
 WINDOW = 20
@@ -68,6 +69,17 @@ def recent_closes(
     return newest.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
 
 
+def merge_recent(recent: DataFrame, batch: DataFrame, lookback: int = WINDOW + 1) -> DataFrame:
+    """The newest bars of every symbol after a batch, from those before it.
+
+    A bar of the batch replaces the one of its date. The newest of the newest and the batch are
+    the newest of all, so a baseline needs this state and the day's bars, not the history.
+    """
+    columns = ["symbol", "date", "close", "volume"]
+    merged = keyed.replace_rows(recent.select(*columns), batch.select(*columns), ["symbol", "date"])
+    return newest_bars(merged, lookback)
+
+
 def rolling_stats(closes: DataFrame, window: int = WINDOW) -> DataFrame:
     """``(symbol, rolling_sd, rolling_avg_volume)`` over each symbol's last sessions.
 

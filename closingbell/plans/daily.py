@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from closingbell import schemas
+from closingbell.functions import recent_years
 from closingbell.operators import failures, flags, gates, keyed, runs, stats, universe
 from closingbell.sources import prices
-from closingbell.sources.tables import Store, replace_partitions
+from closingbell.sources.tables import Store
 
 DAG_ID = "prices_daily"
 
@@ -36,7 +37,6 @@ def run_daily(
     new versions count from the moment the run is closed.
     """
     spark = store.spark
-    store.settle()
     log = store.log_run(
         runs.first_state(spark, store.read("pipeline_run"), run_id, DAG_ID, as_of, now)
     )
@@ -63,40 +63,42 @@ def _failure(spark, run_id: str, as_of, error: Exception) -> DataFrame:
 
 
 def _ingest(store, landing, calendar, run_id, as_of, now, limits) -> DataFrame:
+    """Every count of a run is collected by the job that writes the rows it is about."""
     members = store.read("membership")
     listed = store.read("universe_membership")
 
     # payloads are parsed once; every step below reads the outcome
-    gated = store.keep(gates.gate_payloads(landing, calendar), run_id, "gated")
-    accepted = gates.accepted_bars(gated)
-    bars = store.keep(
-        gates.keep_last(accepted, ["symbol", "date"], ["seq"]).drop("seq"), run_id, "bars"
+    gated, parsed = store.keep(
+        gates.gate_payloads(landing, calendar), run_id, "gated", accepted=F.count_if(F.col("gate").isNull())
     )
-    dlq = store.write(
+    bars, batch = store.keep(
+        gates.keep_last(gates.accepted_bars(gated), ["symbol", "date"], ["seq"]).drop("seq"),
+        run_id,
+        "bars",
+        rows=F.count(F.lit(1)),
+        first=F.min("date"),
+        last=F.max("date"),
+    )
+    judged = write_flags(store, bars, (batch["first"], batch["last"]), members, run_id, now, limits)
+    written = prices.upsert_prices(store.prices, bars)
+    recorded = failures.record_failures(store.read("failed_ingestion"), gates.rejections(gated), members, now)
+    _, queue = store.write(
         "failed_ingestion",
-        failures.record_failures(
-            store.read("failed_ingestion"), gates.rejections(gated), members, now
-        ),
+        failures.clear_resolved(recorded, bars, members),
+        queued=F.count_if(F.col("created_at") >= schemas.clock(now)),
+    )
+    active, fetched = store.keep(
+        universe.active_symbols(listed, members), run_id, "active", attempted=F.count(F.lit(1))
     )
-
-    judged = write_flags(store, bars, members, run_id, now, limits)
-    written = prices.upsert_prices(store.spark, store.prices, bars, run_id)
-    dlq = store.write("failed_ingestion", failures.clear_resolved(dlq, bars, members))
     if written:
-        refresh_baselines(store, members, listed, as_of, now)
-
-    # an empty list gives no honest count of what the run set out to fetch
-    attempted = universe.active_symbols(listed, members).count() or None
-    queued = failures.count_since(dlq, now).first().failures
-    unknown = universe.unknown_symbols(bars, members).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        refresh_baselines(store, bars, members, active, as_of, now)
     counts = {
         "written": written,
-        "attempted": attempted,
-        "dlq_failures": queued,
-        "flagged": judged["flagged"],
-        "unvalidated": judged["unvalidated"],
-        "unknown_bars": unknown,
-        "duplicate_bars": accepted.count() - written,
+        # an empty list gives no honest count of what the run set out to fetch
+        "attempted": fetched["attempted"] or None,
+        "dlq_failures": queue["queued"],
+        "duplicate_bars": parsed["accepted"] - batch["rows"],
+        **judged,
     }
     return store.spark.range(1).select(
         F.lit(run_id).alias("id"),
@@ -104,56 +106,65 @@ def _ingest(store, landing, calendar, run_id, as_of, now, limits) -> DataFrame:
     )
 
 
-def write_flags(store: Store, bars, members, run_id, now, limits=flags.Limits()) -> dict[str, int]:
+def write_flags(store: Store, bars, span, members, run_id, now, limits=flags.Limits()) -> dict[str, int]:
     """Replace the flags of the batch's sessions and symbols with the current evaluation.
 
     Every bar is judged by its own date, whenever the run is: the history is that of the batch's
-    own years and the year before. A batch is one session as a rule. One that spans several
-    rewrites the sessions between its first and last; those it has no bar for come out as they
-    were. Returns how many bars were flagged and how many no check could judge.
+    own years and the year before. ``span`` is the batch's first and last date; a batch is one
+    session as a rule. The flags of the years it lies in are written anew: those it has no bar for
+    come out as they were. Returns how many bars were flagged, how many no check could judge, and
+    how many are of symbols without a membership.
     """
-    first, last = bars.agg(F.min("date"), F.max("date")).first()
+    first, last = span
     if first is None:
-        return {"flagged": 0, "unvalidated": 0}
-    years = list(range(first.year - 1, last.year + 1))
-    history = prices.read_prices(store.spark, store.prices, years)
+        return {"flagged": 0, "unvalidated": 0, "unknown_bars": 0}
+    years = list(range(first.year, last.year + 1))
+    history = store.prices.read([first.year - 1, *years])
     session = first if first == last else None
-    judged = store.keep(
-        flags.flag_bars(bars, history, limits, session=session), run_id, "judged"
+    ids = members.select(F.col("id").alias("symbol_id"), "symbol")
+    judged, counts = store.keep(
+        flags.flag_bars(bars, history, limits, session=session).join(ids, "symbol", "left"),
+        run_id,
+        "judged",
+        flagged=F.count_if(F.size("rules") > 0),
+        unvalidated=F.count_if(F.col("checks_run") == 0),
+        unknown_bars=F.count_if(F.col("symbol_id").isNull()),
     )
-    spanned = F.col("session_date").between(first, last)
-    evaluated = universe.symbol_lookup(bars.select("symbol", "date"), members).select(
+    evaluated = judged.filter(F.col("symbol_id").isNotNull()).select(
         "symbol_id", F.col("date").alias("session_date")
     )
-    rows = flags.flag_rows(judged, members, run_id, now)
-    replace_partitions(
-        store.spark,
-        store.flags,
-        f"{store.root}/work/{run_id}/flags",
-        schemas.TABLES["ohlcv_flag"],
-        "session_date",
-        spanned,
-        lambda stored: keyed.replace_slice(
-            stored, evaluated, rows, schemas.UNIQUE_KEYS["ohlcv_flag"]
-        ),
-        lambda staged: store.check("ohlcv_flag", staged),
-    )
-    total = flags.flag_summary(judged).agg(
-        F.sum("flagged").alias("flagged"), F.sum("unvalidated").alias("unvalidated")
+    rows = flags.known_flag_rows(judged, run_id, now)
+    stored = store.flags.read(years).drop("year")
+    store.replace_flags(
+        keyed.replace_slice(stored, evaluated, rows, schemas.UNIQUE_KEYS["ohlcv_flag"]), years
     )
-    return total.first().asDict()
+    return counts
 
 
-def refresh_baselines(store: Store, members, listed, as_of, now) -> None:
-    """Rolling baselines of the active symbols, from the price store as it is now."""
-    closes = stats.recent_closes(
-        prices.read_prices(store.spark, store.prices),
-        as_of,
-        symbols=universe.active_symbols(listed, members),
-    )
+def refresh_baselines(store: Store, bars, members, active, as_of, now) -> None:
+    """Rolling baselines of the active symbols, from the stored newest bars and the batch.
+
+    The first run takes the newest bars from the price store, and so does a run for a year that
+    is over: the newest bars of all are then not those it looks back on.
+    """
+    recent = store.read("recent_bars")
+    if not store.whole["recent_bars"]:
+        recent = stats.newest_bars(store.prices.read().select("symbol", "date", "close", "volume"), stats.WINDOW + 1)
+    recent, reach = store.write("recent_bars", stats.merge_recent(recent, bars), newest=F.max("date"))
+    years = recent_years(as_of)
+    if reach["newest"].year > years[-1]:
+        closes = stats.recent_closes(store.prices.read(), as_of, symbols=active)
+    else:
+        closes = recent.filter(F.year("date").isin(years)).join(active, "symbol", "left_semi")
     store.write(
         "volatility_rolling",
-        failures.update_baselines(
-            store.read("volatility_rolling"), stats.rolling_stats(closes), members, now
-        ),
+        failures.update_baselines(store.read("volatility_rolling"), stats.rolling_stats(closes), members, now),
     )
+
+
+def backfill(store: Store, bars: DataFrame) -> int:
+    """Bring in bars outside a run, and the newest of them into the state of the baselines."""
+    written = prices.upsert_prices(store.prices, bars)
+    if store.whole["recent_bars"]:
+        store.write("recent_bars", stats.merge_recent(store.read("recent_bars"), bars))
+    return written

@@ -23,7 +23,7 @@ def run_upkeep(
     Files are deleted only with ``dry_run=False``. What compaction itself leaves behind is
     younger than the retention and goes in a later run.
     """
-    packed = maintenance.compact_prices(store.spark, store.prices, run_id)
+    packed = maintenance.compact_prices(store.prices)
     found = store.keep(
         maintenance.orphan_files(
             store.spark, store.root, store.live_paths(), as_of, retention_hours, allow_short

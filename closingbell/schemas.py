@@ -72,6 +72,9 @@ VOLATILITY = _table(
     " rolling_sd double, rolling_avg_volume double"
 )
 
+# The newest bars of every symbol: what a baseline is computed from.
+RECENT_BARS = _table("symbol string, date date, close double, volume bigint")
+
 FAILED_INGESTION = _table(
     "id string, symbol_id string, raw_symbol string, created_at timestamp_ntz, failure string,"
     " failure_error string, retry_after timestamp_ntz, attempts int, review_required boolean"
@@ -94,6 +97,7 @@ TABLES = {
     "membership": MEMBERSHIP,
     "universe_membership": UNIVERSE_MEMBERSHIP,
     "volatility_rolling": VOLATILITY,
+    "recent_bars": RECENT_BARS,
     "failed_ingestion": FAILED_INGESTION,
     "ohlcv_flag": FLAG,
     "pipeline_run": PIPELINE_RUN,
@@ -107,6 +111,7 @@ UNIQUE_KEYS = {
     "universe": ["name"],
     "membership": ["symbol"],
     "volatility_rolling": ["symbol_id"],
+    "recent_bars": ["symbol", "date"],
     "failed_ingestion": ["symbol_id"],
     "ohlcv_flag": ["symbol_id", "session_date"],
     "pipeline_run": ["id"],

@@ -1,21 +1,17 @@
-"""The price store: Parquet, one folder per year, keyed on (symbol, date).
+"""The price store: Parquet by year, keyed on (symbol, date).
 
-``<root>/live`` is the table. A change that touches stored bars is first written whole to
-``<root>/stage/<run>`` and checked there; only then are the touched years replaced from it.
-If the replacement dies half-way, the next change finishes it from the stage before it reads
-the table.
+A batch is merged by plain jobs: bars that are new to a year are appended to it, and a year in which a
+stored bar changes is written anew, once, beside the folder that counts.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from closingbell import schemas
 from closingbell.functions import session_year
 from closingbell.operators import keyed
-from closingbell.sources import tables
-from closingbell.sources.tables import read_or_empty
+from closingbell.sources.years import YearTable
 
 KEY = ["symbol", "date"]
 VALUES = ["open", "high", "low", "close", "volume"]
@@ -24,33 +20,8 @@ VALUES = ["open", "high", "low", "close", "volume"]
 TARGET_BYTES = 256 * 1024 * 1024
 
 
-def live_path(root: str) -> str:
-    return f"{root}/live"
-
-
-def live_paths(root: str) -> list[str]:
-    """The table and the note of a replacement under way."""
-    return [live_path(root), f"{live_path(root)}-pending"]
-
-
-def stage_path(root: str, run_id: str) -> str:
-    return f"{root}/stage/{run_id}"
-
-
-def read_prices(spark: SparkSession, root: str, years: list[int] | None = None) -> DataFrame:
-    """The table, or an empty one before the first write; ``years`` prunes partitions."""
-    prices = read_or_empty(spark, live_path(root), schemas.PRICES)
-    return prices if years is None else prices.filter(F.col("year").isin(years))
-
-
-def exists(spark: SparkSession, root: str) -> bool:
-    try:
-        spark.read.schema(schemas.PRICES).parquet(live_path(root))
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+def price_table(spark: SparkSession, root: str, versions: dict[int, int] | None = None) -> YearTable:
+    return YearTable(spark, root, schemas.PRICES, KEY, versions)
 
 
 def with_year(bars: DataFrame) -> DataFrame:
@@ -62,60 +33,14 @@ def merge_bars(target: DataFrame, batch: DataFrame) -> DataFrame:
     return keyed.replace_rows(target, batch, KEY)
 
 
-def _save(prices: DataFrame, path: str, mode: str, replaced: str = "dynamic") -> None:
-    """Sorted files give a symbol or date filter row groups to skip."""
-    (
-        prices.sortWithinPartitions("year", "symbol", "date")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", replaced)
-        .partitionBy("year")
-        .parquet(path)
-    )
-
-
-def _balanced(prices: DataFrame) -> DataFrame:
-    """Adaptive execution sizes the tasks: a year of any size is split, small ones share."""
-    return prices.hint("rebalance", "year")
-
-
-def settle(spark: SparkSession, root: str) -> bool:
-    """Finish a replacement that died half-way."""
-    return tables.settle(spark, live_path(root), schemas.PRICES)
-
-
-def publish(
-    spark: SparkSession, root: str, run_id: str, target_bytes: int = TARGET_BYTES
-) -> None:
-    """Replace the staged years of the table, file by file and without a shuffle."""
-    tables.publish_staged(
-        spark, live_path(root), stage_path(root, run_id), "year", schemas.PRICES, target_bytes
-    )
-
-
-def stage(
-    spark: SparkSession, root: str, run_id: str, prices: DataFrame, expected: int
-) -> None:
-    """Write whole years beside the table and check their row count there."""
-    _save(prices, stage_path(root, run_id), "overwrite", "static")
-    staged = read_stage(spark, root, run_id).count()
-    if staged != expected:
-        raise RuntimeError(f"staged {staged} bars, expected {expected}; table unchanged")
-
-
-def read_stage(spark: SparkSession, root: str, run_id: str) -> DataFrame:
-    return spark.read.schema(schemas.PRICES).parquet(stage_path(root, run_id))
-
-
-def upsert_prices(spark: SparkSession, root: str, batch: DataFrame, run_id: str) -> int:
+def upsert_prices(table: YearTable, batch: DataFrame) -> int:
     """Merge a batch into the table; returns the number of bars in it.
 
     A daily batch seldom meets a stored bar: then it is appended and nothing is rewritten.
     A batch that comes again as it was (a retried run) finds its bars stored and only adds
-    those that are missing. Years in which a stored bar changes are rewritten through the
-    stage. The batch is read three times, so one that is costly to derive should be a
-    stored one.
+    those that are missing. The batch is read three times, so one that is costly to derive
+    should be a stored one.
     """
-    settle(spark, root)
     incoming = with_year(batch)
     # one row per year of the batch here and below: bounded by the calendar
     spans = {
@@ -131,34 +56,35 @@ def upsert_prices(spark: SparkSession, root: str, batch: DataFrame, run_id: str)
         )
         .collect()
     }
-    if not spans:
-        return 0
     if any(span.copies > 1 for span in spans.values()):
         raise keyed.DuplicateKeys(f"batch is not unique on {KEY}")
     total = sum(span.bars for span in spans.values())
-    if not exists(spark, root):
-        _save(_balanced(incoming), live_path(root), "append")
+    new = [year for year in spans if year not in table.versions]
+    if new:
+        table.replace(incoming.filter(F.col("year").isin(new)), new)
+    known = [year for year in spans if year not in new]
+    if not known:
         return total
 
-    reached = read_prices(spark, root, list(spans)).filter(
+    incoming = incoming.filter(F.col("year").isin(known))
+    reached = table.read(known).filter(
         F.col("date").between(
-            min(span.first for span in spans.values()), max(span.last for span in spans.values())
+            min(spans[year].first for year in known), max(spans[year].last for year in known)
         )
     )
     found = {row.year: row for row in _meeting(incoming, reached).collect()}
-    changed = [year for year, row in found.items() if row.changed]
-    if changed:
-        target = read_prices(spark, root, changed)
-        changes = incoming.filter(F.col("year").isin(changed))
-        expected = target.count() + sum(found[year].absent for year in changed)
-        stage(spark, root, run_id, _balanced(merge_bars(target, changes)), expected)
-        publish(spark, root, run_id)
     grown = [year for year, row in found.items() if row.absent and not row.changed]
     if grown:
         fresh = incoming.filter(F.col("year").isin(grown))
         if any(found[year].absent < spans[year].bars for year in grown):
             fresh = keyed.delete_matching(fresh, reached, KEY)
-        _save(_balanced(fresh), live_path(root), "append")
+        table.append(fresh, grown)
+    changed = [year for year, row in found.items() if row.changed]
+    if changed:
+        target = table.read(changed)
+        changes = incoming.filter(F.col("year").isin(changed))
+        expected = target.count() + sum(found[year].absent for year in changed)
+        table.replace(merge_bars(target, changes), changed, expected)
     return total
 
 

@@ -1,24 +1,21 @@
-"""Stored tables without a year partition: one fresh folder per version.
+"""The stored tables of one installation: one fresh folder per version.
 
-A table is never written over the folder it is read from; the caller passes the version
-on, and the folders it no longer names are found by ``operators.maintenance.orphan_files``.
+A table is never written over the folder it is read from; the caller passes the versions
+on, and the folders they no longer name are found by ``operators.maintenance.orphan_files``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from closingbell import schemas
 from closingbell.operators import audit
 from closingbell.operators import runs as run_log
-from closingbell.session import setting
-
-# Fixed value: most bytes of a staged file that are not from a compaction.
-STAGED_BYTES = 256 * 1024 * 1024
+from closingbell.sources.prices import price_table
+from closingbell.sources.years import YearTable, observed
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -35,104 +32,7 @@ def version_path(root: str, table: str, version: int) -> str:
     return f"{root}/{table}/v={version}"
 
 
-def read_version(spark: SparkSession, root: str, table: str, version: int) -> DataFrame:
-    return read_or_empty(spark, version_path(root, table, version), schemas.TABLES[table])
-
-
-def write_version(df: DataFrame, root: str, table: str, version: int, now=None) -> str:
-    path = version_path(root, table, version)
-    # errorifexists would block the retry of a run that died half-way through this write
-    schemas.conform(df, table, now).write.mode("overwrite").parquet(path)
-    return path
-
-
-PENDING = "stage string, partition string"
-
-
-def note_pending(spark: SparkSession, path: str, stage: str, partition: str) -> None:
-    """Say that the partitions in ``stage`` are about to replace those of ``path``."""
-    _note(spark, path, [(stage, partition)])
-
-
-def _note(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    spark.createDataFrame(rows, PENDING).coalesce(1).write.mode("overwrite").parquet(f"{path}-pending")
-
-
-def publish_staged(
-    spark: SparkSession, path: str, stage: str, partition: str, schema: StructType, file_bytes: int | None = None
-) -> None:
-    """Replace the partitions of ``path`` that ``stage`` holds, and note meanwhile that it is
-    being done. A replacement that dies half-way is finished by ``settle``."""
-    note_pending(spark, path, stage, partition)
-    _replace(spark, path, stage, partition, schema, file_bytes)
-    _note(spark, path, [])
-
-
-def _replace(spark, path, stage, partition, schema, file_bytes=None) -> None:
-    # a task for each staged file, however many cores there are: files keep their sizes
-    whole = 2 * (file_bytes or STAGED_BYTES)
-    with setting(spark, "spark.sql.files.maxPartitionBytes", whole), setting(
-        spark, "spark.sql.files.openCostInBytes", whole
-    ), setting(spark, "spark.sql.files.minPartitionNum", 1):
-        (
-            spark.read.schema(schema).parquet(stage)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(path)
-        )
-
-
-def settle(spark: SparkSession, path: str, schema: StructType) -> bool:
-    """Finish a replacement that died half-way; returns whether there was one.
-
-    Everything that reads a table in order to change it calls this first.
-    """
-    noted = read_or_empty(spark, f"{path}-pending", StructType.fromDDL(PENDING)).collect()
-    for row in noted:  # one at most
-        _replace(spark, path, row["stage"], row["partition"], schema)
-        _note(spark, path, [])
-    return bool(noted)
-
-
-def replace_partitions(
-    spark: SparkSession,
-    path: str,
-    stage: str,
-    schema: StructType,
-    partition: str,
-    replaced: Column,
-    change: Callable[[DataFrame], DataFrame],
-    check: Callable[[DataFrame], None] | None = None,
-) -> None:
-    """Make ``change(stored rows)`` the whole content of the partitions that meet ``replaced``.
-
-    A replacement left half-done is finished before the stored rows are read. The new rows are
-    written to ``stage`` and given to ``check`` there. A dynamic overwrite only touches
-    partitions it has rows for, so a partition that ends up empty keeps one row of nulls, which
-    ``read_partitions`` leaves out (the first column is never null).
-    """
-    settle(spark, path, schema)
-    stored = read_partitions(spark, path, schema, partition).filter(replaced)
-    rows = change(stored).select(*schema.names)
-    rows.hint("rebalance", partition).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(partition).parquet(stage)
-    staged = spark.read.schema(schema).parquet(stage)
-    if check is not None:
-        check(staged)
-    emptied = stored.select(partition).distinct().join(staged.select(partition).distinct(), partition, "left_anti")
-    nothing = emptied.select(
-        *[F.col(f.name) if f.name == partition else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-    )
-    nothing.write.mode("append").partitionBy(partition).parquet(stage)
-    publish_staged(spark, path, stage, partition, schema)
-
-
-def read_partitions(spark: SparkSession, path: str, schema: StructType, partition: str) -> DataFrame:
-    """The rows of a table that ``replace_partitions`` writes."""
-    key = next(name for name in schema.names if name != partition)
-    return read_or_empty(spark, path, schema).filter(F.col(key).isNotNull())
+FLAGS = StructType([*schemas.FLAG.fields, StructField("year", IntegerType())])
 
 
 class IntegrityError(ValueError):
@@ -143,8 +43,8 @@ class Store:
     """The stored tables of one installation and the version of each that counts.
 
     A run works on a copy (``begin``) and its versions are taken over when it closes; until then,
-    and if it fails, the old ones stay valid. Prices and flags grow by session and are replaced by
-    slice instead; the run log is appended to. They have no version.
+    and if it fails, the old ones stay valid. Prices and flags are versioned year by year
+    (``prices/2024`` in ``versions``); the run log is appended to and has no version.
     """
 
     VERSIONED = [name for name in schemas.TABLES if name not in ("ohlcv_flag", "pipeline_run")]
@@ -154,7 +54,13 @@ class Store:
         self.root = root
         if not versions and self._has_versions():
             raise ValueError(f"{root} holds versioned tables; open it with the versions that count")
-        self.versions = dict.fromkeys(self.VERSIONED, 0) | (versions or {})
+        versions = versions or {}
+        years = lambda name: {
+            int(key.split("/")[1]): v for key, v in versions.items() if key.startswith(f"{name}/")
+        }
+        self.whole = {name: versions.get(name, 0) for name in self.VERSIONED}
+        self.prices = price_table(spark, f"{root}/prices", years("prices"))
+        self.flags = YearTable(spark, f"{root}/flags", FLAGS, ["symbol_id", "session_date"], years("flags"))
 
     def _has_versions(self) -> bool:
         try:
@@ -165,42 +71,68 @@ class Store:
                 return False
             raise
 
+    @property
+    def versions(self) -> dict[str, int]:
+        """What a later session opens the store with."""
+        by_year = {
+            f"{name}/{year}": version
+            for name, table in (("prices", self.prices), ("flags", self.flags))
+            for year, version in table.versions.items()
+        }
+        return self.whole | by_year
+
     def begin(self) -> Store:
         """A copy for one run; ``take_over`` makes its versions count."""
         work = Store.__new__(Store)
-        work.spark, work.root, work.versions = self.spark, self.root, dict(self.versions)
+        work.spark, work.root, work.whole = self.spark, self.root, dict(self.whole)
+        work.prices, work.flags = self.prices.copy(), self.flags.copy()
         return work
 
     def take_over(self, work: Store) -> None:
-        self.versions = dict(work.versions)
-
-    def settle(self) -> None:
-        """Finish what a run that died left half-published."""
-        settle(self.spark, self.flags, schemas.TABLES["ohlcv_flag"])
-        settle(self.spark, f"{self.prices}/live", schemas.PRICES)
+        self.whole = dict(work.whole)
+        self.prices, self.flags = work.prices.copy(), work.flags.copy()
 
     def read(self, table: str) -> DataFrame:
         if table == "ohlcv_flag":
-            return read_partitions(self.spark, self.flags, schemas.TABLES[table], "session_date")
+            return self.flags.read().drop("year")
         if table == "pipeline_run":
             return run_log.current(read_or_empty(self.spark, self.log, run_log.ENTRIES))
-        return read_version(self.spark, self.root, table, self.versions[table])
+        path = version_path(self.root, table, self.whole[table])
+        return read_or_empty(self.spark, path, schemas.TABLES[table])
 
     def sql(self, query: str, **args) -> DataFrame:
         """A query over the stored tables by name, its ``:name`` parameters bound."""
         for table in schemas.TABLES:
             self.read(table).createOrReplaceTempView(table)
-        prices = read_or_empty(self.spark, f"{self.prices}/live", schemas.PRICES)
-        prices.createOrReplaceTempView("prices")
+        self.prices.read().createOrReplaceTempView("prices")
         return self.spark.sql(query, args=args)
 
-    def write(self, table: str, df: DataFrame, now=None) -> DataFrame:
-        """Store the next version of a table, unless its rows break a rule."""
-        version = self.versions[table] + 1
-        write_version(df, self.root, table, version, now)
-        self.check(table, read_version(self.spark, self.root, table, version))
-        self.versions[table] = version
-        return self.read(table)
+    def write(self, table: str, df: DataFrame, now=None, **metrics: Column) -> DataFrame | tuple[DataFrame, dict]:
+        """Store the next version of a table; rows that break a rule are never written.
+
+        With ``metrics`` the result is the table and what they came to, collected by the write.
+        """
+        rows = schemas.conform(df, table, now).persist(StorageLevel.DISK_ONLY)
+        try:
+            self.check(table, rows)
+            version, seen = self.whole[table] + 1, None
+            if metrics:
+                rows, seen = observed(rows, **metrics)
+            # errorifexists would block the retry of a run that died half-way through this write
+            rows.write.mode("overwrite").parquet(version_path(self.root, table, version))
+        finally:
+            rows.unpersist()
+        self.whole[table] = version
+        return (self.read(table), seen.get) if metrics else self.read(table)
+
+    def replace_flags(self, rows: DataFrame, years: list[int]) -> None:
+        """Make ``rows`` all flags of the years; rows that break a rule are never written."""
+        rows = rows.withColumn("year", F.year("session_date")).persist(StorageLevel.DISK_ONLY)
+        try:
+            self.check("ohlcv_flag", rows)
+            self.flags.replace(rows, years)
+        finally:
+            rows.unpersist()
 
     def check(self, table: str, rows: DataFrame) -> None:
         """Raise where rows about to be stored break a rule that the schemas state."""
@@ -217,29 +149,24 @@ class Store:
         ).parquet(self.log)
         return self.read("pipeline_run")
 
-    def keep(self, df: DataFrame, run_id: str, name: str) -> DataFrame:
-        """A run's intermediate result as a table: read several times, computed once."""
+    def keep(self, df: DataFrame, run_id: str, name: str, **metrics: Column) -> DataFrame | tuple[DataFrame, dict]:
+        """A run's intermediate result as a table: read several times, computed once.
+
+        With ``metrics`` the result is the table and what they came to, collected by the write.
+        """
         path = f"{self.root}/work/{run_id}/{name}"
+        seen = None
+        if metrics:
+            df, seen = observed(df, **metrics)
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    @property
-    def prices(self) -> str:
-        return f"{self.root}/prices"
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        return (kept, seen.get) if metrics else kept
 
     @property
     def log(self) -> str:
         return f"{self.root}/pipeline_run"
 
-    @property
-    def flags(self) -> str:
-        return f"{self.root}/flags"
-
     def live_paths(self) -> list[str]:
         """Folders that hold current data; everything else under the root is left over."""
-        noted = [path for table in (f"{self.prices}/live", self.flags) for path in (table, f"{table}-pending")]
-        return [*noted, self.log] + [
-            version_path(self.root, table, version)
-            for table, version in self.versions.items()
-            if version > 0
-        ]
+        by_version = [version_path(self.root, table, v) for table, v in self.whole.items() if v > 0]
+        return [self.log, *by_version, *self.prices.paths(), *self.flags.paths()]

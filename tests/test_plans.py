@@ -6,7 +6,7 @@ import data
 from closingbell import schemas
 from closingbell.operators import maintenance
 from closingbell.plans import daily, upkeep, weekly
-from closingbell.sources import prices, tables
+from closingbell.sources import tables
 
 FIRST = dt.date(2024, 1, 1)
 
@@ -40,7 +40,7 @@ def store(spark, tmp_path_factory):
         for i in range(22) for symbol in "ABC"
         for p in [float(100 + i % 2) if symbol == "A" else float(50 + i % 2)]
     ]
-    prices.upsert_prices(spark, made.prices, spark.createDataFrame(history, schemas.BAR), "backfill")
+    daily.backfill(made, spark.createDataFrame(history, schemas.BAR))
     return made
 
 
@@ -76,7 +76,7 @@ def test_sessions_end_to_end(store):
     # the same session again, corrected: bars replaced, the stale flag removed
     row = run(store, 23, 100, run_id="d23-again")
     assert row.status == "SUCCESS" and flags(store) == {}
-    table = prices.read_prices(spark, store.prices)
+    table = store.prices.read()
     assert table.count() == 22 * 3 + 2 + 3
     assert table.filter(f"date = '{session(23)}' AND symbol = 'A'").first().close == 100.0
 
@@ -103,7 +103,7 @@ def test_failed_run_is_logged(store, monkeypatch):
 
 def test_upkeep_removes_only_left_overs(store):
     spark = store.spark
-    before = sorted(tuple(r) for r in prices.read_prices(spark, store.prices).collect())
+    before = sorted(tuple(r) for r in store.prices.read().collect())
     tables_before = {name: store.read(name).count() for name in schemas.TABLES}
     later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=200)
     packed, found = upkeep.run_upkeep(store, "upkeep", later, dry_run=False)
@@ -111,7 +111,7 @@ def test_upkeep_removes_only_left_overs(store):
     assert found.count() > 0
     left = maintenance.orphan_files(spark, store.root, store.live_paths(), later)
     assert {r.path.split("/work/")[-1].split("/")[1] for r in left.collect()} <= {"orphans"}
-    assert sorted(tuple(r) for r in prices.read_prices(spark, store.prices).collect()) == before
+    assert sorted(tuple(r) for r in store.prices.read().collect()) == before
     assert {name: store.read(name).count() for name in schemas.TABLES} == tables_before
 
 

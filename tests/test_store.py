@@ -4,259 +4,189 @@ import os
 
 import pytest
 
-from pyspark.sql import functions as F
-
 import data
 from closingbell import schemas
 from closingbell.operators import keyed, maintenance
 from closingbell.sources import prices, tables
+from plan_text import plan_of
 
 KEYED = ["symbol", "date", "close"]
 
 
-def table(spark, root):
-    return sorted(tuple(r) for r in prices.read_prices(spark, root).select(KEYED).collect())
+def store_of(spark, root):
+    return prices.price_table(spark, str(root))
+
+
+def rows(table):
+    return sorted(tuple(r) for r in table.read().select(KEYED).collect())
 
 
-def files(root, part="live"):
-    return sorted(glob.glob(f"{root}/{part}/**/*.parquet", recursive=True))
+def files(table, *years):
+    return sorted(f for p in table.paths(list(years) or None) for f in glob.glob(f"{p}/*.parquet"))
 
 
 def bar(symbol, day, close):
     return (symbol, day, close, close, close, close, 10)
 
 
-def frame(spark, *rows):
-    return spark.createDataFrame(list(rows), schemas.BAR)
+def frame(spark, *found):
+    return spark.createDataFrame(list(found), schemas.BAR)
 
 
 D23, D24 = dt.date(2023, 12, 29), dt.date(2024, 1, 2)
 
 
 def test_absent_table_is_empty_and_other_errors_propagate(spark, tmp_path):
-    assert prices.read_prices(spark, str(tmp_path)).count() == 0
-    os.makedirs(tmp_path / "live" / "year=2024")
-    (tmp_path / "live" / "year=2024" / "x.parquet").write_text("not parquet")
+    assert store_of(spark, tmp_path).read().count() == 0
+    table = prices.price_table(spark, str(tmp_path), {2024: 1})
+    os.makedirs(tmp_path / "year=2024" / "v=1")
+    (tmp_path / "year=2024" / "v=1" / "x.parquet").write_text("not parquet")
     with pytest.raises(Exception):
-        prices.read_prices(spark, str(tmp_path)).count()
+        table.read().count()
 
 
 def test_upsert_is_idempotent(spark, tmp_path):
-    root = str(tmp_path)
+    table = store_of(spark, tmp_path)
     first = frame(spark, bar("A", D23, 1.0), bar("A", D24, 2.0), bar("B", D24, 3.0))
-    assert prices.upsert_prices(spark, root, first, "r1") == 3
+    assert prices.upsert_prices(table, first) == 3
     batch = frame(spark, bar("A", D24, 9.0), bar("C", D24, 4.0))
-    for run in ("r2", "r3"):
-        assert prices.upsert_prices(spark, root, batch, run) == 2
-        assert table(spark, root) == [("A", D23, 1.0), ("A", D24, 9.0), ("B", D24, 3.0), ("C", D24, 4.0)]
+    for _ in range(2):
+        assert prices.upsert_prices(table, batch) == 2
+        assert rows(table) == [("A", D23, 1.0), ("A", D24, 9.0), ("B", D24, 3.0), ("C", D24, 4.0)]
+    assert table.versions == {2023: 1, 2024: 2}
 
 
 def test_untouched_years_keep_their_files(spark, tmp_path):
-    root = str(tmp_path)
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D23, 1.0), bar("A", D24, 2.0)), "r1")
-    before = files(f"{root}/live/year=2023", "")
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 5.0)), "r2")
-    assert files(f"{root}/live/year=2023", "") == before
+    table = store_of(spark, tmp_path)
+    prices.upsert_prices(table, frame(spark, bar("A", D23, 1.0), bar("A", D24, 2.0)))
+    before = files(table, 2023)
+    prices.upsert_prices(table, frame(spark, bar("A", D24, 5.0)))
+    assert files(table, 2023) == before != []
 
 
 def test_new_session_is_appended(spark, tmp_path):
-    root = str(tmp_path)
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 2.0)), "r1")
-    before = files(root)
-    prices.upsert_prices(spark, root, frame(spark, bar("A", dt.date(2024, 1, 3), 3.0)), "r2")
-    assert set(before) < set(files(root)) and not files(root, "stage")
+    table = store_of(spark, tmp_path)
+    prices.upsert_prices(table, frame(spark, bar("A", D24, 2.0)))
+    before = files(table)
+    prices.upsert_prices(table, frame(spark, bar("A", dt.date(2024, 1, 3), 3.0)))
+    assert set(before) < set(files(table)) and table.versions == {2024: 1}
 
 
 def test_retried_batch_rewrites_nothing(spark, tmp_path):
-    root = str(tmp_path)
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 2.0)), "r1")
-    before = files(root)
+    table = store_of(spark, tmp_path)
+    prices.upsert_prices(table, frame(spark, bar("A", D24, 2.0)))
+    before = files(table)
     # the first attempt died before B was stored
     batch = frame(spark, bar("A", D24, 2.0), bar("B", D24, 3.0))
-    assert prices.upsert_prices(spark, root, batch, "r2") == 2
-    after = files(root)
-    assert set(before) < set(after) and not files(root, "stage")
-    assert table(spark, root) == [("A", D24, 2.0), ("B", D24, 3.0)]
-    assert prices.upsert_prices(spark, root, batch, "r3") == 2
-    assert files(root) == after
+    assert prices.upsert_prices(table, batch) == 2
+    after = files(table)
+    assert set(before) < set(after) and table.versions == {2024: 1}
+    assert rows(table) == [("A", D24, 2.0), ("B", D24, 3.0)]
+    assert prices.upsert_prices(table, batch) == 2
+    assert files(table) == after
 
 
 def test_duplicate_batch_is_refused(spark, tmp_path):
-    batch = frame(spark, bar("A", D24, 2.0), bar("A", D24, 3.0))
+    table = store_of(spark, tmp_path)
     with pytest.raises(keyed.DuplicateKeys):
-        prices.upsert_prices(spark, str(tmp_path), batch, "r1")
-    assert prices.upsert_prices(spark, str(tmp_path), frame(spark), "r2") == 0
-    assert not files(tmp_path)
-
-
-def test_lost_year_comes_back_from_the_stage(spark, tmp_path):
-    root = str(tmp_path)
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 2.0), bar("B", D24, 3.0)), "r1")
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 9.0)), "r2")
-    whole = table(spark, root)
-    for path in files(root):  # as if the replacement had died after removing the year
-        os.remove(path)
-    prices.publish(spark, root, "r2")
-    assert table(spark, root) == whole
-
-
-class Died(Exception):
-    pass
-
-
-def die_while_replacing(monkeypatch, spark, path):
-    """The next replacement removes the partitions it is to replace, and dies."""
-    whole = tables._replace
-
-    def removed(spark_, path_, stage, partition, schema, *rest):
-        whole(spark_, path_, stage, partition, schema, *rest)
-        staged = {p.split("/")[-1] for p in glob.glob(f"{stage}/{partition}=*")}
-        for folder in staged:
-            for file in glob.glob(f"{path_}/{folder}/*.parquet"):
-                os.remove(file)
-        raise Died
-
-    monkeypatch.setattr(tables, "_replace", removed)
-    return whole
-
-
-def test_retry_of_a_merge_that_died_keeps_every_bar(spark, tmp_path, monkeypatch):
-    root = str(tmp_path)
-    prices.upsert_prices(spark, root, frame(spark, *[bar(s, D24, 2.0) for s in "ABCD"]), "r1")
-    whole = die_while_replacing(monkeypatch, spark, root)
-    batch = frame(spark, bar("A", D24, 9.0))
-    with pytest.raises(Died):
-        prices.upsert_prices(spark, root, batch, "r2")
-    assert table(spark, root) == []
-    monkeypatch.setattr(tables, "_replace", whole)
-    prices.upsert_prices(spark, root, batch, "r2")
-    assert table(spark, root) == [("A", D24, 9.0)] + [(s, D24, 2.0) for s in "BCD"]
-    assert not prices.settle(spark, root)
-
-
-def test_compaction_that_died_is_finished_by_the_next_change(spark, tmp_path, monkeypatch):
-    root = str(tmp_path)
-    small_files(spark, root, 3)
-    before = table(spark, root)
-    whole = die_while_replacing(monkeypatch, spark, root)
-    with pytest.raises(Died):
-        maintenance.compact_prices(spark, root, "pack")
-    monkeypatch.setattr(tables, "_replace", whole)
-    maintenance.compact_prices(spark, root, "pack-2")
-    assert table(spark, root) == before
-
-
-def test_a_run_id_used_again_stages_only_its_own_years(spark, tmp_path):
-    root = str(tmp_path)
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D23, 1.0), bar("A", D24, 2.0)), "r1")
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D23, 5.0)), "again")
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 6.0)), "again")
-    assert table(spark, root) == [("A", D23, 5.0), ("A", D24, 6.0)]
+        prices.upsert_prices(table, frame(spark, bar("A", D24, 2.0), bar("A", D24, 3.0)))
+    assert prices.upsert_prices(table, frame(spark)) == 0
+    assert table.versions == {}
+
+
+def test_a_merge_that_did_not_count_leaves_the_table(spark, tmp_path):
+    """A run's copy writes versions of its own; the same merge again starts from what counts."""
+    table = store_of(spark, tmp_path)
+    prices.upsert_prices(table, frame(spark, *[bar(s, D24, 2.0) for s in "ABCD"]))
+    before, batch = rows(table), frame(spark, bar("A", D24, 9.0))
+    lost = table.copy()
+    prices.upsert_prices(lost, batch)
+    assert rows(table) == before and rows(lost) != before
+    prices.upsert_prices(table, batch)
+    assert rows(table) == rows(lost) == [("A", D24, 9.0)] + [(s, D24, 2.0) for s in "BCD"]
+
+
+def test_wrong_count_leaves_the_table_alone(spark, tmp_path):
+    table = store_of(spark, tmp_path)
+    prices.upsert_prices(table, frame(spark, bar("A", D24, 2.0)))
+    before = files(table)
+    with pytest.raises(RuntimeError, match="unchanged"):
+        table.replace(prices.with_year(frame(spark, bar("A", D24, 1.0))), [2024], expected=2)
+    assert files(table) == before
+
+
+def test_a_year_without_rows_leaves_the_table(spark, tmp_path):
+    table = store_of(spark, tmp_path)
+    prices.upsert_prices(table, frame(spark, bar("A", D23, 1.0), bar("A", D24, 2.0)))
+    left = table.read([2023, 2024]).filter("year = 2023")
+    assert table.replace(left, [2023, 2024]) == {2023: 1, 2024: 0}
+    assert rows(table) == [("A", D23, 1.0)] and table.versions == {2023: 2}
 
 
 def test_compaction_reaches_its_size_and_stops(spark, tmp_path):
     """More threads than files, several files a year: the second compaction packs nothing."""
-    root = str(tmp_path)
+    table = store_of(spark, tmp_path)
     bars = spark.range(40_000).selectExpr(
         "concat('S', id % 80) AS symbol", "date_add(date'2023-01-02', cast(id div 80 AS int)) AS date",
         "rand(1) AS open", "rand(2) AS high", "rand(3) AS low", "rand(4) AS close", "id AS volume",
     )
-    prices.upsert_prices(spark, root, bars, "r1")
+    prices.upsert_prices(table, bars)
     for d in range(3):
         day = dt.date(2024, 12, 3) + dt.timedelta(days=d)
-        prices.upsert_prices(spark, root, frame(spark, *[bar(f"S{i}", day, 1.0) for i in range(40)]), f"d{d}")
-    before, target = table(spark, root), sum(os.path.getsize(f) for f in files(root)) // 9
-    first = maintenance.compact_prices(spark, root, "pack", target).collect()
-    assert table(spark, root) == before
+        prices.upsert_prices(table, frame(spark, *[bar(f"S{i}", day, 1.0) for i in range(40)]))
+    before, target = rows(table), sum(os.path.getsize(f) for f in files(table)) // 9
+    first = maintenance.compact_prices(table, target).collect()
+    assert rows(table) == before
     for row in first:
         assert row.files_after <= -(-row.bytes_before // target)
     assert max(row.files_after for row in first) > 1
-    kept = files(root)
-    maintenance.compact_prices(spark, root, "pack-2", target)
-    assert files(root) == kept and not files(root, "stage/pack-2")
-
-
-def test_wrong_count_leaves_the_table_alone(spark, tmp_path):
-    root = str(tmp_path)
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D24, 2.0)), "r1")
-    before = files(root)
-    with pytest.raises(RuntimeError, match="unchanged"):
-        prices.stage(spark, root, "r2", prices.with_year(frame(spark, bar("A", D24, 1.0))), 2)
-    assert files(root) == before
+    kept = files(table)
+    maintenance.compact_prices(table, target)
+    assert files(table) == kept
 
 
 def test_years_are_pruned_at_the_scan(spark, tmp_path):
-    root = str(tmp_path)
-    prices.upsert_prices(spark, root, frame(spark, bar("A", D23, 1.0), bar("A", D24, 2.0)), "r1")
-    plan = prices.read_prices(spark, root, [2024]).select("symbol", "close")._jdf.queryExecution().executedPlan().toString()
+    table = store_of(spark, tmp_path)
+    prices.upsert_prices(table, frame(spark, bar("A", D23, 1.0), bar("A", D24, 2.0)))
+    plan = plan_of(table.read().filter("year IN (2024)").select("symbol", "close"))
     assert "PartitionFilters: [isnotnull(year" in plan and "ReadSchema: struct<symbol:string,close:double>" in plan
+    assert "year=2023" not in plan_of(table.read([2024]))
 
 
-def small_files(spark, root, n=6):
+def small_files(table, n=6):
     for i in range(n):
         day = dt.date(2024, 1, 2) + dt.timedelta(days=i)
-        prices.upsert_prices(spark, root, frame(spark, *[bar(s, day, i + 1.0) for s in "ABC"]), f"d{i}")
+        prices.upsert_prices(table, frame(table.spark, *[bar(s, day, i + 1.0) for s in "ABC"]))
 
 
 def test_compaction_keeps_every_bar(spark, tmp_path):
-    root = str(tmp_path)
-    small_files(spark, root)
-    before, count = table(spark, root), len(files(root))
-    metrics = maintenance.compact_prices(spark, root, "pack").first()
-    assert table(spark, root) == before
+    table = store_of(spark, tmp_path)
+    small_files(table)
+    before, count = rows(table), len(files(table))
+    metrics = maintenance.compact_prices(table).first()
+    assert rows(table) == before
     assert (metrics.year, metrics.files_before, metrics.files_after) == (2024, count, 1)
-    again = maintenance.compact_prices(spark, root, "pack-2").first()
-    assert again.files_before == again.files_after == 1 and not files(root, "stage/pack-2")
+    again = maintenance.compact_prices(table).first()
+    assert again.files_before == again.files_after == 1 and table.versions == {2024: 2}
 
 
 def test_orphans_respect_live_files_and_retention(spark, tmp_path):
-    root = str(tmp_path)
-    small_files(spark, root, 3)
-    maintenance.compact_prices(spark, root, "pack")
-    live = prices.live_paths(root)
+    root, table = str(tmp_path), store_of(spark, tmp_path)
+    small_files(table, 3)
+    old = files(table)
+    maintenance.compact_prices(table)
     now = dt.datetime.now(dt.timezone.utc)
-    assert maintenance.orphan_files(spark, root, live, now).count() == 0
+    assert maintenance.orphan_files(spark, root, table.paths(), now).count() == 0
     later = now + dt.timedelta(hours=169)
-    found = maintenance.orphan_files(spark, root, live, later)
-    assert [r.path.removeprefix("file:") for r in found.collect()] == files(root, "stage")
+    found = maintenance.orphan_files(spark, root, table.paths(), later)
+    assert sorted(r.path.removeprefix("file:") for r in found.collect()) == old
     with pytest.raises(ValueError):
-        maintenance.orphan_files(spark, root, live, now, retention_hours=1)
-    short = maintenance.orphan_files(spark, root, live, now + dt.timedelta(hours=2), 1, allow_short=True)
+        maintenance.orphan_files(spark, root, table.paths(), now, retention_hours=1)
+    short = maintenance.orphan_files(spark, root, table.paths(), now + dt.timedelta(hours=2), 1, allow_short=True)
     assert short.count() == found.count()
-    before = table(spark, root)
-    assert maintenance.remove_files(spark, found) == 1
-    assert not files(root, "stage") and table(spark, root) == before
-
-
-def test_replacing_a_partition_with_nothing_empties_it(spark, tmp_path):
-    path, stage = f"{tmp_path}/t", f"{tmp_path}/s"
-    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "v string, day int")
-    change = lambda where, new: tables.replace_partitions(
-        spark, path, stage, rows.schema, "day", where, new
-    )
-    change(F.col("day") <= 3, lambda stored: rows)
-    change(F.col("day") <= 2, lambda stored: stored.filter("v = 'z'"))
-    left = lambda: sorted(tuple(r) for r in tables.read_partitions(spark, path, rows.schema, "day").collect())
-    assert left() == [("c", 3)]
-    change(F.col("day") == 1, lambda stored: rows.filter("day = 1"))
-    assert left() == [("a", 1), ("c", 3)]
-
-
-def test_retry_of_a_slice_that_died_keeps_the_other_rows(spark, tmp_path, monkeypatch):
-    path, stage = f"{tmp_path}/t", f"{tmp_path}/s"
-    rows = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "v string, day int")
-    renamed = lambda stored: stored.withColumn("v", F.when(F.col("v") == "a", "A").otherwise(F.col("v")))
-    change = lambda new: tables.replace_partitions(
-        spark, path, stage, rows.schema, "day", F.col("day") == 1, new
-    )
-    change(lambda stored: rows)
-    whole = die_while_replacing(monkeypatch, spark, path)
-    with pytest.raises(Died):
-        change(renamed)
-    monkeypatch.setattr(tables, "_replace", whole)
-    change(renamed)
-    left = tables.read_partitions(spark, path, rows.schema, "day").collect()
-    assert sorted(r.v for r in left) == ["A", "b", "c"]
+    before, listed = rows(table), found.persist()
+    assert listed.count() == len(old) == maintenance.remove_files(spark, listed)
+    assert not any(map(os.path.exists, old)) and rows(table) == before
 
 
 def test_a_store_with_versions_is_not_opened_without_them(spark, tmp_path):

@@ -591,7 +591,7 @@ SQL = {
         SELECT {_BAR}, CAST(year(date) AS INTEGER) AS year
         FROM (SELECT * FROM bars UNION ALL SELECT * FROM event_bars)""",
     "orphan_files": """
-        SELECT DISTINCT 'stage' AS part, CAST(year(date) AS INTEGER) AS year FROM returned_bars""",
+        SELECT DISTINCT 1 AS version, CAST(year(date) AS INTEGER) AS year FROM returned_bars""",
 }
 
 

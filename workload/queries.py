@@ -11,7 +11,7 @@ from closingbell.operators import runs as run_log
 from closingbell.operators import stats, universe
 from closingbell.plans import daily, weekly
 from closingbell.session import work_folder
-from closingbell.sources import prices, tables, tickers
+from closingbell.sources import prices, tickers
 from closingbell.sources.payloads import FIELDS, parse_candles
 from closingbell.sources.tables import Store
 from workload.views import AS_OF, NOW, RUN_ID, Views
@@ -84,34 +84,48 @@ def _stored(v: Views, df: DataFrame, name: str) -> DataFrame:
 
 def price_store(v: Views) -> DataFrame:
     """Bootstrap, merge twice (the second time changes nothing), read back."""
-    root = work_folder(v.spark, "price-store")
-    prices.upsert_prices(v.spark, root, _stored(v, v.bars(), "bars"), "first")
+    table = prices.price_table(v.spark, work_folder(v.spark, "price-store"))
+    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
     batch = _stored(v, v.corrections(), "corrections")
-    prices.upsert_prices(v.spark, root, batch, "second")
-    prices.upsert_prices(v.spark, root, batch, "second-again")
-    return prices.read_prices(v.spark, root)
+    prices.upsert_prices(table, batch)
+    prices.upsert_prices(table, batch)
+    return table.read()
+
+
+def price_store_retry(v: Views) -> DataFrame:
+    """A merge that failed before it counted, and the same merge again: it starts from the bars
+    that counted before, whatever the first attempt has written."""
+    root = work_folder(v.spark, "price-retry")
+    table = prices.price_table(v.spark, root)
+    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
+    batch = _stored(v, v.corrections(), "corrections")
+    prices.upsert_prices(table.copy(), batch)
+    prices.upsert_prices(table, batch)
+    return table.read()
 
 
 def compact_prices(v: Views) -> DataFrame:
     """Two appended feeds leave small files; the repacked table reads the same."""
-    root = work_folder(v.spark, "compaction")
-    prices.upsert_prices(v.spark, root, _stored(v, v.bars(), "bars"), "first")
-    prices.with_year(v.event_bars()).write.mode("append").partitionBy("year").parquet(
-        prices.live_path(root)
-    )
-    maintenance.compact_prices(v.spark, root, "packed")
-    return prices.read_prices(v.spark, root)
+    table = prices.price_table(v.spark, work_folder(v.spark, "compaction"))
+    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
+    more = prices.with_year(v.event_bars())
+    for year in [r.year for r in more.select("year").distinct().collect()]:
+        add = table.append if year in table.versions else table.replace
+        add(more.filter(F.col("year") == year), [year])
+    maintenance.compact_prices(table)
+    return table.read()
 
 
 def orphan_files(v: Views) -> DataFrame:
-    """Staged files that a merge leaves behind, as their year folders."""
+    """Files of the versions that a merge leaves behind, as their years."""
     root = work_folder(v.spark, "orphans")
-    prices.upsert_prices(v.spark, root, _stored(v, v.bars(), "bars"), "first")
-    prices.upsert_prices(v.spark, root, _stored(v, v.corrections(), "corrections"), "second")
+    table = prices.price_table(v.spark, root)
+    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
+    prices.upsert_prices(table, _stored(v, v.corrections(), "corrections"))
     later = maintenance.dt.datetime(2999, 1, 1)
-    found = maintenance.orphan_files(v.spark, root, prices.live_paths(root), later)
+    found = maintenance.orphan_files(v.spark, root, table.paths(), later)
     return found.select(
-        F.regexp_extract("path", r"/(stage|live)/", 1).alias("part"),
+        F.regexp_extract("path", r"/v=(\d+)/", 1).cast("int").alias("version"),
         F.regexp_extract("path", r"/year=(\d+)/", 1).cast("int").alias("year"),
     ).distinct()
 
@@ -304,7 +318,7 @@ def daily_run(v: Views) -> DataFrame:
     """A whole run over the landed payloads; the price store as it leaves it."""
     store = _listed_store(v, "daily")
     daily.run_daily(store, _stored(v, v.landing(), "landing"), v.calendar(), RUN_ID, AS_OF, NOW)
-    return prices.read_prices(v.spark, store.prices)
+    return store.prices.read()
 
 
 def weekly_run(v: Views) -> DataFrame:
@@ -324,22 +338,15 @@ def _weekly(v: Views) -> Store:
     return store
 
 
-# What a run leaves, per application and folder: several queries look at the same run.
-_AFTER: dict[tuple[str, str], tuple[Store, DataFrame]] = {}
-
-
 def _after_run(v: Views) -> tuple[Store, DataFrame]:
     """A store that holds history, failures and baselines, after a run over the late sessions."""
-    key = (v.spark.sparkContext.applicationId, v.sf_dir)
-    if key not in _AFTER:
-        store = _listed_store(v, "after-run")
-        store.write("volatility_rolling", v.volatility())
-        store.write("failed_ingestion", v.dlq())
-        prices.upsert_prices(v.spark, store.prices, _stored(v, v.history(), "history"), "history")
-        landing = _stored(v, v.late_landing(), "late-landing")
-        report = daily.run_daily(store, landing, v.calendar(), RUN_ID, AS_OF, NOW, TIGHT)
-        _AFTER[key] = store, _stored(v, report, "report")
-    return _AFTER[key]
+    store = _listed_store(v, "after-run")
+    store.write("volatility_rolling", v.volatility())
+    store.write("failed_ingestion", v.dlq())
+    daily.backfill(store, _stored(v, v.history(), "history"))
+    landing = _stored(v, v.late_landing(), "late-landing")
+    report = daily.run_daily(store, landing, v.calendar(), RUN_ID, AS_OF, NOW, TIGHT)
+    return store, report
 
 
 def daily_flags(v: Views) -> DataFrame:
@@ -398,22 +405,6 @@ def merge_refused(v: Views) -> DataFrame:
     return keyed.duplicate_keys(v.ticks(), ["key", "date"])
 
 
-def price_store_retry(v: Views) -> DataFrame:
-    """A merge that died after removing the years it replaces, and the same merge again."""
-    root = work_folder(v.spark, "price-retry")
-    prices.upsert_prices(v.spark, root, _stored(v, v.bars(), "bars"), "first")
-    batch = _stored(v, v.corrections(), "corrections")
-    prices.upsert_prices(v.spark, root, batch, "second")
-    live = prices.live_path(root)
-    tables.note_pending(v.spark, live, prices.stage_path(root, "second"), "year")
-    lost = prices.read_stage(v.spark, root, "second").select("year").distinct()
-    for row in lost.collect():  # one per year
-        nothing = v.spark.createDataFrame([], v.bars().schema)
-        nothing.write.mode("overwrite").parquet(f"{live}/year={row.year}")
-    prices.upsert_prices(v.spark, root, batch, "second")
-    return prices.read_prices(v.spark, root)
-
-
 def _listed_store(v: Views, name: str) -> Store:
     store = Store(v.spark, work_folder(v.spark, name))
     store.write("universe", v.universe())
