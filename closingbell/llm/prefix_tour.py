@@ -131,11 +131,11 @@ def trie(found: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     linked = nodes.join(above, ["depth", "q1", "q2"], "left")
     ends = found.filter("depth = length").select("depth", "k1", "k2", F.col("conv_id").alias("member"))
-    ends = ends.join(nodes.select("depth", "k1", "k2", "conv_id"), ["depth", "k1", "k2"]).select("conv_id", "depth", "member")
-    turnless = asked.filter("length = 0").select(F.col("conv_id").alias("member"), *zero("depth"))
-    at_root = turnless.join(F.broadcast(root.select("conv_id", "depth")), "depth").select("conv_id", "depth", "member")
+    turnless = asked.filter("length = 0").select(*zero("depth", "k1", "k2"), F.col("conv_id").alias("member"))
+    names = nodes.select("depth", "k1", "k2", "conv_id")
+    ends = ends.union(turnless).join(names, ["depth", "k1", "k2"]).select("conv_id", "depth", "member")
     weight = (F.col("n_convs") - 1) * F.col("chars")
-    return linked.select("conv_id", "depth", "parent_conv_id", "n_convs", weight.alias("weight")), ends.union(at_root)
+    return linked.select("conv_id", "depth", "parent_conv_id", "n_convs", weight.alias("weight")), ends
 
 
 def with_kin(nodes: DataFrame) -> DataFrame:
