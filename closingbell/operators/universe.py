@@ -12,6 +12,8 @@ from closingbell.operators.positions import DIGITS, number_rows, paged_lists
 
 # Fixed value: symbols per fetch batch.
 BATCH_SIZE = 100
+# Fixed value: buckets of a universe that are compared by digest.
+DIFF_BUCKETS = 4096
 
 
 def imported_symbols(tickers: DataFrame) -> DataFrame:
@@ -72,6 +74,39 @@ def universe_diff(imported: DataFrame, active: DataFrame) -> DataFrame:
     )
 
 
+def diff_by_digest(
+    imported: DataFrame, universe_membership: DataFrame, membership: DataFrame, buckets: int = DIFF_BUCKETS
+) -> DataFrame:
+    """``universe_diff`` of a snapshot and the stored history, joining only what differs.
+
+    Both sides are summed up by universe and bucket, order-free, from the membership ids alone (an
+    id follows from its symbol). Buckets with equal sums are left out; for the others the stored
+    symbols are looked up and compared. An unchanged snapshot looks up none. Ids made in another way
+    make every bucket differ, which costs the whole comparison and changes nothing else.
+    """
+    bucket = F.pmod(F.xxhash64("membership_id"), F.lit(buckets)).alias("bucket")
+    listed = imported.select("universe", "symbol").distinct()
+    listed = listed.select(
+        "universe", "symbol", stable_id("membership", F.col("symbol")).alias("membership_id")
+    ).select("*", bucket)
+    universes = imported.select(F.col("universe").alias("universe_id"))
+    stored = keyed.keep_listed(
+        active_memberships(universe_membership), universes, ["universe_id"], ["membership_id"]
+    ).select(F.col("universe_id").alias("universe"), "membership_id", bucket)
+
+    def sums(rows: DataFrame) -> DataFrame:
+        hashes = (F.bit_xor(F.xxhash64(F.lit(seed), "membership_id")) for seed in (1, 2))
+        return rows.groupBy("universe", "bucket").agg(F.struct(F.count("*"), *hashes).alias("sums"))
+
+    both = sums(listed).join(
+        sums(stored).withColumnRenamed("sums", "stored_sums"), ["universe", "bucket"], "full"
+    )
+    differing = both.filter(~F.col("sums").eqNullSafe(F.col("stored_sums"))).select("universe", "bucket")
+    left = stored.join(differing, ["universe", "bucket"], "left_semi")
+    active = left.join(membership.select(F.col("id").alias("membership_id"), "symbol"), "membership_id")
+    return universe_diff(listed.join(differing, ["universe", "bucket"], "left_semi"), active)
+
+
 def added(diff: DataFrame) -> DataFrame:
     return diff.filter(F.col("change") == "new").select("universe", "symbol")
 

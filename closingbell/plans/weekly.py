@@ -29,8 +29,7 @@ def run_weekly(store: Store, snapshot: str, run_id: str, as_of, now) -> DataFram
         )
         members = work.read("membership")
         history = work.read("universe_membership")
-        active = universe.active_by_universe(history, members, imported)
-        diff = work.keep(universe.universe_diff(imported, active), run_id, "diff")
+        diff = work.keep(universe.diff_by_digest(imported, history, members), run_id, "diff")
 
         members = work.write("membership", universe.insert_memberships(members, diff, now))
         opened = universe.relist(history, members, diff, as_of, now)

@@ -18,6 +18,8 @@ VALUES = ["open", "high", "low", "close", "volume"]
 
 # Fixed value: size of a compacted file.
 TARGET_BYTES = 256 * 1024 * 1024
+# Fixed value: symbols that are given to a scan by name.
+SHORT_LIST = 1000
 
 
 def price_table(spark: SparkSession, root: str, versions: dict[int, int] | None = None) -> YearTable:
@@ -28,6 +30,15 @@ def with_year(bars: DataFrame) -> DataFrame:
     return bars.withColumn("year", session_year(F.col("date"))).select(*schemas.PRICES.names)
 
 
+def of_symbols(rows: DataFrame, listed: DataFrame, most: int = SHORT_LIST) -> DataFrame:
+    """The rows of listed symbols. A short list becomes a filter that reaches the scan, where sorted
+    files let it skip row groups; a longer one is a join."""
+    names = [row.symbol for row in listed.select("symbol").distinct().limit(most + 1).collect()]
+    if len(names) <= most:
+        return rows.filter(F.col("symbol").isin(names))
+    return rows.join(listed.select("symbol").distinct(), "symbol", "left_semi")
+
+
 def merge_bars(target: DataFrame, batch: DataFrame) -> DataFrame:
     """The table's next content: batch bars replace or join the stored ones."""
     return keyed.replace_rows(target, batch, KEY)

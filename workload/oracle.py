@@ -404,6 +404,18 @@ SQL = {
                round(avg(CAST(volume AS DOUBLE)) FILTER (nth <= 20), 6) AS rolling_avg_volume
         FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS nth FROM last21)
         GROUP BY symbol HAVING count(*) >= 21""",
+    "prices_of_symbols": f"""
+        SELECT {_BAR}, CAST(year(date) AS INTEGER) AS year FROM bars WHERE symbol IN (
+            SELECT m.symbol FROM universe_membership um JOIN membership m ON um.membership_id = m.id
+            WHERE um.universe_id = 'NATION_3' AND um.exit_date IS NULL)""",
+    "asof_close": """
+        SELECT o_orderkey, symbol, date, CASE WHEN d >= date - 30 THEN d END AS matched_at,
+               CASE WHEN d >= date - 30 THEN c END AS close
+        FROM (SELECT o.o_orderkey, 'T/' || o.o_custkey AS symbol, CAST(o.o_orderdate AS DATE) AS date FROM orders o) o
+        ASOF LEFT JOIN (SELECT symbol AS s, date AS d, close AS c FROM bars) b ON o.symbol = b.s AND o.date >= b.d""",
+    "rejected_tickers": """
+        SELECT 'T.' || c_custkey || ',SEA,x,y' AS line, count(*) AS rows FROM customer
+        WHERE c_acctbal < 0 GROUP BY ALL""",
     "prev_close": """
         SELECT symbol, max(date) AS prev_date, last(close ORDER BY date) AS prev_close
         FROM bars WHERE date < DATE '2001-06-01' AND year(date) IN (2000, 2001) GROUP BY symbol""",
@@ -595,6 +607,11 @@ SQL = {
 }
 
 
+SQL["baseline_merge"] = SQL["rolling_stats"]
+SQL["history_bucketed"] = SQL["flag_history"]
+SQL["universe_digest_diff"] = SQL["universe_diff"]
+
+
 def _needed(text: str, found: list[str]) -> None:
     for name, body in VIEWS.items():
         if name not in found and re.search(rf"\b(FROM|JOIN)\s+\(?{name}\b", text):

@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from closingbell.functions import recent_years
 from closingbell.operators import audit, calendar, failures, flags, gates, keyed, maintenance
 from closingbell.operators import runs as run_log
 from closingbell.operators import stats, universe
+from closingbell.operators.asof import asof_join
 from closingbell.plans import daily, weekly
 from closingbell.session import work_folder
 from closingbell.sources import prices, tickers
+from closingbell.sources.bucketed import save_bucketed
 from closingbell.sources.payloads import FIELDS, parse_candles
 from closingbell.sources.tables import Store
-from workload.views import AS_OF, NOW, RUN_ID, Views
+from workload.views import AS_OF, NOW, RUN_FROM, RUN_ID, Views
 
 # The default volume multiple never trips on the given tables, so the flag queries pass a
 # lower one; the defaults are covered by the tests' golden rows.
@@ -130,6 +133,41 @@ def orphan_files(v: Views) -> DataFrame:
     ).distinct()
 
 
+def baseline_merge(v: Views) -> DataFrame:
+    """Baselines from the stored newest bars and the late sessions' bars alone."""
+    since = F.lit(RUN_FROM).cast("date")
+    early = stats.newest_bars(v.bars().filter(F.col("date") < since), stats.WINDOW + 1)
+    recent = _stored(v, early.select("symbol", "date", "close", "volume"), "recent-bars")
+    merged = stats.merge_recent(recent, v.bars().filter(F.col("date") >= since))
+    reached = merged.filter(F.year("date").isin(recent_years(AS_OF)))
+    return _rounded(stats.rolling_stats(reached), "rolling_sd", "rolling_avg_volume")
+
+
+def history_bucketed(v: Views) -> DataFrame:
+    """The whole history annotated from a table in buckets by symbol."""
+    name = f"bars_{v.spark.sparkContext.applicationId}_{abs(hash(v.sf_dir))}".replace("-", "_")
+    table = save_bucketed(v.bars(), name, work_folder(v.spark, "bucketed"), 8)
+    return _shown_flags(flags.flag_history(table, LIMITS))
+
+
+def prices_of_symbols(v: Views) -> DataFrame:
+    """Stored bars of the symbols that are listed in one small universe."""
+    table = prices.price_table(v.spark, work_folder(v.spark, "listed-prices"))
+    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
+    stints = v.universe_membership().filter("universe_id = 'NATION_3'")
+    return prices.of_symbols(table.read(), universe.active_symbols(stints, v.membership()))
+
+
+def asof_close(v: Views) -> DataFrame:
+    """Every order with the newest close of its customer's number, at most 30 days old."""
+    orders = v.table("orders").select(
+        "o_orderkey", F.concat(F.lit("T/"), F.col("o_custkey").cast("string")).alias("symbol"),
+        F.to_date("o_orderdate").alias("date"),
+    )
+    closes = v.bars().select("symbol", "date", "close")
+    return asof_join(orders, closes, ["symbol"], "date", tolerance=F.make_dt_interval(F.lit(30)))
+
+
 # -- flags ---------------------------------------------------------------------------
 
 
@@ -209,6 +247,11 @@ def universe_diff(v: Views) -> DataFrame:
     return _diff(v)
 
 
+def universe_digest_diff(v: Views) -> DataFrame:
+    imported = universe.imported_symbols(v.tickers())
+    return universe.diff_by_digest(imported, v.universe_membership(), v.membership())
+
+
 def membership_insert(v: Views) -> DataFrame:
     return universe.insert_memberships(v.membership(), _diff(v), NOW)
 
@@ -243,6 +286,19 @@ def scan_tickers(v: Views) -> DataFrame:
     return tickers.scan_tickers(v.spark, path)
 
 
+def rejected_tickers(v: Views) -> DataFrame:
+    """Lines of a snapshot that have a column too many: those of customers in debt."""
+    path = work_folder(v.spark, "tickers-odd")
+    debt = F.col("c_acctbal") < 0
+    key = F.concat(F.lit("T."), F.col("c_custkey").cast("string"), F.lit(",SEA"))
+    line = F.concat(key, F.when(debt, ",x,y").otherwise(""))
+    # every file of a snapshot has its header
+    v.table("customer").select(line.alias("ticker,universe")).write.option("header", True).option(
+        "quoteAll", False
+    ).option("quote", "\u0000").option("sep", "\u0001").csv(path)
+    return tickers.rejected_lines(v.spark, path)
+
+
 def symbol_batches(v: Views) -> DataFrame:
     active = universe.active_symbols(v.universe_membership(), v.membership())
     return universe.symbol_batches(active)
@@ -459,6 +515,12 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "prev_close": prev_close,
     "dedup_keep_last": dedup_keep_last,
     "price_upsert": price_upsert,
+    "baseline_merge": baseline_merge,
+    "history_bucketed": history_bucketed,
+    "prices_of_symbols": prices_of_symbols,
+    "asof_close": asof_close,
+    "universe_digest_diff": universe_digest_diff,
+    "rejected_tickers": rejected_tickers,
     "price_store": price_store,
     "flag_bars": flag_bars,
     "flag_bars_stored": flag_bars_stored,
