@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from closingbell.llm import common
 from closingbell.llm.components import components
@@ -278,20 +279,24 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shar
     """One row of each near-duplicate component, with all columns of ``docs``.
 
     The row with the smallest doc_id stays; of rows that share it the one with the smallest
-    fingerprint, and of equal ones any. Null ids stand behind all others.
+    fingerprint, and of equal ones the one that is least by digests of its text and of all its
+    columns. Null ids stand behind all others.
     """
     printed, rooted = _grouped(docs, shingle, radius, shard_size)
-    own = F.coalesce("doc_id", F.lit(int(common.NO_ID)))
-    counted = printed.groupBy(own.alias("id"), "print").agg(F.count("*").alias("n"))
-    best = counted.join(rooted, "print").groupBy("root").agg(F.min(F.struct("id", "print", "n")).alias("best"))
+    own = F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id")
+    counted = printed.groupBy(*own, "print").agg(F.count("*").alias("n"))
+    best = counted.join(rooted, "print").groupBy("root").agg(F.min(F.struct("no_id", "id", "print", "n")).alias("best"))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        common.whole_rows(docs),
     )
-    kind = rows.schema["row"].dataType.simpleString()
-    rows = rows.mapInArrow(_printed_rows(shingle), f"doc_id long, print long, row {kind}").select(own.alias("id"), "print", "row")
-    kept = rows.join(best.select("best.*"), ["id", "print"])
+    schema = StructType([*StructType.fromDDL("doc_id long, print long").fields, rows.schema["row"]])
+    rows = rows.mapInArrow(_printed_rows(shingle), schema).select(*own, "print", "row")
+    kept = rows.join(best.select("best.*"), ["no_id", "id", "print"])
     lone = kept.filter("n = 1").select("row")
-    repeated = kept.filter("n > 1").dropDuplicates(["id", "print"]).select("row")
-    return lone.union(repeated).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    # rows that share id and fingerprint: one by its whole content, wherever it is read
+    content = F.struct(F.sha2("text", 256), F.xxhash64("row"))
+    repeated = kept.filter("n > 1").withColumn("text", common.column("text", "row").cast("string"))
+    repeated = repeated.groupBy("no_id", "id", "print").agg(F.min_by("row", content).alias("row")).select("row")
+    return lone.union(repeated).select(*(common.column(c, "row").alias(c) for c in docs.columns))

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 import closingbell
 from closingbell.session import work_folder
@@ -48,6 +49,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def column(name: str, of: str | None = None) -> Column:
+    """A column of any name, also one with dots or backticks."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(f"{of}.{quoted}" if of else quoted)
+
+
+def whole_rows(docs: DataFrame) -> Column:
+    """All columns of a row, as they are."""
+    return F.struct(*(column(c).alias(c) for c in docs.columns)).alias("row")
+
+
+def beside_row(rows: DataFrame, more: str) -> StructType:
+    """The schema of ``row`` (as in ``rows``) and more columns behind it."""
+    return StructType([rows.schema["row"], *StructType.fromDDL(more).fields])
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id and whole text of every row; a null text is empty, other columns are left out."""
     return docs.select(

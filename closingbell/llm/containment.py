@@ -6,7 +6,8 @@ item that stands in a document lies within one window of comparable size, howeve
 is. That gives each class a least Jaccard similarity, and from it the number of MinHash permutations
 with which a contained item shares a minimum with its window in ``recall`` of the cases or more. A
 window and an item that share a minimum are a candidate; candidates are verified by the exact
-containment of the item's shingles in the whole document, compared as words.
+containment of the item's shingles in the whole document, compared as words. Items of fewer than five
+words have one shingle, of all their words, and an index of that length of their own.
 
 Documents are read once and never shuffled. The items are the query set: equal rows are folded with
 their count, then read in blocks of about ``item_block`` rows and ``item_bytes`` bytes, and only one
@@ -156,20 +157,29 @@ class Index:
                 yield row, item, shared
 
 
+def _indexes(items: list, n: int, threshold: float, recall: float) -> list[Index]:
+    """One index for each shingle length: ``n`` words, or all words of an item that has fewer."""
+    by_length: dict[int, list] = {}
+    for item in items:
+        by_length.setdefault(min(n, len(_words((item[1] or "").encode()))), []).append(item)
+    return [Index(some, length, threshold, recall) for length, some in sorted(by_length.items()) if length]
+
+
 def _search(items: list[tuple[int | None, str | None, int]], n: int, threshold: float, recall: float):
     """``items``: (item_id, text, copies)."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index([((i, copies), text) for i, text, copies in items], n, threshold, recall)
+        indexes = _indexes([((i, copies), text) for i, text, copies in items], n, threshold, recall)
         for batch in batches:
             data, offsets = common.text_bytes(batch["text"])
             ids = batch["doc_id"].to_pylist()
             rows = []
             for lo, hi in common.slices(offsets):
                 part = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                for row, item, shared in index.contained(*part):
-                    (item_id, copies), shingles = index.items[item]
-                    rows.append((ids[lo + row], item_id, shared, len(shingles), copies))
+                for index in indexes:
+                    for row, item, shared in index.contained(*part):
+                        (item_id, copies), shingles = index.items[item]
+                        rows.append((ids[lo + row], item_id, shared, len(shingles), copies))
             if rows:
                 names = ("doc_id", "item_id", "shared", "shingles", "copies")
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names)
@@ -202,8 +212,9 @@ def contained_items(
     ``items`` has item_id and text. Returns doc_id, item_id, shared and shingles (distinct ones of
     the item), a row for each row of ``docs`` and row of ``items`` that match; repeated rows match
     each on their own. Words are runs of letters, digits and non-ASCII characters, A-Z in lower
-    case; a text of fewer words than a shingle is one shingle, one without words (null, empty) has
-    none and matches nothing. Null ids stay null. Other columns are ignored.
+    case. An item of fewer words than a shingle is searched for by shingles of its own length, so it
+    is found wherever its words stand side by side; one without words (null, empty) has none and
+    matches nothing. Null ids stay null. Other columns are ignored.
     """
     docs = common.texts(docs)
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))

@@ -217,7 +217,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     texts = common.texts(docs)
     ranks = class_ranks(texts)
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        common.whole_rows(docs),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
 
@@ -232,7 +232,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     [batch["row"].slice(lo, hi - lo), pa.array([as_text(d) for d in made], pa.string())], ["row", "fingerprint"]
                 )
 
-    return rows.mapInArrow(found, f"row {rows.schema['row'].dataType.simpleString()}, fingerprint string")
+    return rows.mapInArrow(found, common.beside_row(rows, "fingerprint string"))
 
 
 # -- a text, its edit and the next text ----------------------------------------------
@@ -321,12 +321,13 @@ def compare_edited(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFra
         return pd.Series(np.where(doc_id.isna(), len(bounds) + 1, len(bounds) - at).astype(np.int32))
 
     placed = texts.select(bucket_of("doc_id").alias("bucket"), "doc_id", F.xxhash64("text").alias("hash"), "text")
-    order = F.struct((-F.col("doc_id")).alias("down"), F.col("hash").alias("hash"))
+    # the complement falls as the id rises, for every id
+    order = F.struct(F.bitwise_not("doc_id").alias("down"), F.col("hash").alias("hash"))
     firsts = placed.groupBy("bucket").agg(F.min(order).alias("first")).orderBy("bucket").collect()
     hosts = [(row["bucket"], firsts[i - 1]["bucket"], row["first"]["down"], row["first"]["hash"]) for i, row in enumerate(firsts)]
     # a row for each bucket
     guests = docs.sparkSession.createDataFrame(hosts, "bucket int, host int, down long, first_hash long")
-    is_first = (-F.col("doc_id")).eqNullSafe(F.col("down")) & (F.col("hash") == F.col("first_hash"))
+    is_first = F.bitwise_not("doc_id").eqNullSafe(F.col("down")) & (F.col("hash") == F.col("first_hash"))
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("guest"))
     lent = F.struct(F.col("host").alias("bucket"), F.lit(1).alias("guest"))
     seats = F.explode(F.when(is_first, F.array(own, lent)).otherwise(F.array(own))).alias("seat")

@@ -24,14 +24,62 @@ FROM kept
 
 TEXT_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
-SHINGLES = """list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 3, 2)) IF len(w) > 0])"""
 
+# an item of fewer than five words is one shingle, and is looked for among shingles of its length
 OP8 = rf"""
-WITH d AS (SELECT doc_id, unnest({SHINGLES}) AS s FROM (SELECT doc_id, {TEXT_WORDS} AS w FROM documents)),
-b AS (SELECT item_id, {SHINGLES} AS all_s FROM (SELECT item_id, {TEXT_WORDS} AS w FROM benchmark)),
-q AS (SELECT item_id, len(all_s) AS shingles, unnest(all_s) AS s FROM b)
+WITH b AS (
+  SELECT item_id, w, least(5, len(w)) AS n, len(list_distinct([array_to_string(w[i:i + least(5, len(w)) - 1], ' ')
+    FOR i IN range(1, len(w) - least(5, len(w)) + 2)])) AS shingles, row_number() OVER () AS r
+  FROM (SELECT item_id, {TEXT_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+),
+q AS (SELECT DISTINCT r, item_id, n, shingles, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+d AS (SELECT DISTINCT e, doc_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT e, doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+    FROM (SELECT row_number() OVER () AS e, doc_id, {TEXT_WORDS} AS w FROM documents), (SELECT DISTINCT n FROM b)))
 SELECT doc_id, item_id, count(*) AS shared, shingles
-FROM d JOIN q USING (s) GROUP BY doc_id, item_id, shingles HAVING count(*) >= 0.8 * shingles
+FROM d JOIN q USING (n, s) GROUP BY e, r, doc_id, item_id, shingles HAVING count(*) >= 0.8 * shingles
+"""
+
+OP3 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT *, [('0x' || substr(md5(t), 1, 8))::BIGINT FOR t IN l] AS x FROM d),
+rolled AS (
+  SELECT r, doc_id, l, [CASE WHEN regexp_full_match(l[i] || l[i + 1], '[ \t\r\n\x0B\x0C]*') THEN 4294967296
+    ELSE (x[i] * 1000003 + x[i + 1]) % 4294967296 END FOR i IN range(1, len(l))] AS v FROM x
+),
+marked AS (
+  SELECT r, doc_id, l, list_sort(list_distinct([m FOR m IN
+    CASE WHEN len(v) = 1 THEN [1] ELSE [CASE WHEN v[i] <= v[i + 1] THEN i ELSE i + 1 END FOR i IN range(1, len(v))] END
+    IF v[m] < 4294967296])) AS m
+  FROM rolled
+),
+chunk AS (
+  SELECT r, doc_id, l, m[n] AS a, l[m[n]] || chr(10) || l[m[n] + 1] AS body,
+    CASE WHEN n > 1 THEN l[m[n - 1]:m[n] - 1] ELSE l[1:m[n] - 1] END AS before,
+    CASE WHEN n < len(m) THEN l[m[n] + 2:m[n + 1] + 1] ELSE l[m[n] + 2:] END AS behind
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS n FROM marked)
+),
+first AS (
+  SELECT body, doc_id AS f_doc, a AS f_at, before, behind FROM chunk
+  QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, a,
+    array_to_string([t || chr(10) FOR t IN before], ''), array_to_string([t || chr(10) FOR t IN behind], '')) = 1
+),
+hit AS (
+  SELECT r, a,
+    [l[a - j] = f.before[len(f.before) + 1 - j] FOR j IN range(1, least(len(f.before), a - 1) + 1)] AS back,
+    [l[a + 1 + j] = f.behind[j] FOR j IN range(1, least(len(f.behind), len(l) - a - 1) + 1)] AS on_
+  FROM chunk c JOIN first f USING (body) WHERE f_doc < doc_id OR (f_doc = doc_id AND f_at < a)
+),
+gone AS (
+  SELECT r, list(DISTINCT p) AS gone FROM (
+    SELECT r, unnest(range(a - coalesce(nullif(list_position(back, false), 0) - 1, len(back)),
+      a + 2 + coalesce(nullif(list_position(on_, false), 0) - 1, len(on_)))) AS p FROM hit
+  ) GROUP BY r
+)
+SELECT doc_id, len(l)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string([l[i] FOR i IN range(1, len(l) + 1) IF gone IS NULL OR NOT list_contains(gone, i)], chr(10))) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)
 """
 
 OP4 = """
@@ -184,6 +232,7 @@ QUALIFY rank <= 5
 """
 
 SQL = {
+    "op3_line_chunks": OP3,
     "op4_entropy_difference": OP4,
     "op5_run_length_index": OP5,
     "op7_level_doubling": OP7,

@@ -263,6 +263,9 @@ def _decoded(path: str | None):
     return found
 
 
+DECODED = "ids array<int>, decoded string, ids_crc32 long"
+
+
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """row (a struct of all columns of ``docs``) and ids (array of int) of its whole text.
 
@@ -271,11 +274,10 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     alike.
     """
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        common.whole_rows(docs),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_encoded(path), f"row {kind}, ids array<int>")
+    return rows.mapInArrow(_encoded(path), common.beside_row(rows, "ids array<int>"))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -283,21 +285,17 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
     The decoded text is the text itself, unless that holds the mark U+2581, which reads as a space.
     """
-    kind = encoded.schema["row"].dataType.simpleString()
-    return encoded.select("row", "ids").mapInArrow(
-        _decoded(path), f"row {kind}, ids array<int>, decoded string, ids_crc32 long"
-    )
+    return encoded.select("row", "ids").mapInArrow(_decoded(path), common.beside_row(encoded, DECODED))
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``decode(encode(docs))`` in one task each, so a row's ids needn't leave Python between."""
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        common.whole_rows(docs),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    kind = rows.schema["row"].dataType.simpleString()
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _decoded(path)(_encoded(path)(batches))
 
-    return rows.mapInArrow(both, f"row {kind}, ids array<int>, decoded string, ids_crc32 long")
+    return rows.mapInArrow(both, common.beside_row(rows, DECODED))

@@ -415,11 +415,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, le
 def score_rows(docs: DataFrame, model: Model) -> DataFrame:
     """row (a struct of all columns of ``docs``) and its score, from the whole text alone."""
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        common.whole_rows(docs),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_feature_rows(model, "row", "score"), f"row {kind}, score double")
+    return rows.mapInArrow(_feature_rows(model, "row", "score"), common.beside_row(rows, "score double"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
@@ -439,4 +438,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
 def clean_rows(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score below 0.5."""
     scored = score_rows(docs, learn(docs, labels, **settings)).filter("score < 0.5")
-    return scored.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    return scored.select(*(common.column(c, "row").alias(c) for c in docs.columns))

@@ -117,46 +117,66 @@ def near_groups(rows, radius=4):
 
 
 def contained(rows, items, n=5, threshold=0.8):
-    def shingles(text):
-        words = re.findall(r"[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
-        return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+    def words_of(text):
+        return re.findall(r"[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+
+    def shingles(words, size):
+        return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
-    known = [(i, shingles(t)) for i, t in items]
     out = []
     for d, t in rows:
-        mine = shingles(t)
-        for i, s in known:
-            if s and len(s & mine) >= threshold * len(s):
-                out.append((d, i, len(s & mine), len(s)))
+        mine = words_of(t)
+        for i, text in items:
+            words = words_of(text)
+            size = min(n, len(words))
+            asked = shingles(words, size) if size else set()
+            shared = len(asked & shingles(mine, size)) if asked else 0
+            if asked and shared >= threshold * len(asked):
+                out.append((d, i, shared, len(asked)))
     return out
 
 
-def kept_lines(rows, bounds):
-    """Chunks of lines kept where they come first; ``bounds`` cuts a list of lines."""
-    big = 2**63 - 1
+def marked_pairs(lines):
+    """Starts of the pairs of lines that are chunks, from the definition."""
+    x = [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) for line in lines]
+    value = {}
+    for i in range(len(lines) - 1):
+        if (lines[i] + lines[i + 1]).encode().strip():
+            value[i] = (x[i] * 1_000_003 + x[i + 1]) % 2**32
+    if len(lines) == 2:
+        return sorted(value)
+    windows = [(i, i + 1) for i in range(len(lines) - 2)]
+    return sorted({min(w, key=lambda i: (value.get(i, 2**32), i)) for w in windows} & set(value))
+
+
+def kept_lines(rows):
+    """(doc_id, text left, lines, lines removed), from all chunks of the corpus at once."""
+    texts = [(d, (t or "").split("\n")) for d, t in rows]
+    order = lambda d, at: (d is None, d or 0, at)
+    marks = [marked_pairs(lines) for _, lines in texts]
     places = {}
-    chunked = []
-    for d, t in rows:
-        lines, begin, parts = (t or "").split("\n"), 0, []
-        for end in bounds([x.encode() for x in lines]) if len(lines) > 1 else [1]:
-            body = "\n".join(lines[begin:end])
-            counts = end - begin >= 2 and body != "" and not body.encode().isspace()
-            parts.append((begin, end, body if counts else None))
-            begin = end
-        chunked.append((d, lines, parts))
-        for begin, _, body in parts:
-            if body is not None:
-                place = (big if d is None else d, begin)
-                places[body] = min(places.get(body, place), place)
+    for (d, lines), starts in zip(texts, marks):
+        for n, at in enumerate(starts):
+            low = starts[n - 1] if n else 0
+            high = starts[n + 1] + 2 if n + 1 < len(starts) else len(lines)
+            body = "\n".join(lines[at : at + 2])
+            around = [("".join(x + "\n" for x in part)).encode() for part in (lines[low:at], lines[at + 2 : high])]
+            places.setdefault(body, []).append((order(d, at), *around, lines[low:at], lines[at + 2 : high]))
+    first = {body: min(found) for body, found in places.items()}
     out = []
-    for d, lines, parts in chunked:
-        kept, n = [], 0
-        for begin, end, body in parts:
-            if body is not None and places[body] < (big if d is None else d, begin):
-                n += end - begin
-            else:
-                kept += lines[begin:end]
-        out.append((d, "\n".join(kept), len(lines), n))
+    for (d, lines), starts in zip(texts, marks):
+        gone = set()
+        for at in starts:
+            place, _, _, before, behind = first["\n".join(lines[at : at + 2])]
+            if place < order(d, at):
+                low, high = at, at + 2
+                while at - low < len(before) and low > 0 and lines[low - 1] == before[-1 - (at - low)]:
+                    low -= 1
+                while high - at - 2 < len(behind) and high < len(lines) and lines[high] == behind[high - at - 2]:
+                    high += 1
+                gone |= set(range(low, high))
+        kept = [x for i, x in enumerate(lines) if i not in gone]
+        out.append((d, "\n".join(kept), len(lines), len(gone)))
     return out
 
 

@@ -116,3 +116,11 @@ def test_equal_items_are_folded_before_they_are_cut(session, small):
     for settings in ({}, {"item_block": 2}):
         found = containment.contained_items(docs, items, **settings).collect()
         assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(5, 1)] * 50 + [(5, 2)]
+
+
+def test_short_items_are_found_inside_documents(session):
+    docs = [(1, "before it alpha beta gamma delta epsilon and after"), (2, "alpha beta"), (3, "Alpha; beta gamma-DELTA!"), (4, "one")]
+    items = [(10, "alpha beta gamma delta"), (11, "alpha beta gamma delta epsilon"), (12, "gamma"), (13, "beta alpha"), (14, "one"), (15, " ")]
+    found = containment.contained_items(session.createDataFrame(docs, "doc_id long, text string"), items_of(session, [(*i, 1) for i in items])).collect()
+    assert cases.ordered(found) == cases.ordered(cases.contained(docs, items))
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 10), (3, 10), (1, 11), (1, 12), (3, 12), (4, 14)}

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 import compare
 import corpus_pipeline
 import llm_cases as cases
-from closingbell.llm import line_chunks, oracle, queries
+from closingbell.llm import oracle, queries
 from test_repeats import collected
 
 SF = "/root/testdata/sf0.001"
@@ -44,7 +44,7 @@ def test_stages_against_brute_force(session):
     assert kept.columns == columns and {d for d, _ in rows} == {d for d, p in scores.items() if not p}
 
     kept = stages["line_dedup"](session, kept, SF)
-    wanted = [(d, t) for d, t, *_ in cases.kept_lines(rows, line_chunks.chunk_bounds)]
+    wanted = [(d, t) for d, t, *_ in cases.kept_lines(rows)]
     rows = collected(kept)
     assert kept.columns == columns and sorted(rows) == sorted(wanted)
 
