@@ -82,45 +82,30 @@ SELECT doc_id, len(l)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_re
 FROM d LEFT JOIN gone USING (r)
 """
 
-OP4 = """
+OP4 = rf"""
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), '') AS cs, length(coalesce(text, '')) AS n
-  FROM documents
-),
-chars AS (SELECT r, unnest(cs) AS ch, unnest(range(1, len(cs) + 1)) AS i FROM d WHERE n > 0),
-vocabulary AS (
-  SELECT ch, row_number() OVER (ORDER BY count(*) DESC, unicode(ch)) AS num FROM chars GROUP BY ch
-),
-symbols AS (
-  SELECT r, i, CASE WHEN num <= 126 THEN num ELSE 127 END AS c FROM chars JOIN vocabulary USING (ch)
-  UNION ALL SELECT r, n + 1, 0 FROM d
-),
-tri AS (
-  SELECT r, coalesce(lag(c, 2) OVER w, 0) AS a, coalesce(lag(c) OVER w, 0) AS b, c
-  FROM symbols WINDOW w AS (PARTITION BY r ORDER BY i)
+  SELECT row_number() OVER () AS r, doc_id, list_append({WORDS}, chr(10)) AS w FROM documents  -- no word has a line feed
 ),
 good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
-counted AS (
-  SELECT a, b, c, count(*) FILTER (g.doc_id IS NOT NULL)::DOUBLE AS t, count(*)::DOUBLE AS k
-  FROM tri JOIN d USING (r) LEFT JOIN good g ON g.doc_id = d.doc_id GROUP BY a, b, c
-),
-matched AS (
-  SELECT a, b, c, t, CASE WHEN sum(t) OVER () > 0 THEN k * (sum(t) OVER () / sum(k) OVER ()) ELSE k END AS k
-  FROM counted
-),
-losses AS (
-  SELECT a, b, c, -log2(
-    (t + 5 * (sum(t) OVER bc + 5 * (sum(t) OVER one + 5.0 / 128) / (sum(t) OVER () + 5)) / (sum(t) OVER ctx + 5))
-    / (sum(t) OVER ab + 5)) AS target,
-  -log2(
-    (k + 5 * (sum(k) OVER bc + 5 * (sum(k) OVER one + 5.0 / 128) / (sum(k) OVER () + 5)) / (sum(k) OVER ctx + 5))
-    / (sum(k) OVER ab + 5)) AS background
-  FROM matched
-  WINDOW one AS (PARTITION BY c), bc AS (PARTITION BY b, c), ctx AS (PARTITION BY b), ab AS (PARTITION BY a, b)
+pair AS (
+  SELECT r, g.doc_id IS NOT NULL AS g, CASE WHEN i > 1 THEN w[i - 1] ELSE chr(10) END AS u, w[i] AS v
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d) d LEFT JOIN good g ON g.doc_id = d.doc_id
+),
+pairs AS (SELECT u, v, count(*) FILTER (g)::DOUBLE AS t, count(*)::DOUBLE AS k FROM pair GROUP BY u, v),
+words AS (SELECT v AS w, count(*) FILTER (g)::DOUBLE AS t, count(*)::DOUBLE AS k FROM pair GROUP BY v),
+total AS (
+  SELECT sum(t) AS t, CASE WHEN sum(t) > 0 THEN sum(t) ELSE sum(k) END AS k, count(*) AS words,
+    CASE WHEN sum(t) > 0 THEN sum(t) / sum(k) ELSE 1 END AS f FROM words
+),
+loss AS (
+  SELECT p.u, p.v,
+    -log2((p.t + (o.t + 1.0 / words) / (total.t + 1)) / (c.t + 1)) AS target,
+    -log2((p.k * f + (o.k * f + 1.0 / words) / (total.k + 1)) / (c.k * f + 1)) AS background
+  FROM pairs p JOIN words o ON o.w = p.v JOIN words c ON c.w = p.u, total
 )
 SELECT doc_id, count(*) AS n_tokens, round(avg(target), 6) AS target_loss,
   round(avg(background), 6) AS background_loss, round(avg(target) - avg(background), 6) AS difference
-FROM tri JOIN losses USING (a, b, c) JOIN d USING (r) GROUP BY r, doc_id
+FROM pair JOIN loss USING (u, v) JOIN d USING (r) GROUP BY r, doc_id
 """
 
 OP5 = """

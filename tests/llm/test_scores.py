@@ -128,53 +128,45 @@ def labels_of(session, rows):
 
 
 def brute_losses(rows, good):
-    size = entropy_difference.VOCABULARY
-    points = collections.Counter(c for _, t in rows for c in (t or "").replace("\0", "�"))
-    best = sorted(points.items(), key=lambda x: (-x[1], ord(x[0])))[: size - 2]
-    number = {c: i + 1 for i, (c, _) in enumerate(best)}
-
-    def grams(text):
-        codes = [0, 0, *(number.get(c, size - 1) for c in (text or "").replace("\0", "�")), 0]
-        return list(zip(codes, codes[1:], codes[2:]))
-
+    texts = [(d, [*cases.WORD.findall(t or ""), None]) for d, t in rows]  # None: the end
+    pairs = lambda words: list(zip([None, *words], words))
     counts = [collections.Counter(), collections.Counter()]
-    for d, t in rows:
-        counts[1].update(grams(t))
+    for d, words in texts:
+        counts[1].update(pairs(words))
         if d in good:
-            counts[0].update(grams(t))
+            counts[0].update(pairs(words))
+    size = len({v for _, v in counts[1]})
     totals = [sum(c.values()) for c in counts]
     models = []
-    for c, scale in zip(counts, (1, totals[0] / totals[1])):
-        cells = {g: n * scale for g, n in c.items()}
-        sums = [collections.Counter() for _ in range(4)]
-        for (a, b, g), n in cells.items():
-            for s, key in zip(sums, (g, (b, g), b, (a, b))):
-                s[key] += n
-        models.append((cells, sums))
-    out = []
-    for d, t in rows:
-        mine, means = grams(t), []
-        for cells, (one, two, ctx, ctx2) in models:
-            s, total = entropy_difference.SMOOTHING, 0.0
-            for a, b, g in mine:
-                p = (one[g] + s / size) / (sum(one.values()) + s)
-                p = (two[b, g] + s * p) / (ctx[b] + s)
-                p = (cells.get((a, b, g), 0) + s * p) / (ctx2[a, b] + s)
-                total -= math.log2(p)
-            means.append(total / len(mine))
-        out.append((d, len(mine), *means))
+    for c, scale in zip(counts, (1, totals[0] / totals[1] if totals[0] else 1)):
+        single = collections.Counter()
+        for (_, v), n in c.items():
+            single[v] += n * scale
+        models.append(({g: n * scale for g, n in c.items()}, single, sum(c.values()) * scale))
+    s, out = entropy_difference.SMOOTHING, []
+    for d, words in texts:
+        means = []
+        for two, one, total in models:
+            loss = 0.0
+            for u, v in pairs(words):
+                p = (one[v] + s / size) / (total + s)
+                loss -= math.log2((two.get((u, v), 0) + s * p) / (one[u] + s))
+            means.append(loss / len(words))
+        out.append((d, len(words), *means))
     return out
 
 
-def test_losses_awkward(session, awkward):
-    rows = [(d, (t or "")[:200]) for d, t in collected(awkward)]
-    docs = session.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, row int")
-    labels = labels_of(session, [(1, 0, 1, ""), (2, 0, 0, ""), (2, 0, 1, ""), (3, 0, None, ""), (None, 0, 1, ""), (11, 0, 0, "")])
-    found = entropy_difference.score(docs, labels).collect()
-    wanted = brute_losses(rows, {1, 2})
-    key = lambda r: (str(r[0]), r[1], round(r[2], 2))
-    for a, b in zip(sorted(((r["row"]["doc_id"], r["n_tokens"], r["target_loss"], r["background_loss"]) for r in found), key=key), sorted(wanted, key=key)):
-        assert a[:2] == b[:2] and np.allclose(a[2:], b[2:], atol=1e-3)
+@pytest.mark.parametrize("chunk_bytes", [20_000, entropy_difference.common.CHUNK_BYTES])
+def test_losses_awkward(session, awkward, chunk_bytes):
+    rows = collected(awkward) + [(2**63 - 1, "the largest id"), (-(2**63), "the least id")]
+    docs = session.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, `r.w` int").repartition(3)
+    some = [(1, 0, 1, ""), (2, 0, 0, ""), (2, 0, 1, ""), (3, 0, None, ""), (None, 0, 1, ""), (11, 0, 0, ""), (2**63 - 1, 0, 1, "")]
+    for labels, good in ((some, {1, 2, 2**63 - 1}), ([], set())):
+        found = entropy_difference.score(docs, labels_of(session, labels), chunk_bytes=chunk_bytes).collect()
+        found = [(r["row"]["doc_id"], *(round(r[c], 9) if c != "n_tokens" else r[c] for c in ("n_tokens", "target_loss", "background_loss"))) for r in found]
+        wanted = [(d, n, round(a, 9), round(b, 9)) for d, n, a, b in brute_losses(rows, good)]
+        for one, other in zip(cases.ordered(found), cases.ordered(wanted), strict=True):
+            assert one[:2] == other[:2] and np.allclose(one[2:], other[2:], atol=1e-8)
 
 
 def test_difference_tells_good_from_bad(session):
