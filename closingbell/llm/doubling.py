@@ -1,17 +1,15 @@
-"""Substring dedup by level-wise doubling: word windows repeated at one length are extended.
-
-Level 1 takes from every window of ``window`` words its gram of half that length with the least
-hash, so equal windows give equal grams. Only grams that occur in two documents survive. Level 2
-extends a surviving gram to twice its length, that is to the windows around it: first to all
-windows that share the gram in its document at once (their *context*), which settles copies,
-then, where contexts of one gram differ, to the single windows. A longer window can repeat only
-where windows of this length do, and the words it covers are covered already, so no candidate is
-left after it for the words to be removed.
-
-Shuffles carry hashes only: a row for each distinct (gram, context) of a chunk of documents, so
-what thousands of copies share is folded before it moves, and a hot gram is read as a sorted
-stream, never as a list. Texts are moved once, to the chunk of their doc_id, and that exchange is
-read again by each level. Equality is that of 128 bits (64 of the gram, 64 of the window).
+"""Substring dedup by level-wise doubling.
+
+Windows of a short length are judged first: those that stand in one document alone are out. Where two
+that follow each other are left, they make a window of twice the length, which is judged in turn, and
+so on up to ``window`` words (4, 8, 13). At the last length each window learns the first document
+that holds it, and its words are removed in all later ones. A longer window can repeat only where
+windows of this length do, and its words are covered by them, so no candidate is left behind it.
+
+A level sends the hash of every distinct candidate of a group of documents, packed, to the slot of its
+range (``keyed_slots``) and gets a bit back for each. Texts are moved once, to a group by a hash of
+doc_id and text, and that exchange is read again by each level. Inner levels compare 64 bits, which
+can only let more candidates through; the last compares 128.
 """
 
 from __future__ import annotations
@@ -22,192 +20,221 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from closingbell.llm import common
+from closingbell.llm import common, keyed_slots
 
-WINDOW = 13
-FOUND = "key long, ctx long, doc_id long"
-ANSWER = "chunk int, key long, sub long, first long, kind int"
-CERTIFIED, REQUEST, SINGLE = 0, 1, 2
+WINDOW, START = 13, 4
 
+SENT = "chunk int, level int, slot int, keys binary, many binary, checks binary, docs binary, nulls binary"
+ANSWER = "chunk int, level int, slot int, repeated binary, docs binary, nulls binary"
+_SENT = pa.schema([(x.split()[0], pa.int32() if x.split()[1] == "int" else pa.binary()) for x in SENT.split(", ")])
+_ANSWER = pa.schema([(x.split()[0], pa.int32() if x.split()[1] == "int" else pa.binary()) for x in ANSWER.split(", ")])
+REMOVED = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
-class _Slice:
-    """Words of some rows of a chunk, and their windows grouped by anchor gram."""
-
-    def __init__(self, column: pa.ChunkedArray, ids: np.ndarray, lo: int, hi: int, data, offsets, gram, window):
-        self.data, self.offsets = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        self.lo, self.hi, self.window = lo, hi, window
-        self.starts, self.ends, self.row = common.word_spans(self.data, self.offsets)
-        self.range_hash = common.RangeHash(common.word_hashes(self.data, self.starts, self.ends))
-        at = np.arange(max(0, len(self.starts) - gram + 1))
-        grams = self.range_hash(at, at + gram)
-        self.first, self.last, anchor = common.anchored(grams, self.row, gram, window)
-        self.key = grams[anchor].view(np.int64)
-        self.ctx = self.range_hash(self.first, self.last + window).view(np.int64)
-        self.doc = ids[lo:hi][self.row[self.first]]
-
-
-def _slices(table: pa.Table, gram: int, window: int) -> Iterator[_Slice]:
-    data, offsets = common.text_bytes(table["text"])
-    ids = common.ids_of(table["doc_id"])
-    for lo, hi in common.slices(offsets):
-        yield _Slice(table["text"], ids, lo, hi, data, offsets, gram, window)
-
-
-def _ctx_rows(gram: int, window: int):
-    def found(table: pa.Table) -> pa.Table:
-        parts = [common.least(s.key, s.ctx, s.doc) for s in _slices(table, gram, window)]
-        return pa.table(dict(zip(("key", "ctx", "doc_id"), common.least(*common.merged(parts)))))
 
+def levels(window: int, start: int = START) -> list[int]:
+    """The lengths that are judged: from ``start``, doubled, up to the window."""
+    found = [min(start, window)]
+    while found[-1] < window:
+        found.append(min(2 * found[-1], window))
     return found
 
 
-def _judge_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, ctx, doc. A later row of a context is certified by the first; the first
-    itself, where its key has other contexts, is asked for its single windows. One row is kept
-    between batches, however long a run is."""
-    held = None  # the last context's first row, and whether it may be the only one of its key
-    for key, ctx, doc in common.sorted_runs(batches, ("key", "ctx", "doc_id")):
-        if held is not None:
-            key, ctx, doc = (np.concatenate([[h], x]) for h, x in zip(held[0], (key, ctx, doc)))
-        new_key, head = np.ones(len(key), bool), np.ones(len(key), bool)
-        new_key[1:] = key[1:] != key[:-1]
-        head[1:] = new_key[1:] | (ctx[1:] != ctx[:-1])
-        heads = np.flatnonzero(head)
-        alone = new_key[heads].copy()  # no other context of the key was seen yet
-        if held is not None:
-            alone[0] = held[1]
-        followed = np.zeros(len(heads), bool)
-        followed[:-1] = ~new_key[heads[1:]]
-        ask = heads[~alone | followed]
-        if held is not None and not held[1]:
-            ask = ask[ask != 0]  # asked when it came
-        rest = np.flatnonzero(~head)
-        first = doc[heads[np.cumsum(head) - 1]]
-        at = np.concatenate([rest, ask])
-        kind = np.repeat(np.array([CERTIFIED, REQUEST], np.int32), [len(rest), len(ask)])
-        if len(at):
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": doc[at], "key": key[at], "sub": ctx[at], "first": first[at], "kind": kind}
+class _Group:
+    """The words of a group of documents, as one sequence; rows are followed by nothing of others."""
+
+    def __init__(self, table: pa.Table, window: int):
+        data, self.offsets = common.text_bytes(table["text"])
+        self.data, hashes, rows, bounds = data, [], [], []
+        for lo, hi in common.slices(self.offsets):
+            part, at = data[self.offsets[lo] : self.offsets[hi]], self.offsets[lo : hi + 1] - self.offsets[lo]
+            starts, ends, row = common.word_spans(part, at)
+            hashes.append(common.word_hashes(part, starts, ends))
+            rows.append(row + lo)
+        self.row = np.concatenate([np.zeros(0, np.int64), *rows])
+        self.bounds = np.searchsorted(self.row, np.arange(table.num_rows + 1))
+        self.range_hash = common.RangeHash(np.concatenate([np.zeros(0, np.uint64), *hashes]))
+        self.size = np.diff(self.bounds)
+        # words from each one to its row's end, and whether the row has a window at all
+        self.ahead = self.bounds[self.row + 1] - np.arange(len(self.row))
+        self.long = self.size[self.row] >= window
+        ids = table["doc_id"]
+        self.null = pc.is_null(ids).to_numpy(zero_copy_only=False)
+        self.doc = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.lexsort((self.doc, self.null))
+        new = np.ones(len(order), bool)
+        new[1:] = (self.doc[order][1:] != self.doc[order][:-1]) | (self.null[order][1:] != self.null[order][:-1])
+        self.rank = np.empty(len(order), np.int64)
+        self.rank[order] = np.cumsum(new) - 1
+
+    def starts(self, length: int) -> np.ndarray:
+        """Where windows of the length begin, in rows that are long enough at all."""
+        return np.flatnonzero(self.long & (self.ahead >= length))
+
+    def hashes(self, at: np.ndarray, length: int) -> np.ndarray:
+        return self.range_hash(at, at + length)
+
+
+def _checks(group: _Group, at: np.ndarray, length: int) -> np.ndarray:
+    """A second hash of each window, from those of its halves."""
+    half = length // 2
+    return common.mix(group.range_hash(at, at + half) * np.uint64(5) + group.range_hash(at + half, at + length))
+
+
+def _candidates(group: _Group, lengths: list[int], answers: pa.Table, upto: int) -> np.ndarray:
+    """Starts of the windows to be judged at level ``upto``, from the answers to those before it."""
+    at = group.starts(lengths[0])
+    for level, length in enumerate(lengths[:upto]):
+        _, index = np.unique(group.hashes(at, length), return_inverse=True)
+        mine = answers.filter(pc.equal(answers["level"], level)).combine_chunks()
+        bits = keyed_slots.answered(mine, "repeated", np.uint8).astype(bool)
+        alive = np.zeros(len(group.row) + 1, bool)
+        alive[at[bits[index]]] = True
+        # both halves (or two that overlap) were repeated
+        shift = lengths[level + 1] - length
+        at = np.flatnonzero(alive[:-shift] & alive[shift:])
+        at = at[group.ahead[at] >= lengths[level + 1]]
+    return at
+
+
+def _sent_first(lengths: list[int], bits: int):
+    send = _sent(lengths, 0, bits)
+
+    def sent(table: pa.Table) -> pa.Table:
+        return send(table, _ANSWER.empty_table())
+
+    return sent
+
+
+def _sent(lengths: list[int], level: int, bits: int):
+    def sent(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _SENT.empty_table()
+        group = _Group(table, lengths[-1])
+        at = _candidates(group, lengths, answers, level)
+        keys, rank = group.hashes(at, lengths[level]), group.rank[group.row[at]]
+        if level < len(lengths) - 1:
+            order = np.argsort(keys, kind="stable")
+            keys, rank = keys[order], rank[order]
+            first = np.flatnonzero(_new(keys))
+            least, most = (f.reduceat(rank, first) if len(first) else rank[:0] for f in (np.minimum, np.maximum))
+            rows = keyed_slots.sent(keys[first], bits, many=(least != most).astype(np.uint8))
+            none = [b""] * len(rows["slot"])
+            rows |= {"checks": none, "docs": none, "nulls": none}
+        else:
+            checks = _checks(group, at, lengths[level])
+            order = np.lexsort((rank, checks, keys))
+            keys, checks, row = keys[order], checks[order], group.row[at][order]
+            first = np.flatnonzero(_new(keys, checks))
+            row = row[first]
+            rows = keyed_slots.sent(
+                keys[first], bits, checks=checks[first], docs=group.doc[row], nulls=group.null[row].astype(np.uint8)
             )
-        h = heads[-1]
-        held = (key[h], ctx[h], doc[h]), bool(alone[-1])
+            rows["many"] = [b""] * len(rows["slot"])
+        n = len(rows["slot"])
+        rows |= {"chunk": [table["chunk"][0].as_py()] * n, "level": [level] * n}
+        return pa.table([pa.array(rows[f.name], f.type) for f in _SENT], schema=_SENT)
 
+    return sent
 
-def _requested(table: pa.Table, kind: int) -> tuple[np.ndarray, ...]:
-    mine = table["kind"].to_numpy() == kind
-    return tuple(table[name].to_numpy()[mine] for name in ("key", "sub", "first"))
 
+def _new(*keys: np.ndarray) -> np.ndarray:
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return new
 
-def _single_windows(s: _Slice, pick: np.ndarray):
-    """Key, hash and doc of each window of the picked contexts, with the window's start."""
-    start, owner = common.ranges(s.first[pick], s.last[pick])
-    sub = s.range_hash(start, start + s.window).view(np.int64)
-    return s.key[pick][owner], sub, s.doc[pick][owner], start
 
+def _judged(table: pa.Table) -> pa.Table:
+    """Which keys of an inner level stand in two documents: in two groups, or in two of one group."""
+    table = table.combine_chunks()
+    keys, begin = keyed_slots.unpacked(table, "keys", np.uint64)
+    many, _ = keyed_slots.unpacked(table, "many", np.uint8)
+    _, index, count = np.unique(keys, return_inverse=True, return_counts=True)
+    repeated = count > 1
+    repeated[index[many > 0]] = True
+    flags = repeated[index].astype(np.uint8)
+    none = [b""] * table.num_rows
+    return _answer(table, [flags[a:b].tobytes() for a, b in zip(begin, begin[1:])], none, none)
 
-def _window_rows(gram: int, window: int):
-    def found(table: pa.Table, answers: pa.Table) -> pa.Table:
-        asked = common.Lookup(*_requested(answers, REQUEST))
-        parts = []
-        if table.num_rows and len(asked.pair):
-            for s in _slices(table, gram, window):
-                pick = np.flatnonzero(asked(s.key, s.ctx) == s.doc) if len(s.key) else np.zeros(0, int)
-                pick = pick[common.known(asked, s.key[pick], s.ctx[pick])]
-                parts.append(common.least(*_single_windows(s, pick)[:3]))
-        return pa.table(dict(zip(("key", "ctx", "doc_id"), common.least(*common.merged(parts)))))
 
-    return found
+def _first_documents(table: pa.Table) -> pa.Table:
+    """The first document of each window of the last level."""
+    table = table.combine_chunks()
+    keys, begin = keyed_slots.unpacked(table, "keys", np.uint64)
+    checks, docs, nulls = (keyed_slots.unpacked(table, n, k)[0] for n, k in (("checks", np.uint64), ("docs", np.int64), ("nulls", np.uint8)))
+    order = np.lexsort((docs, nulls, checks, keys))
+    new = _new(keys[order], checks[order])
+    first = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else order
+    told = np.empty(len(order), np.int64)
+    told[order] = first
+    cut = lambda values: [values[told[a:b]].tobytes() for a, b in zip(begin, begin[1:])]
+    return _answer(table, [b""] * table.num_rows, cut(docs), cut(nulls))
 
 
-def _judge_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, ctx, doc: each later row of a window hears of the first."""
-    held = None
-    for key, ctx, doc in common.sorted_runs(batches, ("key", "ctx", "doc_id")):
-        if held is not None:
-            key, ctx, doc = (np.concatenate([[h], x]) for h, x in zip(held, (key, ctx, doc)))
-        head = np.ones(len(key), bool)
-        head[1:] = (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1])
-        heads = np.flatnonzero(head)
-        first = doc[heads[np.cumsum(head) - 1]]
-        at = np.flatnonzero(~head)
-        if len(at):
-            kind = np.full(len(at), SINGLE, np.int32)
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": doc[at], "key": key[at], "sub": ctx[at], "first": first[at], "kind": kind}
-            )
-        held = tuple(x[heads[-1]] for x in (key, ctx, doc))
+def _answer(table: pa.Table, repeated: list[bytes], docs: list[bytes], nulls: list[bytes]) -> pa.Table:
+    columns = [table["chunk"], table["level"], table["slot"], *(pa.array(x, pa.binary()) for x in (repeated, docs, nulls))]
+    return pa.table(columns, schema=_ANSWER)
 
 
-def _removed(gram: int, window: int):
+def _removed(lengths: list[int]):
     def removed(table: pa.Table, answers: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"n_words": [], "n_removed": [], "kept_sha256": []}
         if not table.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()),
-                             "n_removed": pa.array([], pa.int64()), "kept_sha256": pa.array([], pa.string())})
-        parts = [common.least(s.key, s.ctx, s.doc) for s in _slices(table, gram, window)]
-        certified = _requested(answers, CERTIFIED)
-        contexts = common.Lookup(*common.merged([*parts, certified]))
-        asked = common.Lookup(*_requested(answers, REQUEST))
-        parts = [_requested(answers, SINGLE)]
-        if len(asked.pair):
-            for s in _slices(table, gram, window):
-                pick = np.flatnonzero(common.known(asked, s.key, s.ctx) & (contexts(s.key, s.ctx) >= s.doc))
-                parts.append(common.least(*_single_windows(s, pick)[:3]))
-        singles = common.Lookup(*common.merged(parts))
-        for s in _slices(table, gram, window):
-            later = contexts(s.key, s.ctx) < s.doc
-            hit = [common.ranges(s.first[later], s.last[later])[0]]
-            if len(asked.pair):
-                pick = np.flatnonzero(~later & common.known(asked, s.key, s.ctx))
-                key, sub, doc, start = _single_windows(s, pick)
-                hit.append(start[singles(key, sub) < doc])
-            gone = common.covered(len(s.row), np.concatenate(hit), window)
-            raw, kept = s.data.tobytes(), ~gone
-            bounds = np.searchsorted(s.row, np.arange(s.hi - s.lo + 1))
-            count = np.concatenate([[0], np.cumsum(gone)])[bounds]
-            for i in range(s.hi - s.lo):
-                words = raw[s.offsets[i] : s.offsets[i + 1]].split()
-                if count[i + 1] > count[i]:
-                    words = compress(words, kept[bounds[i] : bounds[i + 1]].tolist())
-                out["kept_sha256"].append(hashlib.sha256(b" ".join(words)).hexdigest())
-            out["n_words"].extend(np.diff(bounds).tolist())
-            out["n_removed"].extend(np.diff(count).tolist())
-        return pa.table({"doc_id": common.as_array(table["doc_id"]), **out})
+            empty = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string()}
+            return pa.table({name: pa.array([], kind) for name, kind in empty.items()})
+        group, last, window = _Group(table, lengths[-1]), len(lengths) - 1, lengths[-1]
+        at = _candidates(group, lengths, answers, last)
+        mine = answers.filter(pc.equal(answers["level"], last)).combine_chunks()
+        gone = np.zeros(len(group.row), bool)
+        if len(at) and mine.num_rows:
+            keys, checks = group.hashes(at, window), _checks(group, at, window)
+            order = np.lexsort((checks, keys))
+            index = np.empty(len(at), np.int64)
+            index[order] = np.cumsum(_new(keys[order], checks[order])) - 1
+            docs = keyed_slots.answered(mine, "docs", np.int64)[index]
+            nulls = keyed_slots.answered(mine, "nulls", np.uint8)[index].astype(bool)
+            row = group.row[at]
+            own, null = group.doc[row], group.null[row]
+            earlier = (~nulls & null) | ((nulls == null) & ~nulls & (docs < own))
+            gone = common.covered(len(group.row), at[earlier], window)
+        raw, out = memoryview(group.data), {"n_removed": [], "kept_sha256": []}
+        count = np.concatenate([[0], np.cumsum(gone)])[group.bounds]
+        for i in range(table.num_rows):
+            words: Iterator[bytes] = bytes(raw[group.offsets[i] : group.offsets[i + 1]]).split()
+            if count[i + 1] > count[i]:
+                words = compress(words, (~gone[group.bounds[i] : group.bounds[i + 1]]).tolist())
+            out["kept_sha256"].append(hashlib.sha256(b" ".join(words)).hexdigest())
+        out["n_removed"] = pa.array(np.diff(count), pa.int64())
+        return pa.table({"doc_id": table["doc_id"], "n_words": pa.array(group.size, pa.int64()), **out})
 
     return removed
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = common.CHUNK_BYTES) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, start: int = START, chunk_bytes: int = common.CHUNK_BYTES
+) -> DataFrame:
     """Words covered by a window whose word sequence also starts in a document with a smaller id.
 
     Returns doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space), a
     row for each row of ``docs``. A null or empty text has no words and keeps the hash of the
     empty string; a text shorter than the window loses nothing. Rows that share a doc_id are not
-    smaller than each other, so they remove nothing from each other. A null doc_id counts as the
-    largest and stays null in the result. Columns other than doc_id and text are ignored.
+    smaller than each other, so they remove nothing from each other. A null doc_id comes after all
+    ids and stays null in the result. Columns other than doc_id and text are ignored.
     """
-    gram = (window + 1) // 2
     docs = common.texts(docs)
-    chunks = common.chunk_count(docs, chunk_bytes)
-    chunk = common.chunk_of("doc_id", chunks).alias("chunk")
-    parted = docs.select(chunk, "doc_id", "text")
-    by_chunk = parted.groupBy("chunk")
-    found = by_chunk.applyInArrow(_ctx_rows(gram, window), FOUND)
-
-    def judged(rows: DataFrame, key, judge) -> DataFrame:
-        # the chunk of a null id is that of the null, so the stand-in is turned back for it
-        own = F.when(F.col("doc_id") != F.lit(int(common.NO_ID)), F.col("doc_id"))
-        dealt = rows.repartition(*key).sortWithinPartitions("key", "ctx", "doc_id")
-        out = dealt.mapInArrow(judge, "doc_id long, key long, sub long, first long, kind int")
-        return out.select(common.chunk_of(own, chunks).alias("chunk"), "key", "sub", "first", "kind")
-
-    contexts = judged(found, ["key"], _judge_contexts)
-    asked = contexts.filter(F.col("kind") == REQUEST)
-    windows = by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(_window_rows(gram, window), FOUND)
-    singles = judged(windows, ["key", "ctx"], _judge_windows)
-    answers = contexts.unionByName(singles)
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(
-        _removed(gram, window), "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    )
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks, bits = max(1, -(-size // chunk_bytes)), keyed_slots.slot_bits(size, chunk_bytes)
+    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
+    by_chunk = docs.select(chunk, "doc_id", "text").groupBy("chunk")
+    lengths = levels(window, start)
+    answers = None
+    for level in range(len(lengths)):
+        if answers is None:
+            rows = by_chunk.applyInArrow(_sent_first(lengths, bits), SENT)
+        else:
+            rows = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_sent(lengths, level, bits), SENT)
+        judge = _judged if level < len(lengths) - 1 else _first_documents
+        told = keyed_slots.by_slot(rows, judge, ANSWER)
+        answers = told if answers is None else answers.unionByName(told)
+    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_removed(lengths), REMOVED)

@@ -67,19 +67,18 @@ def repeated_bytes(rows, window):
 
 
 def repeated_words(rows, window):
-    big = 2**63 - 1
+    order = lambda d: (d is None, d or 0)
     texts = [(d, WORD.findall(t or "")) for d, t in rows]
     first = {}
     for d, words in texts:
-        own = big if d is None else d
         for i in range(len(words) - window + 1):
             gram = tuple(words[i : i + window])
-            first[gram] = min(first.get(gram, big), own)
+            first[gram] = min(first.get(gram, order(d)), order(d))
     out = []
     for d, words in texts:
         gone = [False] * len(words)
         for i in range(len(words) - window + 1):
-            if first[tuple(words[i : i + window])] < (big if d is None else d):
+            if first[tuple(words[i : i + window])] < order(d):
                 gone[i : i + window] = [True] * window
         rest = " ".join(w for w, g in zip(words, gone) if not g)
         out.append((d, len(words), sum(gone), hashlib.sha256(rest.encode()).hexdigest()))
