@@ -84,6 +84,15 @@ def chunk_of(doc_id: Column | str, chunks: int) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(chunks)).cast("int")
 
 
+#: Most tasks of a stage over chunks.
+MOST_TASKS = 20_000
+
+
+def dealt(rows: DataFrame, chunks: int) -> DataFrame:
+    """The rows by ``chunk``, in as many tasks as there are chunks: a task's share doesn't grow."""
+    return rows.repartition(min(chunks, MOST_TASKS), "chunk")
+
+
 # -- texts as bytes ------------------------------------------------------------------
 
 

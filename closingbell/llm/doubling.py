@@ -226,7 +226,7 @@ def remove_repeats(
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, bits = max(1, -(-size // chunk_bytes)), keyed_slots.slot_bits(size, chunk_bytes)
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
-    by_chunk = docs.select(chunk, "doc_id", "text").groupBy("chunk")
+    by_chunk = common.dealt(docs.select(chunk, "doc_id", "text"), chunks).groupBy("chunk")
     lengths = levels(window, start)
     answers = None
     for level in range(len(lengths)):
@@ -235,6 +235,6 @@ def remove_repeats(
         else:
             rows = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_sent(lengths, level, bits), SENT)
         judge = _judged if level < len(lengths) - 1 else _first_documents
-        told = keyed_slots.by_slot(rows, judge, ANSWER)
-        answers = told if answers is None else answers.unionByName(told)
+        told = keyed_slots.by_slot(rows, judge, ANSWER, bits, chunks)
+        answers = told if answers is None else common.dealt(answers.unionByName(told), chunks)
     return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_removed(lengths), REMOVED)

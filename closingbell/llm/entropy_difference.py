@@ -144,11 +144,11 @@ def score(docs: DataFrame, labels: DataFrame, chunk_bytes: int = common.CHUNK_BY
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
     every = docs.select(doc_id.alias("doc_id"), text.alias("text"), common.whole_rows(docs)).select(chunk, "*")
-    by_chunk = every.groupBy("chunk")
+    by_chunk = common.dealt(every, chunks).groupBy("chunk")
     named = labels.filter(F.col("quality").cast("int") == 1).select(F.col("doc_id").cast("long").alias("doc_id"))
     # labels grow with the documents; only ids meet, no texts
     good = parted.select(chunk, "doc_id").join(named.distinct().hint("merge"), "doc_id").select("chunk", "doc_id")
-    rows = by_chunk.cogroup(good.groupBy("chunk")).applyInArrow(_counts(bits), SENT)
-    answers = keyed_slots.by_slot(rows, _summed, ANSWER, "kind")
+    rows = by_chunk.cogroup(common.dealt(good, chunks).groupBy("chunk")).applyInArrow(_counts(bits), SENT)
+    answers = keyed_slots.by_slot(rows, _summed, ANSWER, bits, chunks, "kind")
     schema = common.beside_row(every, "n_tokens long, target_loss double, background_loss double, difference double")
     return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_scored, schema)

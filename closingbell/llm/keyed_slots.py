@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from closingbell.llm import common
+
 SLOT_BYTES = 8 << 20
 
 
@@ -48,6 +50,10 @@ def answered(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def by_slot(rows: DataFrame, judge: Callable[[pa.Table], pa.Table], schema: str, *more: str) -> DataFrame:
+def by_slot(
+    rows: DataFrame, judge: Callable[[pa.Table], pa.Table], schema: str, bits: int, chunks: int, *more: str
+) -> DataFrame:
     """The slots' answers, dealt out to the groups (``chunk``); ``more`` columns part slots further."""
-    return rows.groupBy("slot", *more).applyInArrow(judge, schema).repartition("chunk")
+    tasks = min(1 << bits, common.MOST_TASKS)
+    told = rows.repartition(tasks, "slot", *more).groupBy("slot", *more).applyInArrow(judge, schema)
+    return common.dealt(told, chunks)

@@ -185,19 +185,19 @@ def mark_lines(docs: DataFrame, chunk_bytes: int = common.CHUNK_BYTES) -> DataFr
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         plain.alias("row"),
     ).select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "*")
-    by_chunk = every.groupBy("chunk")
+    by_chunk = common.dealt(every, chunks).groupBy("chunk")
     found = by_chunk.applyInArrow(_chunk_rows, FOUND)
     keys = ["hi", "lo"]
     place = F.struct("no_id", "doc_id", "at", "chunk")
     first = found.groupBy(*keys).agg(F.min(place).alias("first"), F.count("*").alias("n"))
     first = first.filter(F.col("n") > 1).select(*keys, "first.*")
-    bodies = by_chunk.cogroup(first.groupBy("chunk")).applyInArrow(_first_bytes, BYTES)
+    bodies = by_chunk.cogroup(common.dealt(first, chunks).groupBy("chunk")).applyInArrow(_first_bytes, BYTES)
     # the group of a first place has its bytes; the others that hold the chunk are told
     home = first.withColumnRenamed("chunk", "home")
     others = found.select("chunk", *keys).join(home, keys).filter(F.col("chunk") != F.col("home"))
     answers = others.join(bodies, keys).select("chunk", *keys, "no_id", "doc_id", "at", "body", "before", "behind")
     schema = common.beside_row(every, "text string, n_lines long, n_removed long")
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_removed, schema)
+    return by_chunk.cogroup(common.dealt(answers, chunks).groupBy("chunk")).applyInArrow(_removed, schema)
 
 
 def dedup_lines(docs: DataFrame, **settings) -> DataFrame:
