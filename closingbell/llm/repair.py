@@ -2,13 +2,14 @@
 
 Documents are dealt out by ranges of doc_id and sorted, so files follow each other in that order; a
 shard is some whole documents of about ``shard_tokens`` ids. In a shard the most frequent pairs of
-neighbouring ids become nonterminals, again and again, until no pair is frequent. A round replaces
-all pairs that are at least a sixteenth as frequent as the most frequent one; where two of them
-overlap the more frequent wins, of equal ones the left. Pairs never cross documents.
+neighbouring ids become nonterminals, again and again, as long as a rule saves more bits than it
+takes. A round replaces all pairs that are at least a quarter as frequent as the most frequent one;
+where two of them overlap the more frequent wins, of equal ones the left. Pairs never cross documents.
 
 A shard is a row of a Parquet table (``LAYOUT``). It stores the rules, the number of ids that each
 stands for, and where each document's symbols end, so a document, or a range of ids in it, is
-decoded without the rest. Symbols are 16 bits: the tokenizer's ids, then the shard's rules.
+decoded without the rest. Symbols are the tokenizer's ids, then the shard's rules, all of as many bits
+as the last rule needs, so each is found by its number.
 """
 
 from __future__ import annotations
@@ -30,20 +31,21 @@ TOKENIZER = "word_bpe_49k.json"
 END = 2
 VOCABULARY = 49_408
 SHARD_TOKENS = 1 << 20
-LEAST_COUNT = 128
+#: A rule takes two symbols and a 32-bit span, which four uses make up for; pairs of four and five uses
+#: mostly lose them to overlapping ones, and files come out smaller without.
+LEAST_USES = 6
+#: A round takes pairs down to this part of the most frequent one's count.
+BAND = 4
 BATCH_BYTES = 2 << 20
-#: A round that replaces a smaller share of the symbols is the last.
-LEAST_GAIN = 0.002
 KEPT_WORDS = 2_000_000
 
-#: doc_ids: int64, a null is the largest; ends: int64, symbols up to each document's end; sizes:
-#: int64, ids of each document; rules: pairs of uint16; spans: uint32, ids of each rule; symbols:
-#: uint16. All little-endian.
+#: doc_ids: int64; the last ``nulls`` of them are null; ends: int64, symbols up to each document's end;
+#: sizes: int64, ids of each document; spans: uint32, ids of each rule; all little-endian. symbols and
+#: rules (two symbols each): ``width`` bits each, the highest first, filled up to a byte at the end.
 LAYOUT = (
-    "part int, shard int, n_ids long, doc_ids binary, ends binary, sizes binary, rules binary, spans binary, "
-    "symbols binary"
+    "part int, shard int, n_ids long, nulls long, width int, doc_ids binary, ends binary, sizes binary, "
+    "rules binary, spans binary, symbols binary"
 )
-_BINARIES = ("doc_ids", "ends", "sizes", "rules", "spans", "symbols")
 
 
 # -- tokens --------------------------------------------------------------------------
@@ -125,15 +127,54 @@ def loaded(path: str) -> WordTokenizer:
 # -- grammar -------------------------------------------------------------------------
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, least: int = LEAST_COUNT):
-    """Symbols, each document's end in them, and rules (pairs, rule i being symbol first_rule + i)."""
-    symbols = ids.astype(np.uint16)
+def width_of(rules: int, first_rule: int = VOCABULARY) -> int:
+    """Bits of a symbol."""
+    return max(1, (first_rule + rules - 1).bit_length())
+
+
+def packed(values: np.ndarray, width: int) -> bytes:
+    """The values as ``width`` bits each."""
+    out = []
+    for at in range(0, len(values), 1 << 16):  # whole bytes, since the step is a multiple of eight
+        some = np.ascontiguousarray(values[at : at + (1 << 16)], ">u4")
+        out.append(np.packbits(np.unpackbits(some.view(np.uint8).reshape(-1, 4), axis=1)[:, 32 - width :]).tobytes())
+    return b"".join(out)
+
+
+def unpacked(raw: bytes, width: int, start: int, stop: int) -> np.ndarray:
+    """Values ``start`` to ``stop`` of those that were packed; only their bytes are read."""
+    first = start * width // 8
+    part = np.frombuffer(raw, np.uint8)[first : -(-stop * width // 8)]
+    skipped = start * width - first * 8
+    n, out = stop - start, []
+    bits = np.unpackbits(part)[skipped : skipped + n * width].reshape(n, width)
+    for at in range(0, n, 1 << 16):
+        some = np.zeros((min(n, at + (1 << 16)) - at, 32), np.uint8)
+        some[:, 32 - width :] = bits[at : at + (1 << 16)]
+        out.append(np.packbits(some, axis=1).view(">u4").ravel().astype(np.uint32))
+    return np.concatenate(out) if out else np.zeros(0, np.uint32)
+
+
+def stored_bits(symbols: int, rules: int, first_rule: int = VOCABULARY) -> int:
+    return (symbols + 2 * rules) * width_of(rules, first_rule) + 32 * rules
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, least: int = LEAST_USES):
+    """Symbols, each document's end in them, and rules (pairs, rule i being symbol first_rule + i).
+
+    Rounds go on until no pair has ``least`` uses; of the states between them the one that takes the
+    fewest bits is returned, so a grammar that outgrows a symbol's width has to be worth it.
+    """
+    symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols), bool)
     last[ends[ends > 0] - 1] = True
     rules: list[np.ndarray] = []
     number = first_rule
-    while len(symbols) > 1 and number < 1 << 16:
-        pair = (symbols[:-1].astype(np.uint32) << np.uint32(16)) | symbols[1:]
+    best = stored_bits(len(symbols), 0, first_rule), symbols.copy(), last.copy(), 0
+    while len(symbols) > 1:
+        # pairs of 16-bit symbols sort twice as fast
+        kind, shift = (np.uint32, 16) if number <= 1 << 16 else (np.uint64, 32)
+        pair = (symbols[:-1].astype(kind) << kind(shift)) | symbols[1:].astype(kind)
         found = np.sort(pair[~last[:-1]])
         if not len(found):
             break
@@ -142,13 +183,15 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, le
         top = int(count.max())
         if top < least:
             break
-        good = np.flatnonzero(count >= max(least, top // 16))
-        good = good[np.argsort(-count[good], kind="stable")][: (1 << 16) - number]
+        good = np.flatnonzero(count >= max(least, top // BAND))
+        # a round ends where the symbols would need one more bit
+        room = (1 << width_of(number - first_rule, first_rule)) - number or number
+        good = good[np.argsort(-count[good], kind="stable")][:room]
         chosen, order = found[at[good]], np.arange(len(good), 0, -1)
         by_value = np.argsort(chosen)
-        left = np.zeros(1 << 16, bool)
+        left = np.zeros(number, bool)
         right = left.copy()
-        left[chosen >> np.uint32(16)], right[chosen & np.uint32(0xFFFF)] = True, True
+        left[chosen >> kind(shift)], right[chosen & kind((1 << shift) - 1)] = True, True
         maybe = np.flatnonzero(left[symbols[:-1]] & right[symbols[1:]] & ~last[:-1])
         place = np.minimum(np.searchsorted(chosen[by_value], pair[maybe]), len(good) - 1)
         rank = np.zeros(len(symbols) + 1, np.int32)  # of the pair that begins at a position
@@ -163,27 +206,53 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, le
         wins = (mine > 0) & (mine[begin] > rank[maybe[begin]]) & (mine >= after)
         take = maybe[wins & ((np.arange(len(maybe)) - begin) % 2 == 0)]
         used = np.bincount(rank[take + 1], minlength=len(good) + 1)[order]
-        kept = np.flatnonzero(used > 1)
+        kept = np.flatnonzero(used >= least)
         if not len(kept):
-            break
-        names = np.zeros(len(good) + 1, np.uint16)
-        names[order[kept]] = np.arange(number, number + len(kept))
-        take = take[names[rank[take + 1]] > 0]
-        rules.append(chosen[kept])
-        number += len(kept)
-        symbols[take] = names[rank[take + 1]]
+            # overlaps left too few uses of each: the most used one alone, if it has enough of them
+            kept = _most_alone(pair, last, chosen[:1], least)
+            if not len(kept):
+                break
+            take, names_of = kept, np.full(len(kept), number, np.uint32)
+            rules.append(_halves(chosen[:1], shift))
+            number += 1
+        else:
+            names = np.zeros(len(good) + 1, np.uint32)
+            names[order[kept]] = np.arange(number, number + len(kept))
+            take = take[names[rank[take + 1]] > 0]
+            names_of = names[rank[take + 1]]
+            rules.append(_halves(chosen[kept], shift))
+            number += len(kept)
+        symbols[take] = names_of
         last[take] = last[take + 1]
         stay = np.ones(len(symbols), bool)
         stay[take + 1] = False
-        gain = len(take) / len(symbols)
         symbols, last = symbols[stay], last[stay]
-        if gain < LEAST_GAIN:
-            break
-    pairs = np.concatenate([np.zeros(0, np.uint32), *rules])
+        bits = stored_bits(len(symbols), number - first_rule, first_rule)
+        if bits < best[0]:
+            best = bits, symbols.copy(), last.copy(), number - first_rule
+        elif width_of(number - first_rule, first_rule) > width_of(best[3], first_rule):
+            break  # the wider symbols were not worth it
+    _, symbols, last, kept_rules = best
+    pairs = np.concatenate([np.zeros((0, 2), np.uint32), *rules])[:kept_rules]
     sizes = np.diff(ends, prepend=0)
     done = np.zeros(len(ends), np.int64)  # a document without ids ends where the one before it does
     done[sizes > 0] = np.flatnonzero(last) + 1
-    return symbols, np.maximum.accumulate(done), np.stack([pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)], 1).astype(np.uint16)
+    return symbols, np.maximum.accumulate(done), pairs
+
+
+def _halves(pairs: np.ndarray, shift: int) -> np.ndarray:
+    kind = pairs.dtype.type
+    return np.stack([pairs >> kind(shift), pairs & kind((1 << shift) - 1)], axis=1).astype(np.uint32)
+
+
+def _most_alone(pair: np.ndarray, last: np.ndarray, chosen: np.ndarray, least: int) -> np.ndarray:
+    """Places of one pair, every second one of a run, if there are enough."""
+    at = np.flatnonzero((pair == chosen[0]) & ~last[:-1])
+    new = np.ones(len(at), bool)
+    new[1:] = at[1:] > at[:-1] + 1
+    begin = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+    at = at[(np.arange(len(at)) - begin) % 2 == 0]
+    return at if len(at) >= least else at[:0]
 
 
 def rule_spans(rules: np.ndarray, first_rule: int = VOCABULARY) -> np.ndarray:
@@ -199,8 +268,9 @@ class Shard:
 
     def __init__(self, row: dict, first_rule: int = VOCABULARY):
         self.doc_ids, self.ends, self.sizes = (np.frombuffer(row[c], "<i8") for c in ("doc_ids", "ends", "sizes"))
-        self.symbols = np.frombuffer(row["symbols"], "<u2")
-        rules, spans = np.frombuffer(row["rules"], "<u2").reshape(-1, 2), np.frombuffer(row["spans"], "<u4")
+        self.nulls, self.raw, self.width = row["nulls"], row["symbols"], row["width"]
+        spans = np.frombuffer(row["spans"], "<u4")
+        rules = unpacked(row["rules"], self.width, 0, 2 * len(spans)).reshape(-1, 2)
         parts = [i.to_bytes(2, "little") for i in range(first_rule)]
         for a, b in rules.tolist():
             parts.append(parts[a] + parts[b])
@@ -216,7 +286,7 @@ class Shard:
 
     def document(self, i: int, start: int = 0, count: int | None = None) -> np.ndarray:
         """Ids start .. start + count of the i-th document; only the symbols around them are read."""
-        symbols = self.symbols[self.ends[i - 1] if i else 0 : self.ends[i]]
+        symbols = unpacked(self.raw, self.width, int(self.ends[i - 1]) if i else 0, int(self.ends[i]))
         if start == 0 and count is None:
             return self._expand(symbols)
         reach = np.cumsum(self.span[symbols])
@@ -227,30 +297,44 @@ class Shard:
 
     def documents(self) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each document's begin."""
-        return self._expand(self.symbols), np.cumsum(self.sizes) - self.sizes
+        symbols = unpacked(self.raw, self.width, 0, int(self.ends[-1]) if len(self.ends) else 0)
+        return self._expand(symbols), np.cumsum(self.sizes) - self.sizes
 
 
 # -- files ---------------------------------------------------------------------------
 
 
-def _shard_row(part: int, shard: int, docs: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-    symbols, ends, rules = compress(ids, np.cumsum(sizes))
-    row = {"part": [part], "shard": [shard], "n_ids": [len(ids)]}
-    binaries = (docs.astype("<i8"), ends.astype("<i8"), sizes.astype("<i8"), rules.astype("<u2"),
-                rule_spans(rules).astype("<u4"), symbols.astype("<u2"))
-    row |= {name: [values.tobytes()] for name, values in zip(_BINARIES, binaries)}
-    kinds = [pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * 6
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds)], list(row))
+def shard_row(docs: list[int | None], ids: np.ndarray, sizes: np.ndarray, first_rule: int = VOCABULARY, least: int = LEAST_USES) -> dict:
+    """The columns of a shard from ``n_ids`` on; null ids are the last."""
+    symbols, ends, rules = compress(ids, np.cumsum(sizes), first_rule, least)
+    width, nulls = width_of(len(rules), first_rule), sum(d is None for d in docs)
+    named = np.array([d or 0 for d in docs], "<i8")
+    return {
+        "n_ids": len(ids), "nulls": nulls, "width": width, "doc_ids": named.tobytes(), "ends": ends.astype("<i8").tobytes(),
+        "sizes": sizes.astype("<i8").tobytes(), "rules": packed(rules.ravel(), width),
+        "spans": rule_spans(rules, first_rule).astype("<u4").tobytes(), "symbols": packed(symbols, width),
+    }
+
+
+def _shard_batch(part: int, shard: int, docs: list, ids: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    row = {"part": part, "shard": shard} | shard_row(docs, ids, sizes)
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()] + [pa.binary()] * 6
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], list(row))
 
 
 def _shards(path: str | None, shard_tokens: int):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = loaded(path or public_tokenizers.path(TOKENIZER))
         part, shard, held = TaskContext.get().partitionId(), 0, 0
-        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        parts: list[tuple[list, np.ndarray, np.ndarray]] = []
+
+        def shard_of() -> pa.RecordBatch:
+            docs, ids, sizes = zip(*parts)
+            return _shard_batch(part, shard, [d for some in docs for d in some], np.concatenate(ids), np.concatenate(sizes))
+
         for batch in batches:
             data, offsets = common.text_bytes(batch["text"])
-            docs = common.ids_of(batch["doc_id"])
+            docs = batch["doc_id"].to_pylist()
             for lo, hi in common.slices(offsets, BATCH_BYTES):
                 ids, sizes = tokenizer.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], END)
                 row = lo
@@ -261,10 +345,10 @@ def _shards(path: str | None, shard_tokens: int):
                     parts.append((docs[row:to], ids[:n], sizes[row - lo : to - lo]))
                     ids, held, row = ids[n:], held + n, to
                     if held >= shard_tokens:
-                        yield _shard_row(part, shard, *(np.concatenate(x) for x in zip(*parts)))
+                        yield shard_of()
                         shard, held, parts = shard + 1, 0, []
         if parts:
-            yield _shard_row(part, shard, *(np.concatenate(x) for x in zip(*parts)))
+            yield shard_of()
 
     return made
 
@@ -288,7 +372,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, begin = shard.documents()
             raw = ids.astype("<u4").tobytes()
             n = len(begin)
-            nulls = shard.doc_ids == common.NO_ID
+            nulls = np.arange(n) >= n - shard.nulls
             crc = [zlib.crc32(raw[4 * a : 4 * (a + s)]) for a, s in zip(begin.tolist(), shard.sizes.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row["part"]] * n, pa.int32()), pa.array([row["shard"]] * n, pa.int32()),

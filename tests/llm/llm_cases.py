@@ -180,9 +180,8 @@ def kept_lines(rows):
 
 
 def token_digests(rows, tokenizer, end=2):
-    big = 2**63 - 1
     out, start = [], 0
-    for d, t in sorted(rows, key=lambda r: (big if r[0] is None else r[0], r[1] or "")):
+    for d, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")):
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, end]
         out.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)

@@ -26,11 +26,38 @@ def odd_texts(n=1500):
 
 
 def shard_of(ids, sizes, first_rule, least):
-    symbols, ends, rules = repair.compress(ids, np.cumsum(sizes), first_rule=first_rule, least=least)
-    row = {"doc_ids": np.arange(len(sizes)), "ends": ends, "sizes": sizes, "rules": rules, "symbols": symbols,
-           "spans": repair.rule_spans(rules, first_rule)}
-    kinds = {"rules": "<u2", "symbols": "<u2", "spans": "<u4"}
-    return repair.Shard({k: np.asarray(v).astype(kinds.get(k, "<i8")).tobytes() for k, v in row.items()}, first_rule)
+    row = repair.shard_row(list(range(len(sizes))), ids, sizes, first_rule, least)
+    return repair.Shard(row, first_rule)
+
+
+@pytest.mark.parametrize("width", [1, 7, 16, 17, 32])
+def test_packed_values_come_back_from_any_place(width):
+    values = np.random.default_rng(width).integers(0, 2**width, 70_001).astype(np.uint32)
+    raw = repair.packed(values, width)
+    assert len(raw) == -(-len(values) * width // 8)
+    for start, stop in ((0, len(values)), (3, 5), (65_530, 65_560), (70_001, 70_001)):
+        assert (repair.unpacked(raw, width, start, stop) == values[start:stop]).all()
+
+
+def test_grammar_goes_on_while_it_pays():
+    """At production settings no pair is left that a rule would pay for, and rules beyond 16 bits work."""
+    rng = np.random.default_rng(3)
+    phrases = rng.integers(0, repair.VOCABULARY, (30_000, 2))
+    ids = phrases[rng.integers(0, len(phrases), 400_000)].ravel()
+    symbols, ends, rules = repair.compress(ids, np.array([len(ids)]))
+    assert len(rules) + repair.VOCABULARY > 1 << 16
+    assert repair.stored_bits(len(symbols), len(rules)) < 0.7 * repair.stored_bits(len(ids), 0)
+    shard = repair.Shard(repair.shard_row([1], ids, np.array([len(ids)])))
+    assert (shard.documents()[0] == ids).all() and (shard.document(0, 1001, 77) == ids[1001:1078]).all()
+
+
+def test_extreme_and_null_ids_in_files(session):
+    rows = [(None, "z y"), (2**63 - 1, "a b"), (-(2**63), "c"), (None, None), (0, "d")]
+    library = Tokenizer.from_file(public_tokenizers.path(repair.TOKENIZER))
+    for some in (rows, [(None, t) for _, t in rows]):
+        docs = session.createDataFrame(some, "doc_id long, text string").repartition(3)
+        found = repair.written_digests(docs, shard_tokens=3).collect()
+        assert cases.ordered(found) == cases.ordered(cases.token_digests(some, library))
 
 
 @pytest.mark.parametrize("seed", range(25))
