@@ -120,6 +120,93 @@ def test_a_single_document_is_its_own_next(session):
     assert len(row) == 1 and row[0]["near_next"] == 1
 
 
+MASK = 2**64 - 1
+
+
+def plain_class(window):
+    """Entropy class of 64 bytes, from whole millionths of c log2 c."""
+    grown = [0] + [round(1e6 * c * math.log2(c)) if c > 1 else 0 for c in range(1, 65)]
+    total = sum(grown[c] for c in collections.Counter(window).values())
+    return (grown[64] - total) * 1000 // grown[64]
+
+
+def plain_mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
+def plain_digest(text, rank):
+    """The chained filters of one text as sets of bits, from the definition."""
+    classes = [plain_class(text[i : i + 64]) for i in range(len(text) - 63)]
+    if not text:
+        starts = []
+    elif len(text) < 64:
+        starts = [0]
+    else:
+        votes = collections.Counter()
+        for s in range(max(1, len(classes) - 63)):
+            run = [(rank[c], s + i) for i, c in enumerate(classes[s : s + 64]) if rank[c] <= 1000]
+            if run:
+                votes[min(run)[1]] += 1
+        order = sorted(votes, key=lambda i: (-votes[i], i))
+        starts = sorted(i for n, i in enumerate(order) if votes[i] >= 16 or n < 8)
+    chain = [set() for _ in range(-(-len(starts) // 160))]
+    for n, i in enumerate(starts):
+        window = text[i : i + 64]
+        h, padded = len(window), window.ljust(64, b"\0")
+        for k in range(8):
+            h = plain_mix((h * 0x9E3779B97F4A7C15 + int.from_bytes(padded[8 * k : 8 * k + 8], "little")) & MASK)
+        chain[n // 160] |= {(h >> 11 * k) % 2048 for k in range(5)}
+    return chain
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    a, b = sorted((a, b), key=len) if len(a) != len(b) else (a, b)
+    total = 0.0
+    for one in a:
+        found = []
+        for other in b:
+            chance = len(one) * len(other) / 2048
+            found.append((len(one & other) - chance) / max(min(len(one), len(other)) - chance, 1e-9))
+        total += min(1.0, max(0.0, max(found)))
+    return min(total / len(a), 1.0)
+
+
+def test_edits_against_brute_force(session):
+    """The whole query: ranks of the corpus, features, filters, both likenesses."""
+    rng = random.Random(6)
+    texts = [cases._prose(i, n) for i, n in enumerate((400, 12, 1, 150, 90, 60))] + ["", None, "é漢" * 30, "z" * 200]
+    texts += [texts[0][:900] + texts[3], "".join(rng.choices("abcdefghijklm", k=30_000)), texts[4]]
+    ids = [-(2**63), 2**63 - 1, *rng.sample(range(-1000, 1000), len(texts) - 2)]
+    rows = list(zip(ids, texts))
+    docs = session.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    raw = [(t or "").encode() for t in texts]
+    count = collections.Counter(plain_class(t[i : i + 64]) for t in raw for i in range(len(t) - 63))
+    order = sorted(range(1001), key=lambda c: (count[c], -c))
+    rank = {c: n for n, c in enumerate(order)} | {0: 1001}
+    down = sorted(((d, t or "") for d, t in rows), key=lambda r: -r[0])
+    wanted = {}
+    for (d, text), (_, other) in zip(down, [*down[1:], down[0]]):
+        n = len(text) // 3
+        changed = text[: len(text) - n] + other[:n]
+        prints = [plain_digest(x.encode(), rank) for x in (text, changed, other)]
+        wanted[d] = (hashlib.sha256(changed.encode()).hexdigest(), prints, plain_likeness(*prints[:2]), plain_likeness(prints[0], prints[2]))
+    bits = lambda text: [set(np.flatnonzero(np.unpackbits(f)).tolist()) for f in digest.from_text(text)]
+    for size in (2_000, digest.BUCKET_BYTES):
+        found = digest.compare_edited(docs, bucket_bytes=size).collect()
+        assert sorted(r["doc_id"] for r in found) == sorted(wanted)
+        for r in found:
+            sha, prints, near_edited, near_next = wanted[r["doc_id"]]
+            assert r["edited_sha256"] == sha
+            assert bits(r["fingerprint"]) == prints[0] and bits(r["edited_fingerprint"]) == prints[1]
+            assert abs(r["near_edited"] - near_edited) < 1e-12 and abs(r["near_next"] - near_next) < 1e-12
+
+
 # -- language models -----------------------------------------------------------------
 
 
