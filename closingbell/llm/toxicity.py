@@ -25,7 +25,6 @@ from closingbell.llm import common
 
 #: Labelled rows that are learned from, at most: those of least hash of their id.
 SAMPLE_ROWS = 20_000
-LEXICON = 1_000
 LEAST_PRECISION = 0.95
 LEAST_DOCUMENTS = 4
 STEM_LETTERS = (3, 4, 5, 6, 7, 8)
@@ -277,11 +276,12 @@ def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
         words: dict[tuple[str, int], set[str]] = {}
         for text in batch["text"].to_pylist():
-            for term, stem, word in _terms_of(text):
+            found = _terms_of(text)
+            for term, stem, word in found:
                 mine = words.setdefault((term, stem), set())
                 if len(mine) < STEM_WORDS:
                     mine.add(word)
-            count.update({(term, stem) for term, stem, _ in _terms_of(text)})
+            count.update({(term, stem) for term, stem, _ in found})
         rows = [(t, s, n, sorted(words[t, s])) for (t, s), n in count.items()]
         columns = list(zip(*rows)) or [(), (), (), ()]
         kinds = (pa.string(), pa.int32(), pa.int64(), pa.list_(pa.string()))
@@ -304,8 +304,8 @@ def _clean_terms(known: set[tuple[str, int]]):
     return counted
 
 
-def _learn_terms(sample: DataFrame, most: int) -> tuple[list[tuple[str, bool]], np.ndarray]:
-    """Terms whose documents are nearly all toxic, best first, at most ``most``; their log odds.
+def _learn_terms(sample: DataFrame, most: int | None) -> tuple[list[tuple[str, bool]], np.ndarray]:
+    """Terms whose documents are nearly all toxic, best first, and their log odds; ``most`` cuts them.
 
     Only terms of several toxic documents come into question; they are what the sample's toxic
     part holds, so the set that the tasks get is bounded by ``SAMPLE_ROWS``.
@@ -331,8 +331,8 @@ def _learn_terms(sample: DataFrame, most: int) -> tuple[list[tuple[str, bool]],
     return [(r["term"], bool(r["stem"])) for r in rows], np.array([max(0.1, r["odds"]) for r in rows])
 
 
-def _best(good: list, most: int) -> list:
-    """The ``most`` rows (term, stem, odds) of highest odds, without those that match nothing more
+def _best(good: list, most: int | None) -> list:
+    """The rows (term, stem, odds) of highest odds, without those that match nothing more
     than a stem of at least their odds: one that begins them and allows as many errors."""
     stems: dict[str, int] = {}
     rows = []
@@ -381,10 +381,11 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, lexicon: int = LEXICON) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, lexicon: int | None = None) -> Model:
     """Fit lexicon and model on labelled documents outside the held-out fold.
 
-    At most ``sample_rows`` labelled ids are used, those of least hash. A doc_id with several
+    At most ``sample_rows`` labelled ids are used, those of least hash; the lexicon has all good terms
+    of them, or the ``lexicon`` best. A doc_id with several
     labels is toxic if one says so; null labels and ids don't count. Without toxic or without clean
     rows the lexicon is empty and every score the same.
     """
