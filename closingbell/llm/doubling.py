@@ -7,9 +7,11 @@ that holds it, and its words are removed in all later ones. A longer window can
 windows of this length do, and its words are covered by them, so no candidate is left behind it.
 
 A level sends the hash of every distinct candidate of a group of documents, packed, to the slot of its
-range (``keyed_slots``) and gets a bit back for each. Texts are moved once, to a group by a hash of
-doc_id and text, and that exchange is read again by each level. Inner levels compare 64 bits, which
-can only let more candidates through; the last compares 128.
+range (``keyed_slots``) and gets a bit back for each: whether it stands in another document, at the
+last level in an earlier one than the first of this group. Texts are moved once, to a group by a
+hash of doc_id and text, and that exchange is read again by each level. Inner levels compare 32 bits
+within a slot, which can only let more candidates through; the last compares 96 there, and slots
+are ranges of a 64-bit hash that grow in number with the input.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from closingbell.llm import common, keyed_slots
 
 WINDOW, START = 13, 4
 
-SENT = "chunk int, level int, slot int, keys binary, many binary, checks binary, docs binary, nulls binary"
-ANSWER = "chunk int, level int, slot int, repeated binary, docs binary, nulls binary"
+SENT = "chunk int, level int, slot int, keys binary, many binary, checks binary, narrow_docs binary, nulls binary"
+ANSWER = "chunk int, level int, slot int, told binary"
 _SENT = pa.schema([(x.split()[0], pa.int32() if x.split()[1] == "int" else pa.binary()) for x in SENT.split(", ")])
 _ANSWER = pa.schema([(x.split()[0], pa.int32() if x.split()[1] == "int" else pa.binary()) for x in ANSWER.split(", ")])
 REMOVED = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -83,15 +85,14 @@ def _checks(group: _Group, at: np.ndarray, length: int) -> np.ndarray:
     return common.mix(group.range_hash(at, at + half) * np.uint64(5) + group.range_hash(at + half, at + length))
 
 
-def _candidates(group: _Group, lengths: list[int], answers: pa.Table, upto: int) -> np.ndarray:
+def _candidates(group: _Group, lengths: list[int], answers: pa.Table, upto: int, bits: int) -> np.ndarray:
     """Starts of the windows to be judged at level ``upto``, from the answers to those before it."""
     at = group.starts(lengths[0])
     for level, length in enumerate(lengths[:upto]):
-        _, index = np.unique(group.hashes(at, length), return_inverse=True)
-        mine = answers.filter(pc.equal(answers["level"], level)).combine_chunks()
-        bits = keyed_slots.answered(mine, "repeated", np.uint8).astype(bool)
+        keys, index = np.unique(group.hashes(at, length), return_inverse=True)
+        mine = answers.filter(pc.equal(answers["level"], level))
         alive = np.zeros(len(group.row) + 1, bool)
-        alive[at[bits[index]]] = True
+        alive[at[keyed_slots.answered_flags(mine, "told", keys, bits)[index]]] = True
         # both halves (or two that overlap) were repeated
         shift = lengths[level + 1] - length
         at = np.flatnonzero(alive[:-shift] & alive[shift:])
@@ -113,33 +114,36 @@ def _sent(lengths: list[int], level: int, bits: int):
         if not table.num_rows:
             return _SENT.empty_table()
         group = _Group(table, lengths[-1])
-        at = _candidates(group, lengths, answers, level)
-        keys, rank = group.hashes(at, lengths[level]), group.rank[group.row[at]]
+        at = _candidates(group, lengths, answers, level, bits)
         if level < len(lengths) - 1:
+            keys, rank = group.hashes(at, lengths[level]), group.rank[group.row[at]]
             order = np.argsort(keys, kind="stable")
             keys, rank = keys[order], rank[order]
             first = np.flatnonzero(_new(keys))
             least, most = (f.reduceat(rank, first) if len(first) else rank[:0] for f in (np.minimum, np.maximum))
-            rows = keyed_slots.sent(keys[first], bits, many=(least != most).astype(np.uint8))
-            none = [b""] * len(rows["slot"])
-            rows |= {"checks": none, "docs": none, "nulls": none}
+            rows = keyed_slots.sent(keys[first], bits, short=True, many=least != most)
         else:
-            checks = _checks(group, at, lengths[level])
-            order = np.lexsort((rank, checks, keys))
-            keys, checks, row = keys[order], checks[order], group.row[at][order]
-            first = np.flatnonzero(_new(keys, checks))
-            row = row[first]
-            rows = keyed_slots.sent(
-                keys[first], bits, checks=checks[first], docs=group.doc[row], nulls=group.null[row].astype(np.uint8)
-            )
-            rows["many"] = [b""] * len(rows["slot"])
+            keys, checks, row, _ = _distinct(group, at, lengths[level])
+            rows = keyed_slots.sent(keys, bits, short=True, checks=checks, narrow_docs=group.doc[row], nulls=group.null[row])
         n = len(rows["slot"])
         rows |= {"chunk": [table["chunk"][0].as_py()] * n, "level": [level] * n}
-        return pa.table([pa.array(rows[f.name], f.type) for f in _SENT], schema=_SENT)
+        return pa.table([pa.array(rows.get(f.name, [None] * n), f.type) for f in _SENT], schema=_SENT)
 
     return sent
 
 
+def _distinct(group: _Group, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """The distinct windows by key and check, the row of the first document that has each, and which
+    of them each start is."""
+    keys, checks, row = group.hashes(at, length), _checks(group, at, length), group.row[at]
+    order = np.lexsort((group.rank[row], checks, keys))
+    new = _new(keys[order], checks[order])
+    first = order[np.flatnonzero(new)]
+    index = np.empty(len(at), np.int64)
+    index[order] = np.cumsum(new) - 1
+    return keys[first], checks[first], row[first], index
+
+
 def _new(*keys: np.ndarray) -> np.ndarray:
     new = np.ones(len(keys[0]), bool)
     new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
@@ -149,55 +153,49 @@ def _new(*keys: np.ndarray) -> np.ndarray:
 def _judged(table: pa.Table) -> pa.Table:
     """Which keys of an inner level stand in two documents: in two groups, or in two of one group."""
     table = table.combine_chunks()
-    keys, begin = keyed_slots.unpacked(table, "keys", np.uint64)
-    many, _ = keyed_slots.unpacked(table, "many", np.uint8)
+    keys, begin = keyed_slots.unpacked(table, "keys", np.uint32)
+    sizes = np.diff(begin).tolist()
+    many = [keyed_slots.flagged(raw, n) for raw, n in zip(table["many"].to_pylist(), sizes)]
     _, index, count = np.unique(keys, return_inverse=True, return_counts=True)
     repeated = count > 1
-    repeated[index[many > 0]] = True
-    flags = repeated[index].astype(np.uint8)
-    none = [b""] * table.num_rows
-    return _answer(table, [flags[a:b].tobytes() for a, b in zip(begin, begin[1:])], none, none)
+    repeated[index[np.concatenate(many)]] = True
+    return _answer(table, repeated[index], begin)
 
 
-def _first_documents(table: pa.Table) -> pa.Table:
-    """The first document of each window of the last level."""
+def _earlier(table: pa.Table) -> pa.Table:
+    """For which windows of the last level an earlier document is known than the group's first."""
     table = table.combine_chunks()
-    keys, begin = keyed_slots.unpacked(table, "keys", np.uint64)
-    checks, docs, nulls = (keyed_slots.unpacked(table, n, k)[0] for n, k in (("checks", np.uint64), ("docs", np.int64), ("nulls", np.uint8)))
-    order = np.lexsort((docs, nulls, checks, keys))
+    keys, begin = keyed_slots.unpacked(table, "keys", np.uint32)
+    checks, _ = keyed_slots.unpacked(table, "checks", np.uint64)
+    docs = np.concatenate([keyed_slots.widened(raw) for raw in table["narrow_docs"].to_pylist()])
+    sizes = np.diff(begin).tolist()
+    null = np.concatenate([keyed_slots.flagged(raw, n) for raw, n in zip(table["nulls"].to_pylist(), sizes)])
+    order = np.lexsort((docs, null, checks, keys))
     new = _new(keys[order], checks[order])
-    first = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else order
-    told = np.empty(len(order), np.int64)
-    told[order] = first
-    cut = lambda values: [values[told[a:b]].tobytes() for a, b in zip(begin, begin[1:])]
-    return _answer(table, [b""] * table.num_rows, cut(docs), cut(nulls))
+    first = np.empty(len(order), np.int64)
+    if len(order):
+        first[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    told = (~null[first] & null) | (~null & ~null[first] & (docs[first] < docs))
+    return _answer(table, told, begin)
 
 
-def _answer(table: pa.Table, repeated: list[bytes], docs: list[bytes], nulls: list[bytes]) -> pa.Table:
-    columns = [table["chunk"], table["level"], table["slot"], *(pa.array(x, pa.binary()) for x in (repeated, docs, nulls))]
-    return pa.table(columns, schema=_ANSWER)
+def _answer(table: pa.Table, told: np.ndarray, begin: np.ndarray) -> pa.Table:
+    packed = [keyed_slots.flags(told[a:b]) for a, b in zip(begin, begin[1:])]
+    return pa.table([table["chunk"], table["level"], table["slot"], pa.array(packed, pa.binary())], schema=_ANSWER)
 
 
-def _removed(lengths: list[int]):
+def _removed(lengths: list[int], bits: int):
     def removed(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             empty = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string()}
             return pa.table({name: pa.array([], kind) for name, kind in empty.items()})
         group, last, window = _Group(table, lengths[-1]), len(lengths) - 1, lengths[-1]
-        at = _candidates(group, lengths, answers, last)
-        mine = answers.filter(pc.equal(answers["level"], last)).combine_chunks()
-        gone = np.zeros(len(group.row), bool)
-        if len(at) and mine.num_rows:
-            keys, checks = group.hashes(at, window), _checks(group, at, window)
-            order = np.lexsort((checks, keys))
-            index = np.empty(len(at), np.int64)
-            index[order] = np.cumsum(_new(keys[order], checks[order])) - 1
-            docs = keyed_slots.answered(mine, "docs", np.int64)[index]
-            nulls = keyed_slots.answered(mine, "nulls", np.uint8)[index].astype(bool)
-            row = group.row[at]
-            own, null = group.doc[row], group.null[row]
-            earlier = (~nulls & null) | ((nulls == null) & ~nulls & (docs < own))
-            gone = common.covered(len(group.row), at[earlier], window)
+        at = _candidates(group, lengths, answers, last, bits)
+        keys, _, first, index = _distinct(group, at, window)
+        earlier = keyed_slots.answered_flags(answers.filter(pc.equal(answers["level"], last)), "told", keys, bits)
+        # behind the group's first document of a window all others are later anyway
+        later = earlier[index] | (group.rank[group.row[at]] > group.rank[first][index])
+        gone = common.covered(len(group.row), at[later], window)
         raw, out = memoryview(group.data), {"n_removed": [], "kept_sha256": []}
         count = np.concatenate([[0], np.cumsum(gone)])[group.bounds]
         for i in range(table.num_rows):
@@ -234,7 +232,8 @@ def remove_repeats(
             rows = by_chunk.applyInArrow(_sent_first(lengths, bits), SENT)
         else:
             rows = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_sent(lengths, level, bits), SENT)
-        judge = _judged if level < len(lengths) - 1 else _first_documents
-        told = keyed_slots.by_slot(rows, judge, ANSWER, bits, chunks)
+        judge = _judged if level < len(lengths) - 1 else _earlier
+        # a bit for each key: what is dealt again beside the next level's answers is small
+        told = common.dealt(keyed_slots.by_slot(rows, judge, ANSWER, bits), chunks)
         answers = told if answers is None else common.dealt(answers.unionByName(told), chunks)
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_removed(lengths), REMOVED)
+    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_removed(lengths, bits), REMOVED)

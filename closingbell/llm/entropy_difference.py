@@ -149,6 +149,6 @@ def score(docs: DataFrame, labels: DataFrame, chunk_bytes: int = common.CHUNK_BY
     # labels grow with the documents; only ids meet, no texts
     good = parted.select(chunk, "doc_id").join(named.distinct().hint("merge"), "doc_id").select("chunk", "doc_id")
     rows = by_chunk.cogroup(common.dealt(good, chunks).groupBy("chunk")).applyInArrow(_counts(bits), SENT)
-    answers = keyed_slots.by_slot(rows, _summed, ANSWER, bits, chunks, "kind")
+    answers = common.dealt(keyed_slots.by_slot(rows, _summed, ANSWER, bits, "kind"), chunks)
     schema = common.beside_row(every, "n_tokens long, target_loss double, background_loss double, difference double")
     return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_scored, schema)

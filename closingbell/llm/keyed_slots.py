@@ -24,16 +24,53 @@ def slot_bits(text_bytes: int, slot_bytes: int = SLOT_BYTES) -> int:
     return max(0, -(-text_bytes // slot_bytes) - 1).bit_length()
 
 
-def sent(keys: np.ndarray, bits: int, **values: np.ndarray) -> dict[str, list]:
-    """Columns ``slot``, ``keys`` and the values, a row for every slot; ``keys`` are sorted."""
+def _cuts(keys: np.ndarray, bits: int) -> list[int]:
     edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
-    cuts = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]]).tolist()
+    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]]).tolist()
+
+
+def sent(keys: np.ndarray, bits: int, short: bool = False, **values) -> dict[str, list]:
+    """Columns ``slot``, ``keys`` and the values, a row for every slot; ``keys`` are sorted.
+
+    Of ``short`` keys 32 bits behind those of the slot are sent. As slots grow with the input, two
+    keys of a slot share them about as rarely at any size (once in some thousand keys).
+    """
+    cuts = _cuts(keys, bits)
+    if short:
+        keys = ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
     out = {"slot": list(range(1 << bits)), "keys": [keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]}
     for name, array in values.items():
-        out[name] = [array[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        pack = flags if array.dtype == bool else narrow if name.startswith("narrow") else np.ndarray.tobytes
+        out[name] = [pack(array[a:b]) for a, b in zip(cuts, cuts[1:])]
     return out
 
 
+def flags(values: np.ndarray) -> bytes:
+    return np.packbits(values).tobytes()
+
+
+def narrow(values: np.ndarray) -> bytes:
+    """64-bit numbers as differences from the least, in 32 bits if they fit."""
+    if not len(values):
+        return b""
+    least = int(values.min())
+    if int(values.max()) - least >= 1 << 32:
+        return b"\1" + values.tobytes()
+    return b"\0" + least.to_bytes(8, "little", signed=True) + (values - least).astype(np.uint32).tobytes()
+
+
+def widened(raw: bytes) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, np.int64)
+    if raw[0]:
+        return np.frombuffer(raw, np.int64, offset=1)
+    return np.frombuffer(raw, np.uint32, offset=9).astype(np.int64) + int.from_bytes(raw[1:9], "little", signed=True)
+
+
+def flagged(raw: bytes, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(raw, np.uint8), count=count).astype(bool)
+
+
 def unpacked(table: pa.Table, name: str, kind) -> tuple[np.ndarray, np.ndarray]:
     """All rows' arrays of one column, and where each begins."""
     raw = table[name].to_pylist()
@@ -50,10 +87,14 @@ def answered(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def by_slot(
-    rows: DataFrame, judge: Callable[[pa.Table], pa.Table], schema: str, bits: int, chunks: int, *more: str
-) -> DataFrame:
-    """The slots' answers, dealt out to the groups (``chunk``); ``more`` columns part slots further."""
+def answered_flags(table: pa.Table, name: str, keys: np.ndarray, bits: int) -> np.ndarray:
+    """A group's answers of one bit, for its sorted keys."""
+    cuts, raw = _cuts(keys, bits), dict(zip(table["slot"].to_pylist(), table[name].to_pylist()))
+    parts = [flagged(raw[slot], b - a) for slot, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+    return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+
+def by_slot(rows: DataFrame, judge: Callable[[pa.Table], pa.Table], schema: str, bits: int, *more: str) -> DataFrame:
+    """The slots' answers to the groups; ``more`` columns part slots further."""
     tasks = min(1 << bits, common.MOST_TASKS)
-    told = rows.repartition(tasks, "slot", *more).groupBy("slot", *more).applyInArrow(judge, schema)
-    return common.dealt(told, chunks)
+    return rows.repartition(tasks, "slot", *more).groupBy("slot", *more).applyInArrow(judge, schema)
