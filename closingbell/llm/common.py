@@ -60,6 +60,12 @@ def whole_rows(docs: DataFrame) -> Column:
     return F.struct(*(column(c).alias(c) for c in docs.columns)).alias("row")
 
 
+def rows_without_text(docs: DataFrame) -> Column:
+    """``whole_rows`` with a null for the text, which moves beside it."""
+    plain = (F.lit(None).cast("string") if c == "text" else column(c) for c in docs.columns)
+    return F.struct(*(value.alias(c) for value, c in zip(plain, docs.columns))).alias("row")
+
+
 def beside_row(rows: DataFrame, more: str) -> StructType:
     """The schema of ``row`` (as in ``rows``) and more columns behind it."""
     return StructType([rows.schema["row"], *StructType.fromDDL(more).fields])

@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame, functions as F
 from closingbell.llm import common, keyed_slots
 
 WINDOW, START = 13, 4
+KEY_BYTES = 4
 
-SENT = "chunk int, level int, slot int, keys binary, many binary, checks binary, narrow_docs binary, nulls binary"
+SENT = "chunk int, level int, slot int, keys binary, many binary, checks binary, docs binary, nulls binary"
 ANSWER = "chunk int, level int, slot int, told binary"
 _SENT = pa.schema([(x.split()[0], pa.int32() if x.split()[1] == "int" else pa.binary()) for x in SENT.split(", ")])
 _ANSWER = pa.schema([(x.split()[0], pa.int32() if x.split()[1] == "int" else pa.binary()) for x in ANSWER.split(", ")])
@@ -121,10 +122,10 @@ def _sent(lengths: list[int], level: int, bits: int):
             keys, rank = keys[order], rank[order]
             first = np.flatnonzero(_new(keys))
             least, most = (f.reduceat(rank, first) if len(first) else rank[:0] for f in (np.minimum, np.maximum))
-            rows = keyed_slots.sent(keys[first], bits, short=True, many=least != most)
+            rows = keyed_slots.sent(keys[first], bits, KEY_BYTES, many=least != most)
         else:
             keys, checks, row, _ = _distinct(group, at, lengths[level])
-            rows = keyed_slots.sent(keys, bits, short=True, checks=checks, narrow_docs=group.doc[row], nulls=group.null[row])
+            rows = keyed_slots.sent(keys, bits, KEY_BYTES, checks=checks, docs=group.doc[row], nulls=group.null[row])
         n = len(rows["slot"])
         rows |= {"chunk": [table["chunk"][0].as_py()] * n, "level": [level] * n}
         return pa.table([pa.array(rows.get(f.name, [None] * n), f.type) for f in _SENT], schema=_SENT)
@@ -153,7 +154,7 @@ def _new(*keys: np.ndarray) -> np.ndarray:
 def _judged(table: pa.Table) -> pa.Table:
     """Which keys of an inner level stand in two documents: in two groups, or in two of one group."""
     table = table.combine_chunks()
-    keys, begin = keyed_slots.unpacked(table, "keys", np.uint32)
+    keys, begin = keyed_slots.keys_of(table, KEY_BYTES)
     sizes = np.diff(begin).tolist()
     many = [keyed_slots.flagged(raw, n) for raw, n in zip(table["many"].to_pylist(), sizes)]
     _, index, count = np.unique(keys, return_inverse=True, return_counts=True)
@@ -165,9 +166,9 @@ def _judged(table: pa.Table) -> pa.Table:
 def _earlier(table: pa.Table) -> pa.Table:
     """For which windows of the last level an earlier document is known than the group's first."""
     table = table.combine_chunks()
-    keys, begin = keyed_slots.unpacked(table, "keys", np.uint32)
-    checks, _ = keyed_slots.unpacked(table, "checks", np.uint64)
-    docs = np.concatenate([keyed_slots.widened(raw) for raw in table["narrow_docs"].to_pylist()])
+    keys, begin = keyed_slots.keys_of(table, KEY_BYTES)
+    checks = np.frombuffer(b"".join(table["checks"].to_pylist()), np.uint64)
+    docs = keyed_slots.numbers_of(table, "docs")
     sizes = np.diff(begin).tolist()
     null = np.concatenate([keyed_slots.flagged(raw, n) for raw, n in zip(table["nulls"].to_pylist(), sizes)])
     order = np.lexsort((docs, null, checks, keys))

@@ -26,6 +26,7 @@ SMOOTHING = 1.0
 #: The key of a text's end. A text's first word follows it, too.
 END = np.uint64(0x5851F42D4C957F2D)
 WORD, PAIR = 1, 2
+KEY_BYTES = 6
 
 SENT = "chunk int, kind int, slot int, keys binary, target binary, background binary"
 ANSWER = "chunk int, kind int, slot int, target binary, background binary, words long, n_target long, n_background long"
@@ -70,7 +71,7 @@ def _counts(bits: int):
         parts = []
         for kind, keys, index in ((WORD, found.words, found.word), (PAIR, found.pairs, found.pair)):
             n = [np.bincount(i, minlength=len(keys)).astype(np.int64) for i in (index[mine], index)]
-            rows = keyed_slots.sent(keys, bits, target=n[0], background=n[1])
+            rows = keyed_slots.sent(keys, bits, KEY_BYTES, target=n[0], background=n[1])
             size = len(rows["slot"])
             parts.append(pa.table({
                 "chunk": pa.array([chunk] * size, pa.int32()), "kind": pa.array([kind] * size, pa.int32()),
@@ -85,15 +86,15 @@ def _counts(bits: int):
 def _summed(table: pa.Table) -> pa.Table:
     """Every group's keys of one slot with the counts of all groups, and the slot's totals."""
     table = table.combine_chunks()
-    keys, begin = keyed_slots.unpacked(table, "keys", np.uint64)
+    keys, begin = keyed_slots.keys_of(table, KEY_BYTES)
     distinct, index = np.unique(keys, return_inverse=True)
     out, totals = {}, {}
     for name in ("target", "background"):
-        mine, _ = keyed_slots.unpacked(table, name, np.int64)
+        mine = keyed_slots.numbers_of(table, name)
         # whole numbers below 2**53 add up exactly
         total = np.bincount(index, mine, minlength=len(distinct)).astype(np.int64)
         totals[name] = int(total.sum())
-        out[name] = pa.array([total[index[a:b]].tobytes() for a, b in zip(begin, begin[1:])], pa.binary())
+        out[name] = pa.array([keyed_slots.narrow(total[index[a:b]]) for a, b in zip(begin, begin[1:])], pa.binary())
     n = table.num_rows
     return pa.table({
         "chunk": table["chunk"], "kind": table["kind"], "slot": table["slot"], **out,
@@ -123,7 +124,7 @@ def _scored(table: pa.Table, answers: pa.Table) -> pa.Table:
     loss = []
     for name in ("target", "background"):
         scale = total["target"] / total["background"] if name == "background" and total["target"] else 1.0
-        single, pair = (keyed_slots.answered(a, name, np.int64) * scale for a in (words, pairs))
+        single, pair = (keyed_slots.answered(a, name) * scale for a in (words, pairs))
         each = losses(single[found.word], pair[found.pair], single[before], total[name] * scale, vocabulary)
         loss.append(np.add.reduceat(each, begin) / found.sizes)
     values = (*loss, loss[0] - loss[1])
@@ -131,19 +132,19 @@ def _scored(table: pa.Table, answers: pa.Table) -> pa.Table:
 
 
 def score(docs: DataFrame, labels: DataFrame, chunk_bytes: int = common.CHUNK_BYTES) -> DataFrame:
-    """row (a struct of all columns of ``docs``), n_tokens, target_loss, background_loss, difference.
+    """row (a struct of all columns of ``docs``, its text null), n_tokens, target_loss, background_loss, difference.
 
     Losses are bits per token; tokens are the words of the whole text (whatever stands between blanks)
     and its end, so a null or empty text has one. The target is every document labelled with
     quality 1 (by any of its labels; null labels and ids don't count); without one it is the smoothing
-    alone. Repeated rows count and are scored each. Words are told apart by 64 bits.
+    alone. Repeated rows count and are scored each. Words and pairs are told apart by 48 bits and their slot's.
     """
     parted = common.texts(docs)
     size = parted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, bits = max(1, -(-size // chunk_bytes)), keyed_slots.slot_bits(size, chunk_bytes)
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
-    every = docs.select(doc_id.alias("doc_id"), text.alias("text"), common.whole_rows(docs)).select(chunk, "*")
+    every = docs.select(doc_id.alias("doc_id"), text.alias("text"), common.rows_without_text(docs)).select(chunk, "*")
     by_chunk = common.dealt(every, chunks).groupBy("chunk")
     named = labels.filter(F.col("quality").cast("int") == 1).select(F.col("doc_id").cast("long").alias("doc_id"))
     # labels grow with the documents; only ids meet, no texts

@@ -29,18 +29,19 @@ def _cuts(keys: np.ndarray, bits: int) -> list[int]:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]]).tolist()
 
 
-def sent(keys: np.ndarray, bits: int, short: bool = False, **values) -> dict[str, list]:
+def sent(keys: np.ndarray, bits: int, key_bytes: int, **values) -> dict[str, list]:
     """Columns ``slot``, ``keys`` and the values, a row for every slot; ``keys`` are sorted.
 
-    Of ``short`` keys 32 bits behind those of the slot are sent. As slots grow with the input, two
-    keys of a slot share them about as rarely at any size (once in some thousand keys).
+    Of a key, ``key_bytes`` behind the bits of its slot are sent. As slots grow with the input, two
+    keys of a slot share them about as rarely at any size: of 4 bytes once in some thousand keys, of
+    6 once in some hundred million.
     """
     cuts = _cuts(keys, bits)
-    if short:
-        keys = ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
-    out = {"slot": list(range(1 << bits)), "keys": [keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]}
+    rest = (keys << np.uint64(bits)) >> np.uint64(64 - 8 * key_bytes)
+    raw = np.ascontiguousarray(rest, "<u8").view(np.uint8).reshape(-1, 8)[:, :key_bytes]
+    out = {"slot": list(range(1 << bits)), "keys": [raw[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]}
     for name, array in values.items():
-        pack = flags if array.dtype == bool else narrow if name.startswith("narrow") else np.ndarray.tobytes
+        pack = flags if array.dtype == bool else narrow if array.dtype == np.int64 else np.ndarray.tobytes
         out[name] = [pack(array[a:b]) for a, b in zip(cuts, cuts[1:])]
     return out
 
@@ -50,41 +51,46 @@ def flags(values: np.ndarray) -> bytes:
 
 
 def narrow(values: np.ndarray) -> bytes:
-    """64-bit numbers as differences from the least, in 32 bits if they fit."""
+    """64-bit numbers as differences from the least, in 1, 2 or 4 bytes each if they fit."""
     if not len(values):
         return b""
-    least = int(values.min())
-    if int(values.max()) - least >= 1 << 32:
-        return b"\1" + values.tobytes()
-    return b"\0" + least.to_bytes(8, "little", signed=True) + (values - least).astype(np.uint32).tobytes()
+    least, span = int(values.min()), int(values.max()) - int(values.min())
+    width = next((w for w in (1, 2, 4) if span < 1 << 8 * w), 8)
+    if width == 8:
+        return b"\x08" + bytes(8) + values.tobytes()
+    return bytes([width]) + least.to_bytes(8, "little", signed=True) + (values - least).astype(f"<u{width}").tobytes()
 
 
 def widened(raw: bytes) -> np.ndarray:
     if not raw:
         return np.zeros(0, np.int64)
-    if raw[0]:
-        return np.frombuffer(raw, np.int64, offset=1)
-    return np.frombuffer(raw, np.uint32, offset=9).astype(np.int64) + int.from_bytes(raw[1:9], "little", signed=True)
+    if raw[0] == 8:
+        return np.frombuffer(raw, np.int64, offset=9)
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=9).astype(np.int64) + int.from_bytes(raw[1:9], "little", signed=True)
+
+
+def keys_of(table: pa.Table, key_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all rows, and where each row's begin."""
+    raw = table["keys"].to_pylist()
+    begin = np.concatenate([[0], np.cumsum([len(x) // key_bytes for x in raw])]).astype(np.int64)
+    wide = np.zeros((int(begin[-1]), 8), np.uint8)
+    wide[:, :key_bytes] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, key_bytes)
+    return wide.view("<u8").ravel(), begin
 
 
 def flagged(raw: bytes, count: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8), count=count).astype(bool)
 
 
-def unpacked(table: pa.Table, name: str, kind) -> tuple[np.ndarray, np.ndarray]:
-    """All rows' arrays of one column, and where each begins."""
-    raw = table[name].to_pylist()
-    parts = [np.frombuffer(x, kind) for x in raw]
-    ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
-    return (np.concatenate(parts) if parts else np.zeros(0, kind)), np.concatenate([[0], ends]).astype(np.int64)
+def numbers_of(table: pa.Table, name: str) -> np.ndarray:
+    """The numbers of all rows of a column."""
+    return np.concatenate([np.zeros(0, np.int64), *map(widened, table[name].to_pylist())])
 
 
-def answered(table: pa.Table, name: str, kind) -> np.ndarray:
-    """A group's answer for all its keys, in their order."""
+def answered(table: pa.Table, name: str) -> np.ndarray:
+    """A group's answers in numbers, for its sorted keys."""
     order = np.argsort(table["slot"].to_numpy(), kind="stable")
-    raw = table[name].to_pylist()
-    parts = [np.frombuffer(raw[i], kind) for i in order]
-    return np.concatenate(parts) if parts else np.zeros(0, kind)
+    return numbers_of(table.take(order), name)
 
 
 def answered_flags(table: pa.Table, name: str, keys: np.ndarray, bits: int) -> np.ndarray:

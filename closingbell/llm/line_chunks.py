@@ -179,11 +179,10 @@ def mark_lines(docs: DataFrame, chunk_bytes: int = common.CHUNK_BYTES) -> DataFr
     """
     parted = common.texts(docs).select("doc_id", "text")
     chunks = common.chunk_count(parted, chunk_bytes)
-    plain = F.struct(*(F.lit(None).cast("string").alias(c) if c == "text" else common.column(c).alias(c) for c in docs.columns))
     every = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        plain.alias("row"),
+        common.rows_without_text(docs),
     ).select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "*")
     by_chunk = common.dealt(every, chunks).groupBy("chunk")
     found = by_chunk.applyInArrow(_chunk_rows, FOUND)
