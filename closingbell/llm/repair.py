@@ -3,7 +3,7 @@
 Documents are dealt out by ranges of doc_id and sorted, so files follow each other in that order; a
 shard is some whole documents of about ``shard_tokens`` ids. In a shard the most frequent pairs of
 neighbouring ids become nonterminals, again and again, as long as a rule saves more bits than it
-takes. A round replaces all pairs that are at least a quarter as frequent as the most frequent one;
+takes. A round replaces all pairs that are at least a sixteenth as frequent as the most frequent one;
 where two of them overlap the more frequent wins, of equal ones the left. Pairs never cross documents.
 
 A shard is a row of a Parquet table (``LAYOUT``). It stores the rules, the number of ids that each
@@ -35,7 +35,7 @@ SHARD_TOKENS = 1 << 20
 #: mostly lose them to overlapping ones, and files come out smaller without.
 LEAST_USES = 6
 #: A round takes pairs down to this part of the most frequent one's count.
-BAND = 4
+BAND = 16
 BATCH_BYTES = 2 << 20
 KEPT_WORDS = 2_000_000
 
