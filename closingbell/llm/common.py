@@ -85,11 +85,6 @@ def chunk_count(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> int:
     return max(1, -(-size // chunk_bytes))
 
 
-def chunk_of(doc_id: Column | str, chunks: int) -> Column:
-    """The chunk that holds a document, from its id alone."""
-    return F.pmod(F.xxhash64(doc_id), F.lit(chunks)).cast("int")
-
-
 #: Most tasks of a stage over chunks.
 MOST_TASKS = 20_000
 
@@ -119,10 +114,6 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return whole[at[0] : at[-1]], at - at[0]
 
 
-def ids_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return pc.fill_null(as_array(column), NO_ID.item()).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes, or of one longer row."""
     row, rows = 0, len(offsets) - 1

@@ -15,7 +15,7 @@
    with other text around it) would not fit a shard; its windows are dealt out by their own hash
    instead and counted, which is exact as well and splits any gram.
 
-Texts move once, to the chunk of their doc_id; each step reads that exchange again.
+Texts move once, to a chunk by a hash of doc_id and text; each step reads that exchange again.
 """
 
 from __future__ import annotations
@@ -374,7 +374,9 @@ def remove_repeats(
     """
     docs = common.texts(docs)
     chunks = common.chunk_count(docs, chunk_bytes)
-    by_chunk = docs.select(common.chunk_of("doc_id", chunks).alias("chunk"), "doc_id", "text").groupBy("chunk")
+    # by id and text, so that rows of one id, or without any, are dealt out as well
+    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
+    by_chunk = common.dealt(docs.select(chunk, "doc_id", "text"), chunks).groupBy("chunk")
     found = by_chunk.applyInArrow(_ctx_rows(window, gram), "key long, ctx long, who long")
     judged = (
         found.repartition("key")
@@ -387,13 +389,13 @@ def remove_repeats(
     asked = asked.join(hot, "key", "left").select(
         "chunk", "key", "sub", F.when(F.col("hot"), F.lit(REQUEST_HOT)).otherwise(F.col("kind")).alias("kind")
     )
-    contexts = by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(_context_rows(window, gram), _CONTEXT_DDL)
+    contexts = by_chunk.cogroup(common.dealt(asked, chunks).groupBy("chunk")).applyInArrow(_context_rows(window, gram), _CONTEXT_DDL)
     marked = (
         contexts.repartition("key", "part")
         .sortWithinPartitions("hot", "key", "part")
         .mapInArrow(_mark(window), ANSWER)
     )
     answers = judged.withColumn("spans", F.lit(None).cast("binary")).unionByName(marked)
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(
+    return by_chunk.cogroup(common.dealt(answers, chunks).groupBy("chunk")).applyInArrow(
         _removed(window, gram), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
