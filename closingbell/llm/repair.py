@@ -36,6 +36,7 @@ SHARD_TOKENS = 1 << 20
 LEAST_USES = 6
 #: A round takes pairs down to this part of the most frequent one's count.
 BAND = 16
+BIN_BITS = 20
 BATCH_BYTES = 2 << 20
 KEPT_WORDS = 2_000_000
 
@@ -174,11 +175,15 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, le
     while len(symbols) > 1:
         # pairs of 16-bit symbols sort twice as fast
         kind, shift = (np.uint32, 16) if number <= 1 << 16 else (np.uint64, 32)
-        pair = (symbols[:-1].astype(kind) << kind(shift)) | symbols[1:].astype(kind)
-        found = np.sort(pair[~last[:-1]])
+        pair = symbols[:-1].astype(kind)
+        pair <<= kind(shift)
+        pair |= symbols[1:]
+        inside = ~last[:-1]
+        found = pair[inside]
+        found.sort()
         if not len(found):
             break
-        at = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        at = np.concatenate([[0], np.flatnonzero(found[1:] != found[:-1]) + 1])
         count = np.diff(at, append=len(found))
         top = int(count.max())
         if top < least:
@@ -188,22 +193,23 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, le
         room = (1 << width_of(number - first_rule, first_rule)) - number or number
         good = good[np.argsort(-count[good], kind="stable")][:room]
         chosen, order = found[at[good]], np.arange(len(good), 0, -1)
-        by_value = np.argsort(chosen)
-        left = np.zeros(number, bool)
-        right = left.copy()
-        left[chosen >> kind(shift)], right[chosen & kind((1 << shift) - 1)] = True, True
-        maybe = np.flatnonzero(left[symbols[:-1]] & right[symbols[1:]] & ~last[:-1])
-        place = np.minimum(np.searchsorted(chosen[by_value], pair[maybe]), len(good) - 1)
+        # found again by a hash; of pairs that share a bin the most frequent one has it this round
+        bins = np.zeros(1 << BIN_BITS, np.int32)
+        bins[_bin(chosen[::-1])] = np.arange(len(good), 0, -1)
+        place = bins.take(_bin(pair))
+        inside &= place > 0
+        maybe = np.flatnonzero(inside)
+        place = place[maybe] - 1
+        same = chosen[place] == pair[maybe]
+        maybe, mine = maybe[same], order[place[same]]
         rank = np.zeros(len(symbols) + 1, np.int32)  # of the pair that begins at a position
-        same = chosen[by_value][place] == pair[maybe]
-        rank[maybe[same] + 1] = order[by_value[place[same]]]
-        mine = rank[maybe + 1]
+        rank[maybe + 1] = mine
         after = np.where(maybe + 2 < len(rank), rank[np.minimum(maybe + 2, len(rank) - 1)], 0)
         # a run of one id holds its pair at every position: each second one of the run is taken
         goes_on = np.zeros(len(maybe), bool)
         goes_on[1:] = (maybe[1:] == maybe[:-1] + 1) & (mine[1:] == mine[:-1])
         begin = np.maximum.accumulate(np.where(goes_on, 0, np.arange(len(maybe))))
-        wins = (mine > 0) & (mine[begin] > rank[maybe[begin]]) & (mine >= after)
+        wins = (mine[begin] > rank[maybe[begin]]) & (mine >= after)
         take = maybe[wins & ((np.arange(len(maybe)) - begin) % 2 == 0)]
         used = np.bincount(rank[take + 1], minlength=len(good) + 1)[order]
         kept = np.flatnonzero(used >= least)
@@ -226,7 +232,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, le
         last[take] = last[take + 1]
         stay = np.ones(len(symbols), bool)
         stay[take + 1] = False
-        symbols, last = symbols[stay], last[stay]
+        left_over = np.flatnonzero(stay)
+        symbols, last = symbols.take(left_over), last.take(left_over)
         bits = stored_bits(len(symbols), number - first_rule, first_rule)
         if bits < best[0]:
             best = bits, symbols.copy(), last.copy(), number - first_rule
@@ -240,6 +247,13 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, le
     return symbols, np.maximum.accumulate(done), pairs
 
 
+def _bin(pairs: np.ndarray) -> np.ndarray:
+    """A bin for each pair, by the leading bits of a product."""
+    if pairs.dtype == np.uint32:
+        return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - BIN_BITS)
+    return (pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BIN_BITS)
+
+
 def _halves(pairs: np.ndarray, shift: int) -> np.ndarray:
     kind = pairs.dtype.type
     return np.stack([pairs >> kind(shift), pairs & kind((1 << shift) - 1)], axis=1).astype(np.uint32)
