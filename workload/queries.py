@@ -17,6 +17,7 @@ from closingbell.sources import prices, tickers
 from closingbell.sources.bucketed import save_bucketed
 from closingbell.sources.payloads import FIELDS, parse_candles
 from closingbell.sources.tables import Store
+from closingbell.sources.years import CODEC
 from workload.views import AS_OF, NOW, RUN_FROM, RUN_ID, Views
 
 # The default volume multiple never trips on the given tables, so the flag queries pass a
@@ -81,14 +82,14 @@ def price_upsert(v: Views) -> DataFrame:
 
 def _stored(v: Views, df: DataFrame, name: str) -> DataFrame:
     path = work_folder(v.spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", CODEC).parquet(path)
     return v.spark.read.schema(df.schema).parquet(path)
 
 
 def price_store(v: Views) -> DataFrame:
     """Bootstrap, merge twice (the second time changes nothing), read back."""
     table = prices.price_table(v.spark, work_folder(v.spark, "price-store"))
-    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
+    prices.upsert_prices(table, v.bars())
     batch = _stored(v, v.corrections(), "corrections")
     prices.upsert_prices(table, batch)
     prices.upsert_prices(table, batch)
@@ -100,7 +101,7 @@ def price_store_retry(v: Views) -> DataFrame:
     that counted before, whatever the first attempt has written."""
     root = work_folder(v.spark, "price-retry")
     table = prices.price_table(v.spark, root)
-    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
+    prices.upsert_prices(table, v.bars())
     batch = _stored(v, v.corrections(), "corrections")
     prices.upsert_prices(table.copy(), batch)
     prices.upsert_prices(table, batch)
@@ -110,7 +111,7 @@ def price_store_retry(v: Views) -> DataFrame:
 def compact_prices(v: Views) -> DataFrame:
     """Two appended feeds leave small files; the repacked table reads the same."""
     table = prices.price_table(v.spark, work_folder(v.spark, "compaction"))
-    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
+    prices.upsert_prices(table, v.bars())
     more = prices.with_year(v.event_bars())
     for year in [r.year for r in more.select("year").distinct().collect()]:
         add = table.append if year in table.versions else table.replace
@@ -123,7 +124,7 @@ def orphan_files(v: Views) -> DataFrame:
     """Files of the versions that a merge leaves behind, as their years."""
     root = work_folder(v.spark, "orphans")
     table = prices.price_table(v.spark, root)
-    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
+    prices.upsert_prices(table, v.bars())
     prices.upsert_prices(table, _stored(v, v.corrections(), "corrections"))
     later = maintenance.dt.datetime(2999, 1, 1)
     found = maintenance.orphan_files(v.spark, root, table.paths(), later)
@@ -153,7 +154,7 @@ def history_bucketed(v: Views) -> DataFrame:
 def prices_of_symbols(v: Views) -> DataFrame:
     """Stored bars of the symbols that are listed in one small universe."""
     table = prices.price_table(v.spark, work_folder(v.spark, "listed-prices"))
-    prices.upsert_prices(table, _stored(v, v.bars(), "bars"))
+    prices.upsert_prices(table, v.bars())
     stints = v.universe_membership().filter("universe_id = 'NATION_3'")
     return prices.of_symbols(table.read(), universe.active_symbols(stints, v.membership()))
 
@@ -399,7 +400,7 @@ def _after_run(v: Views) -> tuple[Store, DataFrame]:
     store = _listed_store(v, "after-run")
     store.write("volatility_rolling", v.volatility())
     store.write("failed_ingestion", v.dlq())
-    daily.backfill(store, _stored(v, v.history(), "history"))
+    daily.backfill(store, v.history())
     landing = _stored(v, v.late_landing(), "late-landing")
     report = daily.run_daily(store, landing, v.calendar(), RUN_ID, AS_OF, NOW, TIGHT)
     return store, report

@@ -301,11 +301,12 @@ def _json(fields: dict[str, Column]) -> Column:
 
 def _to_bars(ticks: DataFrame, volume: Column) -> DataFrame:
     """One bar per (symbol, date); ticks of a bar are folded before the shuffle."""
-    bars = ticks.groupBy("key", "date").agg(
+    # by the symbol itself: bars then are dealt by their key, which merges and stores need
+    bars = ticks.groupBy(_symbol("key"), "date").agg(
         F.min_by("price", "ord").alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
         F.max_by("price", "ord").alias("close"),
         volume.alias("volume"),
     )
-    return bars.select(_symbol("key"), "date", "open", "high", "low", "close", "volume")
+    return bars.select("symbol", "date", "open", "high", "low", "close", "volume")
