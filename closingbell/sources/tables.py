@@ -14,8 +14,9 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from closingbell import schemas
 from closingbell.operators import audit
 from closingbell.operators import runs as run_log
+from closingbell.session import setting
 from closingbell.sources.prices import price_table
-from closingbell.sources.years import YearTable, observed
+from closingbell.sources.years import CODEC, YearTable, empty, observed
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -24,7 +25,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return empty(spark, schema)
         raise
 
 
@@ -112,7 +113,7 @@ class Store:
 
         With ``metrics`` the result is the table and what they came to, collected by the write.
         """
-        rows = schemas.conform(df, table, now).persist(StorageLevel.DISK_ONLY)
+        rows = self._held(schemas.conform(df, table, now))
         try:
             self.check(table, rows)
             version, seen = self.whole[table] + 1, None
@@ -127,13 +128,19 @@ class Store:
 
     def replace_flags(self, rows: DataFrame, years: list[int]) -> None:
         """Make ``rows`` all flags of the years; rows that break a rule are never written."""
-        rows = rows.withColumn("year", F.year("session_date")).persist(StorageLevel.DISK_ONLY)
+        rows = self._held(rows.withColumn("year", F.year("session_date")))
         try:
             self.check("ohlcv_flag", rows)
             self.flags.replace(rows, years)
         finally:
             rows.unpersist()
 
+    def _held(self, rows: DataFrame) -> DataFrame:
+        """Rows on disk for the check and the write. Adaptive execution sizes their partitions as it
+        does in any query: else each of a few rows is a task, with a file for every reducer."""
+        with setting(self.spark, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true"):
+            return rows.persist(StorageLevel.DISK_ONLY)
+
     def check(self, table: str, rows: DataFrame) -> None:
         """Raise where rows about to be stored break a rule that the schemas state."""
         tables = {parent: self.read(parent) for _, parent, _ in schemas.FOREIGN_KEYS.get(table, [])}
@@ -149,16 +156,21 @@ class Store:
         ).parquet(self.log)
         return self.read("pipeline_run")
 
-    def keep(self, df: DataFrame, run_id: str, name: str, **metrics: Column) -> DataFrame | tuple[DataFrame, dict]:
+    def keep(
+        self, df: DataFrame, run_id: str, name: str, only: Column | None = None, **metrics: Column
+    ) -> DataFrame | tuple[DataFrame, dict]:
         """A run's intermediate result as a table: read several times, computed once.
 
-        With ``metrics`` the result is the table and what they came to, collected by the write.
+        With ``metrics`` the result is the table and what they came to, collected by the write;
+        they see all rows, also those that ``only`` leaves out of the table.
         """
         path = f"{self.root}/work/{run_id}/{name}"
         seen = None
         if metrics:
             df, seen = observed(df, **metrics)
-        df.write.mode("overwrite").parquet(path)
+        if only is not None:
+            df = df.filter(only)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         return (kept, seen.get) if metrics else kept
 
