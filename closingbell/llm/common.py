@@ -300,10 +300,11 @@ def known(lookup: Lookup, key: np.ndarray, sub: np.ndarray) -> np.ndarray:
 class WordIds:
     """Ids of the distinct words seen so far, as arrays: hashes, sorted, and where the ids stand.
 
-    ``learn`` gives the ids of new words. Past ``most`` words all are forgotten.
+    ``learn`` gives the ids of new words, one after the other, and the number of each word's. Past
+    ``most`` words all are forgotten.
     """
 
-    def __init__(self, learn: Callable[[list[bytes]], list], most: int = 2_000_000):
+    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = 2_000_000):
         self.learn, self.most = learn, most
         self._forget()
 
@@ -312,9 +313,7 @@ class WordIds:
         self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint16)
 
     def _add(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        found = self.learn(words)
-        length = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for f in found for i in f), np.uint16, int(length.sum()))
+        ids, length = self.learn(words)
         start = np.cumsum(length) - length + len(self.ids)
         at = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, at, hashes)

@@ -15,6 +15,7 @@ as the last rule needs, so each is found by its number.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,6 +40,10 @@ BAND = 16
 BIN_BITS = 20
 BATCH_BYTES = 2 << 20
 KEPT_WORDS = 2_000_000
+#: Runs of letters, and of ASCII stops that no special token and no contraction holds: the tokenizer's
+#: pattern matches each such run whole.
+PIECES = re.compile(r"[^\W\d_]+|[!\"#$%&()*+,\-./:;=?@\[\]^`{}~]+")
+LINE_PIECES = 500
 
 #: doc_ids: int64; the last ``nulls`` of them are null; ends: int64, symbols up to each document's end;
 #: sizes: int64, ids of each document; spans: uint32, ids of each rule; all little-endian. symbols and
@@ -87,27 +92,51 @@ class WordTokenizer:
         ends[at], last = cut, ends[at]
         return np.insert(starts, at + 1, cut), np.insert(ends, at + 1, last), np.insert(row, at + 1, row[at])
 
-    def _encoded(self, found_words: list[bytes]) -> list[list[int]]:
-        """Ids of distinct words. Letters alone are one match of the pattern, so they go to the
-        library in lines and are told apart by the tokens that end a word."""
+    def _encoded(self, found_words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words. Words made of ``PIECES`` go to the library in lines of their distinct
+        pieces, which are told apart by the tokens that end a match. A piece has one match at least,
+        so a line with as many matches as pieces has one for each; other lines' words go by themselves."""
         words = [word.decode("utf-8", "replace") for word in found_words]
-        found: list[list[int]] = [[]] * len(words)
-        plain = [i for i, w in enumerate(words) if w.isascii() and w.isalpha()]
-        lines = [plain[i : i + 1000] for i in range(0, len(plain), 1000)]
-        rest = [i for i, w in enumerate(words) if not (w.isascii() and w.isalpha())]
-        encodings = self.library.encode_batch_fast([" ".join(words[i] for i in line) for line in lines], add_special_tokens=False)
+        number: dict[str, int] = {}
+        parts: list[int] = []  # the pieces of all words
+        parted = np.zeros(len(words), np.int64)
+        for i, word in enumerate(words):
+            pieces = (word,) if word.isalpha() else PIECES.findall(word)
+            if sum(map(len, pieces)) == len(word):
+                parted[i] = len(pieces)
+                for piece in pieces:
+                    parts.append(number.setdefault(piece, len(number)))
+        listed, part = list(number), np.array(parts, np.int64)
+        # letters beyond ASCII may be decomposed by normalising: they have lines of their own
+        plain = np.fromiter(map(str.isascii, listed), bool, len(listed))
+        lines = []
+        for some in (np.flatnonzero(plain), np.flatnonzero(~plain)):
+            lines += [some[i : i + LINE_PIECES] for i in range(0, len(some), LINE_PIECES)]
+        flat, held = [np.zeros(0, np.uint16)], 0
+        start, length = np.zeros(len(listed), np.int64), np.zeros(len(listed), np.int64)
+        encodings = self.library.encode_batch_fast([" ".join([listed[i] for i in line]) for line in lines], add_special_tokens=False)
         for line, encoding in zip(lines, encodings):
             ids = np.array(encoding.ids, np.uint16)
-            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
-            if len(ends) != len(line):
-                rest.extend(line)
-                continue
-            ids = ids.tolist()
-            for i, a, b in zip(line, [0, *ends], ends):
-                found[i] = ids[a:b]
-        for i, encoding in zip(rest, self.library.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
-            found[i] = encoding.ids
-        return found
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(line):
+                length[line] = np.diff(ends, prepend=0)
+                start[line] = held + ends - length[line]
+                flat.append(ids)
+                held += len(ids)
+        whole = parted == 0
+        owner = np.repeat(np.arange(len(words)), parted)
+        whole[owner[length[part] == 0]] = True
+        rest = np.flatnonzero(whole)
+        found = [encoding.ids for encoding in self.library.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        flat.extend(np.array(ids, np.uint16) for ids in found)
+        told = ~whole[owner]
+        owner = np.concatenate([owner[told], rest])
+        order = np.argsort(owner, kind="stable")
+        start = np.concatenate([start[part[told]], held + np.cumsum(size) - size])[order]
+        size = np.concatenate([length[part[told]], size])[order]
+        picked = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        return np.concatenate(flat)[picked], np.bincount(owner[order], size, len(words)).astype(np.int64)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of ids of each."""
@@ -167,22 +196,20 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, le
     fewest bits is returned, so a grammar that outgrows a symbol's width has to be worth it.
     """
     symbols = ids.astype(np.uint32)
-    last = np.zeros(len(symbols), bool)
-    last[ends[ends > 0] - 1] = True
+    sizes = np.diff(ends, prepend=0)
+    last = ends[sizes > 0] - 1  # where documents end: no pair begins there
     rules: list[np.ndarray] = []
     number = first_rule
-    best = stored_bits(len(symbols), 0, first_rule), symbols.copy(), last.copy(), 0
-    while len(symbols) > 1:
+    best = stored_bits(len(symbols), 0, first_rule), symbols, last, 0
+    # where a pair begins that may have enough uses: one that had too few never gets more
+    live = np.delete(np.arange(len(symbols)), last)
+    while len(live):
         # pairs of 16-bit symbols sort twice as fast
         kind, shift = (np.uint32, 16) if number <= 1 << 16 else (np.uint64, 32)
-        pair = symbols[:-1].astype(kind)
+        pair = symbols.take(live).astype(kind)
         pair <<= kind(shift)
-        pair |= symbols[1:]
-        inside = ~last[:-1]
-        found = pair[inside]
-        found.sort()
-        if not len(found):
-            break
+        pair |= symbols.take(live + 1)
+        found = np.sort(pair)
         at = np.concatenate([[0], np.flatnonzero(found[1:] != found[:-1]) + 1])
         count = np.diff(at, append=len(found))
         top = int(count.max())
@@ -196,54 +223,61 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int = VOCABULARY, le
         # found again by a hash; of pairs that share a bin the most frequent one has it this round
         bins = np.zeros(1 << BIN_BITS, np.int32)
         bins[_bin(chosen[::-1])] = np.arange(len(good), 0, -1)
-        place = bins.take(_bin(pair))
-        inside &= place > 0
-        maybe = np.flatnonzero(inside)
-        place = place[maybe] - 1
-        same = chosen[place] == pair[maybe]
-        maybe, mine = maybe[same], order[place[same]]
-        rank = np.zeros(len(symbols) + 1, np.int32)  # of the pair that begins at a position
-        rank[maybe + 1] = mine
-        after = np.where(maybe + 2 < len(rank), rank[np.minimum(maybe + 2, len(rank) - 1)], 0)
+        # a small table tells which positions may have one of them, and which have enough uses
+        seen = np.zeros(1 << BIN_BITS, np.uint8)
+        seen[_bin(found[at[count >= least]])] = 1
+        seen[_bin(chosen)] = 2
+        here = _bin(pair)
+        state = seen.take(here)
+        maybe = np.flatnonzero(state == 2)
+        place = bins.take(here.take(maybe)) - 1
+        same = chosen[place] == pair.take(maybe)
+        maybe, mine = live[maybe[same]], order[place[same]]
+        # ranks of the pairs that begin one position earlier and one later
+        beside = maybe[1:] == maybe[:-1] + 1
+        before, after = np.zeros(len(maybe), np.int64), np.zeros(len(maybe), np.int64)
+        before[1:], after[:-1] = mine[:-1] * beside, mine[1:] * beside
         # a run of one id holds its pair at every position: each second one of the run is taken
-        goes_on = np.zeros(len(maybe), bool)
-        goes_on[1:] = (maybe[1:] == maybe[:-1] + 1) & (mine[1:] == mine[:-1])
-        begin = np.maximum.accumulate(np.where(goes_on, 0, np.arange(len(maybe))))
-        wins = (mine[begin] > rank[maybe[begin]]) & (mine >= after)
-        take = maybe[wins & ((np.arange(len(maybe)) - begin) % 2 == 0)]
-        used = np.bincount(rank[take + 1], minlength=len(good) + 1)[order]
+        begin = np.maximum.accumulate(np.where(before == mine, 0, np.arange(len(maybe))))
+        wins = (mine[begin] > before[begin]) & (mine >= after)
+        taken = np.flatnonzero(wins & ((np.arange(len(maybe)) - begin) % 2 == 0))
+        used = np.bincount(mine[taken], minlength=len(good) + 1)[order]
         kept = np.flatnonzero(used >= least)
         if not len(kept):
             # overlaps left too few uses of each: the most used one alone, if it has enough of them
-            kept = _most_alone(pair, last, chosen[:1], least)
-            if not len(kept):
+            take = _most_alone(live[pair == chosen[0]], least)
+            if not len(take):
                 break
-            take, names_of = kept, np.full(len(kept), number, np.uint32)
+            names_of = np.full(len(take), number, np.uint32)
             rules.append(_halves(chosen[:1], shift))
             number += 1
         else:
             names = np.zeros(len(good) + 1, np.uint32)
             names[order[kept]] = np.arange(number, number + len(kept))
-            take = take[names[rank[take + 1]] > 0]
-            names_of = names[rank[take + 1]]
+            names_of = names[mine[taken]]
+            take, names_of = maybe[taken[names_of > 0]], names_of[names_of > 0]
             rules.append(_halves(chosen[kept], shift))
             number += len(kept)
-        symbols[take] = names_of
-        last[take] = last[take + 1]
-        stay = np.ones(len(symbols), bool)
+        stay, lives = np.ones(len(symbols), bool), np.zeros(len(symbols), bool)
         stay[take + 1] = False
-        left_over = np.flatnonzero(stay)
-        symbols, last = symbols.take(left_over), last.take(left_over)
+        lives[live[state > 0]] = True
+        lives[take] = True
+        lives[take[take > 0] - 1] = True
+        symbols = symbols[stay]
+        symbols[take - np.arange(len(take))] = names_of
+        last = last - np.searchsorted(take + 1, last, side="right")
+        lives = lives[stay]
+        lives[last] = False
+        live = np.flatnonzero(lives)
         bits = stored_bits(len(symbols), number - first_rule, first_rule)
         if bits < best[0]:
-            best = bits, symbols.copy(), last.copy(), number - first_rule
+            best = bits, symbols, last, number - first_rule
         elif width_of(number - first_rule, first_rule) > width_of(best[3], first_rule):
             break  # the wider symbols were not worth it
     _, symbols, last, kept_rules = best
     pairs = np.concatenate([np.zeros((0, 2), np.uint32), *rules])[:kept_rules]
-    sizes = np.diff(ends, prepend=0)
     done = np.zeros(len(ends), np.int64)  # a document without ids ends where the one before it does
-    done[sizes > 0] = np.flatnonzero(last) + 1
+    done[sizes > 0] = last + 1
     return symbols, np.maximum.accumulate(done), pairs
 
 
@@ -259,9 +293,8 @@ def _halves(pairs: np.ndarray, shift: int) -> np.ndarray:
     return np.stack([pairs >> kind(shift), pairs & kind((1 << shift) - 1)], axis=1).astype(np.uint32)
 
 
-def _most_alone(pair: np.ndarray, last: np.ndarray, chosen: np.ndarray, least: int) -> np.ndarray:
-    """Places of one pair, every second one of a run, if there are enough."""
-    at = np.flatnonzero((pair == chosen[0]) & ~last[:-1])
+def _most_alone(at: np.ndarray, least: int) -> np.ndarray:
+    """Of one pair's places every second one of a run, if there are enough."""
     new = np.ones(len(at), bool)
     new[1:] = at[1:] > at[:-1] + 1
     begin = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))

@@ -157,7 +157,7 @@ class Viterbi:
                 ids.extend(self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass"))
         return ids
 
-    def _learn(self, words: list[bytes]) -> list[list[int]]:
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words. Runs of marks hold pieces of equal score, which the library's own
         order decides; it encodes the few words that have one."""
         marked = [word.decode("utf-8", "replace").replace(" ", MARK) for word in words]
@@ -166,7 +166,8 @@ class Viterbi:
             if word not in found:
                 # the library puts a mark first: in front of the line feed it stands alone
                 found[word] = self.model.encode("\n" + word.replace(MARK, " "), num_threads=1)[2:]
-        return [found[w] for w in marked]
+        length = np.fromiter((len(found[w]) for w in marked), np.int64, len(marked))
+        return np.fromiter((i for w in marked for i in found[w]), np.uint16, int(length.sum())), length
 
     def _spans(self, data: np.ndarray, offsets: np.ndarray):
         """The texts with a space in front of each, and the words that they part into."""

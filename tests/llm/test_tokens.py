@@ -51,6 +51,40 @@ def test_grammar_goes_on_while_it_pays():
     assert (shard.documents()[0] == ids).all() and (shard.document(0, 1001, 77) == ids[1001:1078]).all()
 
 
+def test_new_words_reach_the_library_in_lines():
+    """Words with letters beyond ASCII, or with marks behind them, are not encoded one by one."""
+    tokenizer = repair.WordTokenizer(public_tokenizers.path(repair.TOKENIZER))
+    library, texts = tokenizer.library, []
+
+    class Watched:
+        def encode_batch_fast(self, some, **settings):
+            texts.extend(some)
+            return library.encode_batch_fast(some, **settings)
+
+    tokenizer.library = Watched()
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdeéñü", k=8)) + rng.choice(["", "###", ",%%%", "."]) for _ in range(2000)]
+    words += ["it's", "<|endoftext|>", "a\u0301=", "İa", "क़", "x²"]
+    data, offsets = common.text_bytes(pa.array([" ".join(words)]))
+    ids, sizes = tokenizer.encode(data, offsets, repair.END)
+    assert ids.tolist() == library.encode(" ".join(words), add_special_tokens=False).ids + [repair.END]
+    assert sizes.tolist() == [len(ids)] and len(texts) < 1000
+
+
+def test_grammar_rounds_leave_out_pairs_with_too_few_uses(monkeypatch):
+    """Ids whose pairs are all different are counted once, not in every round."""
+    rng = np.random.default_rng(5)
+    once = rng.permutation(40_000)
+    ids = np.concatenate([once, np.tile(rng.integers(40_000, 49_000, 64), 64)]).astype(np.uint32)
+    counted, flatnonzero = [], np.flatnonzero
+    monkeypatch.setattr(np, "flatnonzero", lambda a: (counted.append(len(a)), flatnonzero(a))[1])
+    sizes = np.array([40_000, 4096])
+    row = repair.shard_row([1, 2], ids, sizes)
+    assert sum(n > 10_000 for n in counted) < 20
+    monkeypatch.undo()
+    assert (repair.Shard(row).documents()[0] == ids).all()
+
+
 def test_extreme_and_null_ids_in_files(session):
     rows = [(None, "z y"), (2**63 - 1, "a b"), (-(2**63), "c"), (None, None), (0, "d")]
     library = Tokenizer.from_file(public_tokenizers.path(repair.TOKENIZER))
