@@ -54,26 +54,40 @@ class RunLengthIndex:
         self.n, self.levels = n, []
         self.left = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(n)  # bytes to the end
         longest = int(self.left.max(initial=0))
-        key = np.zeros(n, np.int64)
-        for k in range(7):  # seven symbols of nine bits; 0 stands for the end
-            symbol = np.zeros(n, np.int64)
-            symbol[: n - k] = data[k:].astype(np.int64) + 1
-            symbol[self.left <= k] = 0
-            key = (key << 9) | symbol
+        # seven symbols of nine bits; 0 stands for the end
+        one = data.astype(np.int64) + 1
+        two = (one << 9) | self._ahead(one, 1)
+        three = (two << 9) | self._ahead(one, 2)
+        key = (two << 45) | (self._ahead(two, 2) << 27) | self._ahead(three, 4)
         self.data = data
         depth = 7
-        order, rank = self._ranked(key)
-        self.levels.append((depth, rank.astype(np.int32)))
-        while depth < longest:
-            ahead = np.zeros(n, np.int64)
-            ahead[: n - depth] = rank[depth:]
-            ahead[self.left <= depth] = 0
-            order, rank = self._ranked((rank << 32) | ahead)
+        order = np.argsort(key)
+        new = self._changes(key[order])
+        rank = np.empty(n, np.int32)
+        first = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
+        rank[order] = first + 1
+        self.levels.append((depth, rank))
+        # only suffixes that share a rank are sorted on, in the places that they have together; a rank
+        # is one more than the number of smaller suffixes, so those of the others stay as they are
+        rest = self._not_alone(new)
+        shared, group = order[rest], first[rest] + 1
+        while depth < longest and len(shared):
+            ahead = self._ahead(rank, depth)[shared]
+            # members of a group stand side by side: its number orders as its rank does
+            head = self._changes(group)
+            order = self._ordered(np.cumsum(head) - 1, ahead, n + 1)
+            shared, ahead, rank = shared[order], ahead[order], rank.copy()
+            new = head | self._changes(ahead)
+            at = np.arange(len(shared), dtype=np.int32)
+            group = group + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(head, at, 0))
+            rank[shared] = group
+            rest = self._not_alone(new)
+            shared, group = shared[rest], group[rest]
             depth *= 2
-            self.levels.append((depth, rank.astype(np.int32)))
+            self.levels.append((depth, rank))
         # equal suffixes of different strings: the sentinels decide, by position
-        self.order = np.argsort((rank << 32) | np.arange(n), kind="stable")
-        before = np.where(np.concatenate([[True], self.left[:-1] == 1]), -1, np.roll(data, 1).astype(np.int64))
+        self.order = np.sort((rank.astype(np.int64) << 32) | np.arange(n)) & 0xFFFFFFFF
+        before = np.where(np.concatenate([[True], self.left[:-1] == 1]), -1, np.roll(data, 1).astype(np.int32))
         bwt = before[self.order]
         head = np.ones(n, bool)
         head[1:] = (bwt[1:] != bwt[:-1]) | (bwt[1:] < 0)
@@ -83,15 +97,40 @@ class RunLengthIndex:
         tails = self.heads + self.run_lengths - 1
         self.sample_first, self.sample_last = self.order[self.heads], self.order[tails]
 
+    def _ahead(self, values: np.ndarray, by: int) -> np.ndarray:
+        """The value of a later position of the same string; 0 past its end."""
+        later = np.zeros_like(values)
+        later[: max(0, self.n - by)] = values[by:]
+        later *= self.left > by
+        return later
+
     @staticmethod
-    def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(key)
-        found = key[order]
-        new = np.ones(len(key), np.int64)
-        new[1:] = found[1:] != found[:-1]
-        rank = np.empty(len(key), np.int64)
-        rank[order] = np.cumsum(new)
-        return order, rank
+    def _changes(values: np.ndarray) -> np.ndarray:
+        """Where a value differs from the one before it."""
+        new = np.ones(len(values), bool)
+        new[1:] = values[1:] != values[:-1]
+        return new
+
+    @staticmethod
+    def _not_alone(new: np.ndarray) -> np.ndarray:
+        """Members of groups of two and more; ``new`` tells where groups begin."""
+        alone = new.copy()
+        alone[:-1] &= new[1:]
+        return ~alone
+
+    @staticmethod
+    def _ordered(number: np.ndarray, ahead: np.ndarray, most: int) -> np.ndarray:
+        """The order by number and what is ahead; values sort faster than places where both fit."""
+        bits = most.bit_length()
+        key = (number << bits) | ahead
+        places = len(key).bit_length()
+        if int(number[-1]).bit_length() + bits + places > 63:
+            return np.argsort(key)
+        key <<= places
+        key |= np.arange(len(key))
+        key.sort()
+        key &= (1 << places) - 1
+        return key
 
     def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the longest common prefix of the suffixes at a and b."""

@@ -32,6 +32,23 @@ def test_index_is_run_length_compressed():
     assert set(index.sample_first) >= set(range(0, len(text) * 8, len(text)))
 
 
+def test_index_sorts_only_suffixes_that_share_a_prefix(monkeypatch):
+    """Random bytes are told apart by their first ones; only those that other strings hold go on."""
+    np, rng, ordered = rlbwt.np, random.Random(2), []
+    own = rlbwt.RunLengthIndex._ordered
+    monkeypatch.setattr(
+        rlbwt.RunLengthIndex, "_ordered", staticmethod(lambda *a: (ordered.append(len(a[1])), own(*a))[1])
+    )
+    strings = [rng.randbytes(500) for _ in range(40)]
+    strings += [strings[0][100:] + b"x", strings[1][:400]]
+    ends = np.cumsum([len(s) for s in strings])
+    index = rlbwt.RunLengthIndex(np.frombuffer(b"".join(strings), "u1"), ends)
+    assert len(index.levels) == len(ordered) + 1 > 5 and max(ordered) < 1700
+    # the same order where places and numbers need argsort
+    number, ahead = np.array([0, 0, 1, 1]), np.array([7, 3, 5, 1])
+    assert own(number, ahead, 8).tolist() == own(number, ahead, 1 << 61).tolist() == [1, 0, 3, 2]
+
+
 # a hot key's windows are dealt out by their hash instead of being indexed
 @pytest.mark.parametrize("settings", [{}, {"shard_contexts": 1, "chunk_bytes": 20_000}])
 def test_bytes_awkward(awkward, settings):
